@@ -38,6 +38,7 @@ def build_session(app: str = "basketshift", master: str | None = None, shuffle_p
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -64,7 +65,7 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/basketshift-{_run}/{label}-{uuid.uuid4().hex[:8]}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several consumers need one result: each reads only its columns, the
@@ -73,7 +74,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -120,8 +120,8 @@ def scoped_attrs(spark: SparkSession, folder: str, derived: bool = False) -> Dat
 
 
 def control_table(star: Star) -> DataFrame:
-    """Load-done flags: one per order month and priority."""
-    return (star.table("orders").groupBy(F.last_day("o_orderdate").cast("string").alias("dt"), F.col("o_orderpriority").alias("cid3"))
+    """Load-done flags: one per order quarter and priority."""
+    return (star.table("orders").groupBy(F.trunc("o_orderdate", "quarter").cast("string").alias("dt"), F.col("o_orderpriority").alias("cid3"))
             .agg(F.min("o_orderkey").alias("k")).select(F.when(F.col("k") % 3 == 0, "0").otherwise("1").alias("status"), "dt", "cid3"))
 
 
@@ -501,14 +501,14 @@ def attr_numeric(spark, folder):
 
 @query
 def pair_sales(spark, folder):
-    return cdt_path(spark, folder).with_sales.select(*A.PAIR, r("switching_prob"), r("fromSales", 2), r("toSales", 2))
+    return cdt_path(spark, folder).with_sales.select(*A.PAIR, r("switching_prob"), r("fromSales", 4), r("toSales", 4))
 
 
 @query
 def attr_matrix(spark, folder):
     m = cdt_path(spark, folder).matrix
     return m.select(*A.PAIR, r("switchProb"), r("colour"), r("noun"), r("size"), r(C.BRAND_ATTR, alias="brand"),
-                    r("fromSales", 2), r("toSales", 2))
+                    r("fromSales", 4), r("toSales", 4))
 
 
 @query
@@ -646,7 +646,7 @@ def publish_roundtrip(spark, folder):
 
 @query
 def mark_done(spark, folder):
-    """The control table after the pending rows of the months to 1999 are marked."""
+    """The control table after the pending rows before 2000 are marked."""
     path = staging_path(spark, "control")
     K.overwrite_partitions(control_table(Star(spark, folder)), path)
     control = K.read_partitions(spark, path, "status string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 # Kept for the life of the process so that the folder outlives lazy readers.
 _local_root: tempfile.TemporaryDirectory | None = None
 _run = uuid.uuid4().hex[:12]
+_cleaning = False
 
 # Rows of a table held once per scope. A scope row is about 100 bytes, so the
 # largest such broadcast is about 50 MB.
@@ -61,7 +63,12 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the staging root."""
+    """A fresh path in this run's folder under the staging root. The folder goes when the
+    driver ends."""
+    global _cleaning
+    if not _cleaning:
+        _cleaning = True
+        atexit.register(_quietly, _folder_deleter(spark))
     return f"{staging_root(spark)}/basketshift-{_run}/{label}-{uuid.uuid4().hex[:8]}"
 
 
@@ -78,11 +85,22 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder_deleter(spark: SparkSession):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/basketshift-{_run}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return lambda: files.delete(path, True)
+
+
+def _quietly(action) -> None:
+    try:
+        action()
+    except Exception:
+        pass  # the JVM has gone first
+
+
 def drop_staged(spark: SparkSession) -> None:
-    """Delete what this run has staged."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/basketshift-{_run}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete what this run has staged so far."""
+    _folder_deleter(spark)()
 
 
 def per_scope(df: DataFrame) -> DataFrame:

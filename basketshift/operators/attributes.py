@@ -123,70 +123,80 @@ def pair_base(switching: DataFrame) -> DataFrame:
         *PAIR, "switching_prob")
 
 
-def _profile(attrs: DataFrame) -> DataFrame:
-    entry = F.struct("attr_key", "attr_val")
-    return attr_collapse(attrs).groupBy("scope_id", "item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("attrs"))
+def _collapsed(categorical: DataFrame | None, numeric: DataFrame | None) -> DataFrame:
+    """Both kinds in one table: (scope_id, attr_key, item_id, numeric, text, number)."""
+    sides = []
+    for attrs, is_number in ((categorical, False), (numeric, True)):
+        if attrs is not None:
+            value, none = F.col("attr_val"), F.lit(None)
+            sides.append(attr_collapse(attrs).select(
+                "scope_id", "attr_key", "item_id", F.lit(is_number).alias("numeric"),
+                (none if is_number else value).cast("string").alias("text"), (value if is_number else none).cast("double").alias("number")))
+    return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
 
 
 def _with_profiles(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
     """Pairs with the attribute maps of both ends and the keys of their scope."""
-    items = _profile(attrs)
+    entry = F.struct("attr_key", F.struct("text", "number"))
+    items = attrs.groupBy("scope_id", "item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("attrs"))
+    keys = attrs.groupBy("scope_id").agg(F.array_sort(F.collect_set(F.struct("attr_key", "numeric"))).alias("keys"))
 
     def end(name):
         return items.select("scope_id", F.col("item_id").alias(f"{name}_item_id"), F.col("attrs").alias(f"_{name}"))
 
-    return (pairs.join(per_scope(attr_keys(attrs)), "scope_id")
-            .join(end("src"), ["scope_id", "src_item_id"], "left").join(end("dst"), ["scope_id", "dst_item_id"], "left"))
+    return (pairs.join(per_scope(keys), "scope_id").join(end("src"), ["scope_id", "src_item_id"], "left")
+            .join(end("dst"), ["scope_id", "dst_item_id"], "left"))
 
 
 def _category(attrs: Column, key: Column) -> Column:
     """Value of a key: its text, None if the item lacks the key, null if it is there without a value."""
     has = F.coalesce(F.map_contains_key(attrs, key), F.lit(False))
-    return F.when(has, F.try_element_at(attrs, key)).otherwise(F.lit(ABSENT))
+    return F.when(has, F.try_element_at(attrs, key)["text"]).otherwise(F.lit(ABSENT))
 
 
-def _cells(df: DataFrame, measure, label: str) -> DataFrame:
-    """One row per pair and key. The joined pairs are written before they are multiplied by
-    the keys, since the column statistics and the result both read them."""
-    cells = F.transform("keys", lambda k: F.struct(k.alias("attr_key"), measure(k).alias("v")))
-    measured = stage(df.select(*PAIR, cells.alias("cells")), label)
-    return measured.select(*PAIR, F.explode("cells").alias("c")).select(*PAIR, "c.attr_key", "c.v")
+def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
+    """(pair, attr_key, similarity) for every pair and key of its scope.
 
+    Categorical: 1 where both items have the same value, else 0; two items without the
+    attribute match. A pair with an explicit null gets the mean of its column, in which
+    such pairs count 0.
 
-def _key_stats(cells: DataFrame, *aggs: Column, label: str) -> DataFrame:
-    """One row per scope and attribute key. Written, so that its size is known when it is joined."""
-    return stage(cells.groupBy("scope_id", "attr_key").agg(*aggs), label)
+    Numeric: 1 - d/max d on a log scale. A pair with a missing or invalid value gets the
+    mean. Where all distances are 0 all similarities are 1; where all are missing they stay
+    null.
 
-
-def attr_categorical(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
-    """1 where both items have the same value, else 0. Two items without the attribute match.
-
-    A pair with an explicit null gets the mean of its column, in which such pairs count 0.
+    The joined pairs are written before they are multiplied by the keys, since the column
+    statistics and the result both read them.
     """
-    df = _with_profiles(pairs, attrs)
-
-    def same(key):
-        return (_category(F.col("_src"), key) == _category(F.col("_dst"), key)).cast("double")
+    src, dst = F.col("_src"), F.col("_dst")
 
-    cells = _cells(df, same, "matches")
-    means = _key_stats(cells, F.avg(F.coalesce("v", F.lit(0.0))).alias("_mean"), label="match")
-    return cells.join(means, ["scope_id", "attr_key"]).select(*PAIR, "attr_key", F.coalesce("v", "_mean").alias("similarity"))
+    def measure(k):
+        key = k["attr_key"]
+        apart = C.log_distance(F.try_element_at(src, key)["number"], F.try_element_at(dst, key)["number"])
+        same = (_category(src, key) == _category(dst, key)).cast("double")
+        return F.struct(key.alias("attr_key"), k["numeric"].alias("numeric"), F.when(k["numeric"], apart).otherwise(same).alias("v"))
 
-
-def attr_numeric(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
-    """1 - d/max d on a log scale. A pair with a missing or invalid value gets the mean.
-
-    Where all distances are 0 all similarities are 1; where all are missing they stay null.
-    """
-    df = _with_profiles(pairs, attrs)
-    cells = _cells(df, lambda k: C.log_distance(F.try_element_at("_src", k), F.try_element_at("_dst", k)), "distances")
-    stats = _key_stats(cells, F.max("v").alias("_max"), F.avg("v").alias("_avg"), label="distance")
+    joined = _with_profiles(pairs, _collapsed(categorical, numeric))
+    measured = stage(joined.select(*PAIR, F.transform("keys", measure).alias("cells")), "cells")
+    cells = measured.select(*PAIR, F.explode("cells").alias("c")).select(*PAIR, "c.*")
+    # One row per scope and key; written, so that its size is known when it is joined.
+    stats = stage(cells.groupBy("scope_id", "attr_key").agg(
+        F.max("v").alias("_max"), F.avg("v").alias("_avg"), F.avg(F.coalesce("v", F.lit(0.0))).alias("_matched")), "key_stats")
 
     def scaled(d):
         return F.when(F.col("_max") == 0, F.when(d.isNotNull(), 1.0)).otherwise(1 - F.try_divide(d, F.col("_max")))
 
+    number = F.coalesce(scaled(F.col("v")), scaled(F.col("_avg")))
     return cells.join(stats, ["scope_id", "attr_key"]).select(
-        *PAIR, "attr_key", F.coalesce(scaled(F.col("v")), scaled(F.col("_avg"))).alias("similarity"))
+        *PAIR, "attr_key", F.when(F.col("numeric"), number).otherwise(F.coalesce("v", "_matched")).alias("similarity"))
+
+
+def attr_categorical(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
+    return similarities(pairs, categorical=attrs)
+
+
+def attr_numeric(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
+    return similarities(pairs, numeric=attrs)
 
 
 def item_net_sales(lines: DataFrame, brand: DataFrame | None = None) -> DataFrame:
@@ -210,11 +220,11 @@ def pair_sales(pairs: DataFrame, sales: DataFrame) -> DataFrame:
         *PAIR, "switching_prob", F.coalesce("fromSales", "_from").alias("fromSales"), F.coalesce("toSales", "_to").alias("toSales"))
 
 
-def attr_matrix(pairs_with_sales: DataFrame, similarities: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """One row per pair, one column per attribute key. A key foreign to a scope is null there."""
-    cells = similarities[0]
-    for s in similarities[1:]:
-        cells = cells.unionByName(s)
+def attr_matrix(pairs_with_sales: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per pair, one column per attribute key. A key foreign to a scope is null there.
+
+    The cells of a pair come from one row, so they collapse again before they are shuffled.
+    """
     picks = [F.max(F.when(F.col("attr_key") == k, F.col("similarity"))).alias(k) for k in keys]
     wide = cells.groupBy(*PAIR).agg(*picks) if keys else cells.select(*PAIR).distinct()
     return pairs_with_sales.join(wide, PAIR, "left").select(

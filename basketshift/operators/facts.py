@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from basketshift.functions import columns as C
 from basketshift.operators import prefix
 from basketshift.params import Params
-from basketshift.session import per_scope, stage
 from basketshift.sources.readers import order_scan
 
 # A customer outside the limits who holds more than one line in this many is dropped
@@ -70,21 +69,32 @@ def nonpromo_filter(lines: DataFrame, ratio: str = "0.95") -> DataFrame:
     return positive_filter(lines).where(F.col("after_prefr_amount") >= floor)
 
 
-def prod_tail(facts: DataFrame, share: float) -> DataFrame:
+def sku_daily(facts: DataFrame) -> DataFrame:
+    """Quantity and list amount per sku and day, in hundredths.
+
+    The long tail, the items' eligibility and the skus in scope are all functions of this
+    table, so none of them moves order lines.
+    """
+    return facts.groupBy("scope_id", "item_sku_id", "sale_ord_dt").agg(
+        F.sum(C.hundredths("sale_qtty")).alias("qty"), F.sum(C.hundredths("before_prefr_amount")).alias("amount"))
+
+
+def prod_tail(daily: DataFrame, share: float) -> DataFrame:
     """Skus, by quantity from the top, whose running share of the scope is at most ``share``.
 
     The sku that crosses the share is left out. Ties are ordered by sku.
     """
-    qty = facts.groupBy("scope_id", "item_sku_id").agg(F.sum(C.hundredths("sale_qtty")).alias("_qty"))
+    qty = daily.groupBy("scope_id", "item_sku_id").agg(F.sum("qty").alias("_qty"))
     ranked = prefix.running_total(qty, "scope_id", [F.col("_qty").desc(), F.col("item_sku_id")], "_qty", "_run", "_total")
     return (ranked.withColumn("cum_ratio", F.try_divide("_run", "_total")).where(F.col("cum_ratio") <= share)
             .select("scope_id", "item_sku_id", C.units("_qty").alias("sale_qtty"), "cum_ratio"))
 
 
-def cut_tail(facts: DataFrame, p: Params) -> DataFrame:
+def kept_skus(daily: DataFrame, p: Params) -> DataFrame:
+    """(scope_id, item_sku_id) after the tail cut."""
     if p.prod_tail >= 1:
-        return facts
-    return facts.join(prod_tail(facts, p.prod_tail).select("scope_id", "item_sku_id"), ["scope_id", "item_sku_id"], "left_semi")
+        return daily.select("scope_id", "item_sku_id").distinct()
+    return prod_tail(daily, p.prod_tail).select("scope_id", "item_sku_id")
 
 
 # -- item mapping -------------------------------------------------------------
@@ -104,26 +114,29 @@ def brand_map(attrs: DataFrame, brands: DataFrame) -> DataFrame:
     return named.join(ids, "item_name", "left").select("item_sku_id", "item_name", "item_id")
 
 
-def map_items(lines: DataFrame, p: Params, brand: DataFrame | None = None) -> DataFrame:
-    """Adds item_id: the sku, or its brand. Lines without an item are dropped."""
+def with_items(skus: DataFrame, p: Params, brand: DataFrame | None = None) -> DataFrame:
+    """Adds item_id: the sku itself, or its brand, null where that is unknown."""
     if p.item_type == "sku":
-        return lines.withColumn("item_id", F.col("item_sku_id")).where(F.col("item_id").isNotNull())
-    ids = brand.where(F.col("item_id").isNotNull()).select("item_sku_id", "item_id")
-    return lines.join(ids, "item_sku_id")
+        return skus.withColumn("item_id", F.col("item_sku_id"))
+    return skus.join(brand.select("item_sku_id", "item_id", "item_name"), "item_sku_id", "left")
+
+
+def map_items(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of the kept skus with their item: tail cut and mapping in one join.
+
+    ``kept`` has scope_id, item_sku_id, item_id. Rows without an item are dropped.
+    """
+    known = kept.where(F.col("item_id").isNotNull()).select("scope_id", "item_sku_id", "item_id")
+    return rows.join(known, ["scope_id", "item_sku_id"])
 
 
-def sku_in_scope(lines: DataFrame, p: Params, skus: DataFrame, brand: DataFrame | None = None) -> DataFrame:
-    """The skus behind each item, over the lines left by the tail cut.
+def sku_in_scope(kept: DataFrame, p: Params, skus: DataFrame) -> DataFrame:
+    """The skus behind each item, over the skus left by the tail cut (with their items).
 
     In brand mode a sku without a known brand keeps its row with a null item.
     """
-    sold = lines.select("scope_id", "item_sku_id").distinct()
-    if p.item_type == "sku":
-        named = sold.join(skus.select("item_sku_id", F.col("sku_name").alias("item_name")), "item_sku_id")
-        df = named.withColumn("item_id", F.col("item_sku_id"))
-    else:
-        df = sold.join(brand, "item_sku_id", "left")
-    return df.select("scope_id", "item_sku_id", "item_id", "item_name", F.lit(p.item_type).alias("item_type")).distinct()
+    named = kept if p.item_type == "brand" else kept.join(skus.select("item_sku_id", F.col("sku_name").alias("item_name")), "item_sku_id")
+    return named.select("scope_id", "item_sku_id", "item_id", "item_name", F.lit(p.item_type).alias("item_type")).distinct()
 
 
 def log_sku_in_scope(switching: DataFrame, skus: DataFrame, p: Params, brand: DataFrame | None = None) -> DataFrame:
@@ -140,34 +153,28 @@ def log_sku_in_scope(switching: DataFrame, skus: DataFrame, p: Params, brand: Da
 # -- item eligibility ---------------------------------------------------------
 
 
-def item_sales(lines: DataFrame) -> DataFrame:
-    """Sales per item in hundredths."""
-    return lines.groupBy("scope_id", "item_id").agg(F.sum(C.hundredths("before_prefr_amount")).alias("sale_amount"))
-
-
-def item_min_sales(lines: DataFrame, min_sales: float) -> DataFrame:
-    """Items that sold strictly more than ``min_sales``."""
-    return (item_sales(lines).select("scope_id", "item_id", C.units("sale_amount").alias("sale_amount"))
-            .where(F.col("sale_amount") > min_sales))
+def item_min_sales(daily: DataFrame, min_sales: float) -> DataFrame:
+    """Items that sold strictly more than ``min_sales``. ``daily`` is mapped :func:`sku_daily`."""
+    return (daily.groupBy("scope_id", "item_id").agg(F.sum("amount").alias("_amount"))
+            .select("scope_id", "item_id", C.units("_amount").alias("sale_amount")).where(F.col("sale_amount") > min_sales))
 
 
-def weekly_sales(lines: DataFrame, p: Params) -> DataFrame:
+def weekly_sales(daily: DataFrame, p: Params) -> DataFrame:
     """Sales per item and week, and whether a day of that week had positive net sales."""
-    daily = lines.groupBy("scope_id", "item_id", "sale_ord_dt").agg(
-        F.sum(C.hundredths("before_prefr_amount")).alias("_day"))
-    return daily.groupBy("scope_id", "item_id", C.week_number("sale_ord_dt", p.start_date).alias("week")).agg(
+    by_day = daily.groupBy("scope_id", "item_id", "sale_ord_dt").agg(F.sum("amount").alias("_day"))
+    return by_day.groupBy("scope_id", "item_id", C.week_number("sale_ord_dt", p.start_date).alias("week")).agg(
         F.sum("_day").alias("_amount"), F.max(F.col("_day") > 0).alias("_active"))
 
 
-def active_weeks(lines: DataFrame, p: Params) -> DataFrame:
+def active_weeks(daily: DataFrame, p: Params) -> DataFrame:
     """Items with positive sales in at least ``min_weeks`` distinct weeks."""
-    return (weekly_sales(lines, p).where("_active").groupBy("scope_id", "item_id")
+    return (weekly_sales(daily, p).where("_active").groupBy("scope_id", "item_id")
             .agg(F.count(F.lit(1)).alias("weeknum")).where(F.col("weeknum") >= p.min_weeks))
 
 
-def eligible_items(lines: DataFrame, p: Params) -> DataFrame:
-    """Both thresholds in one pass over the lines."""
-    judged = weekly_sales(lines, p).groupBy("scope_id", "item_id").agg(
+def eligible_items(daily: DataFrame, p: Params) -> DataFrame:
+    """Both thresholds in one pass."""
+    judged = weekly_sales(daily, p).groupBy("scope_id", "item_id").agg(
         F.sum("_amount").alias("_amount"), F.count_if("_active").alias("_weeks"))
     # An item without any active week fails whatever the week threshold.
     ok = (C.units("_amount") > p.min_sales) & (F.col("_weeks") >= max(p.min_weeks, 1))

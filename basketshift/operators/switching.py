@@ -43,7 +43,7 @@ def scoped_rows(baskets: DataFrame, items: DataFrame) -> DataFrame:
     Done before pairing: totals and counts are columns by now, so nothing that is dropped
     here is needed later.
     """
-    return baskets.join(items, ["scope_id", "item_id"])
+    return baskets.drop("orders", "qty").join(items, ["scope_id", "item_id"])
 
 
 # -- complementarity of customers ---------------------------------------------

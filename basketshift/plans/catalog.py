@@ -73,9 +73,10 @@ def sub_scopes(star: Star) -> DataFrame:
 
 def order_path(spark: SparkSession, folder: str, item_type: str = "sku", by_day: bool = False, entropy: bool = True) -> OrderPath:
     star = Star(spark, folder)
-    return OrderPath(
-        OrderInputs(star.order_lines(), R.sku_scan(star.sku_master()), scopes(star, item_type=item_type), star.attributes(),
-                    star.brand_dict(), star.fourth_category()), params(item_type, by_day, entropy))
+    inputs = OrderInputs(star.order_lines(), R.sku_scan(star.sku_master()), scopes(star, item_type=item_type))
+    if item_type == "brand":
+        inputs.attributes, inputs.brands = star.attributes(), star.brand_dict()
+    return OrderPath(inputs, params(item_type, by_day, entropy))
 
 
 def log_path(spark: SparkSession, folder: str, item_type: str = "sku") -> LogPath:
@@ -277,7 +278,7 @@ def nonpromo_filter(spark, folder):
 @query
 def prod_tail(spark, folder):
     o = order_path(spark, folder)
-    return X.prod_tail(o.facts, o.p.prod_tail).select("scope_id", "item_sku_id", "sale_qtty", r("cum_ratio"))
+    return X.prod_tail(o.daily, o.p.prod_tail).select("scope_id", "item_sku_id", "sale_qtty", r("cum_ratio"))
 
 
 @query
@@ -317,13 +318,13 @@ def sku_in_scope_log(spark, folder):
 @query
 def item_min_sales(spark, folder):
     o = order_path(spark, folder)
-    return X.item_min_sales(o.mapped, o.p.min_sales).select("scope_id", "item_id", r("sale_amount", 2))
+    return X.item_min_sales(o.mapped_daily, o.p.min_sales).select("scope_id", "item_id", r("sale_amount", 2))
 
 
 @query
 def active_weeks(spark, folder):
     o = order_path(spark, folder)
-    return X.active_weeks(o.mapped, o.p)
+    return X.active_weeks(o.mapped_daily, o.p)
 
 
 @query

@@ -66,7 +66,7 @@ class CdtPath:
     def matrix(self) -> DataFrame:
         listed = self.kept.select(F.explode("keys").alias("k")).distinct().orderBy("k")
         keys = [r["k"] for r in listed.collect()]
-        return A.attr_matrix(self.with_sales, [self.categorical, self.numeric], keys)
+        return A.attr_matrix(self.with_sales, A.similarities(self.pairs, *self.split), keys)
 
     @cached_property
     def staged_matrix(self) -> DataFrame:

@@ -7,13 +7,12 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketshift.operators import coview
 from basketshift.operators import facts as X
 from basketshift.operators import scope as S
 from basketshift.params import Params
-from basketshift.session import check_scopes, stage
+from basketshift.session import check_scopes, require, stage
 from basketshift.sources.readers import INTEREST_CODES, view_scan
 
 
@@ -32,6 +31,7 @@ class LogPath:
         self.inputs = inputs
         self.p = params
         self.codes = codes
+        require(inputs.clicks.sparkSession)
 
     @cached_property
     def scopes(self) -> DataFrame:
@@ -47,7 +47,7 @@ class LogPath:
     def views(self) -> DataFrame:
         member = S.membership(self.scopes, self.inputs.skus, self.inputs.fourth)
         seen = view_scan(self.inputs.clicks, self.p.end_date, self.codes).join(member, "item_sku_id")
-        return X.map_items(seen, self.p, self.brand).select(
+        return X.with_items(seen, self.p, self.brand).where("item_id is not null").select(
             "scope_id", "user_log_acct", "session_id", "request_dt", "item_id")
 
     @cached_property

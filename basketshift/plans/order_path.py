@@ -12,7 +12,7 @@ from basketshift.operators import facts as X
 from basketshift.operators import scope as S
 from basketshift.operators import switching as W
 from basketshift.params import Params
-from basketshift.session import check_scopes, stage
+from basketshift.session import check_scopes, require, stage, together
 
 
 @dataclass
@@ -28,13 +28,14 @@ class OrderInputs:
 class OrderPath:
     """The steps, each available by itself.
 
-    Tables that several later steps read are staged: scopes, facts, customers, baskets
-    and items.
+    Tables that several later steps read are staged: scopes, facts, daily sales, customers,
+    kept skus, baskets, items and the basket rows in scope.
     """
 
     def __init__(self, inputs: OrderInputs, params: Params):
         self.inputs = inputs
         self.p = params
+        require(inputs.lines.sparkSession)
 
     @cached_property
     def scopes(self) -> DataFrame:
@@ -58,18 +59,26 @@ class OrderPath:
     def customers(self) -> DataFrame:
         return stage(X.customer_orders(self.facts), "customers")
 
+    @cached_property
+    def daily(self) -> DataFrame:
+        return stage(X.sku_daily(self.facts), "daily")
+
     @cached_property
     def kept(self) -> DataFrame:
-        """Facts without the long tail of skus."""
-        return X.cut_tail(self.facts, self.p)
+        """The skus of each scope without the long tail, with their items."""
+        return stage(X.with_items(X.kept_skus(self.daily, self.p), self.p, self.brand), "kept")
 
     @cached_property
-    def mapped(self) -> DataFrame:
-        return X.map_items(self.kept, self.p, self.brand)
+    def mapped_daily(self) -> DataFrame:
+        return X.map_items(self.daily, self.kept)
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return X.eligible_items(self.mapped, self.p)
+        return X.eligible_items(self.mapped_daily, self.p)
+
+    @cached_property
+    def mapped(self) -> DataFrame:
+        return X.map_items(self.facts, self.kept)
 
     @cached_property
     def line_filtered(self) -> DataFrame:
@@ -80,6 +89,8 @@ class OrderPath:
 
     @cached_property
     def purchases(self) -> DataFrame:
+        _ = self.facts
+        together(lambda: self.customers, lambda: self.kept)
         lines = X.drop_hot_strangers(self.line_filtered, self.customers, self.p)
         return X.customer_filter(B.purchases(lines, self.p.basket_by_day), self.customers, self.p)
 
@@ -93,7 +104,7 @@ class OrderPath:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return W.scoped_rows(self.baskets, self.items)
+        return stage(W.scoped_rows(self.baskets, self.items), "rows")
 
     @cached_property
     def theil(self) -> DataFrame:
@@ -129,4 +140,4 @@ class OrderPath:
 
     @cached_property
     def sku_in_scope(self) -> DataFrame:
-        return X.sku_in_scope(self.kept, self.p, self.inputs.skus, self.brand)
+        return X.sku_in_scope(self.kept, self.p, self.inputs.skus)

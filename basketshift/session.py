@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +38,9 @@ def build_session(app: str = "basketshift", master: str | None = None, shuffle_p
     return (
         b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Split a skewed join partition even where that costs one more exchange.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # One batch has more generated classes than the default cache of 100 holds.
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -98,6 +101,20 @@ def _quietly(action) -> None:
         pass  # the JVM has gone first
 
 
+def together(*steps: Callable[[], object]) -> None:
+    """Run independent steps at the same time, each from its own driver thread."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(s) for s in steps]:
+            done.result()
+
+
+def require(spark: SparkSession) -> None:
+    """Runtime settings that the plans count on, for sessions built elsewhere."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # A skewed join partition is split even where that costs one more exchange.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this run has staged so far."""
     _folder_deleter(spark)()

@@ -9,17 +9,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketshift.functions.columns import BRAND_ATTR
 
 
+# Schemas of tables read before in this process, so that each is looked up once.
+_schemas: dict[str, StructType] = {}
+
+
 class Star:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def order_lines(self, with_category: bool = False) -> DataFrame:
         """Order lines. The category needs a join with the sku table, so it is optional:

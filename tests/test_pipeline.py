@@ -70,7 +70,7 @@ def test_brand_mapping_takes_the_smallest(spark):
     assert got == {"1": ("w", "b1"), "2": ("y", None)}
     lines = spark.createDataFrame([("1",), ("2",), ("9",)], "item_sku_id string")
     p = Params(end_date=date(2020, 1, 1), start_date=date(2019, 1, 1), item_type="brand")
-    assert [r["item_id"] for r in X.map_items(lines, p, X.brand_map(attrs, brands)).collect()] == ["b1"]
+    assert {r["item_sku_id"]: r["item_id"] for r in X.with_items(lines, p, X.brand_map(attrs, brands)).collect()} == {"1": "b1", "2": None, "9": None}
 
 
 def test_tsv(spark, tmp_path):

@@ -236,8 +236,8 @@ def test_window_is_inclusive_and_orders_valid(spark):
 
 @pytest.mark.parametrize("share,kept", [(0.9, "ab"), (0.4, ""), (0.95, "abc"), (0.5, "a")])
 def test_prod_tail(spark, share, kept):
-    rows = [("s", i, q) for i, q in (("a", 50.0), ("b", 30.0), ("c", 15.0), ("d", 5.0))]
-    df = spark.createDataFrame(rows, "scope_id string, item_sku_id string, sale_qtty double")
+    rows = [("s", i, q / 2, d(day), 1.0) for i, q in (("a", 50.0), ("b", 30.0), ("c", 15.0), ("d", 5.0)) for day in ("2017-01-01", "2017-01-02")]
+    df = X.sku_daily(spark.createDataFrame(rows, "scope_id string, item_sku_id string, sale_qtty double, sale_ord_dt date, before_prefr_amount double"))
     assert {r["item_sku_id"] for r in X.prod_tail(df, share).collect()} == set(kept)
 
 
@@ -263,8 +263,8 @@ def test_running_total_over_slices(spark):
 def test_active_weeks_and_threshold_edges(spark):
     rows = [line("u", d("2017-01-01") + timedelta(days=i), f"o{i}", "A", 10) for i in (0, 6, 7, 13, 14)]
     p = run(spark, rows, min_weeks=3, min_sales=50)
-    assert [r["weeknum"] for r in X.active_weeks(p.mapped, p.p).collect()] == [3]
-    assert X.item_min_sales(p.mapped, 50).count() == 0 and X.item_min_sales(p.mapped, 49.99).count() == 1
+    assert [r["weeknum"] for r in X.active_weeks(p.mapped_daily, p.p).collect()] == [3]
+    assert X.item_min_sales(p.mapped_daily, 50).count() == 0 and X.item_min_sales(p.mapped_daily, 49.99).count() == 1
     assert p.eligible.count() == 0
     q = run(spark, rows, min_weeks=3, min_sales=49)
     assert q.eligible.count() == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ class Batch:
 
         coverage = Q.month_coverage(i.lines.where("sale_ord_valid_flag = 1"), scopes, p.end_date)
         recent = i.lines.where(F.col("sale_ord_dt") >= F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS))
-        inputs = Q.input_check(coverage, i.skus, self.attributes, scopes)
+        inputs = self._input_codes(coverage, scopes)
         numbers = Q.sku_number(scopes, i.skus, recent, i.fourth)
         switches, cdts = Q.switch_check(switching, scopes), Q.cdt_check(importances, scopes)
         status = stage(Q.status_table(inputs, numbers, switches, cdts), "status")
@@ -112,6 +113,13 @@ class Batch:
         K.mark_done(self.control, work)
         return status
 
+    def _input_codes(self, coverage: DataFrame, scopes: DataFrame) -> DataFrame:
+        """Input check codes; -1 for all scopes where the inputs cannot be read."""
+        try:
+            return stage(Q.input_check(coverage, self.inputs.skus, self.attributes, scopes), "inputs")
+        except PySparkException:
+            return scopes.select("scope_id", F.lit(-1).alias("input_check"))
+
     def _publish(self, scopes, status, switching, importances, cdt, path) -> None:
         day = self.p.publish_date
         fed = status.where("input_check = '0'")

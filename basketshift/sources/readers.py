@@ -17,9 +17,6 @@ from basketshift.sources import schemas
 INTEREST_CODES = ("1", "13", "8", "311210")
 LOG_DAYS = 11
 
-# Fixed value: the partition tag of the curated attribute table.
-CURATED_TAG = "wric_auth_attr"
-
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, header: bool = True) -> DataFrame:
     """Tab-separated text: no quoting, null tokens, rows without any value dropped.
@@ -43,7 +40,7 @@ def partition_scan(table: DataFrame, *, dt_op: str = "none", dt: date | str | No
                    extra: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """A dated, keyed extract of a partitioned table.
 
-    ``dt_op`` is one of ``= <= < range none``. Covers assortment, curated attributes,
+    ``dt_op`` is one of ``= <= < range none``; ``dt`` may be a day or a partition tag. Covers assortment, curated attributes,
     competitor match, GMV, brand mapping, profit and loss, brand dictionary, forecast
     attributes, past assortment and category-role tables, which differ only here.
     """

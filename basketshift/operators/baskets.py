@@ -19,16 +19,13 @@ def purchases(lines: DataFrame, by_day: bool) -> DataFrame:
     """Lines summed to (customer, basket, item).
 
     This shuffle carries the item in its key, so no customer or order is hot in it, and
-    repeated lines collapse before it. ``orders`` lists the parent orders of the row:
-    one, or those of the day.
+    repeated lines collapse before it.
     """
     if not by_day:
         lines = lines.withColumn("sale_ord_tm", C.to_second("sale_ord_tm"))
     keys = USER + basket_key(by_day) + ["item_id"]
     sums = [F.sum(C.hundredths("sale_qtty")).alias("qty"), F.sum(C.hundredths("before_prefr_amount")).alias("amount")]
-    if by_day:
-        return lines.groupBy(*keys).agg(*sums, F.collect_set("parent_sale_ord_id").alias("orders"))
-    return lines.groupBy(*keys).agg(*sums).withColumn("orders", F.array("parent_sale_ord_id"))
+    return lines.groupBy(*keys).agg(*sums)
 
 
 def number_baskets(rows: DataFrame, by_day: bool) -> DataFrame:
@@ -62,6 +59,6 @@ def basket_rows(rows: DataFrame, by_day: bool) -> DataFrame:
     ``rows`` are ``purchases`` of customers within the order limits, so a customer's rows
     are bounded by the limit on orders times the items of the scope.
     """
+    order = [] if by_day else ["parent_sale_ord_id"]
     return neighbours(basket_totals(number_baskets(rows, by_day))).select(
-        *USER, "seqnum", "item_id", "qty", "amount", "basket_amount", "item_count", "prev_count", "next_count", "largest",
-        "orders")
+        *USER, "seqnum", "item_id", "qty", "amount", "basket_amount", "item_count", "prev_count", "next_count", "largest", *order)

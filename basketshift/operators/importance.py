@@ -56,12 +56,12 @@ def _fit(matrix: DataFrame, fit: Callable[[DataFrame, int], list[float]], name:
     return spark.createDataFrame(found, schemas.struct(schemas.CDT))
 
 
-def cdt_rf(matrix: DataFrame, seed: int = 7, threads: int = 4) -> DataFrame:
+def cdt_rf(matrix: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
     """Random-forest importances; the largest of each scope is 1."""
     return _fit(matrix, _forest, FOREST, seed, threads)
 
 
-def cdt_enet(matrix: DataFrame, seed: int = 7, threads: int = 4) -> DataFrame:
+def cdt_enet(matrix: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
     """Absolute standardised elastic-net coefficients; the largest of each scope is 1."""
     return _fit(matrix, _elastic_net, ELASTIC_NET, seed, threads)
 

@@ -19,9 +19,7 @@ def running_total(df: DataFrame, group: str, order: Sequence[Column], value: str
     ordinary window finishes the total. The slices are written once, so that both uses
     see the same cut.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = stage(df.repartitionByRange(n, F.col(group), *order).withColumn("_slice", F.spark_partition_id()), "slices")
+    cut = stage(df.repartitionByRange(F.col(group), *order).withColumn("_slice", F.spark_partition_id()), "slices")
     sums = cut.groupBy(group, "_slice").agg(F.sum(value).alias("_sum"))
     by_group = Window.partitionBy(group)
     before = F.coalesce(F.sum("_sum").over(by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

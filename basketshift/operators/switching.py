@@ -31,10 +31,9 @@ def items_in_scope(baskets: DataFrame, eligible: DataFrame) -> DataFrame:
     return seen.where(F.col("_last") > 1).drop("_last").join(eligible, ["scope_id", "item_id"], "left_semi")
 
 
-def order_count(baskets: DataFrame) -> DataFrame:
-    """Distinct parent orders per scope, also where baskets are days."""
-    return (baskets.select("scope_id", F.explode("orders").alias("order_id")).groupBy("scope_id")
-            .agg(F.countDistinct("order_id").alias("n_orders")))
+def order_count(rows: DataFrame) -> DataFrame:
+    """Distinct parent orders per scope."""
+    return rows.groupBy("scope_id").agg(F.countDistinct("parent_sale_ord_id").alias("n_orders"))
 
 
 def scoped_rows(baskets: DataFrame, items: DataFrame) -> DataFrame:
@@ -43,7 +42,7 @@ def scoped_rows(baskets: DataFrame, items: DataFrame) -> DataFrame:
     Done before pairing: totals and counts are columns by now, so nothing that is dropped
     here is needed later.
     """
-    return baskets.drop("orders", "qty").join(items, ["scope_id", "item_id"])
+    return baskets.drop("parent_sale_ord_id", "qty").join(items, ["scope_id", "item_id"])
 
 
 # -- complementarity of customers ---------------------------------------------

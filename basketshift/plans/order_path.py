@@ -126,9 +126,18 @@ class OrderPath:
     def measures(self) -> DataFrame:
         return W.pair_measures(self.adjacent, self.within)
 
+    @cached_property
+    def n_orders(self) -> DataFrame:
+        """Orders count as orders also where baskets are days; those lines are read once more."""
+        if not self.p.basket_by_day:
+            return W.order_count(self.baskets)
+        lines = X.drop_hot_strangers(self.line_filtered, self.customers, self.p)
+        orders = lines.select("scope_id", "user_id", "parent_sale_ord_id").distinct()
+        return W.order_count(X.customer_filter(orders, self.customers, self.p))
+
     @cached_property
     def adjusted(self) -> DataFrame:
-        return W.adjust(self.measures, W.order_count(self.baskets), self.p.adjust_for_entropy)
+        return W.adjust(self.measures, self.n_orders, self.p.adjust_for_entropy)
 
     @cached_property
     def detail(self) -> DataFrame:

@@ -275,12 +275,13 @@ def test_basket_numbers(spark):
     rows = [line("u", t, "b", "A", 1), line("u", t.replace(microsecond=500000), "a", "A", 1), line("u", t + timedelta(hours=1), "c", "A", 1),
             line("u", t + timedelta(days=1), "d", "B", 1), line("v", t, "e", "A", 1)]
     df = spark.createDataFrame(rows, LINES).withColumns({"scope_id": F.lit("s"), "item_id": F.col("item_sku_id")})
-    by_order = {(r["orders"][0]): r["seqnum"] for r in B.number_baskets(B.purchases(df, False), False).collect()}
+    by_order = {r["parent_sale_ord_id"]: r["seqnum"] for r in B.number_baskets(B.purchases(df, False), False).collect()}
     assert by_order == {"a": 1, "b": 2, "c": 3, "d": 4, "e": 1}
     by_day = B.basket_rows(B.purchases(df, True), True)
-    got = {(r["user_id"], r["seqnum"]): (sorted(r["orders"]), r["prev_count"], r["next_count"]) for r in by_day.collect()}
-    assert got == {("u", 1): (["a", "b", "c"], None, 1), ("u", 2): (["d"], 1, None), ("v", 1): (["e"], None, None)}
-    assert W.order_count(by_day).first()["n_orders"] == 5
+    got = {(r["user_id"], r["seqnum"]): (r["amount"], r["prev_count"], r["next_count"]) for r in by_day.collect()}
+    assert got == {("u", 1): (300, None, 1), ("u", 2): (100, 1, None), ("v", 1): (100, None, None)}
+    for days in (True, False):
+        assert run(spark, rows, basket_by_day=days).n_orders.first()["n_orders"] == 5
 
 
 # -- clicks -------------------------------------------------------------------

@@ -29,7 +29,7 @@ class OrderPath:
     """The steps, each available by itself.
 
     Tables that several later steps read are staged: scopes, facts, daily sales, customers,
-    kept skus, baskets, items and the basket rows in scope.
+    kept skus, eligible items, baskets, items and the basket rows in scope.
     """
 
     def __init__(self, inputs: OrderInputs, params: Params):
@@ -74,7 +74,7 @@ class OrderPath:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return X.eligible_items(self.mapped_daily, self.p)
+        return stage(X.eligible_items(self.mapped_daily, self.p), "eligible")
 
     @cached_property
     def mapped(self) -> DataFrame:
@@ -100,6 +100,8 @@ class OrderPath:
 
     @cached_property
     def items(self) -> DataFrame:
+        _ = self.purchases
+        together(lambda: self.baskets, lambda: self.eligible)
         return stage(W.items_in_scope(self.baskets, self.eligible), "items")
 
     @cached_property

@@ -38,7 +38,7 @@ def steps(path):
     clicks = catalog.log_path(path.inputs.scopes.sparkSession, FOLDER)
     return {
         "facts": X.scope_facts(path.inputs.lines, path.member, path.p), "customers": X.customer_orders(path.facts),
-        "daily": X.sku_daily(path.facts), "eligible": path.eligible, "baskets": B.basket_rows(path.purchases, False), "theil": path.theil, "adjacent": path.adjacent,
+        "daily": X.sku_daily(path.facts), "eligible": X.eligible_items(path.mapped_daily, path.p), "baskets": B.basket_rows(path.purchases, False), "theil": path.theil, "adjacent": path.adjacent,
         "within": path.within, "measures": path.measures, "detail": path.detail, "sku_in_scope": path.sku_in_scope,
         "coview": clicks.counts, "log": clicks.switching,
     }

@@ -154,8 +154,8 @@ def _category(attrs: Column, key: Column) -> Column:
     return F.when(has, F.try_element_at(attrs, key)["text"]).otherwise(F.lit(ABSENT))
 
 
-def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
-    """(pair, attr_key, similarity) for every pair and key of its scope.
+def similarity_maps(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
+    """``pairs`` with ``sims``: attribute key → similarity, for every key of the pair's scope.
 
     Categorical: 1 where both items have the same value, else 0; two items without the
     attribute match. A pair with an explicit null gets the mean of its column, in which
@@ -165,8 +165,8 @@ def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric
     mean. Where all distances are 0 all similarities are 1; where all are missing they stay
     null.
 
-    The joined pairs are written before they are multiplied by the keys, since the column
-    statistics and the result both read them.
+    The joined pairs are written once, since the column statistics and the result both read
+    them. Each scope has its own keys, so scopes never widen one another's rows.
     """
     src, dst = F.col("_src"), F.col("_dst")
 
@@ -177,18 +177,29 @@ def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric
         return F.struct(key.alias("attr_key"), k["numeric"].alias("numeric"), F.when(k["numeric"], apart).otherwise(same).alias("v"))
 
     joined = _with_profiles(pairs, _collapsed(categorical, numeric))
-    measured = stage(joined.select(*PAIR, F.transform("keys", measure).alias("cells")), "cells")
-    cells = measured.select(*PAIR, F.explode("cells").alias("c")).select(*PAIR, "c.*")
-    # One row per scope and key; written, so that its size is known when it is joined.
-    stats = stage(cells.groupBy("scope_id", "attr_key").agg(
-        F.max("v").alias("_max"), F.avg("v").alias("_avg"), F.avg(F.coalesce("v", F.lit(0.0))).alias("_matched")), "key_stats")
+    measured = stage(joined.select(*pairs.columns, F.transform("keys", measure).alias("cells")), "cells")
+    by_key = measured.select("scope_id", F.explode("cells").alias("c")).groupBy("scope_id", "c.attr_key").agg(
+        F.max("c.v").alias("max"), F.avg("c.v").alias("avg"), F.avg(F.coalesce("c.v", F.lit(0.0))).alias("matched"))
+    entry = F.struct("attr_key", F.struct("max", "avg", "matched"))
+    stats = by_key.groupBy("scope_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_stats"))
+
+    def fill(c):
+        s, v = F.try_element_at("_stats", c["attr_key"]), c["v"]
+
+        def scaled(d):
+            return F.when(s["max"] == 0, F.when(d.isNotNull(), 1.0)).otherwise(1 - F.try_divide(d, s["max"]))
 
-    def scaled(d):
-        return F.when(F.col("_max") == 0, F.when(d.isNotNull(), 1.0)).otherwise(1 - F.try_divide(d, F.col("_max")))
+        number = F.coalesce(scaled(v), scaled(s["avg"]))
+        return F.struct(c["attr_key"].alias("key"), F.when(c["numeric"], number).otherwise(F.coalesce(v, s["matched"])).alias("value"))
 
-    number = F.coalesce(scaled(F.col("v")), scaled(F.col("_avg")))
-    return cells.join(stats, ["scope_id", "attr_key"]).select(
-        *PAIR, "attr_key", F.when(F.col("numeric"), number).otherwise(F.coalesce("v", "_matched")).alias("similarity"))
+    return measured.join(per_scope(stats), "scope_id").select(
+        *pairs.columns, F.map_from_entries(F.transform("cells", fill)).alias("sims"))
+
+
+def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
+    """The long form of :func:`similarity_maps`: (pair, attr_key, similarity)."""
+    maps = similarity_maps(pairs, categorical, numeric)
+    return maps.select(*PAIR, F.explode("sims").alias("attr_key", "similarity"))
 
 
 def attr_categorical(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
@@ -220,12 +231,10 @@ def pair_sales(pairs: DataFrame, sales: DataFrame) -> DataFrame:
         *PAIR, "switching_prob", F.coalesce("fromSales", "_from").alias("fromSales"), F.coalesce("toSales", "_to").alias("toSales"))
 
 
-def attr_matrix(pairs_with_sales: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per pair, one column per attribute key. A key foreign to a scope is null there.
+def attr_matrix(maps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per pair, one column for each of ``keys``. A key foreign to a scope is null there.
 
-    The cells of a pair come from one row, so they collapse again before they are shuffled.
+    ``maps`` is :func:`similarity_maps` of pairs with their sales.
     """
-    picks = [F.max(F.when(F.col("attr_key") == k, F.col("similarity"))).alias(k) for k in keys]
-    wide = cells.groupBy(*PAIR).agg(*picks) if keys else cells.select(*PAIR).distinct()
-    return pairs_with_sales.join(wide, PAIR, "left").select(
-        *PAIR, F.col("switching_prob").alias("switchProb"), *[F.col(f"`{k}`") for k in keys], "fromSales", "toSales")
+    return maps.select(*PAIR, F.col("switching_prob").alias("switchProb"), *[F.try_element_at("sims", F.lit(k)).alias(k) for k in keys],
+                       "fromSales", "toSales")

@@ -10,7 +10,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketshift.operators.attributes import DISPLAY_NAMES, PAIR
+from basketshift.operators.attributes import DISPLAY_NAMES
 from basketshift.sources import schemas
 
 # Model names in the result.
@@ -35,35 +35,41 @@ def _elastic_net(data: DataFrame, seed: int) -> list[float]:
     return [abs(float(c) * float(s)) for c, s in zip(model.coefficients.toArray(), spread)]
 
 
-def _fit(matrix: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: str, seed: int, threads: int) -> DataFrame:
+def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: str, seed: int, threads: int) -> DataFrame:
     """Fits one model per scope. Each fit is distributed over the scope's pairs; a few run at
-    a time. Columns that are null throughout a scope belong to other scopes."""
-    spark = matrix.sparkSession
-    features = [c for c in matrix.columns if c not in (*PAIR, LABEL)]
-    counts = matrix.groupBy("scope_id").agg(*[F.count(f"`{c}`").alias(c) for c in features]).collect()
-
-    def one(row):
-        used = [c for c in features if row[c] > 0]
-        rows = matrix.where(F.col("scope_id") == row["scope_id"])
-        wanted = rows.select(LABEL, *[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(used)]).dropna()
-        data = VectorAssembler(inputCols=[f"x{i}" for i in range(len(used))], outputCol="features").transform(wanted)
+    a time. A scope's features are its own keys that have any value, and the sales.
+
+    ``maps`` has the pair, switching_prob, fromSales, toSales and sims.
+    """
+    spark = maps.sparkSession
+    known = maps.select("scope_id", F.explode("sims").alias("k", "v")).where("v is not null").groupBy("scope_id", "k").count()
+    keys: dict[str, list[str]] = {r["scope_id"]: [] for r in maps.select("scope_id").distinct().collect()}
+    for r in known.collect():
+        keys[r["scope_id"]].append(r["k"])
+
+    def one(scope):
+        names = sorted(keys[scope])
+        cells = [F.try_element_at("sims", F.lit(k)) for k in names] + [F.col("fromSales"), F.col("toSales")]
+        rows = maps.where(F.col("scope_id") == scope).select(
+            F.col("switching_prob").alias(LABEL), *[c.alias(f"x{i}") for i, c in enumerate(cells)]).dropna()
+        data = VectorAssembler(inputCols=[f"x{i}" for i in range(len(cells))], outputCol="features").transform(rows)
         weights = fit(data.select(LABEL, "features"), seed)
-        top = max(weights, default=0.0)
-        return [(row["scope_id"], c, w / top if top > 0 else None, name) for c, w in zip(used, weights)]
+        top = max(weights)
+        return [(scope, c, w / top if top > 0 else None, name) for c, w in zip([*names, "fromSales", "toSales"], weights)]
 
     with ThreadPoolExecutor(threads) as pool:
-        found = [r for rows in pool.map(one, sorted(counts, key=lambda r: r["scope_id"])) for r in rows]
+        found = [r for rows in pool.map(one, sorted(keys)) for r in rows]
     return spark.createDataFrame(found, schemas.struct(schemas.CDT))
 
 
-def cdt_rf(matrix: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
+def cdt_rf(maps: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
     """Random-forest importances; the largest of each scope is 1."""
-    return _fit(matrix, _forest, FOREST, seed, threads)
+    return _fit(maps, _forest, FOREST, seed, threads)
 
 
-def cdt_enet(matrix: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
+def cdt_enet(maps: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
     """Absolute standardised elastic-net coefficients; the largest of each scope is 1."""
-    return _fit(matrix, _elastic_net, ELASTIC_NET, seed, threads)
+    return _fit(maps, _elastic_net, ELASTIC_NET, seed, threads)
 
 
 def cdt_translate(cdt: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -507,7 +507,7 @@ def pair_sales(spark, folder):
 
 @query
 def attr_matrix(spark, folder):
-    m = cdt_path(spark, folder).matrix
+    m = cdt_path(spark, folder).matrix(["colour", "noun", "size", C.BRAND_ATTR])
     return m.select(*A.PAIR, r("switchProb"), r("colour"), r("noun"), r("size"), r(C.BRAND_ATTR, alias="brand"),
                     r("fromSales", 4), r("toSales", 4))
 

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketshift.operators import attributes as A
 from basketshift.operators import importance as M
@@ -63,23 +62,25 @@ class CdtPath:
         return A.pair_sales(self.pairs, A.item_net_sales(self.inputs.lines, self.inputs.brand))
 
     @cached_property
-    def matrix(self) -> DataFrame:
-        listed = self.kept.select(F.explode("keys").alias("k")).distinct().orderBy("k")
-        keys = [r["k"] for r in listed.collect()]
-        return A.attr_matrix(self.with_sales, A.similarities(self.pairs, *self.split), keys)
+    def maps(self) -> DataFrame:
+        """Pairs with their sales and all similarities."""
+        return A.similarity_maps(self.with_sales, *self.split)
+
+    def matrix(self, keys: Sequence[str]) -> DataFrame:
+        return A.attr_matrix(self.maps, keys)
 
     @cached_property
-    def staged_matrix(self) -> DataFrame:
-        """The matrix in one folder per scope, so that a scope's fit reads only its own."""
-        return stage(self.matrix.repartition("scope_id", "src_item_id"), "matrix", partition_by="scope_id")
+    def staged_maps(self) -> DataFrame:
+        """One folder per scope, so that a scope's fit reads only its own."""
+        return stage(self.maps.repartition("scope_id", "src_item_id"), "maps", partition_by="scope_id")
 
     @cached_property
     def forest(self) -> DataFrame:
-        return M.cdt_rf(self.staged_matrix)
+        return M.cdt_rf(self.staged_maps)
 
     @cached_property
     def elastic_net(self) -> DataFrame:
-        return M.cdt_enet(self.staged_matrix)
+        return M.cdt_enet(self.staged_maps)
 
     def translated(self, cdt: DataFrame) -> DataFrame:
         return M.cdt_translate(cdt, self.kept)

@@ -120,10 +120,12 @@ def test_importances(spark, fit, name):
     absent from both."""
     base = spark.range(400).select(F.col("id").cast("string").alias("src_item_id"), F.lit("d").alias("dst_item_id"),
                                    F.rand(1).alias("x"), F.rand(2).alias("y"), F.rand(3).alias("z"))
-    parts = [base.withColumns({"scope_id": F.lit(s), "switchProb": F.col(c) * 0.5, "w": F.lit(None).cast("double")}) for s, c in (("a", "x"), ("b", "z"))]
+    sims = F.create_map(*[x for c in "xyz" for x in (F.lit(c), F.col(c))], F.lit("w"), F.lit(None).cast("double"))
+    parts = [base.select(F.lit(s).alias("scope_id"), "src_item_id", "dst_item_id", (F.col(c) * 0.5).alias("switching_prob"),
+                         F.lit(1.0).alias("fromSales"), F.rand(4).alias("toSales"), sims.alias("sims")) for s, c in (("a", "x"), ("b", "z"))]
     out = fit(parts[0].unionByName(parts[1])).collect()
     est = {(r["scope_id"], r["attdesc"]): r["Estimate"] for r in out}
     assert {r["SimulationType"] for r in out} == {name}
-    assert set(est) == {(s, c) for s in "ab" for c in "xyz"}
+    assert set(est) == {(s, c) for s in "ab" for c in ("x", "y", "z", "fromSales", "toSales")}
     assert est["a", "x"] == 1.0 and est["b", "z"] == 1.0
     assert all(0 <= v < 0.3 for k, v in est.items() if k not in (("a", "x"), ("b", "z")))

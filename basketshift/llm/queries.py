@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketshift.llm import bpe
-from basketshift.llm.common import table
+from basketshift.llm import bpe, cuckoo, histogram_sort
+from basketshift.llm.common import table, text_of
+
+
+def op1_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_no")
+
+
+def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (histogram_sort.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+            .select("doc_id", "size", F.crc32(text_of().cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+                    "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +26,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_bpe,)}
+    return {f.__name__: f for f in (op1_cuckoo_dedup, op9_histogram_shards, op10_bpe)}
 
 
 def all_statements() -> dict[str, str]:

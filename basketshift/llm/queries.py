@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, histogram_sort
+from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, pii, warc
 from basketshift.llm.common import table, text_of
 
 
@@ -15,6 +15,21 @@ def op1_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_no")
 
 
+def op5_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
+
+
+def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = entropy_secrets.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_entropy")
+
+
+def op8_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archive_and_index(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
+
+
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (histogram_sort.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
             .select("doc_id", "size", F.crc32(text_of().cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
@@ -26,7 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cuckoo_dedup, op9_histogram_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_cuckoo_dedup, op5_bootstrapped_pii, op6_entropy_secrets, op8_warc_merge, op9_histogram_shards, op10_bpe)}
 
 
 def all_statements() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, pii, toxicity, warc
+from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, page_diff, pii, toxicity, warc
 from basketshift.llm.common import table, text_of
 
 
@@ -15,6 +15,10 @@ def op1_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_no")
 
 
+def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     return toxicity.toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), labels).drop("text")
@@ -46,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cuckoo_dedup, op3_toxicity_lexicon, op5_bootstrapped_pii, op6_entropy_secrets, op8_warc_merge, op9_histogram_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op5_bootstrapped_pii, op6_entropy_secrets, op8_warc_merge, op9_histogram_shards, op10_bpe)}
 
 
 def all_statements() -> dict[str, str]:

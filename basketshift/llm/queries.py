@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, page_diff, pii, toxicity, warc
+from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, minhash, page_diff, pii, toxicity, warc
 from basketshift.llm.common import table, text_of
 
 
@@ -34,6 +34,11 @@ def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_entropy")
 
 
+def op7_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), "first").alias("kept"))
+
+
 def op8_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_and_index(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
@@ -50,7 +55,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op5_bootstrapped_pii, op6_entropy_secrets, op8_warc_merge, op9_histogram_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op5_bootstrapped_pii, op6_entropy_secrets, op7_super_minhash, op8_warc_merge, op9_histogram_shards, op10_bpe)}
 
 
 def all_statements() -> dict[str, str]:

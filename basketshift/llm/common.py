@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows and bytes of one Arrow batch: long texts must not gather in a Python worker.
@@ -58,6 +58,24 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def text_hash(column: str = "text") -> Column:
+    """Tells texts of one key apart."""
+    return F.xxhash64(text_of(column))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` and text_hash are in ``kept``; one of those that agree in both.
+
+    The texts move once, by key and hash, which the final choice among repeated rows shares.
+    """
+    k, h, n = "_keep_key", "_keep_hash", "_keep_number"
+    null = F.lit(-(1 << 63))
+    keyed = docs.withColumns({k: F.coalesce(F.col(key).cast("bigint"), null), h: text_hash(text)})
+    wanted = kept.select(F.coalesce(F.col(key).cast("bigint"), null).alias(k), F.col("text_hash").alias(h))
+    found = keyed.join(wanted, [k, h], "left_semi")
+    return found.withColumn(n, F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(0)))).where(F.col(n) == 1).select(*docs.columns)
+
+
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """How many partitions hold ``rows`` at ``per_part`` each."""
     return max(least, -(-rows // per_part))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketshift.llm.common import LOWER, UPPER, map_rows, parts_for, prepare, text_of
+from basketshift.llm.common import LOWER, UPPER, map_rows, parts_for, prepare, text_hash, text_of
 from basketshift.session import stage
 
 SLOTS = 4
@@ -120,8 +120,8 @@ class DedupParams:
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key_id, row_no (tells repeated rows apart) and the SHA-256 of each text with A-Z in lower case."""
-    return docs.select(F.col(key).cast("bigint").alias("key_id"), F.monotonically_increasing_id().alias("row_no"),
+    """key_id, row_no (tells repeated rows apart), text_hash (of the text as it is) and the SHA-256 of each text with A-Z in lower case."""
+    return docs.select(text_hash(text).alias("text_hash"), F.col(key).cast("bigint").alias("key_id"), F.monotonically_increasing_id().alias("row_no"),
                        F.unhex(F.sha2(F.translate(text_of(text), UPPER, LOWER), 256)).alias("digest"))
 
 
@@ -224,7 +224,7 @@ def segments_for(rows: int, spark, params: DedupParams = DedupParams()) -> int:
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", params: DedupParams = DedupParams()) -> DataFrame:
-    """One row per row of ``docs``: ``key``, row_no, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: ``key``, row_no, text_hash, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if identical after lower-casing A-Z. Of equal texts the row of the largest key
     stays; a null key is smaller than all others, and of rows with the same key and text exactly one
@@ -240,5 +240,5 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", params
     hashed = stage(digests(docs, key, text), "digests")
     index = insert_all(hashed, segments_for(hashed.count(), spark, params), params)
     return (hashed.join(index.select("digest", "keep_id", "keep_row", "live"), "digest")
-            .select(F.col("key_id").alias(key), "row_no", "keep_id", F.col("live").alias("group_size"),
+            .select(F.col("key_id").alias(key), "row_no", "text_hash", "keep_id", F.col("live").alias("group_size"),
                     (F.col("row_no") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketshift.llm.common import map_rows, prepare, text_of
+from basketshift.llm.common import map_rows, prepare, text_hash, text_of
 from basketshift.llm.components import components
 from basketshift.session import stage
 
@@ -160,7 +160,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-SIGNED = "row_no bigint, key_id bigint, n_shingles bigint, set_key binary, band_keys array<bigint>, sketch binary, elements binary"
+SIGNED = "row_no bigint, key_id bigint, text_hash bigint, n_shingles bigint, set_key binary, band_keys array<bigint>, sketch binary, elements binary"
 
 
 def sign(docs: DataFrame, params: MinHashParams, key: str, text: str) -> DataFrame:
@@ -176,12 +176,13 @@ def sign(docs: DataFrame, params: MinHashParams, key: str, text: str) -> DataFra
                 for r in range(params.rows):
                     keys = mix(keys * GOLDEN + full[:, r::params.rows].astype(np.uint64))
             keys = keys.view(np.int64)
-            yield {"row_no": b["row_no"], "key_id": b["key_id"], "n_shingles": [len(s) for s in sets],
+            yield {"row_no": b["row_no"], "key_id": b["key_id"], "text_hash": b["text_hash"], "n_shingles": [len(s) for s in sets],
                    "set_key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                    "band_keys": pa.array([keys[i] if len(s) else [] for i, s in enumerate(sets)], pa.list_(pa.int64())),
                    "sketch": [(row & np.uint32(0xFF)).astype(np.uint8).tobytes() for row in full], "elements": [pack(s) for s in sets]}
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(key).cast("bigint").alias("key_id"), text_of(text).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(key).cast("bigint").alias("key_id"),
+                       text_hash(text).alias("text_hash"), text_of(text).alias("text"))
     return map_rows(rows, run, SIGNED)
 
 
@@ -302,7 +303,7 @@ def find_links(nodes: DataFrame, params: MinHashParams) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, params: MinHashParams = MinHashParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """row_no, ``key``, n_shingles, component_id (the smallest key that a row reaches by links) and first (true for one row of each
+    """row_no, ``key``, text_hash, n_shingles, component_id (the smallest key that a row reaches by links) and first (true for one row of each
     component: the smallest key, of repeated keys the first row).
 
     One row per row of ``docs``. Rows of equal sets are one node and reach each other; a text without words (or null) has no
@@ -322,7 +323,7 @@ def near_groups(docs: DataFrame, params: MinHashParams = MinHashParams(), key: s
     order = F.struct(F.col("key_id").isNull(), F.col("key_id"), F.col("row_no"))
     least = rows.groupBy("root").agg(F.min(order).alias("least"))
     found = rows.join(least, "root").select("row_no", F.col("least.key_id").alias("component_id"), (F.col("row_no") == F.col("least.row_no")).alias("first"))
-    return (signed.select("row_no", "key_id", "n_shingles").join(found, "row_no", "left")
-            .select("row_no", F.col("key_id").alias(key), "n_shingles",
+    return (signed.select("row_no", "key_id", "text_hash", "n_shingles").join(found, "row_no", "left")
+            .select("row_no", F.col("key_id").alias(key), "text_hash", "n_shingles",
                     F.when(F.col("n_shingles") == 0, F.col("key_id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.coalesce("first", F.lit(True)).alias("first")))

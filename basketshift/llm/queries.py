@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, entropy_secrets, histogram_sort, minhash, page_diff, pii, toxicity, warc
+from basketshift.llm import bpe, cuckoo, decontaminate, entropy_secrets, histogram_sort, minhash, page_diff, pii, toxicity, warc
 from basketshift.llm.common import table, text_of
 
 
 def op1_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cuckoo.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_no")
+    return cuckoo.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_no", "text_hash")
 
 
 def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op3_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), labels).drop("text")
 
 
+def op4_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.find_items(table(spark, sf_dir, "documents", "doc_id", "text"), items).drop("row_no")
+
+
 def op5_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
@@ -55,7 +60,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op5_bootstrapped_pii, op6_entropy_secrets, op7_super_minhash, op8_warc_merge, op9_histogram_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op4_edit_decontamination, op5_bootstrapped_pii, op6_entropy_secrets, op7_super_minhash, op8_warc_merge, op9_histogram_shards, op10_bpe)}
 
 
 def all_statements() -> dict[str, str]:

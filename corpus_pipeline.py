@@ -1,22 +1,52 @@
-"""The training-data pipeline over ``documents``: STAGES in order, each written and read again."""
+"""The training-data pipeline over ``documents``: STAGES in order, each written and read again.
+
+Every stage works on all rows that the one before has kept, and all but the last return the columns that they get.
+Nulls, empty texts and repeated rows are handled as the operators state.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketshift.llm import bpe
-from basketshift.llm.common import prepare
+from basketshift.llm import bpe, cuckoo, decontaminate, minhash, toxicity
+from basketshift.llm.common import keep_rows, prepare, table
 from basketshift.session import stage
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is under 0.5, by the lexicon that the labels support."""
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, up to the case of A-Z, the row of the largest doc_id."""
+    return keep_rows(docs, cuckoo.exact_dedup(docs.select("doc_id", "text")).where("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group linked by 80 % of their five-word shingles."""
+    groups = minhash.near_groups(docs.select("doc_id", "text"), minhash.MinHashParams(shingle=5))
+    return keep_rows(docs, groups.where(F.col("first")))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark item, as it is or lightly edited."""
+    prepare(spark)
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
+    prepare(spark)
     return bpe.encode_texts(docs)
 
 
-STAGES = [("bpe", encode)]
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated),
+          ("bpe", encode)]
 
-# Clustering, learned scores and token ids have no SQL; tests hold the stages against brute force.
+# Learned scores, groups, edit distance and token ids have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

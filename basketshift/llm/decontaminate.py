@@ -202,14 +202,16 @@ class ItemIndex:
         """
         if not self.classes:
             return []
-        get, gap = self.numbers.get, [0] * (self.classes[-1].size + 1)
+        # Between two texts so many unknown words that no window reaches from one into the other.
+        get, gap = self.numbers.get, [0] * (max(len(w) for c in self.classes for _, w in c.items) + max(c.most for c in self.classes) + 1)
         line: list[int] = []
-        begins = []
+        begins, inside = [], []
         for t in texts:
             begins.append(len(line))
             line += [get(w, 0) for w in words_of(t)]
+            inside.append(len(line))
             line += gap
-        numbers, n = np.array(line, dtype=np.int32), len(line) - len(gap) + 1
+        numbers, ends, n = np.array(line, dtype=np.int32), np.array(inside), len(line) - len(gap) + 1
         if n <= 0:
             return []
         # Sums over the words before each place: of known words, and of known neighbours.
@@ -227,6 +229,7 @@ class ItemIndex:
             for at in range(0, len(starts), chunk):
                 some = starts[at:at + chunk]
                 owner = np.searchsorted(begins, some, "right") - 1
+                some, owner = some[some < ends[owner]], owner[some < ends[owner]]
                 for w, i in c.candidates(numbers[some[:, None] + np.arange(c.size)]):
                     own = c.items[i][1]
                     most, start, text = int(self.params.share * len(own)), int(some[w]), int(owner[w])

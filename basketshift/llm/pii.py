@@ -2,8 +2,8 @@
 
 The fixed shapes are the seeds. The words around their occurrences, with the shape of what stands
 between, are lexical patterns. Patterns and instances (distinct strings) form a graph: a pattern is as
-good as the share of its instances that are of a kind, an instance is as sure as its best patterns
-make it. Spark passes scores along the edges for some rounds; patterns that end up good enough, and
+good as the share of its instances that are of a kind, an instance is as sure as its best pattern
+makes it. Spark passes scores along the edges for some rounds; patterns that end up good enough, and
 that several different seeds support, mark what else they surround.
 """
 
@@ -36,7 +36,10 @@ TOKEN = re.compile(r"(?<!\S)[\"'(\[<]*(\S*[0-9]\S*?)[\"')\]>.,;:!?]*(?!\S)")
 class PiiParams:
     rounds: int = 4
     # Share of a pattern's instances that must be of its kind, after smoothing.
-    good: float = 0.8
+    good: float = 0.7
+    # What an unseen instance takes over of its best pattern's score. Under 1, so that patterns and
+    # unseen instances cannot talk each other up to certainty.
+    damping: float = 0.7
     # Distinct seeds of the kind that a pattern must surround.
     least_seeds: int = 5
     smoothing: float = 1.0
@@ -93,8 +96,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape_of(string: str) -> str:
-    """Runs of digits as 9, of letters as a, other characters as they are."""
-    return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", string))
+    """What a string is like at large: whether it has an @, letters, and how many digits (few, as many as a number to call, more)."""
+    digits = len(digits_of(string))
+    return ("@" if "@" in string else "") + ("a" if re.search(r"[^\W\d_]", string) else "") + ("9" if digits < 7 else "99" if digits < 16 else "999")
 
 
 def _word(text: str) -> str:
@@ -171,9 +175,8 @@ def pattern_scores(occurrences: DataFrame, params: PiiParams = PiiParams()) -> D
         if scores is None:
             sure = live.withColumn("sure", F.coalesce(known, F.lit(0.0)))
         else:
-            # An unseen instance is as sure as the patterns around it do not all fail.
             believed = (live.where("own < 0").join(scores.select("pattern", "score"), "pattern").groupBy("instance", "kind")
-                        .agg((1.0 - F.exp(F.sum(F.log(F.greatest(1.0 - F.col("score"), F.lit(1e-9)))))).alias("believed")))
+                        .agg((F.max("score") * params.damping).alias("believed")))
             sure = live.join(believed, ["instance", "kind"], "left").withColumn("sure", F.coalesce(known, "believed", F.lit(0.0)))
         scores = stage(sure.groupBy("pattern", "kind", "instances", "seeds")
                        .agg((F.sum("sure") / (F.col("instances") + params.smoothing)).alias("score")), "pii-scores")

@@ -5,9 +5,9 @@ any element gets there. An element's ranks are those of one random permutation o
 so they are spread evenly over the slots instead of falling independently; this lowers the variance, and
 lets the work stop as soon as no later rank can be smaller than what every slot has.
 
-Bands of slots give buckets. Not all pairs of a bucket are made: members are compared with the first of their bucket,
+Bands of slots give buckets. Not all pairs of a bucket are made: members are compared with one of their bucket,
 links join them, and only buckets that still hold several components are searched further, between
-components. Every link is confirmed on the full sets.
+components, best pairs first. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketshift.llm.common import map_rows, prepare, text_hash, text_of
-from basketshift.llm.components import components
+from basketshift.llm.components import UnionFind, components
 from basketshift.session import stage
 
 GOLDEN, MIX_1, MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -39,6 +39,8 @@ class MinHashParams:
     rows: int = 5
     # Agreement of signatures under which a pair is not confirmed: six standard deviations under 80 %.
     least_estimate: float = 0.62
+    # First nodes of its buckets that a node is held against before any search.
+    first_tries: int = 4
     # Members of a bucket that one task compares with as many others.
     block: int = 1000
 
@@ -140,15 +142,23 @@ def swap(order: np.ndarray, level: int, take: np.ndarray) -> np.ndarray:
     return slot.astype(np.int64)
 
 
+# A set is kept for confirmation as the upper bits of its sorted hashes. That two elements of a pair of sets agree
+# in 38 bits by chance is as likely as one in a million pairs, and matters only for a pair at the very edge.
+KEPT_BITS = np.uint64(38)
+
+
 def pack(elements: np.ndarray) -> bytes:
-    """A set for confirmation: the upper 40 bits of its sorted hashes, 5 bytes each."""
-    return (elements >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    """A set as differences of 4 bytes; larger ones follow behind, in 8 bytes, with all bits set in their place."""
+    steps = np.diff(elements >> np.uint64(64) - KEPT_BITS, prepend=np.uint64(0))
+    wide = steps >= np.uint64(FULL)
+    return len(steps).to_bytes(4, "little") + np.where(wide, np.uint64(FULL), steps).astype("<u4").tobytes() + steps[wide].astype("<u8").tobytes()
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    wide = np.zeros((len(packed) // 5, 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 5)
-    return wide.view("<u8").reshape(-1)
+    n = int.from_bytes(packed[:4], "little")
+    steps = np.frombuffer(packed, dtype="<u4", count=n, offset=4).astype(np.uint64)
+    steps[steps == np.uint64(FULL)] = np.frombuffer(packed, dtype="<u8", offset=4 + 4 * n)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -216,11 +226,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, params: MinHashParams) -> DataFra
     return map_rows(grouped, run, "a bigint, b bigint")
 
 
-def between_components(members: DataFrame, nodes: DataFrame, params: MinHashParams) -> DataFrame:
-    """Pairs (a > b, of nodes in different components) that share a bucket and whose signatures agree well enough.
+def near_pairs(members: DataFrame, nodes: DataFrame, params: MinHashParams) -> DataFrame:
+    """Of the pairs of nodes in different components that share a bucket and whose signatures agree well enough, for each node in each
+    task the best one (partner), and a forest that joins the nodes of all of them (root).
 
-    ``members`` has bucket, node and comp, of buckets with several components. The largest component of a
-    bucket is never compared with itself; it and the rest are cut into blocks, and a task compares two blocks.
+    ``members`` has bucket, node and comp, of buckets with several components. The largest component of a bucket is never
+    compared with itself; it and the rest are cut into blocks, and a task compares two blocks. What comes out is one row per task and
+    node, not one per pair.
     """
     parts = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.max("n").alias("n_top"), F.sum("n").alias("n_all"))
@@ -247,22 +259,75 @@ def between_components(members: DataFrame, nodes: DataFrame, params: MinHashPara
                 continue
             node, comp, size = (np.array([r[k] for r in right], dtype=np.int64) for k in (1, 2, 3))
             sketch = np.frombuffer(b"".join(r[4] for r in right), dtype=np.uint8).reshape(len(right), -1)
-            out = {"a": [], "b": [], "estimate": []}
-            for _, x, c, n, s in left:
-                fits = np.nonzero((comp != c) & (100 * np.minimum(size, n) >= params.percent * np.maximum(size, n)) & ((node < x) if i == j else True))[0]
+            best: dict[int, tuple[float, int]] = {}
+            sets = UnionFind()
+            for at, (_, x, c, n, s) in enumerate(left):
+                fits = np.nonzero((comp != c) & (100 * np.minimum(size, n) >= params.percent * np.maximum(size, n)))[0]
+                if i == j:
+                    fits = fits[fits > at]
                 if not len(fits):
                     continue
                 agree = (sketch[fits] == np.frombuffer(s, dtype=np.uint8)).mean(axis=1)
                 for k in np.nonzero(agree >= params.least_estimate)[0]:
-                    y = int(node[fits[k]])
-                    out["a"].append(max(x, y))
-                    out["b"].append(min(x, y))
-                    out["estimate"].append(float(agree[k]))
-            yield out
+                    y, now = int(node[fits[k]]), float(agree[k])
+                    sets.join(x, y)
+                    best[x] = max((now, y), best.get(x, (now, y)))
+                    best[y] = max((now, x), best.get(y, (now, x)))
+            yield {"node": list(best), "partner": [v[1] for v in best.values()], "estimate": [v[0] for v in best.values()],
+                   "root": [sets.root(x) for x in best]}
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (map_rows(ready.repartition(n, "bucket", "i", "j"), compare, "a bigint, b bigint, estimate double")
-            .groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
+    return map_rows(ready.repartition(n, "bucket", "i", "j"), compare, "node bigint, partner bigint, estimate double, root bigint")
+
+
+def last_links(near: DataFrame, nodes: DataFrame, params: MinHashParams) -> DataFrame:
+    """Links (a, b) that join all components of a cluster that have any link between near nodes.
+
+    ``near`` has cluster, node and comp, of clusters with several components. All nodes of a cluster meet, block by block, with their whole
+    sets. A task passes over pairs that are in one component already, also by links that it has found itself.
+    """
+    sizes = near.groupBy("cluster").agg(F.ceil(F.count("*") / params.block).cast("int").alias("blocks"))
+    placed = near.join(sizes, "cluster").withColumn("own", F.pmod(F.hash("node"), "blocks"))
+    spread = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"))
+    ready = spread.join(nodes.select("node", "sketch", "elements"), "node")
+
+    def search(batches) -> Iterator[dict]:
+        held: dict[tuple, list] = {}
+        for b in batches:
+            for cluster, i, j, *row in zip(*(b[c] for c in ("cluster", "i", "j", "own", "node", "comp", "sketch", "elements")), strict=True):
+                held.setdefault((cluster, i, j), []).append(row)
+        for (_, i, j), rows in held.items():
+            left = [r[1:] for r in rows if r[0] == i]
+            pairs = list(_joining(left, left if i == j else [r[1:] for r in rows if r[0] == j], params))
+            yield {"a": [max(p) for p in pairs], "b": [min(p) for p in pairs]}
+
+    n = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_rows(ready.repartition(n, "cluster", "i", "j"), search, "a bigint, b bigint")
+
+
+def _joining(left: list, right: list, params: MinHashParams) -> Iterator[tuple[int, int]]:
+    """Links between rows (node, comp, sketch, elements) that join their components, one for each joining."""
+    if not left or not right:
+        return
+    comp = np.array([r[1] for r in right], dtype=np.int64)
+    sketch = np.frombuffer(b"".join(r[2] for r in right), dtype=np.uint8).reshape(len(right), -1)
+    sets: list[np.ndarray | None] = [None] * len(right)
+    joined = UnionFind()
+    for at, (x, c, s, elements) in enumerate(left):
+        apart = np.nonzero(comp != c)[0]
+        if left is right:
+            apart = apart[apart > at]
+        good = apart[(sketch[apart] == np.frombuffer(s, dtype=np.uint8)).mean(axis=1) >= params.least_estimate] if len(apart) else apart
+        mine = unpack(elements) if len(good) else None
+        for k in good:
+            if joined.root(c) == joined.root(int(comp[k])):
+                continue
+            if sets[k] is None:
+                sets[k] = unpack(right[k][3])
+            if linked(mine, sets[k], params.percent):
+                joined.join(c, int(comp[k]))
+                yield x, right[k][0]
 
 
 def _with_roots(df: DataFrame, roots: DataFrame, node: str, out: str) -> DataFrame:
@@ -275,31 +340,32 @@ def find_links(nodes: DataFrame, params: MinHashParams) -> DataFrame:
     """Links (a, b) between ``nodes`` (node, n_shingles, band_keys, sketch, elements) whose components are those of all links.
     Only nodes that share a bucket with another one are read beyond their bucket keys.
 
-    First every node is held against one node: among the first nodes of its buckets, the one it meets in most
-    bands. Then buckets that hold several components are searched between these; of the pairs found each node tries the best one for
-    each other component, and if components are still apart after that, all that are left.
+    First every node is held against the first nodes, by a hash, of some of its buckets, and the components of the links are formed. Then
+    buckets that hold several components are searched between these, and each node tries its best partner. Near nodes whose components are
+    still apart after this form clusters, in which all components are compared in full. So a group of many near copies is
+    joined by few trials per node, and yet no pair that could link two components stays untried.
     """
     in_bands = nodes.select("node", F.explode("band_keys").alias("bucket"))
-    buckets = in_bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").select("bucket", "first")
+    buckets = (in_bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("bucket", "node")).alias("first"))
+               .where("n > 1").select("bucket", "first"))
     shared = stage(in_bands.join(buckets, "bucket"), "shared-buckets")
     nodes = stage(nodes.join(shared.select("node").distinct(), "node", "left_semi").drop("band_keys"), "near-nodes")
-    tries = (shared.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("met"))
-             .groupBy("node").agg(F.max_by("first", F.struct("met", -F.col("first"))).alias("b")).select(F.col("node").alias("a"), "b"))
-    links = stage(confirm(tries, nodes, params), "near-links")
-    roots = components(links)
-
-    members = _with_roots(shared.select("bucket", "node"), roots, "node", "comp")
+    met = (shared.where("node <> first").select(F.greatest("node", "first").alias("a"), F.least("node", "first").alias("b"), "node")
+           .groupBy("node", "a", "b").agg(F.count("*").alias("met")))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("met").desc(), "a", "b"))
+    tried = stage(met.withColumn("rank", rank).where(F.col("rank") <= params.first_tries).select("a", "b").distinct(), "near-tries")
+    links = stage(confirm(tried, nodes, params), "near-links")
+    members = _with_roots(shared.select("bucket", "node"), components(links), "node", "comp")
     mixed = members.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("bucket")
-    found = stage(between_components(stage(members.join(mixed, "bucket"), "mixed-buckets"), nodes, params), "near-candidates")
-    apart = _with_roots(_with_roots(found, roots, "a", "comp_a"), roots, "b", "comp_b")
-    best = (apart.groupBy("comp_b", "a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b")).select("a", "b")
-            .unionByName(apart.groupBy("comp_a", "b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")).distinct())
+    found = stage(near_pairs(stage(members.join(mixed, "bucket"), "mixed-buckets"), nodes, params), "near-candidates")
+    best = (found.groupBy("node").agg(F.max_by("partner", F.struct("estimate", "partner")).alias("partner"))
+            .select(F.greatest("node", "partner").alias("a"), F.least("node", "partner").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     links = stage(links.unionByName(confirm(best, nodes, params)), "near-links")
-    roots = components(links)
 
-    left = (_with_roots(_with_roots(found, roots, "a", "comp_a"), roots, "b", "comp_b").where("comp_a <> comp_b").select("a", "b")
-            .join(best, ["a", "b"], "left_anti"))
-    return links.unionByName(confirm(left, nodes, params))
+    forest = found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
+    near = _with_roots(_with_roots(found.select("node").distinct(), components(forest), "node", "cluster"), components(links), "node", "comp")
+    several = near.groupBy("cluster").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cluster")
+    return links.unionByName(last_links(stage(near.join(several, "cluster"), "near-clusters"), nodes, params))
 
 
 def near_groups(docs: DataFrame, params: MinHashParams = MinHashParams(), key: str = "doc_id", text: str = "text") -> DataFrame:

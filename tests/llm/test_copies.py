@@ -157,7 +157,7 @@ def test_super_minhash_is_unbiased_and_less_scattered():
 def test_packed_sets_survive():
     for n in (0, 1, 700):
         x = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64))
-        assert (minhash.unpack(minhash.pack(x)) == x >> np.uint64(24)).all()
+        assert (minhash.unpack(minhash.pack(x)) == x >> np.uint64(26)).all()
 
 
 def test_components_of_paths_stars_and_cycles(spark):

@@ -78,14 +78,18 @@ def category_codes(scope_codes: Column | str) -> Column:
 # -- money and quantities -----------------------------------------------------
 
 
-def hundredths(c: Column | str) -> Column:
-    """A two-decimal amount as a whole number, so that sums are exact and cheap."""
-    return (_col(c).cast("decimal(18,2)") * 100).cast("long")
+# The scale of quantities and amounts: four decimals, those of a price times a discount and a tax.
+SCALE = 10_000
+
+
+def scaled(c: Column | str) -> Column:
+    """An amount as a whole number of ten-thousandths, so that sums are exact and cheap."""
+    return (_col(c).cast("decimal(18,4)") * SCALE).cast("long")
 
 
 def units(c: Column | str) -> Column:
-    """The inverse of :func:`hundredths`."""
-    return _col(c) / F.lit(100.0)
+    """The inverse of :func:`scaled`."""
+    return _col(c) / F.lit(float(SCALE))
 
 
 # -- substitution formulas ----------------------------------------------------
@@ -93,12 +97,12 @@ def units(c: Column | str) -> Column:
 
 def switched_spend(a, a_total, b, b_total) -> Column:
     """Spend moving from b in one basket to a in the next."""
-    return (a / a_total) * (b / b_total) * (a_total + b_total)
+    return F.try_divide(a, a_total) * F.try_divide(b, b_total) * (a_total + b_total)
 
 
 def within_spend(a, b, total) -> Column:
     """:func:`switched_spend` for two items of one basket."""
-    return 2 * a * b / total
+    return F.try_divide(2 * a * b, total)
 
 
 def complement_index(t: Column) -> Column:
@@ -113,6 +117,18 @@ def lift_index(lift: Column) -> Column:
 
 def log_distance(a: Column, b: Column) -> Column:
     """Distance of two numbers on a log2(x + 1) scale; null below the scale."""
-    def scaled(x):
-        return F.when(x > -1, F.log2(x + 1))
-    return F.abs(scaled(a) - scaled(b))
+    def on_scale(x):
+        # NaN is larger than all numbers to Spark, so it does not pass either.
+        return F.when((x > -1) & (x < float("inf")), F.log2(x + 1))
+    return F.abs(on_scale(a) - on_scale(b))
+
+
+def null_tokens(text: Column | str) -> Column:
+    """Text without the tokens that stand for null."""
+    return F.when(~_col(text).isin(*NULL_TOKENS), _col(text))
+
+
+def number(text: Column | str) -> Column:
+    """A plain decimal number, with an exponent or not, that is finite; null for all other text, such as NaN, Infinity or 5d."""
+    parsed = F.when(F.rlike(_col(text), F.lit(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,4})?$")), _col(text)).try_cast("double")
+    return F.when(F.abs(parsed) < float("inf"), parsed)

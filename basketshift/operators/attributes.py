@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
-from basketshift.session import per_scope, stage
+from basketshift.session import stage
 
 PAIR = ["scope_id", "src_item_id", "dst_item_id"]
 
@@ -49,7 +49,7 @@ def scoped_attributes(attrs: DataFrame, member: DataFrame) -> DataFrame:
     own = attrs.where(F.col("web_id") < C.FOREIGN_SITE)
     return own.join(member.withColumnRenamed("item_sku_id", "sku_id"), "sku_id").select(
         "scope_id", F.col("attr_name").alias("attr_key"), F.col("sku_id").alias("item_id"),
-        F.nullif(F.trim("attr_value"), F.lit("")).alias("attr_val"))
+        C.null_tokens(F.trim("attr_value")).alias("attr_val"))
 
 
 def attr_split(attrs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +57,7 @@ def attr_split(attrs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A key is numeric in a scope if it has values there and each of them parses as a number.
     """
-    number = F.expr("try_cast(attr_val as double)")
+    number = C.number("attr_val")
     kinds = attrs.groupBy("scope_id", "attr_key").agg(
         (F.count("attr_val") > 0).alias("_any"), (F.count("attr_val") == F.count(number)).alias("_all"))
     kinds = stage(kinds.select("scope_id", "attr_key", (F.col("_any") & F.col("_all")).alias("_numeric")), "kinds")
@@ -77,7 +77,7 @@ def attr_filter(attrs: DataFrame, scopes: DataFrame | None = None, classify_attr
     """Drops the attribute that defines a lvl4 scope, the scope's ignored ones, and exclusions."""
     if scopes is not None and classify_attr is not None:
         lvl4 = scopes.where(F.col("scope_type") == "lvl4").select("scope_id", F.lit(classify_attr).alias("attr_key"))
-        attrs = attrs.join(per_scope(lvl4), ["scope_id", "attr_key"], "left_anti")
+        attrs = attrs.join(lvl4, ["scope_id", "attr_key"], "left_anti")
     if ignored is not None:
         attrs = attrs.join(ignored.select("scope_id", F.col("ignored_attr").alias("attr_key")), ["scope_id", "attr_key"], "left_anti")
     return attrs.where(~F.col("attr_key").isin(*exclude)) if exclude else attrs
@@ -106,7 +106,7 @@ def attr_dedupe(keys: DataFrame) -> DataFrame:
 def keep_keys(attrs: DataFrame, kept: DataFrame) -> DataFrame:
     """Attribute rows whose key survived :func:`attr_dedupe`."""
     listed = kept.select("scope_id", "keys")
-    return attrs.join(per_scope(listed), "scope_id").where(F.array_contains("keys", F.col("attr_key"))).drop("keys")
+    return attrs.join(listed, "scope_id").where(F.array_contains("keys", F.col("attr_key"))).drop("keys")
 
 
 def attr_keys(attrs: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def _with_profiles(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
     def end(name):
         return items.select("scope_id", F.col("item_id").alias(f"{name}_item_id"), F.col("attrs").alias(f"_{name}"))
 
-    return (pairs.join(per_scope(keys), "scope_id").join(end("src"), ["scope_id", "src_item_id"], "left")
+    return (pairs.join(keys, "scope_id").join(end("src"), ["scope_id", "src_item_id"], "left")
             .join(end("dst"), ["scope_id", "dst_item_id"], "left"))
 
 
@@ -192,7 +192,7 @@ def similarity_maps(pairs: DataFrame, categorical: DataFrame | None = None, nume
         number = F.coalesce(scaled(v), scaled(s["avg"]))
         return F.struct(c["attr_key"].alias("key"), F.when(c["numeric"], number).otherwise(F.coalesce(v, s["matched"])).alias("value"))
 
-    return measured.join(per_scope(stats), "scope_id").select(
+    return measured.join(stats, "scope_id").select(
         *pairs.columns, F.map_from_entries(F.transform("cells", fill)).alias("sims"))
 
 
@@ -210,24 +210,34 @@ def attr_numeric(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
     return similarities(pairs, numeric=attrs)
 
 
-def item_net_sales(lines: DataFrame, brand: DataFrame | None = None) -> DataFrame:
-    """Net sales per item over all lines of the extract; per mapped item where items are brands."""
-    net = (F.col("after_prefr_amount").cast("decimal(18,4)") * 10_000).cast("long")
-    sales = lines.groupBy("item_sku_id").agg(F.sum(net).alias("_net"))
+def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: DataFrame | None = None) -> DataFrame:
+    """Net sales per item over all lines of the extract; per mapped item where items are brands.
+
+    With ``scopes`` and lines that carry cid3, sales are those of each scope's own categories, keyed by scope_id too.
+    """
+    own = scopes is not None and "cid3" in lines.columns
+    keys = ["cid3"] if own else []
+    sales = lines.groupBy(*keys, "item_sku_id").agg(F.sum(C.scaled("after_prefr_amount")).alias("_net"))
     if brand is None:
-        return sales.select(F.col("item_sku_id").alias("item_id"), (F.col("_net") / F.lit(10_000.0)).alias("sales"))
-    mapped = sales.join(brand.where(F.col("item_id").isNotNull()).select("item_sku_id", "item_id"), "item_sku_id")
-    return mapped.groupBy("item_id").agg((F.sum("_net") / F.lit(10_000.0)).alias("sales"))
+        sales = sales.withColumnRenamed("item_sku_id", "item_id")
+    else:
+        sales = sales.join(brand.where(F.col("item_id").isNotNull()).select("item_sku_id", "item_id"), "item_sku_id")
+    if own:
+        sales = sales.join(scopes.select("scope_id", F.explode(C.category_codes("item_third_cate_cd")).alias("cid3")), "cid3")
+        keys = ["scope_id"]
+    return sales.groupBy(*keys, "item_id").agg(C.units(F.sum("_net")).alias("sales"))
 
 
 def pair_sales(pairs: DataFrame, sales: DataFrame) -> DataFrame:
-    """Sales of both ends. Missing sales become the mean over the scope's pairs."""
+    """Sales of both ends, of the pair's scope where ``sales`` has scopes. Missing sales become the mean over the scope's pairs."""
+    keys = ["scope_id"] if "scope_id" in sales.columns else []
+
     def end(name, out):
-        return sales.select(F.col("item_id").alias(f"{name}_item_id"), F.col("sales").alias(out))
+        return sales.select(*keys, F.col("item_id").alias(f"{name}_item_id"), F.col("sales").alias(out))
 
-    df = pairs.join(end("src", "fromSales"), "src_item_id", "left").join(end("dst", "toSales"), "dst_item_id", "left")
+    df = pairs.join(end("src", "fromSales"), [*keys, "src_item_id"], "left").join(end("dst", "toSales"), [*keys, "dst_item_id"], "left")
     means = df.groupBy("scope_id").agg(F.avg("fromSales").alias("_from"), F.avg("toSales").alias("_to"))
-    return df.join(per_scope(means), "scope_id").select(
+    return df.join(means, "scope_id").select(
         *PAIR, "switching_prob", F.coalesce("fromSales", "_from").alias("fromSales"), F.coalesce("toSales", "_to").alias("toSales"))
 
 

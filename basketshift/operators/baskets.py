@@ -24,7 +24,7 @@ def purchases(lines: DataFrame, by_day: bool) -> DataFrame:
     if not by_day:
         lines = lines.withColumn("sale_ord_tm", C.to_second("sale_ord_tm"))
     keys = USER + basket_key(by_day) + ["item_id"]
-    sums = [F.sum(C.hundredths("sale_qtty")).alias("qty"), F.sum(C.hundredths("before_prefr_amount")).alias("amount")]
+    sums = [F.sum(C.scaled("sale_qtty")).alias("qty"), F.sum(C.scaled("before_prefr_amount")).alias("amount")]
     return lines.groupBy(*keys).agg(*sums)
 
 

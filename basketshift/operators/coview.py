@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketshift.operators import pairs
 from basketshift.operators.switching import shares
+from basketshift.session import stage
 
 SESSION = ["scope_id", "user_log_acct", "session_id", "request_dt"]
 
@@ -24,7 +25,7 @@ def coview_counts(views: DataFrame, size: int) -> DataFrame:
     The count of a pair is the sum over sessions of n_a * n_b. An item with itself needs
     no join. Of two different items only one order is joined; the other is its mirror.
     """
-    counted = session_items(views)
+    counted = stage(session_items(views), "session-items")
     alone = counted.groupBy("scope_id", "item_id").agg(F.sum(F.col("n") * F.col("n")).alias("page_views"))
     alone = alone.select("scope_id", F.col("item_id").alias("src_item_id"), F.col("item_id").alias("dst_item_id"), "page_views")
     sized = counted.withColumn("_items", F.count(F.lit(1)).over(Window.partitionBy(*SESSION))).where("_items > 1")

@@ -60,23 +60,24 @@ def drop_hot_strangers(lines: DataFrame, customers: DataFrame, p: Params) -> Dat
 
 
 def positive_filter(lines: DataFrame) -> DataFrame:
-    return lines.where((F.col("sale_qtty") > 0) & (F.col("before_prefr_amount") > 0))
+    """Lines whose quantity and amount are positive at the scale at which they are summed."""
+    return lines.where((C.scaled("sale_qtty") > 0) & (C.scaled("before_prefr_amount") > 0))
 
 
 def nonpromo_filter(lines: DataFrame, ratio: str = "0.95") -> DataFrame:
     """Positive lines sold at no less than ``ratio`` of the list amount."""
-    floor = F.lit(ratio).cast("decimal(4,2)") * F.col("before_prefr_amount")
+    floor = F.lit(ratio).cast("decimal(12,10)") * F.col("before_prefr_amount")
     return positive_filter(lines).where(F.col("after_prefr_amount") >= floor)
 
 
 def sku_daily(facts: DataFrame) -> DataFrame:
-    """Quantity and list amount per sku and day, in hundredths.
+    """Quantity and list amount per sku and day, scaled.
 
     The long tail, the items' eligibility and the skus in scope are all functions of this
     table, so none of them moves order lines.
     """
     return facts.groupBy("scope_id", "item_sku_id", "sale_ord_dt").agg(
-        F.sum(C.hundredths("sale_qtty")).alias("qty"), F.sum(C.hundredths("before_prefr_amount")).alias("amount"))
+        F.sum(C.scaled("sale_qtty")).alias("qty"), F.sum(C.scaled("before_prefr_amount")).alias("amount"))
 
 
 def prod_tail(daily: DataFrame, share: float) -> DataFrame:

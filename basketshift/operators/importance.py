@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 from basketshift.operators.attributes import DISPLAY_NAMES
 from basketshift.sources import schemas
 
+log = logging.getLogger(__name__)
+
 # Model names in the result.
 FOREST = "Random Forest Regression"
 ELASTIC_NET = "Elastic Net Regression"
 
 LABEL = "switchProb"
+SALES = ("fromSales", "toSales")
 
 
 def _forest(data: DataFrame, seed: int) -> list[float]:
@@ -43,19 +47,32 @@ def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: st
     """
     spark = maps.sparkSession
     known = maps.select("scope_id", F.explode("sims").alias("k", "v")).where("v is not null").groupBy("scope_id", "k").count()
-    keys: dict[str, list[str]] = {r["scope_id"]: [] for r in maps.select("scope_id").distinct().collect()}
+    keys: dict[str, list[str]] = {}
+    sales: dict[str, list[str]] = {}
+    for r in maps.groupBy("scope_id").agg(*[F.count(c).alias(c) for c in SALES]).collect():
+        keys[r["scope_id"]], sales[r["scope_id"]] = [], [c for c in SALES if r[c]]
     for r in known.collect():
         keys[r["scope_id"]].append(r["k"])
 
     def one(scope):
+        """A scope without usable rows, or whose fit fails, has no importances; the others go on."""
+        try:
+            return fitted(scope)
+        except Exception as error:
+            log.warning("no importances for scope %s: %s", scope, error)
+            return []
+
+    def fitted(scope):
         names = sorted(keys[scope])
-        cells = [F.try_element_at("sims", F.lit(k)) for k in names] + [F.col("fromSales"), F.col("toSales")]
+        cells = [F.try_element_at("sims", F.lit(k)) for k in names] + [F.col(c) for c in sales[scope]]
         rows = maps.where(F.col("scope_id") == scope).select(
             F.col("switching_prob").alias(LABEL), *[c.alias(f"x{i}") for i, c in enumerate(cells)]).dropna()
         data = VectorAssembler(inputCols=[f"x{i}" for i in range(len(cells))], outputCol="features").transform(rows)
+        if len(rows.take(2)) < 2:
+            return []
         weights = fit(data.select(LABEL, "features"), seed)
         top = max(weights)
-        return [(scope, c, w / top if top > 0 else None, name) for c, w in zip([*names, "fromSales", "toSales"], weights)]
+        return [(scope, c, w / top if top > 0 else None, name) for c, w in zip([*names, *sales[scope]], weights)]
 
     with ThreadPoolExecutor(threads) as pool:
         found = [r for rows in pool.map(one, sorted(keys)) for r in rows]
@@ -77,6 +94,6 @@ def cdt_translate(cdt: DataFrame, names: DataFrame | None = None) -> DataFrame:
     default = F.create_map(*[F.lit(x) for kv in DISPLAY_NAMES.items() for x in kv])
     shown = F.coalesce(default[F.col("attdesc")], F.col("attdesc"))
     if names is not None:
-        cdt = cdt.join(F.broadcast(names.select("scope_id", "names")), "scope_id", "left")
+        cdt = cdt.join(names.select("scope_id", "names"), "scope_id", "left")
         shown = F.coalesce(F.col("names")[F.col("attdesc")], shown)
     return cdt.select("scope_id", shown.alias("attdesc"), *[c for c in cdt.columns if c not in ("scope_id", "attdesc", "names")])

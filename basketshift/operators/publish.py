@@ -15,6 +15,18 @@ RESULT_TABLES = ("scope", "switching_prob", "sku_in_scope", "spendswitch", "cdt"
 SOURCE_OF = {"cdt": "cdt_cn"}
 
 
+def clear_partitions(spark: SparkSession, path: str, work: list[tuple[str, str]]) -> None:
+    """Delete the given (dt, cid3) partitions, so that a run that yields no rows for them leaves no earlier ones.
+
+    ``work`` is a batch's work list, which the driver holds anyway.
+    """
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for dt, cid3 in work:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/dt={escape(dt)}/cid3={escape(cid3)}"), True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Replace the (dt, cid3) partitions that ``df`` holds; others stay."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION)
@@ -34,12 +46,15 @@ def with_partition(df: DataFrame, day: date | str) -> DataFrame:
     return df.withColumns({"dt": F.lit(str(day)), "cid3": F.split("scope_id", "_")[2]})
 
 
-def publish(df: DataFrame, tmp: str, pre: str, final: str, schema: str) -> DataFrame:
+def publish(df: DataFrame, tmp: str, pre: str, final: str, schema: str, work: list[tuple[str, str]] = ()) -> DataFrame:
     """Load into the temporary table, then its partitions into the preview and final tables.
 
-    Both copies read what was written, not the plan that produced it. ``df`` has dt and cid3.
+    Both copies read what was written, not the plan that produced it. ``df`` has dt and cid3. Partitions of ``work``
+    are cleared first in all three.
     """
     spark = df.sparkSession
+    for path in (tmp, pre, final):
+        clear_partitions(spark, path, work)
     overwrite_partitions(df, tmp)
     written = df.select(*PARTITION).distinct()
     loaded = read_partitions(spark, tmp, schema).join(written, PARTITION, "left_semi")
@@ -54,14 +69,18 @@ def publish_status(status: DataFrame, tmp: str, finish: str, schema: str) -> Non
     overwrite_partitions(read_partitions(status.sparkSession, tmp, schema).join(keys, PARTITION, "left_semi"), finish)
 
 
-def assemble(outputs: dict[str, list[DataFrame]], day: date, root: str) -> list[str]:
-    """Union the scopes' outputs per table and load them by category. Returns the loaded tables."""
+def assemble(outputs: dict[str, list[DataFrame]], day: date, root: str, categories: Sequence[str] = ()) -> list[str]:
+    """Union the scopes' outputs per table and load them by category. Returns the loaded tables.
+
+    The day's partitions of ``categories`` are cleared first.
+    """
     loaded = []
     for table in RESULT_TABLES:
         parts = outputs.get(SOURCE_OF.get(table, table))
         if not parts:
             continue
         df = parts[0]
+        clear_partitions(df.sparkSession, f"{root}/{table}", [(str(day), c) for c in categories])
         for more in parts[1:]:
             df = df.unionByName(more)
         if "scope_id" not in df.columns:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
 from basketshift.operators.importance import FOREST
-from basketshift.session import per_scope
 
 MONTHS = 24
 # A result of fewer rows may be constant.
@@ -36,7 +35,7 @@ def month_coverage(lines: DataFrame, scopes: DataFrame, end: date, n: int = MONT
     first, after = F.add_months(F.trunc(F.lit(end), "month"), 1 - n), F.date_add(F.last_day(F.lit(end)), 1)
     recent = lines.where((F.col("sale_ord_dt") >= first) & (F.col("sale_ord_dt") < after))
     counted = recent.groupBy("cid3", F.trunc("sale_ord_dt", "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
-    found = counted.join(per_scope(_scope_categories(scopes)), "cid3").groupBy("scope_id", "month").agg(F.sum("n").alias("n"))
+    found = counted.join(_scope_categories(scopes), "cid3").groupBy("scope_id", "month").agg(F.sum("n").alias("n"))
     grid = scopes.select("scope_id", F.explode(months_back(end, n)).alias("month"))
     return grid.join(found, ["scope_id", "month"], "left").select("scope_id", "month", F.coalesce("n", F.lit(0)).alias("n_lines"))
 
@@ -51,7 +50,7 @@ def input_check(coverage: DataFrame, skus: DataFrame, attrs: DataFrame, scopes:
     per_cat = skus.groupBy("cid3").agg(F.count(F.lit(1)).alias("n_skus"))
     with_attrs = skus.select("item_sku_id", "cid3").join(
         attrs.select(F.col("sku_id").alias("item_sku_id")), "item_sku_id").groupBy("cid3").agg(F.count(F.lit(1)).alias("n_attrs"))
-    sizes = (per_cat.join(with_attrs, "cid3", "left").join(per_scope(cats), "cid3").groupBy("scope_id")
+    sizes = (per_cat.join(with_attrs, "cid3", "left").join(cats, "cid3").groupBy("scope_id")
              .agg(F.sum("n_skus").alias("n_skus"), F.sum("n_attrs").alias("n_attrs")))
     gaps = coverage.groupBy("scope_id").agg(F.count_if(F.col("n_lines") == 0).alias("gaps"))
     good = (F.coalesce("n_skus", F.lit(0)) > 0) & (F.coalesce("n_attrs", F.lit(0)) > 0) & (F.col("gaps") == 0)
@@ -65,12 +64,12 @@ def sku_number(scopes: DataFrame, skus: DataFrame, lines: DataFrame, fourth: Dat
     ordered = lines.select("item_sku_id").distinct()
     sold = skus.where(F.col("sku_type") == "self").select("item_sku_id", "cid3").distinct().join(ordered, "item_sku_id", "left_semi")
     n3 = (sold.groupBy("cid3").agg(F.count(F.lit(1)).alias("n"))
-          .join(per_scope(cats.where(F.col("scope_type") != "lvl4")), "cid3").groupBy("scope_id").agg(F.sum("n").alias("n")))
+          .join(cats.where(F.col("scope_type") != "lvl4"), "cid3").groupBy("scope_id").agg(F.sum("n").alias("n")))
     found = n3
     if fourth is not None:
         n4 = (fourth.select("cid3", F.col("attr_value").alias("scope_desc"), "sku_id").distinct()
               .groupBy("cid3", "scope_desc").agg(F.count(F.lit(1)).alias("n"))
-              .join(per_scope(cats.where(F.col("scope_type") == "lvl4")), ["cid3", "scope_desc"])
+              .join(cats.where(F.col("scope_type") == "lvl4"), ["cid3", "scope_desc"])
               .groupBy("scope_id").agg(F.sum("n").alias("n")))
         found = n3.unionByName(n4)
     return scopes.select("scope_id").join(found, "scope_id", "left").select("scope_id", F.coalesce("n", F.lit(0)).alias("sku_number"))
@@ -123,4 +122,4 @@ def publish_gate(results: DataFrame, checks: DataFrame, check: str, whole_batch:
     if whole_batch:
         worst = checks.agg(F.max(F.abs(check))).scalar()
         return results.where(worst == 0)
-    return results.join(per_scope(checks.where(F.col(check) == 0).select("scope_id")), "scope_id", "left_semi")
+    return results.join(checks.where(F.col(check) == 0).select("scope_id"), "scope_id", "left_semi")

@@ -64,17 +64,18 @@ def seller_filter(scoped_skus: DataFrame) -> DataFrame:
 def membership(scopes: DataFrame, skus: DataFrame, fourth: DataFrame | None = None) -> DataFrame:
     """(scope_id, item_sku_id) for lvl3 and lvl4 scopes.
 
-    ``skus`` has item_sku_id, cid3, sku_type; ``fourth`` has sku_id, attr_value.
+    ``skus`` has item_sku_id, cid3, sku_type; ``fourth`` has sku_id, attr_value. A sku that is listed
+    several times, such as once per snapshot day, is one member; it belongs if any of its rows does.
     """
     wide = scopes.withColumn("cid3", F.explode(C.category_codes("item_third_cate_cd"))).select(
         "scope_id", "cid3", "self_pop", "scope_type", "scope_desc")
     scoped = seller_filter(skus.select("item_sku_id", "cid3", "sku_type").join(wide, "cid3"))
-    whole = scoped.where(F.col("scope_type") != "lvl4").select("scope_id", "item_sku_id")
+    whole = scoped.where(F.col("scope_type") != "lvl4").select("scope_id", "item_sku_id").distinct()
     if fourth is None:
         return whole
     value = fourth.select(F.col("sku_id").alias("item_sku_id"), F.col("attr_value").alias("scope_desc"))
     part = (scoped.where(F.col("scope_type") == "lvl4")
-            .join(value, ["item_sku_id", "scope_desc"], "left_semi").select("scope_id", "item_sku_id"))
+            .join(value, ["item_sku_id", "scope_desc"], "left_semi").select("scope_id", "item_sku_id").distinct())
     return whole.unionByName(part)
 
 

@@ -1,7 +1,7 @@
 """Substitution from orders: spend that moves between items of consecutive baskets.
 
 src is the item of the earlier basket, dst the item of the later one. Amounts are whole
-hundredths until the last projection.
+ten-thousandths until the last projection.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from basketshift.functions import columns as C
 from basketshift.operators import pairs
 from basketshift.operators.baskets import USER
-from basketshift.session import per_scope
 
 BASKET = [*USER, "seqnum"]
 
@@ -60,7 +59,7 @@ def theil_index(rows: DataFrame, items: DataFrame) -> DataFrame:
     # sum((s/m) ln(s/m)) / (nb ln nb) with m = total/nb, multiplied out.
     total, n = F.col("total").cast("double"), F.col("nb").cast("double")
     t = 1 + F.try_divide(F.col("slogs") / total - F.ln(total), F.ln(n))
-    return sums.join(per_scope(nb), "scope_id").select(*USER, t.alias("t"), C.complement_index(t).alias("comp_index"))
+    return sums.join(nb, "scope_id").select(*USER, t.alias("t"), C.complement_index(t).alias("comp_index"))
 
 
 # -- pairs --------------------------------------------------------------------
@@ -135,7 +134,7 @@ def adjust(measures: DataFrame, orders: DataFrame, entropy: bool = True) -> Data
     """
     cr = F.coalesce(F.try_divide("_comp", "_shared"), F.lit(0.0)) if entropy else F.lit(0.0)
     lift = F.col("ab_count") / F.col("src_baskets") / F.col("dst_baskets") * F.col("n_orders")
-    return (measures.where("n_adjacent > 0").join(per_scope(orders), "scope_id")
+    return (measures.where("n_adjacent > 0").join(orders, "scope_id")
             .withColumns({"cr": cr, "ci": F.when(F.col("ab_count") > 0, C.lift_index(lift)).otherwise(0.0)})
             .withColumn("spendswitch_ca", F.col("spendswitch") * (1 + F.col("cr")))
             .withColumn("spendswitch_ad", F.col("spendswitch_ca") * (1 + F.col("ci"))))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,19 +80,33 @@ class Batch:
         return OrderPath(OrderInputs(i.lines, i.skus, scopes, i.attributes, i.brands, i.fourth), self.p)
 
     def run(self, pending: DataFrame | None = None) -> DataFrame | None:
-        """Computes, checks and publishes the pending categories; returns the status rows.
+        """Computes, checks and publishes the pending categories, each for its own day; returns the status rows.
 
-        Work is marked done only after its results are published, so a lost run is
-        repeated, and repeating it overwrites the same partitions.
+        A day's analysis has the window of the parameters, moved so that it ends on that day. Work is marked done only after
+        the results of its day are published, so a lost run is repeated, and repeating it overwrites the same partitions.
         """
         control = K.read_partitions(self.spark, self.control, "status string")
         work = stage(R.pending_scopes(control if pending is None else pending), "work")
-        if work.isEmpty():
-            return None
+        days = [r["dt"] for r in work.select("dt").distinct().orderBy("dt").collect()]
+        found = [self._for_day(day)._run_day(work.where(F.col("dt") == day)) for day in days]
+        out = None
+        for status in found:
+            out = status if out is None else out.unionByName(status)
+        return out
+
+    def _for_day(self, day: str) -> Batch:
+        end = date.fromisoformat(day)
+        window = replace(self.p, end_date=end, start_date=self.p.start_date + (end - self.p.end_date))
+        return Batch(self.spark, self.control, self.root, self.inputs, window, self.o)
+
+    def _run_day(self, work: DataFrame) -> DataFrame:
         i, p = self.inputs, self.p
         scopes = stage(self.scopes(work), "scopes")
         path = self._path(scopes)
-        switching = stage(path.switching, "switching")
+        # Pairs are expanded once: what is published besides is read from what is written here.
+        if isinstance(path, OrderPath):
+            path.detail = stage(path.detail, "detail")
+        switching = path.switching = stage(path.switching, "switching")
         member = S.membership(scopes, i.skus, i.fourth)
         brand = None if p.item_type == "sku" else X.brand_map(i.attributes, i.brands)
         scoped = A.scoped_attributes(self.attributes, member)
@@ -104,12 +119,12 @@ class Batch:
         importances = stage(cdt.forest, "cdt")
 
         coverage = Q.month_coverage(i.lines.where("sale_ord_valid_flag = 1"), scopes, p.end_date)
-        recent = i.lines.where(F.col("sale_ord_dt") >= F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS))
+        recent = R.order_scan(i.lines, F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS), p.end_date)
         inputs = self._input_codes(coverage, scopes)
         numbers = Q.sku_number(scopes, i.skus, recent, i.fourth)
         switches, cdts = Q.switch_check(switching, scopes), Q.cdt_check(importances, scopes)
         status = stage(Q.status_table(inputs, numbers, switches, cdts), "status")
-        self._publish(scopes, status, switching, importances, cdt, path)
+        self._publish(scopes, status, switching, importances, cdt, path, [r["cid3"] for r in work.select("cid3").distinct().collect()])
         K.mark_done(self.control, work)
         return status
 
@@ -120,7 +135,7 @@ class Batch:
         except PySparkException:
             return scopes.select("scope_id", F.lit(-1).alias("input_check"))
 
-    def _publish(self, scopes, status, switching, importances, cdt, path) -> None:
+    def _publish(self, scopes, status, switching, importances, cdt, path, categories) -> None:
         day = self.p.publish_date
         fed = status.where("input_check = '0'")
 
@@ -130,12 +145,15 @@ class Batch:
         def table(name):
             return [f"{self.root}/{name}{suffix}" for suffix in ("_tmp", "_pre", "")]
 
-        K.publish(passed(switching, "switch_check"), *table("switching_prob"), schemas.SWITCHING)
-        K.publish(passed(cdt.translated(importances), "cdt_check"), *table("cdt"), schemas.CDT)
+        work = [(str(day), c) for c in categories]
+        K.publish(passed(switching, "switch_check"), *table("switching_prob"), schemas.SWITCHING, work)
+        # With the keys as they are, and under the names they are shown by.
+        K.publish(passed(importances, "cdt_check"), *table("cdt_raw"), schemas.CDT, work)
+        K.publish(passed(cdt.translated(importances), "cdt_check"), *table("cdt"), schemas.CDT, work)
         outputs = {"scope": [S.scope_descriptor(scopes)], "sku_in_scope": [path.sku_in_scope]}
         if isinstance(path, OrderPath):
             outputs["spendswitch"] = [path.detail]
-        K.assemble(outputs, self.p.end_date, self.root)
+        K.assemble(outputs, self.p.end_date, self.root, categories)
         K.publish_status(K.with_partition(status, day), *table("status")[::2], schemas.STATUS)
 
 

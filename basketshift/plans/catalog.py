@@ -247,6 +247,17 @@ def seller_scope(spark, folder):
     return facts.groupBy("scope_id", "item_sku_id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+@query
+def seller_scope_history(spark, folder):
+    """The same lines over a sku master with two snapshot days and repeated rows."""
+    star = Star(spark, folder)
+    three = scopes(star).unionByName(scopes(star, "pop")).unionByName(scopes(star, "all"))
+    days = F.explode(F.array(*map(F.lit, ("2001-06-30", "2001-07-31", "2001-07-31"))))
+    history = R.sku_scan(star.sku_master()).drop("dt").withColumn("dt", days)
+    facts = X.scope_facts(star.order_lines(), S.membership(three, history), params())
+    return facts.groupBy("scope_id", "item_sku_id").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @query
 def lvl4_scope(spark, folder):
     star = Star(spark, folder)
@@ -293,7 +304,7 @@ def competitor_price(spark, folder):
     star = Star(spark, folder)
     k = F.col("p_partkey")
     listed = star.table("part").select(k.cast("string").alias("sku_id"), F.when(k % 5 == 0, "2").otherwise("1").alias("web_id"))
-    unit = F.sum(C.hundredths("l_extendedprice")) / F.sum(C.hundredths("l_quantity"))
+    unit = F.sum(C.scaled("l_extendedprice")) / F.sum(C.scaled("l_quantity"))
     prices = star.table("lineitem").groupBy("l_partkey").agg(unit.alias("avg_price")).select(
         F.col("l_partkey").cast("string").alias("item_sku_id"), "avg_price",
         F.when(F.col("l_partkey") % 3 == 0, 0).otherwise(1).alias("status"))
@@ -466,6 +477,26 @@ def attr_split(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def attr_split_dirty(spark, folder):
+    """Keys whose values are numbers in several spellings, null tokens, or text that merely looks like a number."""
+    star = Star(spark, folder)
+    n = F.col("p_partkey")
+
+    def row(name, value):
+        return F.struct(F.lit(1).alias("web_id"), F.lit(name).alias("attr_name"), value.alias("attr_value"))
+
+    digits = (n % 10).cast("string")
+    spellings = F.element_at(F.array(*map(F.lit, ("1e2", "+3.", " .5 ", "N/A", "-0.25"))), (n % 5 + 1).cast("int"))
+    rows = F.array(row("spelled", spellings), row("not a number", F.when(n % 3 == 0, "NaN").otherwise(digits)),
+                   row("infinite", F.when(n % 3 == 0, "Infinity").otherwise(digits)), row("suffixed", F.when(n % 3 == 0, "5d").otherwise(digits)),
+                   row("blank", F.when(n % 3 == 0, "  ").otherwise(digits)))
+    dirty = star.table("part").select(n.cast("string").alias("sku_id"), F.explode(rows).alias("x")).select("sku_id", "x.*")
+    cat, num = A.attr_split(A.scoped_attributes(dirty, S.membership(scopes(star), R.sku_scan(star.sku_master()))))
+    return (cat.select("scope_id", "attr_key", "item_id", F.col("attr_val").alias("text_val"), F.lit(None).cast("double").alias("num_val"))
+            .unionByName(num.select("scope_id", "attr_key", "item_id", F.lit(None).cast("string").alias("text_val"), F.col("attr_val").alias("num_val"))))
+
+
 @query
 def attr_collapse(spark, folder):
     """The largest value per brand: the values of a brand's skus compete."""
@@ -505,6 +536,15 @@ def pair_sales(spark, folder):
     return cdt_path(spark, folder).with_sales.select(*A.PAIR, r("switching_prob"), r("fromSales", 4), r("toSales", 4))
 
 
+@query
+def pair_sales_brand(spark, folder):
+    """Sales of brands: those of the scope's own categories."""
+    star = Star(spark, folder)
+    o = order_path(spark, folder, "brand")
+    sales = A.item_net_sales(R.order_scan(star.order_lines(with_category=True), START, END), o.brand, o.scopes)
+    return A.pair_sales(A.pair_base(o.switching), sales).select(*A.PAIR, r("switching_prob"), r("fromSales", 4), r("toSales", 4))
+
+
 @query
 def attr_matrix(spark, folder):
     m = cdt_path(spark, folder).matrix(["colour", "noun", "size", C.BRAND_ATTR])
@@ -645,6 +685,18 @@ def publish_roundtrip(spark, folder):
     return df.select("scope_id", "src_item_id", "dst_item_id", r("switching_prob"), "model", "dt", "cid3")
 
 
+@query
+def publish_rerun(spark, folder):
+    """A second run that has rows for fewer categories leaves none of the first run's in the others of its work list."""
+    result = K.with_partition(stage(order_path(spark, folder).switching, "switching"), K.publish_day(END))
+    tmp, pre, final = (staging_path(spark, n) for n in ("tmp", "pre", "final"))
+    K.publish(result.withColumn("model", F.lit("old")), tmp, pre, final, schemas.SWITCHING)
+    work = [(str(K.publish_day(END)), c) for c in ("ECONOMY", "PROMO", "SMALL")]
+    K.publish(result.where("cid3 = 'PROMO'"), tmp, pre, final, schemas.SWITCHING, work)
+    df = K.read_partitions(spark, final, schemas.SWITCHING)
+    return df.select("scope_id", "src_item_id", "dst_item_id", r("switching_prob"), "model", "dt", "cid3")
+
+
 @query
 def mark_done(spark, folder):
     """The control table after the pending rows before 2000 are marked."""

@@ -59,7 +59,7 @@ class CdtPath:
 
     @cached_property
     def with_sales(self) -> DataFrame:
-        return A.pair_sales(self.pairs, A.item_net_sales(self.inputs.lines, self.inputs.brand))
+        return A.pair_sales(self.pairs, A.item_net_sales(self.inputs.lines, self.inputs.brand, self.inputs.scopes))
 
     @cached_property
     def maps(self) -> DataFrame:
@@ -71,8 +71,8 @@ class CdtPath:
 
     @cached_property
     def staged_maps(self) -> DataFrame:
-        """One folder per scope, so that a scope's fit reads only its own."""
-        return stage(self.maps.repartition("scope_id", "src_item_id"), "maps", partition_by="scope_id")
+        """In order of scope, so that a scope's fit reads only its own row groups, by their statistics."""
+        return stage(self.maps.repartitionByRange("scope_id", "src_item_id").sortWithinPartitions("scope_id"), "maps")
 
     @cached_property
     def forest(self) -> DataFrame:

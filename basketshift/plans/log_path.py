@@ -12,7 +12,7 @@ from basketshift.operators import coview
 from basketshift.operators import facts as X
 from basketshift.operators import scope as S
 from basketshift.params import Params
-from basketshift.session import check_scopes, require, stage
+from basketshift.session import require, stage
 from basketshift.sources.readers import INTEREST_CODES, view_scan
 
 
@@ -35,7 +35,7 @@ class LogPath:
 
     @cached_property
     def scopes(self) -> DataFrame:
-        return check_scopes(stage(self.inputs.scopes, "scopes"))
+        return stage(self.inputs.scopes, "scopes")
 
     @cached_property
     def brand(self) -> DataFrame | None:

@@ -12,7 +12,7 @@ from basketshift.operators import facts as X
 from basketshift.operators import scope as S
 from basketshift.operators import switching as W
 from basketshift.params import Params
-from basketshift.session import check_scopes, require, stage, together
+from basketshift.session import require, stage, together
 
 
 @dataclass
@@ -39,7 +39,7 @@ class OrderPath:
 
     @cached_property
     def scopes(self) -> DataFrame:
-        return check_scopes(stage(self.inputs.scopes, "scopes"))
+        return stage(self.inputs.scopes, "scopes")
 
     @cached_property
     def member(self) -> DataFrame:

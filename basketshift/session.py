@@ -1,4 +1,4 @@
-"""Session settings, shared staging tables and size-checked broadcasts."""
+"""Session settings and shared staging tables."""
 
 from __future__ import annotations
 
@@ -16,11 +16,6 @@ _local_root: tempfile.TemporaryDirectory | None = None
 _run = uuid.uuid4().hex[:12]
 _cleaning = False
 
-# Rows of a table held once per scope. A scope row is about 100 bytes, so the
-# largest such broadcast is about 50 MB.
-MAX_SCOPES = 500_000
-
-
 def build_session(app: str = "basketshift", master: str | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str | None = None) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -118,19 +113,3 @@ def require(spark: SparkSession) -> None:
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this run has staged so far."""
     _folder_deleter(spark)()
-
-
-def per_scope(df: DataFrame) -> DataFrame:
-    """Broadcast a table that holds one row per scope.
-
-    Its size is bounded by the work list, which ``check_scopes`` has counted.
-    """
-    return F.broadcast(df)
-
-
-def check_scopes(scopes: DataFrame) -> DataFrame:
-    """Refuse a work list too long for the per-scope broadcasts."""
-    n = scopes.count()
-    if n > MAX_SCOPES:
-        raise ValueError(f"{n} scopes in one job; split the work list at {MAX_SCOPES}")
-    return scopes

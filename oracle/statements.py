@@ -357,6 +357,9 @@ def all_statements() -> dict[str, str]:
         "seller_scope": sql(f"""select s.scope_id, o.item_sku_id, count(*) as n_lines from order_lines o join skus k using (item_sku_id)
             join ({scope_sql('self', 'sku')} union all {scope_sql('pop', 'sku')} union all {scope_sql('all', 'sku')}) s on s.c3 = o.cid3
              and k.sku_type <> 'other' and (s.self_pop = 'all' or s.self_pop = k.sku_type) where {in_window} group by all"""),
+        "seller_scope_history": sql(f"""select s.scope_id, o.item_sku_id, count(*) as n_lines from order_lines o join skus k using (item_sku_id)
+            join ({scope_sql('self', 'sku')} union all {scope_sql('pop', 'sku')} union all {scope_sql('all', 'sku')}) s on s.c3 = o.cid3
+             and k.sku_type <> 'other' and (s.self_pop = 'all' or s.self_pop = k.sku_type) where {in_window} group by all"""),
         "lvl4_scope": sql(f"""select s.scope_id, o.item_sku_id, count(*) as n_lines from order_lines o join skus k using (item_sku_id)
             join fourth f on f.sku_id = o.item_sku_id join ({SUB_SCOPES}) s on s.c3 = o.cid3 and s.scope_desc = f.attr_value
             where k.sku_type = 'self' and {in_window} group by all"""),
@@ -407,6 +410,19 @@ def all_statements() -> dict[str, str]:
         "pair_base": sql(f"select {PAIR}, round(switching_prob, 6) as switching_prob from pairs", sku, PAIR_STEPS),
         "attr_split": sql("""select a.scope_id, a.attr_key, a.item_id, case when not k.numeric then a.attr_val end as text_val,
             case when k.numeric then try_cast(a.attr_val as double) end as num_val from sattr a join kinds k using (scope_id, attr_key)""", attrs),
+        "attr_split_dirty": sql("""
+            select a.scope_id, a.attr_key, a.item_id, case when not k.numeric then a.v end as text_val,
+                   case when k.numeric then try_cast(a.num as double) end as num_val
+            from judged a join (select scope_id, attr_key, count(v) > 0 and count(v) = count(num) as numeric from judged group by all) k
+              using (scope_id, attr_key)""", {"scope3": scope_sql("self", "sku"), "dirty": """
+            select cast(p_partkey as varchar) as item_id, attr_key,
+                   case attr_key when 'spelled' then case p_partkey % 5 when 0 then '1e2' when 1 then '+3.' when 2 then '.5' when 4 then '-0.25' end
+                                 when 'infinite' then case when p_partkey % 3 = 0 then 'Infinity' else cast(p_partkey % 10 as varchar) end
+                                 when 'suffixed' then case when p_partkey % 3 = 0 then '5d' else cast(p_partkey % 10 as varchar) end
+                                 else case when p_partkey % 3 <> 0 then cast(p_partkey % 10 as varchar) end end as v
+            from part, (values ('spelled'), ('not a number'), ('infinite'), ('suffixed'), ('blank')) t(attr_key)""", "judged": """
+            select s.scope_id, d.attr_key, d.item_id, d.v, case when d.v not in ('Infinity', '5d') then d.v end as num
+            from dirty d join skus k on k.item_sku_id = d.item_id and k.sku_type = 'self' join scope3 s on s.c3 = k.cid3"""}),
         "attr_collapse": sql("""select a.scope_id, a.attr_key, k.p_brand as item_id, max(a.attr_val) as attr_val from sattr a
             join skus k on k.item_sku_id = a.item_id group by all""", attrs),
         "attr_filter": sql(f"""select s.scope_id, a.attr_name as attr_key, a.sku_id as item_id, a.attr_value as attr_val from attrs a
@@ -418,6 +434,15 @@ def all_statements() -> dict[str, str]:
         "attr_numeric": sql(f"select {PAIR}, attr_key, round(similarity, 6) as similarity from num_sim", sku, more, PAIR_STEPS),
         "pair_sales": sql(f"""select {PAIR}, round(switching_prob, 6) as switching_prob, round(from_sales, 4) as "fromSales",
             round(to_sales, 4) as "toSales" from sales""", sku, PAIR_STEPS),
+        "pair_sales_brand": sql("""
+            select p.scope_id, p.src_item_id, p.dst_item_id, round(p.switching_prob, 6) as switching_prob,
+                   round(coalesce(a.sales, avg(a.sales) over (partition by p.scope_id)), 4) as "fromSales",
+                   round(coalesce(b.sales, avg(b.sales) over (partition by p.scope_id)), 4) as "toSales"
+            from pairs p left join brand_net a on a.scope_id = p.scope_id and a.item_id = p.src_item_id
+            left join brand_net b on b.scope_id = p.scope_id and b.item_id = p.dst_item_id""", brand, {"pairs": PAIR_STEPS["pairs"], "brand_net": f"""
+            select s.scope_id, m.item_id, cast(sum(o.after_amt) as double) as sales
+            from order_lines o join brand_of m on m.item_sku_id = o.item_sku_id and m.item_id is not null join scopes s on s.c3 = o.cid3
+            where o.valid = 1 and o.sale_ord_dt between date '{START}' and date '{END}' group by all"""}),
         "attr_matrix": sql("""
             select s.scope_id, s.src_item_id, s.dst_item_id, round(any_value(s.switching_prob), 6) as "switchProb",
                    round(max(case when x.attr_key = 'colour' then x.similarity end), 6) as colour,
@@ -462,5 +487,9 @@ def all_statements() -> dict[str, str]:
             select w.scope_id, w.src_item_id, w.dst_item_id, round(w.switching_prob, 6) as switching_prob,
                    case when s.c3 = 'SMALL' then 'old' else w.model end as model, '2001-08-01' as dt, s.c3 as cid3
             from switching w join scopes s using (scope_id)""", sku),
+        "publish_rerun": sql("""
+            select w.scope_id, w.src_item_id, w.dst_item_id, round(w.switching_prob, 6) as switching_prob,
+                   case when s.c3 = 'PROMO' then w.model else 'old' end as model, '2001-08-01' as dt, s.c3 as cid3
+            from switching w join scopes s using (scope_id) where s.c3 not in ('ECONOMY', 'SMALL')""", sku),
         "mark_done": sql("select case when dt < '2000-01-01' then '1' else status end as status, dt, cid3 from control"),
     }

@@ -129,3 +129,32 @@ def test_importances(spark, fit, name):
     assert set(est) == {(s, c) for s in "ab" for c in ("x", "y", "z", "fromSales", "toSales")}
     assert est["a", "x"] == 1.0 and est["b", "z"] == 1.0
     assert all(0 <= v < 0.3 for k, v in est.items() if k not in (("a", "x"), ("b", "z")))
+
+
+def test_a_scope_without_usable_rows_does_not_stop_the_others(spark):
+    from basketshift.operators.importance import cdt_rf
+
+    rows = [("good", f"s{i}", f"d{i}", i % 5 / 5.0, float(i), 2.0, {"k": float(i % 5)}) for i in range(30)]
+    rows += [("single", "a", "b", 0.5, 1.0, 1.0, {"k": 1.0}), ("no sales", "a", "b", 0.5, None, None, {"k": 1.0}),
+             ("no sales", "b", "a", 0.1, None, None, {"k": 0.0}), ("empty", "a", "b", 0.5, None, None, {"k": None})]
+    maps = spark.createDataFrame(rows, "scope_id string, src_item_id string, dst_item_id string, switching_prob double, fromSales double, toSales double, sims map<string,double>")
+    got = {}
+    for r in cdt_rf(maps).collect():
+        got.setdefault(r["scope_id"], {})[r["attdesc"]] = r["Estimate"]
+    assert set(got) == {"good", "no sales"} and set(got["good"]) == {"k", "fromSales", "toSales"} and set(got["no sales"]) == {"k"}
+
+
+def test_only_plain_finite_numbers_count(spark):
+    from basketshift.functions import columns as C
+
+    texts = ["1", "-2.5", "+3.", ".5", "1e3", "1e999", "NaN", "Infinity", "5d", "0x10", "", " 1", "1 2", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(C.number("t")).collect()]
+    assert got == [1.0, -2.5, 3.0, 0.5, 1000.0] + [None] * 9
+    nan = spark.range(1).select(C.log_distance(F_lit("nan"), F_lit("1")), C.log_distance(F_lit("inf"), F_lit("1")), C.log_distance(F_lit("3"), F_lit("1"))).first()
+    assert nan[0] is None and nan[1] is None and nan[2] == 1.0
+
+
+def F_lit(text):
+    from pyspark.sql import functions as F
+
+    return F.lit(float(text))

@@ -49,6 +49,25 @@ def test_order_batch(spark, tmp_path):
     assert Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run() is None
 
 
+def test_each_day_is_computed_for_itself(spark, tmp_path):
+    """Two pending days: each gets the window that ends on it, and the same result as in a batch of its own."""
+    ctl, root, alone = (str(tmp_path / n) for n in ("control", "out", "alone"))
+    p = Params(end_date=date(2001, 7, 31), start_date=date(1995, 8, 1), prod_tail=0.95)
+    control(spark, ctl, ("0", "2001-07-31", "ECONOMY"), ("0", "2000-06-30", "PROMO"))
+    assert Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run().count() == 2
+    assert set(flags(spark, ctl).values()) == {"1"}
+    published = K.read_partitions(spark, f"{root}/switching_prob", schemas.SWITCHING)
+    days = {(r["dt"], r["cid3"]) for r in published.select("dt", "cid3").distinct().collect()}
+    assert days == {("2001-08-01", "ECONOMY"), ("2000-07-01", "PROMO")}
+    early = Params(end_date=date(2000, 6, 30), start_date=date(1994, 7, 1), prod_tail=0.95)
+    control(spark, ctl + "2", ("0", "2000-06-30", "PROMO"))
+    Batch(spark, ctl + "2", alone, inputs(spark), early, BatchOptions()).run()
+    rows = lambda r: sorted(map(tuple, K.read_partitions(spark, f"{r}/switching_prob", schemas.SWITCHING).where("cid3 = 'PROMO'").collect()))
+    assert rows(root) == rows(alone) and rows(root)
+    raw = K.read_partitions(spark, f"{root}/cdt_raw", schemas.CDT)
+    assert {"colour", "fromSales"} <= {r["attdesc"] for r in raw.select("attdesc").distinct().collect()}
+
+
 def test_watched_log_batch_of_sub_scopes(spark, tmp_path):
     ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
     control(spark, ctl, ("0", "2024-01-31", "ECONOMY-LARGE-SMALL"), ("1", "2024-01-30", "PROMO"))

@@ -207,9 +207,3 @@ def test_staged_tables_can_be_dropped(spark):
     session.drop_staged(spark)
     import os
     assert not os.path.exists(path.replace("file://", ""))
-
-
-def test_scope_limit(spark, monkeypatch):
-    monkeypatch.setattr(session, "MAX_SCOPES", 2)
-    with pytest.raises(ValueError):
-        session.check_scopes(spark.range(3))

@@ -328,3 +328,17 @@ def test_block_join_is_the_plain_join(spark):
     split = P.block_join(left.join(sizes, "k"), right.join(sizes.withColumnsRenamed({"nl": "ml", "nr": "mr"}), "k"), ["k"], left_item="a",
                          right_item="b", left_count=("nl", "nr"), right_count=("mr", "ml"), size=4)
     assert sorted(plain.select("k", "a", "b").collect()) == sorted(split.select("k", "a", "b").collect())
+
+
+def test_amounts_below_a_hundredth_count(spark):
+    """A line of 0.004 is summed as it is; one that is 0 at four decimals is left out; no total is a zero divisor."""
+    from basketshift.functions import columns as C
+    from basketshift.operators import facts as X
+
+    lines = spark.createDataFrame([("a", 1.0, 0.004), ("b", 1.0, 0.00001), ("c", 0.0, 5.0), ("d", 1.0, 0.9499)], "id string, sale_qtty double, before_prefr_amount double")
+    kept = X.positive_filter(lines)
+    assert [(r[0], r[1]) for r in kept.select("id", C.units(C.scaled("before_prefr_amount"))).collect()] == [("a", 0.004), ("d", 0.9499)]
+    promo = lines.withColumn("after_prefr_amount", C.F.lit(0.9030))
+    assert [r[0] for r in X.nonpromo_filter(promo.where("id = 'd'"), "0.951").collect()] == []
+    assert [r[0] for r in X.nonpromo_filter(promo.where("id = 'd'"), "0.9506").collect()] == ["d"]
+    assert spark.range(1).select(C.within_spend(C.F.lit(1.0), C.F.lit(1.0), C.F.lit(0.0))).first()[0] is None

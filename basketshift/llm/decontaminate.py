@@ -49,19 +49,31 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def _moves(word: np.ndarray, step: int, seeds: np.ndarray | int) -> np.ndarray:
+    """1 where a walk moves on from a word at a step, a random function of both."""
+    with np.errstate(over="ignore"):
+        start = (np.asarray(seeds, dtype=np.uint64) << np.uint64(20)) + np.uint64(step + 1)
+        return ((word.astype(np.uint64) + start * GOLDEN) * MIX >> np.uint64(61) & np.uint64(1)).astype(np.int64)
+
+
 def embed(windows: np.ndarray, steps: int, seed: int) -> np.ndarray:
     """The CGK embedding of each row of word numbers: ``steps`` words each, 0 once a walk is past the end."""
+    every = np.arange(steps)[None, :]
+    return sampled(windows, np.array([seed]), every)[0]
+
+
+def sampled(windows: np.ndarray, seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The words at the ``places`` (a sorted row per seed) of each window's embeddings: seeds x windows x places."""
     n, size = windows.shape
     padded = np.concatenate([windows, np.zeros((n, 1), dtype=windows.dtype)], axis=1)
-    at, rows = np.zeros(n, dtype=np.int64), np.arange(n)
-    out = np.empty((steps, n), dtype=windows.dtype)
-    for j in range(steps):
+    rows, at = np.arange(n)[None, :], np.zeros((len(seeds), n), dtype=np.int64)
+    out = np.zeros((len(seeds), n, places.shape[1]), dtype=windows.dtype)
+    for step in range(int(places.max()) + 1):
         word = padded[rows, at]
-        out[j] = word
-        with np.errstate(over="ignore"):
-            bit = ((word.astype(np.uint64) + np.uint64((seed << 20) + j + 1) * GOLDEN) * MIX >> np.uint64(61)) & np.uint64(1)
-        at = np.minimum(at + bit.astype(np.int64), size)
-    return out.T
+        for seed, place in zip(*np.nonzero(places == step), strict=True):
+            out[seed, :, place] = word[seed]
+        at = np.minimum(at + _moves(word, step, seeds[:, None]), size)
+    return out
 
 
 def edit_distance_within(item: Sequence[int], text: Sequence[int], most: int) -> tuple[int, int] | None:
@@ -107,13 +119,12 @@ class LengthClass:
         self.size = min(len(w) for _, w in items)
         self.most = max(int(params.share * len(w)) for _, w in items)
         self.heads = self.rows([w for _, w in items])
-        self.repeats = 1
-        self.samples = self._samples(params.most_repeats)
+        self.seeds, self.places = self._samples(params.most_repeats)
         self.repeats = self._needed()
-        self.samples = self.samples[:self.repeats]
-        keys = [self.key(self.heads, t) for t in range(self.repeats)]
-        self.keys = [np.sort(k) for k in keys]
-        self.order = [np.argsort(k, kind="stable") for k in keys]
+        self.seeds, self.places = self.seeds[:self.repeats], self.places[:self.repeats]
+        keys = self.keys_of(self.heads)
+        self.order = np.argsort(keys, axis=1, kind="stable")
+        self.keys = np.take_along_axis(keys, self.order, axis=1)
 
     def rows(self, texts: list[list[int]]) -> np.ndarray:
         """The first ``size`` words of each, filled up with 0."""
@@ -122,19 +133,19 @@ class LengthClass:
             out[i, :min(self.size, len(t))] = t[:self.size]
         return out
 
-    def _samples(self, n: int) -> list[tuple[int, np.ndarray]]:
+    def _samples(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.params.seed * 1000 + self.size)
         # The walk stands near word j / 2 at step j: places within twice the size are words of the window.
-        reach = min(self.params.stretch * self.size, 2 * self.size)
-        return [(t + 1, np.sort(rng.choice(reach, min(self.params.places, reach), replace=False))) for t in range(n)]
+        reach = min(self.params.stretch, 2) * self.size
+        return self.params.seed + 1 + np.arange(n), np.array([np.sort(rng.choice(reach, min(self.params.places, reach), replace=False)) for _ in range(n)])
 
-    def key(self, windows: np.ndarray, repeat: int) -> np.ndarray:
-        seed, places = self.samples[repeat]
-        out = embed(windows, int(places[-1]) + 1, self.params.seed + seed)[:, places].astype(np.uint64)
-        mixed = np.full(len(windows), repeat + 1, dtype=np.uint64)
+    def keys_of(self, windows: np.ndarray) -> np.ndarray:
+        """A key per repeat and window."""
+        words = sampled(windows, self.seeds, self.places).astype(np.uint64)
+        mixed = np.repeat(np.arange(1, len(self.seeds) + 1, dtype=np.uint64)[:, None], len(windows), axis=1)
         with np.errstate(over="ignore"):
-            for c in range(out.shape[1]):
-                mixed = (mixed ^ out[:, c]) * MIX
+            for c in range(words.shape[2]):
+                mixed = (mixed ^ words[:, :, c]) * MIX
                 mixed ^= mixed >> np.uint64(29)
         return mixed
 
@@ -145,18 +156,14 @@ class LengthClass:
         rng = random.Random(self.params.seed)
         picked = [rng.randrange(len(self.items)) for _ in range(self.params.simulations)]
         texts = self.rows([edited(self.items[i][1], int(self.params.share * len(self.items[i][1])), rng, 0) for i in picked])
-        missed = np.ones(len(picked), dtype=bool)
-        for t in range(self.params.most_repeats):
-            missed &= self.key(texts, t) != self.key(self.heads[picked], t)
-            if missed.mean() <= 1 - self.params.recall:
-                return t + 1
-        return self.params.most_repeats
+        hit = self.keys_of(texts) == self.keys_of(self.heads[picked])
+        reached = np.nonzero(np.logical_or.accumulate(hit, axis=0).mean(axis=1) >= self.params.recall)[0]
+        return int(reached[0]) + 1 if len(reached) else self.params.most_repeats
 
     def candidates(self, windows: np.ndarray) -> list[tuple[int, int]]:
         """(window, item) pairs with an equal key that have words enough in common."""
         found = []
-        for t in range(self.repeats):
-            key = self.key(windows, t)
+        for t, key in enumerate(self.keys_of(windows)):
             low, high = np.searchsorted(self.keys[t], key, "left"), np.searchsorted(self.keys[t], key, "right")
             for k in range(int((high - low).max(initial=0))):
                 w = np.nonzero(high - low > k)[0]
@@ -194,7 +201,7 @@ class ItemIndex:
                 start = i
         self.pairs = np.unique(np.array([a << 32 | b for _, w in numbered for a, b in zip(w, w[1:], strict=False)], dtype=np.int64))
 
-    def search(self, texts: list[str], chunk: int = 20_000) -> list[tuple[int, int, int, int, int]]:
+    def search(self, texts: list[str], chunk: int = 5_000) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, word behind the last) of the nearest window of each item that is near enough.
 
         A window within ``most`` edits of an item has at most ``most`` words that no item has, and at most twice as

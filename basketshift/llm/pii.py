@@ -28,8 +28,9 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# What could be an identifier: a string without white space that has digits.
-TOKEN = re.compile(r"(?<!\S)[\"'(\[<]*(\S*[0-9]\S*?)[\"')\]>.,;:!?]*(?!\S)")
+# What could be an identifier: a string without white space that has digits, less the punctuation around it.
+TOKEN = re.compile(r"(?<!\S)\S*[0-9]\S*")
+OPENING, CLOSING = "\"'([<", "\"')]>.,;:!?"
 
 
 @dataclass(frozen=True)
@@ -119,11 +120,12 @@ def candidates(text: str, base: list[tuple[int, int, int]], params: PiiParams) -
     out = [(s, e, k) for s, k, e in base]
     i, reach = 0, 0
     for m in TOKEN.finditer(text):
-        s, e = m.span(1)
+        s = m.end() - len(m[0].lstrip(OPENING))
+        e = m.start() + len(m[0].rstrip(CLOSING))
         while i < len(base) and base[i][0] < e:
             reach = max(reach, base[i][2])
             i += 1
-        if reach <= s and e - s <= params.longest and len(digits_of(m[1])) >= params.least_digits:
+        if reach <= s and e - s <= params.longest and len(digits_of(text[s:e])) >= params.least_digits:
             out.append((s, e, -1))
     return out
 

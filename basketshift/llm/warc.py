@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketshift.llm.common import map_rows, parts_for, prepare, text_of
@@ -41,10 +41,12 @@ class WarcParams:
     compression: str = "gzip"
 
 
-def record_id(page_id: int | None, row_no: int) -> str:
-    """An id that holds the page (0 for a null one, marked by the highest bit of the row) and its row."""
+def record_id(page_id: int | None, sha1_hex: str, copy: int) -> str:
+    """An id made of the page (0 for a null one, which the highest bit of the lower half marks), the payload and a number
+    for rows that agree in both."""
     high = 0 if page_id is None else page_id & (1 << 64) - 1
-    return f"<urn:uuid:{uuid.UUID(int=high << 64 | row_no | (1 << 63 if page_id is None else 0))}>"
+    low = int(sha1_hex[:10], 16) << 23 | copy
+    return f"<urn:uuid:{uuid.UUID(int=high << 64 | low | (1 << 63 if page_id is None else 0))}>"
 
 
 def page_of(record: str) -> int | None:
@@ -77,20 +79,19 @@ def url_key(url: str) -> str:
             + (f"?{parts.query}" if parts.query else "")).lower()
 
 
-def record(page_id: int | None, row_no: int, url: str | None, payload: str, sha1_hex: str, keep_id: int | None, keep_row: int) -> str:
+def record(page_id: int | None, copy: int, url: str | None, payload: str, sha1_hex: str, keep_id: int | None, revisit: bool) -> str:
     """One WARC record without the two line ends that close it.
 
     A revisit carries the HTTP header, with the length of the full payload, but no payload.
     """
-    revisit = row_no != keep_row
     size = len(payload.encode("utf-8"))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
     digest = base64.b32encode(bytes.fromhex(sha1_hex)).decode()
     target = header_value(url) if url else f"urn:page:{page_id}"
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, row_no)}",
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, sha1_hex, copy)}",
              f"WARC-Date: {timestamp_of(page_id)}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}"]
     if revisit:
-        lines += [f"WARC-Refers-To: {record_id(keep_id, keep_row)}", f"WARC-Profile: {REVISIT_PROFILE}"]
+        lines += [f"WARC-Refers-To: {record_id(keep_id, sha1_hex, 0)}", f"WARC-Profile: {REVISIT_PROFILE}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (0 if revisit else size)}"]
     return "\r\n".join(lines) + "\r\n\r\n" + http + ("" if revisit else payload)
 
@@ -183,30 +184,30 @@ def write_archives(pages: DataFrame, folder: str, params: WarcParams = WarcParam
     is a response and the others revisit it; of rows with the same page_id and payload, exactly one.
     A null html is an empty payload, a null page_id is smaller than all others, a null or empty url becomes a page URN.
     """
-    spark = pages.sparkSession
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), text_of("html").alias("html"),
-                        F.monotonically_increasing_id().alias("row_no"))
-    facts = stage(rows.select("page_id", "row_no", F.sha1(F.col("html").cast("binary")).alias("sha1"),
-                              F.octet_length("html").cast("bigint").alias("size")), "payloads")
-    best = facts.where(F.col("size") >= params.least_bytes).groupBy("sha1", "size").agg(F.max(F.struct("page_id", "row_no")).alias("best"))
-    decided = stage(facts.join(best, ["sha1", "size"], "left")
-                    .select("row_no", "sha1", F.col("best.page_id").alias("keep_id"),
-                            F.coalesce("best.row_no", "row_no").alias("keep_row")), "payload-owners")
+    key = F.coalesce(F.col("page_id"), F.lit(-(1 << 63)))
+    rows = (pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), text_of("html").alias("html"))
+            .withColumns({"key": key, "sha1": F.sha1(F.col("html").cast("binary"))}))
+    # One row per page and payload decides for all rows that agree in both; they are told apart by number where they meet.
+    facts = stage(rows.groupBy("key", "sha1").agg(F.first("page_id").alias("page_id")), "payloads")
+    decided = stage(facts.join(facts.groupBy("sha1").agg(F.max("page_id").alias("keep_id")), "sha1")
+                    .select("key", "sha1", "keep_id", F.col("page_id").eqNullSafe(F.col("keep_id")).alias("owner")), "payload-owners")
+    copy = (F.row_number().over(Window.partitionBy("key", "sha1").orderBy(F.lit(0))) - 1).alias("copy")
 
     def compose(batches) -> Iterator[dict]:
         written, roll = 0, 0
         for b in batches:
             values, rolls = [], []
-            for page, row, url, html, sha1, keep_id, keep_row in zip(*(b[c] for c in columns), strict=True):
-                values.append(record(page, row, url, html, sha1, keep_id, keep_row))
+            for page, url, html, sha1, keep_id, owner, copy in zip(*(b[c] for c in columns), strict=True):
+                small = len(html.encode("utf-8")) < params.least_bytes
+                values.append(record(page, copy, url, html, sha1, keep_id, not small and (not owner or copy > 0)))
                 rolls.append(roll)
                 written += len(values[-1])
                 if written >= params.archive_bytes:
                     written, roll = 0, roll + 1
             yield {"value": values, "roll": rolls}
 
-    columns = ["page_id", "row_no", "url", "html", "sha1", "keep_id", "keep_row"]
-    composed = map_rows(rows.join(decided, "row_no").select(*columns), compose, "value string, roll int")
+    columns = ["page_id", "url", "html", "sha1", "keep_id", "owner", "copy"]
+    composed = map_rows(rows.join(decided, ["key", "sha1"]).select(*columns[:-1], copy), compose, "value string, roll int")
     composed.write.partitionBy("roll").option("lineSep", "\r\n\r\n").option("compression", params.compression).text(folder)
 
 

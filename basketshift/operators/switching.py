@@ -107,6 +107,11 @@ def within_spendswitch(within: DataFrame) -> DataFrame:
         F.sum("spendswitch").alias("spendswitch"))
 
 
+def adjacent_measures(adjacent: DataFrame) -> DataFrame:
+    """Spend and both amounts per ordered pair, where nothing else is asked for."""
+    return adjacent.groupBy("scope_id", "src", "dst").agg(*[F.sum(c).alias(c) for c in ("dst_amount", "src_amount", "spendswitch")])
+
+
 def pair_measures(adjacent: DataFrame, within: DataFrame) -> DataFrame:
     """Everything known of an ordered pair, from one aggregation over both kinds of pairs.
 

@@ -375,7 +375,7 @@ def basket_totals(spark, folder):
 
 @query
 def spendswitch(spark, folder):
-    rows = order_path(spark, folder).measures.where("n_adjacent > 0")
+    rows = W.adjacent_measures(order_path(spark, folder).adjacent)
     return rows.select("scope_id", "src", "dst", (F.round(C.units("src_amount"), 2)).alias("src_amount"),
                        F.round(C.units("dst_amount"), 2).alias("dst_amount"), F.round(C.units("spendswitch"), 4).alias("spendswitch"))
 

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from basketshift.llm.common import map_rows, text_of
 
-# Entries that each worker remembers of encoded pieces and judged pairs. Only speed depends on
-# it: what is forgotten is computed again.
-MEMORY = 500_000
+# Encoded pieces, and judged pairs, that each worker remembers. Only speed depends on it: what is
+# forgotten is computed again.
+MEMORY, PAIRS = 200_000, 300_000
 
 
 class Vocabulary:
@@ -88,7 +88,7 @@ class Vocabulary:
         pair = left << 32 | right
         known = self._judged.get(pair)
         if known is None:
-            if len(self._judged) >= MEMORY:
+            if len(self._judged) >= PAIRS:
                 self._judged.clear()
             known = self._judged[pair] = self._apart(self._edge(left, -1), self._edge(right, 0))
         return known
@@ -213,17 +213,22 @@ class PrefixEncoder:
 
 
 class _Remembered(dict):
-    """Results of ``make`` for short keys; forgets all when full."""
+    """Results of ``make`` for short keys, in two generations: when the younger one is full it takes the place of
+    the older one, and what is asked for again moves back. So frequent keys stay."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        out = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[key] = out
+        out = self.older.get(key)
+        if out is None:
+            out = self.make(key)
+            if len(key) > 64:
+                return out
+        if len(self) >= MEMORY // 2:
+            self.older = dict(self)
+            self.clear()
+        self[key] = out
         return out
 
 

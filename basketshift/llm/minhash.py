@@ -59,7 +59,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Distinct shingles of a text, as sorted 64-bit hashes."""
 
-    def __init__(self, words: int, remembered: int = 400_000):
+    def __init__(self, words: int, remembered: int = 150_000):
         self.words, self.remembered = words, remembered
         self.known: dict[bytes, int] = {}
 

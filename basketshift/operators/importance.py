@@ -39,10 +39,14 @@ def _elastic_net(data: DataFrame, seed: int) -> list[float]:
     return [abs(float(c) * float(s)) for c, s in zip(model.coefficients.toArray(), spread)]
 
 
-def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: str, seed: int, threads: int) -> DataFrame:
+def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: str, seed: int, threads: int,
+         failed: list[str] | None = None) -> DataFrame:
     """Fits one model per scope. Each fit is distributed over the scope's pairs; a few run at
     a time. A scope's features are its own keys that have any value, and the sales.
 
+    A scope without usable rows has no importances. A fit that fails is not such a case: its scope is added to ``failed``
+    and the others go on; without that list the error is raised.
+
     ``maps`` has the pair, switching_prob, fromSales, toSales and sims.
     """
     spark = maps.sparkSession
@@ -55,15 +59,19 @@ def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: st
         keys[r["scope_id"]].append(r["k"])
 
     def one(scope):
-        """A scope without usable rows, or whose fit fails, has no importances; the others go on."""
         try:
             return fitted(scope)
         except Exception as error:
-            log.warning("no importances for scope %s: %s", scope, error)
+            if failed is None:
+                raise
+            log.warning("the fit of scope %s failed: %s", scope, error)
+            failed.append(scope)
             return []
 
     def fitted(scope):
         names = sorted(keys[scope])
+        if not names and not sales[scope]:
+            return []
         cells = [F.try_element_at("sims", F.lit(k)) for k in names] + [F.col(c) for c in sales[scope]]
         rows = maps.where(F.col("scope_id") == scope).select(
             F.col("switching_prob").alias(LABEL), *[c.alias(f"x{i}") for i, c in enumerate(cells)]).dropna()
@@ -79,14 +87,14 @@ def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: st
     return spark.createDataFrame(found, schemas.struct(schemas.CDT))
 
 
-def cdt_rf(maps: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
-    """Random-forest importances; the largest of each scope is 1."""
-    return _fit(maps, _forest, FOREST, seed, threads)
+def cdt_rf(maps: DataFrame, seed: int = 7, threads: int = 8, failed: list[str] | None = None) -> DataFrame:
+    """Random-forest importances; the largest of each scope is 1. Scopes whose fit fails go to ``failed``, if given."""
+    return _fit(maps, _forest, FOREST, seed, threads, failed)
 
 
-def cdt_enet(maps: DataFrame, seed: int = 7, threads: int = 8) -> DataFrame:
-    """Absolute standardised elastic-net coefficients; the largest of each scope is 1."""
-    return _fit(maps, _elastic_net, ELASTIC_NET, seed, threads)
+def cdt_enet(maps: DataFrame, seed: int = 7, threads: int = 8, failed: list[str] | None = None) -> DataFrame:
+    """Absolute standardised elastic-net coefficients; the largest of each scope is 1. Scopes whose fit fails go to ``failed``, if given."""
+    return _fit(maps, _elastic_net, ELASTIC_NET, seed, threads, failed)
 
 
 def cdt_translate(cdt: DataFrame, names: DataFrame | None = None) -> DataFrame:

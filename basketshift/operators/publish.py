@@ -46,6 +46,11 @@ def with_partition(df: DataFrame, day: date | str) -> DataFrame:
     return df.withColumns({"dt": F.lit(str(day)), "cid3": F.split("scope_id", "_")[2]})
 
 
+def category_of(scope_id: str) -> str:
+    """The cid3 that ``with_partition`` gives a scope."""
+    return scope_id.split("_")[2]
+
+
 def publish(df: DataFrame, tmp: str, pre: str, final: str, schema: str, work: list[tuple[str, str]] = ()) -> DataFrame:
     """Load into the temporary table, then its partitions into the preview and final tables.
 

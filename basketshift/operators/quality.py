@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -91,9 +92,9 @@ def switch_check(switching: DataFrame, scopes: DataFrame, found_in: str = "scope
             .select("scope_id", F.when(bad, 1).otherwise(0).alias("switch_check")))
 
 
-def cdt_check(cdt: DataFrame, scopes: DataFrame, found_in: str = "scope_id") -> DataFrame:
+def cdt_check(cdt: DataFrame, scopes: DataFrame, found_in: str = "scope_id", failed: Sequence[str] = ()) -> DataFrame:
     """1 if a scope's forest importances do not peak at 1, hold a null or -inf, or carry another
-    scope's id. A scope without output passes."""
+    scope's id. A scope without output passes, but for those in ``failed``, whose fit failed: they are -1."""
     est = F.col("Estimate")
     seen = cdt.where(F.col("SimulationType") == FOREST).groupBy(F.col(found_in).alias("_scope")).agg(
         F.count_if(~F.col("scope_id").eqNullSafe(F.col(found_in))).alias("foreign"), F.max(est).alias("top"),
@@ -101,7 +102,7 @@ def cdt_check(cdt: DataFrame, scopes: DataFrame, found_in: str = "scope_id") ->
     bad = ((F.col("foreign") > 0) | ~F.col("top").eqNullSafe(F.lit(1.0)) | (F.col("low") == float("-inf")) | (F.col("nulls") > 0))
     seen = seen.select(F.col("_scope").alias("scope_id"), F.coalesce(bad, F.lit(True)).alias("_bad"))
     return scopes.select("scope_id").join(seen, "scope_id", "left").select(
-        "scope_id", F.when(F.col("_bad"), 1).otherwise(0).alias("cdt_check"))
+        "scope_id", F.when(F.col("scope_id").isin(*failed), -1).when(F.col("_bad"), 1).otherwise(0).alias("cdt_check"))
 
 
 def status_table(inputs: DataFrame, numbers: DataFrame, switches: DataFrame, cdts: DataFrame) -> DataFrame:

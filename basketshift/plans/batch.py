@@ -84,6 +84,7 @@ class Batch:
 
         A day's analysis has the window of the parameters, moved so that it ends on that day. Work is marked done only after
         the results of its day are published, so a lost run is repeated, and repeating it overwrites the same partitions.
+        A category with a scope whose fit failed is not marked and keeps the importances it has.
         """
         control = K.read_partitions(self.spark, self.control, "status string")
         work = stage(R.pending_scopes(control if pending is None else pending), "work")
@@ -116,16 +117,22 @@ class Batch:
             scoped = scoped.join(ids, "item_id").drop("item_id").withColumnRenamed("brand_id", "item_id")
         lines = R.order_scan(i.lines, p.start_date, p.end_date)
         cdt = CdtPath(CdtInputs(switching, scoped, lines, scopes, i.ignored, brand, self.o.classify_attr))
-        importances = stage(cdt.forest, "cdt")
+        forests, failed = cdt.forest_and_failed
+        importances = stage(forests, "cdt")
+        # Fits that failed may succeed when repeated: their categories stay pending and keep the importances they have.
+        held = sorted({K.category_of(s) for s in failed})
 
         coverage = Q.month_coverage(i.lines.where("sale_ord_valid_flag = 1"), scopes, p.end_date)
         recent = R.order_scan(i.lines, F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS), p.end_date)
         inputs = self._input_codes(coverage, scopes)
         numbers = Q.sku_number(scopes, i.skus, recent, i.fourth)
-        switches, cdts = Q.switch_check(switching, scopes), Q.cdt_check(importances, scopes)
+        switches, cdts = Q.switch_check(switching, scopes), Q.cdt_check(importances, scopes, failed=failed)
         status = stage(Q.status_table(inputs, numbers, switches, cdts), "status")
-        self._publish(scopes, status, switching, importances, cdt, path, [r["cid3"] for r in work.select("cid3").distinct().collect()])
-        K.mark_done(self.control, work)
+        self._publish(scopes, status, switching, importances, cdt, path, [r["cid3"] for r in work.select("cid3").distinct().collect()], held)
+        K.mark_done(self.control, work.where(~F.col("cid3").isin(*held)))
+        if held:
+            # Written anew, so that a watcher, which sees each row once, starts them again.
+            K.overwrite_partitions(work.where(F.col("cid3").isin(*held)).select(F.lit("0").alias("status"), *K.PARTITION), self.control)
         return status
 
     def _input_codes(self, coverage: DataFrame, scopes: DataFrame) -> DataFrame:
@@ -135,7 +142,7 @@ class Batch:
         except PySparkException:
             return scopes.select("scope_id", F.lit(-1).alias("input_check"))
 
-    def _publish(self, scopes, status, switching, importances, cdt, path, categories) -> None:
+    def _publish(self, scopes, status, switching, importances, cdt, path, categories, held=()) -> None:
         day = self.p.publish_date
         fed = status.where("input_check = '0'")
 
@@ -148,8 +155,9 @@ class Batch:
         work = [(str(day), c) for c in categories]
         K.publish(passed(switching, "switch_check"), *table("switching_prob"), schemas.SWITCHING, work)
         # With the keys as they are, and under the names they are shown by.
-        K.publish(passed(importances, "cdt_check"), *table("cdt_raw"), schemas.CDT, work)
-        K.publish(passed(cdt.translated(importances), "cdt_check"), *table("cdt"), schemas.CDT, work)
+        fitted = [(day, c) for day, c in work if c not in held]
+        for rows, name in ((importances, "cdt_raw"), (cdt.translated(importances), "cdt")):
+            K.publish(passed(rows, "cdt_check").where(~F.col("cid3").isin(*held)), *table(name), schemas.CDT, fitted)
         outputs = {"scope": [S.scope_descriptor(scopes)], "sku_in_scope": [path.sku_in_scope]}
         if isinstance(path, OrderPath):
             outputs["spendswitch"] = [path.detail]

@@ -78,6 +78,12 @@ class CdtPath:
     def forest(self) -> DataFrame:
         return M.cdt_rf(self.staged_maps)
 
+    @cached_property
+    def forest_and_failed(self) -> tuple[DataFrame, list[str]]:
+        """The forests that could be fitted, and the scopes whose fit failed."""
+        failed: list[str] = []
+        return M.cdt_rf(self.staged_maps, failed=failed), failed
+
     @cached_property
     def elastic_net(self) -> DataFrame:
         return M.cdt_enet(self.staged_maps)

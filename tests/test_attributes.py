@@ -158,3 +158,24 @@ def F_lit(text):
     from pyspark.sql import functions as F
 
     return F.lit(float(text))
+
+
+def test_a_failing_fit_is_not_a_scope_without_rows(spark):
+    from basketshift.operators import importance as M
+    from basketshift.operators import quality as Q
+
+    rows = [(s, f"s{i}", f"d{i}", i % 5 / 5.0, 1.0, 2.0, {"k": float(i % 5)}) for s, n in (("good", 30), ("lost", 7), ("single", 1)) for i in range(n)]
+    maps = spark.createDataFrame(rows, "scope_id string, src_item_id string, dst_item_id string, switching_prob double, fromSales double, toSales double, sims map<string,double>")
+
+    def fit(data, seed):
+        if data.count() == 7:
+            raise RuntimeError("executor lost")
+        return [1.0, 0.5, 0.5]
+
+    failed = []
+    found = M._fit(maps, fit, M.FOREST, 7, 2, failed)
+    assert failed == ["lost"] and {r["scope_id"] for r in found.collect()} == {"good"}
+    codes = Q.cdt_check(found, maps.select("scope_id").distinct(), failed=failed).collect()
+    assert {r["scope_id"]: r["cdt_check"] for r in codes} == {"good": 0, "lost": -1, "single": 0}
+    with pytest.raises(RuntimeError):
+        M._fit(maps, fit, M.FOREST, 7, 2)

@@ -95,3 +95,28 @@ def test_extended_attributes(spark, ext):
 
     df = spark.createDataFrame([(1, "7", "colour", "red", "c", "d")], schemas.EXTENDED_ATTRIBUTES)
     assert tuple(extended_as_attributes(df).first()) == ("7", 1, "colour", "red")
+
+
+def test_a_failed_fit_keeps_importances_and_stays_pending(spark, tmp_path, monkeypatch):
+    from basketshift.operators import importance as M
+
+    ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
+    p = Params(end_date=date(2001, 7, 31), start_date=date(1995, 8, 1), prod_tail=0.95)
+    rows = lambda name: sorted(map(tuple, K.read_partitions(spark, f"{root}/{name}", schemas.CDT).where("cid3 = 'ECONOMY'").collect()))
+    pending = (("0", "2001-07-31", "ECONOMY"), ("0", "2001-07-31", "PROMO"))
+    control(spark, ctl, *pending)
+    Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run()
+    first = {n: rows(n) for n in ("cdt", "cdt_raw")}
+    control(spark, ctl, *pending)
+    whole = M.cdt_rf
+    economy = "1_11_ECONOMY_self_lvl3_economy_sku"
+
+    def broken(maps, seed=7, threads=8, failed=None):
+        failed.append(economy)
+        return whole(maps.where(f"scope_id <> '{economy}'"), seed, threads, failed)
+
+    monkeypatch.setattr(M, "cdt_rf", broken)
+    status = {r["scope_id"]: r for r in Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run().collect()}
+    assert status[economy]["cdt_check"] == "-1" and status[economy]["status"] == "1" and sorted(r["status"] for r in status.values()) == ["0", "1"]
+    assert flags(spark, ctl) == {("2001-07-31", "ECONOMY"): "0", ("2001-07-31", "PROMO"): "1"}
+    assert all(first.values()) and {n: rows(n) for n in first} == first

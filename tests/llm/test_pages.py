@@ -65,6 +65,23 @@ def test_pairs_do_not_depend_on_blocks(spark):
     assert a == b and all(f"own {i}" in t or t == "" for i, t in a.items()) and any("Top" not in t for t in a.values())
 
 
+def test_text_survives_copies_passages_and_teasers(spark):
+    body = lambda *b: "".join(f"<div>{x}</div>" for x in b)
+    story, long = ["Once", "upon", "a", "time", "there", "was", "a", "page", "of", "ten"], "A long body in a plain element. " * 5
+    rows = [(1, "http://two.example/a", body(*story)), (2, "http://two.example/b", body(*story)),
+            (3, "http://re.example/a?1", body("Site", *story, "seen 1")), (4, "http://re.example/a?2", body("Site", *story, "seen 2")),
+            (5, "http://re.example/b", body("Site", "Other one", "more")), (6, "http://re.example/c", body("Site", "Another", "less")),
+            (7, "http://pass.example/a", body("Site", "One", "A common passage")), (8, "http://pass.example/b", body("Site", "Two", "A common passage", "x")),
+            (9, "http://pass.example/c", body("Site", "Three", "y")),
+            (10, "http://tease.example/a", body("Site") + "<article><p>Teaser</article>" + body(long)),
+            (11, "http://tease.example/b", body("Site") + f"<main><p>{long}</main>" + body("Off")), (12, "http://tease.example/c", body("Site", "Other"))]
+    got = {r.page_id: r.text for r in page_diff.main_text(pages(spark, rows)).collect()}
+    text = "\n".join(story)
+    assert got[1] == got[2] == text and got[3] == text + "\nseen 1" and got[4] == text + "\nseen 2"
+    assert got[5] == "Other one\nmore" and got[7] == "One\nA common passage" and got[8] == "Two\nA common passage\nx"
+    assert got[10] == "Teaser\n" + long.strip() and got[11] == long.strip() and got[12] == "Other"
+
+
 def archived(spark, rows, **params):
     folder = staging_path(spark, "test-warc")
     return folder, warc.archive_and_index(pages(spark, rows), folder, warc.WarcParams(**params))

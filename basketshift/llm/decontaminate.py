@@ -4,7 +4,8 @@ A window of a text and an item that differ by few insertions, deletions and repl
 distance under the CGK embedding: a walk over the words that, at each step, writes down the current word
 and moves on or stays, as a random function of step and word says. Two walks that an edit has parted tend to meet again.
 Sampled places of the embedded strings are the keys of a locality-sensitive index. Walks and samples are repeated until
-simulated edits at the allowed distance are found at the target recall; copies without edits are always found. Every hit is
+simulated edits at the allowed distance are found at the target recall; copies without edits are always found. Where that takes too
+many repeats, as for long items, all windows that pass the lossless word filters are candidates instead. Every hit is
 confirmed by the exact edit distance.
 """
 
@@ -40,6 +41,8 @@ class EditParams:
     recall: float = 0.95
     simulations: int = 400
     most_repeats: int = 96
+    # How often that many repeats are added for a class that has not reached the recall, before it is checked exactly.
+    rounds: int = 4
     # Items that one pass over the texts holds in its index; more items take more passes.
     items_per_pass: int = 20_000
     seed: int = 7
@@ -112,15 +115,25 @@ def edited(words: list[int], edits: int, rng: random.Random, foreign: int) -> li
 
 
 class LengthClass:
-    """The index of items of nearly one length: sampled places of ``repeats`` walks over windows of ``size`` words."""
+    """The index of items of nearly one length: sampled places of ``repeats`` walks over windows of ``size`` words.
+
+    ``exact``: the walks do not reach the recall, and every window is a candidate for every item.
+    """
 
     def __init__(self, items: list[tuple[int, list[int]]], params: EditParams):
         self.items, self.params = items, params
         self.size = min(len(w) for _, w in items)
         self.most = max(int(params.share * len(w)) for _, w in items)
         self.heads = self.rows([w for _, w in items])
-        self.seeds, self.places = self._samples(params.most_repeats)
-        self.repeats = self._needed()
+        for n in range(1, params.rounds + 1):
+            self.seeds, self.places = self._samples(n * params.most_repeats)
+            needed = self._needed()
+            if needed is not None:
+                break
+        self.exact = needed is None
+        self.repeats = needed or 0
+        if self.exact:
+            return
         self.seeds, self.places = self.seeds[:self.repeats], self.places[:self.repeats]
         keys = self.keys_of(self.heads)
         self.order = np.argsort(keys, axis=1, kind="stable")
@@ -149,8 +162,8 @@ class LengthClass:
                 mixed ^= mixed >> np.uint64(29)
         return mixed
 
-    def _needed(self) -> int:
-        """Repeats at which simulated edits reach the recall. Foreign words are numbered 0, as in texts."""
+    def _needed(self) -> int | None:
+        """Repeats at which simulated edits reach the recall, None if these do not. Foreign words are numbered 0, as in texts."""
         if self.most == 0:
             return 1
         rng = random.Random(self.params.seed)
@@ -158,10 +171,12 @@ class LengthClass:
         texts = self.rows([edited(self.items[i][1], int(self.params.share * len(self.items[i][1])), rng, 0) for i in picked])
         hit = self.keys_of(texts) == self.keys_of(self.heads[picked])
         reached = np.nonzero(np.logical_or.accumulate(hit, axis=0).mean(axis=1) >= self.params.recall)[0]
-        return int(reached[0]) + 1 if len(reached) else self.params.most_repeats
+        return int(reached[0]) + 1 if len(reached) else None
 
     def candidates(self, windows: np.ndarray) -> list[tuple[int, int]]:
-        """(window, item) pairs with an equal key that have words enough in common."""
+        """(window, item) pairs with an equal key, or all if ``exact``, that have words enough in common."""
+        if self.exact:
+            return [x for i in range(len(self.items)) for x in self._alike(windows, np.arange(len(windows)), i)]
         found = []
         for t, key in enumerate(self.keys_of(windows)):
             low, high = np.searchsorted(self.keys[t], key, "left"), np.searchsorted(self.keys[t], key, "right")
@@ -173,13 +188,15 @@ class LengthClass:
         out = []
         pairs = np.unique(np.concatenate(found), axis=0)
         for i in np.unique(pairs[:, 1]):
-            w = pairs[pairs[:, 1] == i, 0]
-            own = self.items[i][1]
-            # An edit takes away one common word at most.
-            near = np.isin(windows[w], own).sum(axis=1) >= self.size - int(self.params.share * len(own))
-            out += [(int(x), int(i)) for x in w[near]]
+            out += self._alike(windows, pairs[pairs[:, 1] == i, 0], int(i))
         return out
 
+    def _alike(self, windows: np.ndarray, w: np.ndarray, i: int) -> list[tuple[int, int]]:
+        own = self.items[i][1]
+        # An edit takes away one common word at most.
+        near = np.isin(windows[w], own).sum(axis=1) >= self.size - int(self.params.share * len(own))
+        return [(int(x), i) for x in w[near]]
+
 
 class ItemIndex:
     """All items of a pass, by length class. Words that no item has are numbered 0."""

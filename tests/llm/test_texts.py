@@ -319,3 +319,14 @@ def test_toxicity_without_labels(spark):
     empty = spark.createDataFrame([], "doc_id bigint, toxic int")
     got = toxicity.toxicity(documents(spark), empty).collect()
     assert len(got) == len(ROWS) and all(r.score == 0 and r.predicted == 0 for r in got)
+
+
+@pytest.mark.parametrize("size,params", [(60, {"most_repeats": 1}), (400, {}), (800, {})])
+def test_long_items_are_found_whatever_the_walks_reach(size, params):
+    rng = random.Random(size)
+    words = [f"w{rng.randrange(5 * size)}" for _ in range(size)]
+    index = decontaminate.ItemIndex([(1, " ".join(words))], decontaminate.EditParams(**params))
+    assert index.classes[0].exact
+    for _ in range(20 if size < 100 else 3):
+        text = decontaminate.edited(words, int(0.15 * size), rng, "foreign")
+        assert [h[:2] for h in index.search(["some words before " + " ".join(text) + " and behind"])] == [(0, 1)]

@@ -3,7 +3,8 @@
 The fixed shapes are the seeds. The words around their occurrences, with the shape of what stands
 between, are lexical patterns. Patterns and instances (distinct strings) form a graph: a pattern is as
 good as the share of its instances that are of a kind, an instance is as sure as its best pattern
-makes it. Spark passes scores along the edges for some rounds; patterns that end up good enough, and
+makes it. Spark passes scores along the edges for some rounds; strings that good patterns surround are seeds of
+further patterns in the next round. Patterns that end up good enough, and
 that several different seeds support, mark what else they surround.
 """
 
@@ -158,22 +159,29 @@ def pattern_scores(occurrences: DataFrame, params: PiiParams = PiiParams()) -> D
     """The good patterns: pattern, kind, score, seeds.
 
     ``occurrences`` has instance, kind (-1: not a seed) and patterns. Edges are counted once per pattern and
-    instance, however often both meet, so repeated texts carry no more weight than one. Every round is two
-    grouped sums and two joins over the edges, written to the shared folder.
+    instance, however often both meet, so repeated texts carry no more weight than one. Strings that good patterns found in a
+    round are seeds of further patterns in the next. Every round is a few
+    grouped sums and joins over the edges, written to the shared folder.
     """
     edges = stage(occurrences.select("instance", "kind", F.explode("patterns").alias("pattern"))
                   .groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
-    # Only patterns that surround some seed can get a score; only their instances matter.
-    seeds = edges.groupBy("pattern").agg(*[F.sum((F.col("kind") == k).cast("bigint")).alias(f"seeds_{k}") for k in range(len(KINDS))],
-                                         F.count("*").alias("instances"))
-    most = F.greatest(*[F.col(f"seeds_{k}") for k in range(len(KINDS))])
-    owned = stage(seeds.where(most >= params.least_seeds)
-                  .select("pattern", "instances", most.alias("seeds"),
-                          F.coalesce(*[F.when(F.col(f"seeds_{k}") == most, F.lit(k)) for k in range(len(KINDS))]).alias("kind")), "pii-patterns")
-    live = stage(edges.withColumnRenamed("kind", "own").join(owned.select("pattern", "kind", "instances", "seeds"), "pattern"), "pii-graph")
-    known = F.when(F.col("own") == F.col("kind"), 1.0).when(F.col("own") >= 0, 0.0)
-    scores = None
-    for _ in range(params.rounds):
+    # A pattern that is good for the first time in a round takes what earlier rounds found for seeds; what it finds itself stays damped.
+    born = found = scores = None
+    for now in range(params.rounds):
+        own = edges.withColumn("own", F.col("kind")).drop("kind")
+        if found is not None:
+            own = (own.join(found, "instance", "left").join(born, "pattern", "left")
+                   .withColumn("own", F.when((F.col("own") < 0) & (F.col("at") < F.coalesce("since", F.lit(now))), F.col("as")).otherwise(F.col("own")))
+                   .select("pattern", "instance", "own"))
+        # Only patterns that surround some seed can get a score; only their instances matter.
+        seeds = own.groupBy("pattern").agg(*[F.sum((F.col("own") == k).cast("bigint")).alias(f"seeds_{k}") for k in range(len(KINDS))],
+                                           F.count("*").alias("instances"))
+        most = F.greatest(*[F.col(f"seeds_{k}") for k in range(len(KINDS))])
+        owned = (seeds.where(most >= params.least_seeds)
+                 .select("pattern", "instances", most.alias("seeds"),
+                         F.coalesce(*[F.when(F.col(f"seeds_{k}") == most, F.lit(k)) for k in range(len(KINDS))]).alias("kind")))
+        live = stage(own.join(owned, "pattern"), "pii-graph")
+        known = F.when(F.col("own") == F.col("kind"), 1.0).when(F.col("own") >= 0, 0.0)
         if scores is None:
             sure = live.withColumn("sure", F.coalesce(known, F.lit(0.0)))
         else:
@@ -182,6 +190,17 @@ def pattern_scores(occurrences: DataFrame, params: PiiParams = PiiParams()) -> D
             sure = live.join(believed, ["instance", "kind"], "left").withColumn("sure", F.coalesce(known, "believed", F.lit(0.0)))
         scores = stage(sure.groupBy("pattern", "kind", "instances", "seeds")
                        .agg((F.sum("sure") / (F.col("instances") + params.smoothing)).alias("score")), "pii-scores")
+        good = scores.where(F.col("score") >= params.good)
+        fresh = good.select("pattern", F.lit(now).alias("since"))
+        born = stage(fresh if born is None else born.unionByName(fresh).groupBy("pattern").agg(F.min("since").alias("since")), "pii-born")
+        # Confident: unseen, and all good patterns around it agree.
+        sure_now = (live.where("own < 0").select("pattern", "instance").join(good.select("pattern", "kind"), "pattern").groupBy("instance")
+                    .agg(F.min("kind").alias("as"), F.max("kind").alias("_other")).where(F.col("as") == F.col("_other"))
+                    .select("instance", "as", F.lit(now).alias("at")))
+        if found is not None:
+            sure_now = found.unionByName(sure_now.join(found, "instance", "left_anti"))
+        sure_now = stage(sure_now, "pii-found")
+        found = sure_now if found is not None or not sure_now.isEmpty() else None
     return scores.where(F.col("score") >= params.good).select("pattern", "kind", "score", "seeds")
 
 

@@ -119,6 +119,14 @@ def test_pattern_scores_spread_along_the_graph(spark):
     assert set(good) == {"p"} and good["p"].kind == 3 and good["p"].seeds == 10 and 0.85 < good["p"].score < 1
 
 
+def test_found_strings_are_seeds_of_further_patterns(spark):
+    """``r`` surrounds no seed of a fixed shape, only strings that ``p`` found; ``t`` surrounds mostly strings of no kind."""
+    seen = [(f"seed{i}", 3, ["p"]) for i in range(30)] + [(f"new{i}", -1, ["p", "r"]) for i in range(6)] + [("far", -1, ["r"])]
+    seen += [(f"own{i}", -1, ["t"]) for i in range(9)] + [("new0", -1, ["t"])]
+    good = {r.pattern: r for r in pii.pattern_scores(spark.createDataFrame(seen, "instance string, kind int, patterns array<string>")).collect()}
+    assert set(good) == {"p", "r"} and good["r"].kind == 3 and good["r"].seeds == 6 and good["p"].seeds == 30
+
+
 def test_contextual_spans(spark):
     """A string that fails the fixed test, here a card number whose check digit is wrong, in contexts of good ones."""
     def card(n):

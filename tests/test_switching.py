@@ -279,7 +279,7 @@ def test_basket_numbers(spark):
     assert by_order == {"a": 1, "b": 2, "c": 3, "d": 4, "e": 1}
     by_day = B.basket_rows(B.purchases(df, True), True)
     got = {(r["user_id"], r["seqnum"]): (r["amount"], r["prev_count"], r["next_count"]) for r in by_day.collect()}
-    assert got == {("u", 1): (300, None, 1), ("u", 2): (100, 1, None), ("v", 1): (100, None, None)}
+    assert got == {("u", 1): (30000, None, 1), ("u", 2): (10000, 1, None), ("v", 1): (10000, None, None)}
     for days in (True, False):
         assert run(spark, rows, basket_by_day=days).n_orders.first()["n_orders"] == 5
 

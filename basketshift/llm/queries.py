@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, decontaminate, entropy_secrets, histogram_sort, minhash, page_diff, pii, toxicity, warc
+from basketshift.llm import bpe, cuckoo, decontaminate, entropy_secrets, histogram_sort, minhash, page_diff, pii, spelling, substrings, toxicity, vector_codes, warc
 from basketshift.llm.common import table, text_of
 
 
@@ -59,9 +59,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False).drop("kept")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(vector_codes.book_hash(books)).alias("codebooks_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op4_edit_decontamination, op5_bootstrapped_pii, op6_entropy_secrets, op7_super_minhash, op8_warc_merge, op9_histogram_shards, op10_bpe)}
+    return {f.__name__: f for f in (
+        op1_cuckoo_dedup, op2_page_differencing, op3_toxicity_lexicon, op4_edit_decontamination, op5_bootstrapped_pii, op6_entropy_secrets,
+        op7_super_minhash, op8_warc_merge, op9_histogram_shards, op10_bpe, op11_spelling_variants, op12_repeated_passages, op13_vector_codes)}
 
 
 def all_statements() -> dict[str, str]:
-    return {}
+    return {"op11_spelling_variants": spelling.statement(), "op12_repeated_passages": substrings.statement(),
+            "op13_vector_codes": vector_codes.statement()}

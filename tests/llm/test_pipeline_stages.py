@@ -18,7 +18,7 @@ def test_queries_are_registered():
 
     names = set(entry.queries())
     assert set(queries.all_queries()) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries() if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries() if re.match(r"op\d+_", n)) == list(range(1, 14))
 
 
 def test_entry_works_without_the_folder(monkeypatch):
@@ -71,13 +71,15 @@ def test_pipeline_runs(spark):
 
 
 def test_every_query_covers_its_table(spark):
-    docs, pages = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "pages"))
+    docs, pages, vectors = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "pages", "embeddings"))
     for name, query in queries.all_queries().items():
         df = query(spark, SF)
         if name.startswith("op4"):
             assert df.count() and set(df.columns) >= {"doc_id", "item_id"}
+        elif name.startswith("op11"):
+            assert df.columns == ["word", "form", "root", "n", "n_near", "form_n"] and df.count()
         else:
-            table, key = (pages, "page_id") if "page_id" in df.columns else (docs, "doc_id")
+            table, key = next((t, k) for t, k in ((pages, "page_id"), (vectors, "vec_id"), (docs, "doc_id")) if k in df.columns)
             assert sorted(r[0] for r in df.select(key).collect()) == sorted(r[0] for r in table.select(key).collect()), name
 
 

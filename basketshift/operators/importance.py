@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketshift.operators import elastic_net, forest
 from basketshift.operators.attributes import DISPLAY_NAMES
+from basketshift.operators.blocks import feature_blocks
+from basketshift.session import stage
 from basketshift.sources import schemas
 
 log = logging.getLogger(__name__)
@@ -20,81 +20,34 @@ log = logging.getLogger(__name__)
 FOREST = "Random Forest Regression"
 ELASTIC_NET = "Elastic Net Regression"
 
-LABEL = "switchProb"
-SALES = ("fromSales", "toSales")
 
+def _fit(maps: DataFrame, weights: Callable[[DataFrame], DataFrame], name: str, failed: list[str] | None) -> DataFrame:
+    """The features' weights of all scopes, the largest of each scope being 1; null where no feature has any.
 
-def _forest(data: DataFrame, seed: int) -> list[float]:
-    model = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=50, maxDepth=6, seed=seed).fit(data)
-    return [float(x) for x in model.featureImportances.toArray()]
-
-
-def _elastic_net(data: DataFrame, seed: int) -> list[float]:
-    scaled_penalty = 0.01 * (data.agg(F.stddev_pop(LABEL)).first()[0] or 0.0)
-    model = LinearRegression(featuresCol="features", labelCol=LABEL, elasticNetParam=0.5, regParam=scaled_penalty,
-                             standardization=True, maxIter=100).fit(data)
-    from pyspark.ml.stat import Summarizer
-
-    spread = data.select(Summarizer.std(F.col("features")).alias("s")).first()["s"].toArray()
-    return [abs(float(c) * float(s)) for c, s in zip(model.coefficients.toArray(), spread)]
-
-
-def _fit(maps: DataFrame, fit: Callable[[DataFrame, int], list[float]], name: str, seed: int, threads: int,
-         failed: list[str] | None = None) -> DataFrame:
-    """Fits one model per scope. Each fit is distributed over the scope's pairs; a few run at
-    a time. A scope's features are its own keys that have any value, and the sales.
-
-    A scope without usable rows has no importances. A fit that fails is not such a case: its scope is added to ``failed``
-    and the others go on; without that list the error is raised.
-
-    ``maps`` has the pair, switching_prob, fromSales, toSales and sims.
+    All scopes are fitted by the same few jobs. If one fails for good, no scope has importances: with ``failed`` its scopes are added to
+    that list, without it the error is raised. A scope without usable rows has none either, and is no failure.
     """
-    spark = maps.sparkSession
-    known = maps.select("scope_id", F.explode("sims").alias("k", "v")).where("v is not null").groupBy("scope_id", "k").count()
-    keys: dict[str, list[str]] = {}
-    sales: dict[str, list[str]] = {}
-    for r in maps.groupBy("scope_id").agg(*[F.count(c).alias(c) for c in SALES]).collect():
-        keys[r["scope_id"]], sales[r["scope_id"]] = [], [c for c in SALES if r[c]]
-    for r in known.collect():
-        keys[r["scope_id"]].append(r["k"])
-
-    def one(scope):
-        try:
-            return fitted(scope)
-        except Exception as error:
-            if failed is None:
-                raise
-            log.warning("the fit of scope %s failed: %s", scope, error)
-            failed.append(scope)
-            return []
-
-    def fitted(scope):
-        names = sorted(keys[scope])
-        if not names and not sales[scope]:
-            return []
-        cells = [F.try_element_at("sims", F.lit(k)) for k in names] + [F.col(c) for c in sales[scope]]
-        rows = maps.where(F.col("scope_id") == scope).select(
-            F.col("switching_prob").alias(LABEL), *[c.alias(f"x{i}") for i, c in enumerate(cells)]).dropna()
-        data = VectorAssembler(inputCols=[f"x{i}" for i in range(len(cells))], outputCol="features").transform(rows)
-        if len(rows.take(2)) < 2:
-            return []
-        weights = fit(data.select(LABEL, "features"), seed)
-        top = max(weights)
-        return [(scope, c, w / top if top > 0 else None, name) for c, w in zip([*names, *sales[scope]], weights)]
-
-    with ThreadPoolExecutor(threads) as pool:
-        found = [r for rows in pool.map(one, sorted(keys)) for r in rows]
-    return spark.createDataFrame(found, schemas.struct(schemas.CDT))
-
-
-def cdt_rf(maps: DataFrame, seed: int = 7, threads: int = 8, failed: list[str] | None = None) -> DataFrame:
-    """Random-forest importances; the largest of each scope is 1. Scopes whose fit fails go to ``failed``, if given."""
-    return _fit(maps, _forest, FOREST, seed, threads, failed)
-
-
-def cdt_enet(maps: DataFrame, seed: int = 7, threads: int = 8, failed: list[str] | None = None) -> DataFrame:
-    """Absolute standardised elastic-net coefficients; the largest of each scope is 1. Scopes whose fit fails go to ``failed``, if given."""
-    return _fit(maps, _elastic_net, ELASTIC_NET, seed, threads, failed)
+    try:
+        top = F.max("weight").over(Window.partitionBy("scope_id"))
+        return stage(weights(maps).select("scope_id", F.col("name").alias("attdesc"), F.when(top > 0, F.col("weight") / top).alias("Estimate"),
+                                          F.lit(name).alias("SimulationType")), "importances")
+    except Exception as error:
+        if failed is None:
+            raise
+        log.warning("the fits of all scopes failed: %s", error)
+        failed.extend(r["scope_id"] for r in maps.select("scope_id").distinct().collect())
+        return maps.sparkSession.createDataFrame([], schemas.struct(schemas.CDT))
+
+
+def cdt_rf(maps: DataFrame, seed: int = 7, failed: list[str] | None = None) -> DataFrame:
+    """Random-forest importances of all scopes. ``maps`` has the pair, switching_prob, fromSales, toSales and sims."""
+    p = forest.ForestParams()
+    return _fit(maps, lambda m: forest.importances(feature_blocks(m, p.trees, seed), p), FOREST, failed)
+
+
+def cdt_enet(maps: DataFrame, failed: list[str] | None = None) -> DataFrame:
+    """Absolute elastic-net coefficients, of columns of unit variance, of all scopes."""
+    return _fit(maps, lambda m: elastic_net.importances(feature_blocks(m, trees=0)), ELASTIC_NET, failed)
 
 
 def cdt_translate(cdt: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -563,12 +563,12 @@ def cdt_translate(spark, folder):
 
 @query
 def cdt_rf(spark, folder):
-    return cdt_path(spark, folder, derived=True).forest
+    return cdt_path(spark, folder, derived=True).forest.select("scope_id", "attdesc", r("Estimate", 5), "SimulationType")
 
 
 @query
 def cdt_enet(spark, folder):
-    return cdt_path(spark, folder, derived=True).elastic_net
+    return cdt_path(spark, folder, derived=True).elastic_net.select("scope_id", "attdesc", r("Estimate", 5), "SimulationType")
 
 
 # -- checks -------------------------------------------------------------------

@@ -71,8 +71,7 @@ class CdtPath:
 
     @cached_property
     def staged_maps(self) -> DataFrame:
-        """In order of scope, so that a scope's fit reads only its own row groups, by their statistics."""
-        return stage(self.maps.repartitionByRange("scope_id", "src_item_id").sortWithinPartitions("scope_id"), "maps")
+        return stage(self.maps, "maps")
 
     @cached_property
     def forest(self) -> DataFrame:

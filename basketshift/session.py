@@ -110,6 +110,11 @@ def require(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows that hold whole blocks reach Python a few at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this run has staged so far."""
     _folder_deleter(spark)()

@@ -276,6 +276,111 @@ IMPORTANCE_STEPS = {
         from scopes s join est e on e.cid3 = s.c3 group by all""",
 }
 
+FIT_STEPS = {
+    "sims": "select scope_id, src_item_id, dst_item_id, attr_key, similarity from cat_sim union all select scope_id, src_item_id, dst_item_id, attr_key, similarity from num_sim",
+    "cells_all": """
+        select scope_id, src_item_id, dst_item_id, 0 as kind, attr_key as name, cast(round(similarity * 1000000) as bigint) as v from sims
+        union all select scope_id, src_item_id, dst_item_id, 1, 'fromSales', cast(round(from_sales * 100) as bigint) from sales
+        union all select scope_id, src_item_id, dst_item_id, 1, 'toSales', cast(round(to_sales * 100) as bigint) from sales""",
+    "feature": """
+        select scope_id, kind, name, row_number() over (partition by scope_id order by kind, name) as f, count(*) over (partition by scope_id) as m
+        from (select scope_id, kind, name from cells_all group by all having count(v) > 0)""",
+    "complete": """
+        select *, row_number() over (order by scope_id, src_item_id, dst_item_id) as r from (
+          select scope_id, src_item_id, dst_item_id from cells_all join feature using (scope_id, kind, name) group by all having count(v) = count(*))""",
+    "labels_": """
+        select r, scope_id, src_item_id, dst_item_id, cast(round(switching_prob * 1000000000) as bigint) as label
+        from complete join pairs using (scope_id, src_item_id, dst_item_id)
+        where scope_id in (select scope_id from complete group by scope_id having count(*) > 1)""",
+    "whole": """
+        select r, scope_id, f, cast(floor(cast(v - min(v) over g as double) / cast(max(v) over g - min(v) over g + 1 as double) * 1048576) as bigint) as z
+        from cells_all join feature using (scope_id, kind, name) join labels_ using (scope_id, src_item_id, dst_item_id)
+        window g as (partition by scope_id, f)""",
+}
+
+
+def forest_steps(trees: int = 50, depth: int = 6, seed: int = 7) -> dict[str, str]:
+    """A forest level by level. Every pair is stated anew for each tree that draws it."""
+    steps = {
+        "cell_n": "select scope_id, f, z // 1024 as cell, count(*) as n from whole group by all",
+        "cell_bin": """
+            select scope_id, f, cell, ((sum(n) over (partition by scope_id, f order by cell) - n) * 32) // sum(n) over (partition by scope_id, f) as bin
+            from cell_n""",
+        "binned": "select w.r, w.f, cast(b.bin as int) as bin from whole w join cell_bin b on b.scope_id = w.scope_id and b.f = w.f and b.cell = w.z // 1024",
+        "drawn": f"""
+            select r, scope_id, label, g * 8 + k as tree, u from (
+              select r, scope_id, label, g, k, cast('0x' || substr(h, cast(4 * k + 1 as bigint), 4) as int) as u from (
+                select r, scope_id, label, g, md5(concat('{seed}|', src_item_id, '|', dst_item_id, '|', g)) as h
+                from labels_, (select unnest(range({-(-trees // 8)})) as g)), (select unnest(range(8)) as k))
+            where g * 8 + k < {trees}""",
+        "at0": """
+            select * from (select r, scope_id, tree, label, 1 as node,
+              len(list_filter([24109, 48219, 60273, 64292, 65296, 65497, 65531], lambda x: x <= u)) as w from drawn) where w > 0"""}
+    for d in range(depth):
+        steps |= {
+            f"pick{d}": f"""
+                select scope_id, tree, node, f from (
+                  select n.scope_id, n.tree, n.node, f.f, f.m,
+                         row_number() over (partition by n.scope_id, n.tree, n.node order by md5(concat(n.tree, '|', n.node, '|', f.name))) as place
+                  from (select distinct scope_id, tree, node from at{d}) n join feature f on f.scope_id = n.scope_id)
+                where place <= ceil(m / 3)""",
+            f"stat{d}": f"""
+                select a.scope_id, a.tree, a.node, p.f, b.bin, sum(a.w) as n, sum(a.w * a.label) as s
+                from at{d} a join pick{d} p on p.scope_id = a.scope_id and p.tree = a.tree and p.node = a.node
+                join binned b on b.r = a.r and b.f = p.f group by all""",
+            f"cum{d}": f"""
+                select scope_id, tree, node, f, bin, cast(sum(n) over x as double) as nl, cast(sum(s) over x as double) as sl,
+                       cast(sum(n) over y as double) as n, cast(sum(s) over y as double) as s
+                from stat{d} window x as (partition by scope_id, tree, node, f order by bin), y as (partition by scope_id, tree, node, f)""",
+            f"split{d}": f"""
+                select scope_id, tree, node, f, bin, gain from (
+                  select *, row_number() over (partition by scope_id, tree, node order by gain desc, f, bin) as place from (
+                    select *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n as gain from cum{d} where nl < n)
+                  where gain > s * s / n * 1e-9)
+                where place = 1""",
+            f"at{d + 1}": f"""
+                select a.r, a.scope_id, a.tree, a.label, 2 * a.node + case when b.bin > s.bin then 1 else 0 end as node, a.w
+                from at{d} a join split{d} s on s.scope_id = a.scope_id and s.tree = a.tree and s.node = a.node join binned b on b.r = a.r and b.f = s.f"""}
+    every = " union all ".join(f"select * from split{d}" for d in range(depth))
+    return steps | {
+        "by_tree": f"select scope_id, tree, f, sum(gain) as gain from ({every}) group by all",
+        "weight": """
+            select scope_id, f, sum(gain / total) as weight
+            from by_tree join (select scope_id, tree, sum(gain) as total from by_tree group by all) using (scope_id, tree) group by all""",
+        "weights": """
+            select f.scope_id, f.name, coalesce(w.weight, 0) as weight from feature f left join weight w using (scope_id, f)
+            where f.scope_id in (select scope_id from labels_)"""}
+
+
+def net_steps(sweeps: int = 100) -> dict[str, str]:
+    """Coordinate descent, one coefficient a step."""
+    return {
+        "columns_": """
+            select r, scope_id, f, z from whole
+            union all select r, scope_id, 1000000, cast(floor(cast(label - min(label) over g as double) / cast(max(label) over g - min(label) over g + 1 as double) * 1048576) as bigint)
+            from labels_ window g as (partition by scope_id)""",
+        "single": "select scope_id, f, count(*) as n, sum(z) as s, sum(z * z) as q from columns_ group by all",
+        "cross_": """
+            select a.scope_id, a.f as i, b.f as j, sum(a.z * b.z) as s from columns_ a join columns_ b on a.r = b.r and a.f <= 1000000 group by all""",
+        "corr": """
+            select c.scope_id, i, j, case when a.n * a.q > a.s * a.s and b.n * b.q > b.s * b.s
+              then cast(a.n * c.s - a.s * b.s as double) / sqrt(cast(a.n * a.q - a.s * a.s as double)) / sqrt(cast(b.n * b.q - b.s * b.s as double)) else 0 end as x
+            from cross_ c join single a on a.scope_id = c.scope_id and a.f = c.i join single b on b.scope_id = c.scope_id and b.f = c.j""",
+        "matrix": """
+            select scope_id, list(x order by i) as rows_, cast(max(len(x)) - 1 as bigint) as m
+            from (select scope_id, i, list(x order by j) as x from corr group by all) group by all""",
+        "descent": f"""
+            select scope_id, m, rows_, cast(0 as bigint) as step, list_transform(range(m), lambda k: cast(0 as double)) as beta from matrix
+            union all
+            select scope_id, m, rows_, step + 1, list_transform(range(m), lambda k: case when k <> step % m then beta[k + 1] when rest is null then 0
+                     else sign(rest) * greatest(abs(rest) - 0.01 * 0.5, 0) / (1 + 0.01 * (1 - 0.5)) end)
+            from (select *, case when rows_[step % m + 1][step % m + 1] <> 0 then rows_[step % m + 1][m + 1]
+                      - list_sum(list_transform(range(m), lambda k: case when k = step % m then 0 else rows_[step % m + 1][k + 1] * beta[k + 1] end)) end as rest
+                  from descent where step < {sweeps} * m)""",
+        "weights": f"""
+            select f.scope_id, f.name, abs(n.beta[f.f]) as weight from feature f join descent n on n.scope_id = f.scope_id and n.step = {sweeps} * n.m"""}
+
+
 FINE_STEPS = {
     "fine_skus": "select *, cid3 || ':' || p_brand as fine from skus",
     "fine": "select distinct fine, concat_ws('_', '1', '11', fine, 'self', 'lvl3', lower(fine), 'sku') as scope_id from fine_skus",
@@ -299,6 +404,16 @@ def sql(select: str, *groups: dict[str, str]) -> str:
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in steps.items()) + "\n" + select
 
 
+def fit_sql(model: str, *groups: dict[str, str]) -> str:
+    """Every step is computed once; a model's steps may refer to themselves."""
+    steps = dict(ROLES)
+    for g in groups:
+        steps.update(g)
+    said = ",\n".join(f"{k} as {'' if k == 'descent' else 'materialized '}({v})" for k, v in steps.items())
+    return f"""with recursive {said}
+        select scope_id, name as attdesc, round(weight / nullif(max(weight) over (partition by scope_id), 0), 5) as "Estimate", '{model}' as "SimulationType"
+        from weights"""
+
 SWITCHING = "select scope_id, src_item_id, dst_item_id, round(switching_prob, 6) as switching_prob, model from "
 
 
@@ -458,6 +573,8 @@ def all_statements() -> dict[str, str]:
             left join (values ('price', '价格'), ('unit', '包装件数'), ('volume', '总容量/总重量'), ('unit_volume', '单件容量/单件重量'),
                 ('unit_price', '单件价格'), ('per_price', '单位容量价格/单位重量价格')) d(key, name) on d.key = a.attr_key
             group by a.scope_id, a.attr_key, k.shown_as, d.name""", more),
+        "cdt_rf": fit_sql("Random Forest Regression", sku, more, PAIR_STEPS, FIT_STEPS, forest_steps()),
+        "cdt_enet": fit_sql("Elastic Net Regression", sku, more, PAIR_STEPS, FIT_STEPS, net_steps()),
         "month_coverage": sql("select * from coverage", FINE_STEPS),
         "input_check": sql("""
             select f.scope_id, cast(case when (select count(*) from coverage c where c.scope_id = f.scope_id and c.n_lines = 0) = 0

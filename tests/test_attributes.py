@@ -114,6 +114,9 @@ def test_sales_of_brands(spark):
     assert {r["item_id"]: r["sales"] for r in A.item_net_sales(lines, brand).collect()} == {"b1": 3.0}
 
 
+MAPS = "scope_id string, src_item_id string, dst_item_id string, switching_prob double, fromSales double, toSales double, sims map<string,double>"
+
+
 @pytest.mark.parametrize("fit,name", [(M.cdt_rf, M.FOREST), (M.cdt_enet, M.ELASTIC_NET)])
 def test_importances(spark, fit, name):
     """The label depends on x alone in one scope, on z alone in the other; y is noise, w is
@@ -160,22 +163,22 @@ def F_lit(text):
     return F.lit(float(text))
 
 
-def test_a_failing_fit_is_not_a_scope_without_rows(spark):
-    from basketshift.operators import importance as M
+def test_failing_fits_are_not_scopes_without_rows(spark, monkeypatch):
+    from basketshift.operators import forest
     from basketshift.operators import quality as Q
 
-    rows = [(s, f"s{i}", f"d{i}", i % 5 / 5.0, 1.0, 2.0, {"k": float(i % 5)}) for s, n in (("good", 30), ("lost", 7), ("single", 1)) for i in range(n)]
-    maps = spark.createDataFrame(rows, "scope_id string, src_item_id string, dst_item_id string, switching_prob double, fromSales double, toSales double, sims map<string,double>")
+    rows = [(s, f"s{i}", f"d{i}", i % 5 / 5.0, 1.0, 2.0, {"k": float(i % 5)}) for s, n in (("good", 30), ("single", 1)) for i in range(n)]
+    maps = spark.createDataFrame(rows, MAPS)
+    found = M.cdt_rf(maps)
+    assert {r["scope_id"]: r["cdt_check"] for r in Q.cdt_check(found, maps.select("scope_id").distinct()).collect()} == {"good": 0, "single": 0}
 
-    def fit(data, seed):
-        if data.count() == 7:
-            raise RuntimeError("executor lost")
-        return [1.0, 0.5, 0.5]
+    def lost(*_):
+        raise RuntimeError("executor lost")
 
+    monkeypatch.setattr(forest, "histograms", lost)
     failed = []
-    found = M._fit(maps, fit, M.FOREST, 7, 2, failed)
-    assert failed == ["lost"] and {r["scope_id"] for r in found.collect()} == {"good"}
-    codes = Q.cdt_check(found, maps.select("scope_id").distinct(), failed=failed).collect()
-    assert {r["scope_id"]: r["cdt_check"] for r in codes} == {"good": 0, "lost": -1, "single": 0}
+    found = M.cdt_rf(maps, failed=failed)
+    assert sorted(failed) == ["good", "single"] and found.count() == 0
+    assert {r["cdt_check"] for r in Q.cdt_check(found, maps.select("scope_id").distinct(), failed=failed).collect()} == {-1}
     with pytest.raises(RuntimeError):
-        M._fit(maps, fit, M.FOREST, 7, 2)
+        M.cdt_rf(maps)

@@ -111,9 +111,9 @@ def test_a_failed_fit_keeps_importances_and_stays_pending(spark, tmp_path, monke
     whole = M.cdt_rf
     economy = "1_11_ECONOMY_self_lvl3_economy_sku"
 
-    def broken(maps, seed=7, threads=8, failed=None):
+    def broken(maps, seed=7, failed=None):
         failed.append(economy)
-        return whole(maps.where(f"scope_id <> '{economy}'"), seed, threads, failed)
+        return whole(maps.where(f"scope_id <> '{economy}'"), seed, failed)
 
     monkeypatch.setattr(M, "cdt_rf", broken)
     status = {r["scope_id"]: r for r in Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run().collect()}

@@ -13,8 +13,7 @@ STATEMENTS = entry.oracle_sql()
 
 
 def test_statements_belong_to_queries():
-    own = set(catalog.all_queries())
-    assert own - set(STATEMENTS) == {"cdt_rf", "cdt_enet"}
+    assert set(catalog.all_queries()) <= set(STATEMENTS)
     assert set(STATEMENTS) <= set(entry.queries())
 
 

@@ -4,12 +4,13 @@ A passage is a window of ``window`` words. Hashing every window of a corpus woul
 shorter windows, the anchors, are hashed at the positions of a document that lie in a difference cover modulo a period: for any
 two positions some shift below the period moves both into the cover. So two equal passages, wherever they start, hold an equal anchor
 at the same distance from their starts. Anchors that occur once rule their surroundings out; what holds a repeated one is extended to
-whole windows, whose 128-bit hashes decide which of them start earlier elsewhere.
+whole windows, whose 96-bit hashes decide which of them start earlier elsewhere.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -21,13 +22,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm.common import prepare, spark_schema, text_hash, text_of
+from basketshift.llm.common import parts_for, prepare, spark_schema, text_hash, text_of
 from basketshift.llm.minhash import mix
 from basketshift.session import stage
 
 LOW = -(1 << 63)
 # Distinct words whose hashes a worker remembers, and bytes of text that it works on at once.
 MEMORY, SLICE_BYTES = 300_000, 4 << 20
+# Bytes of text in which one anchor is looked for, about.
+BYTES_PER_ANCHOR = 20
 # Bits of one row of the anchor filter.
 CHUNK = 1 << 16
 
@@ -43,6 +46,8 @@ class SubstringParams:
     # filter lets more windows be judged, and changes no result.
     bits: int = 32
     most_bits: int = 28
+    # Passages, or anchors, of one bucket of hashes.
+    bucket_rows: int = 400_000
 
     def __post_init__(self):
         if not 0 < self.period <= self.window:
@@ -131,7 +136,7 @@ class Passages:
         return np.nonzero(np.cumsum(change) > 0)[0]
 
     def passages(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit hashes of the passages at the given starts."""
+        """Two 64-bit hashes of the passages at the given starts."""
         return self._hash(at, self.params.window, 0, 2), self._hash(at, self.params.window, 1, 3)
 
 
@@ -151,19 +156,40 @@ class AnchorFilter:
         return ((self.data[a >> 3] >> (a & 7)) & (self.data[b >> 3] >> (b & 7)) & 1).astype(bool)
 
 
+def _packed(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """The columns as bytes, apart for each bucket."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    ids, starts = np.unique(bucket[order], return_index=True)
+    for i, s, e in zip(ids.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
+        yield i, [c[order[s:e]].tobytes() for c in columns]
+
+
 def repeated_anchors(texts: DataFrame, params: SubstringParams) -> DataFrame:
-    """h, the hash of every anchor that occurs more than once. Counts are added up before they move."""
-    schema = "h bigint, n bigint"
-    target = spark_schema(texts.sparkSession, schema)
+    """h, the hash of every anchor that occurs more than once.
+
+    A task sends the anchors of a slice of its texts packed, apart for each bucket of hashes: once, or twice if the slice repeats them.
+    There are as many buckets as keep a bucket near ``bucket_rows``, whatever the size of the corpus.
+    """
+    spark = texts.sparkSession
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = parts_for(size, BYTES_PER_ANCHOR * params.bucket_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
             for _, part in _slices(b):
-                h, n = np.unique(Passages(part, hashes, params).anchors()[1].view(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], schema=target)
+                h, n = np.unique(Passages(part, hashes, params).anchors()[1], return_counts=True)
+                h = np.concatenate([h, h[n > 1]])
+                parts = list(_packed((h % np.uint64(buckets)).astype(np.int64), h))
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([x[0] for x in parts], pa.int32()), "packed": pa.array([x[1][0] for x in parts], pa.binary())})
 
-    return texts.mapInArrow(run, schema).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    def repeated(t: pa.Table) -> pa.Table:
+        h = np.sort(np.frombuffer(b"".join(t["packed"].to_pylist()), dtype=np.uint64))
+        return pa.table({"h": np.unique(h[1:][h[1:] == h[:-1]]).view(np.int64)})
+
+    return texts.mapInArrow(run, "bucket int, packed binary").groupBy("bucket").applyInArrow(repeated, "h bigint")
 
 
 def anchor_filter(repeated: DataFrame, params: SubstringParams) -> AnchorFilter:
@@ -198,43 +224,73 @@ def anchor_filter(repeated: DataFrame, params: SubstringParams) -> AnchorFilter:
     return AnchorFilter(bits, whole.tobytes())
 
 
-def _firsts(keyed: DataFrame, shared: Broadcast, bits: int, params: SubstringParams) -> DataFrame:
-    """k, h and places: the passages around repeated anchors that start nowhere earlier, for each document.
+def _firsts(judged: DataFrame, params: SubstringParams) -> DataFrame:
+    """row and places: the passages in question that start nowhere earlier, in pieces, for each row that has any.
 
-    A batch sends each passage once, at its earliest start; only one row of a passage is kept, so one that a third of all documents
-    hold is added up before it moves and never gathered.
+    A slice of texts sends each passage once, at its earliest start, so one that a third of all documents hold arrives once
+    a slice. Only first starts are sent on: no passage's occurrences are ever gathered.
     """
-    schema = "a bigint, b bigint, k bigint, h bigint, place int"
-    target = spark_schema(keyed.sparkSession, schema)
+    spark = judged.sparkSession
+    asked = judged.where("asked is not null")
+    total = asked.agg(F.sum(F.octet_length("asked") / 4)).first()[0] or 0
+    buckets = parts_for(int(total), params.bucket_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fields = {"docs": np.dtype([("k", "<i8"), ("h", "<i8"), ("row", "<i8")]), "a": np.dtype("<u8"), "b": np.dtype("<u4"), "doc": np.dtype("<u4"), "place": np.dtype("<i4")}
+    schema = "bucket int, " + ", ".join(f"{n} binary" for n in fields)
+    target = spark_schema(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, repeated = WordHashes(), AnchorFilter(bits, shared.value)
+        hashes = WordHashes()
         for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in ("row", "h", "k")]
             # In order of the documents, so that the first of equal passages is the earliest.
-            order = np.lexsort((batch.column("h").to_numpy(), batch.column("k").to_numpy()))
-            batch = batch.take(pa.array(order))
-            k, h = batch.column("k").to_numpy(), batch.column("h").to_numpy()
+            batch = batch.take(pa.array(np.lexsort(keys)))
+            texts = [zlib.decompress(t) for t in batch.column("text").to_pylist()]
+            batch = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k", "h", "row", "asked")), pa.array(texts, pa.binary())], names=["k", "h", "row", "asked", "text"])
             for start, part in _slices(batch):
                 p = Passages(part, hashes, params)
-                at, anchor = p.anchors()
-                at = p.around(at[repeated.may_hold(anchor)])
-                a, b = (x.view(np.int64) for x in p.passages(at))
+                docs = np.zeros(len(part), dtype=fields["docs"])
+                for c in ("k", "h", "row"):
+                    docs[c] = batch.column(c)[start:start + len(part)].to_numpy()
+                places = [np.frombuffer(x, dtype="<i4") for x in batch.column("asked")[start:start + len(part)].to_pylist()]
+                at = np.concatenate([x + s for x, s in zip(places, p.starts.tolist(), strict=True)])
+                a, b = p.passages(at)
+                b = b.astype(np.uint32)
                 same = np.lexsort((b, a))
                 new = np.ones(len(same), dtype=bool)
                 new[1:] = (a[same][1:] != a[same][:-1]) | (b[same][1:] != b[same][:-1])
                 least = same[new]
-                text = p.text[at[least]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a[least]), pa.array(b[least]), pa.array(k[start + text]), pa.array(h[start + text]),
-                     pa.array((at[least] - p.starts[text]).astype("int32"))], schema=target)
-
-    least = keyed.select("k", "h", "text").mapInArrow(run, schema).groupBy("a", "b").agg(F.min(F.struct("k", "h", "place")).alias("first"))
-    return least.select("first.*").groupBy("k", "h").agg(F.collect_list("place").alias("places"))
+                doc = p.text[at[least]]
+                place = (at[least] - p.starts[doc]).astype("<i4")
+                out = {"bucket": [], **{n: [] for n in fields}}
+                for bucket, columns in _packed((a[least] % np.uint64(buckets)).astype(np.int64), a[least], b[least], doc.astype("<u4"), place):
+                    # Of the slice's documents only those that this bucket has passages of.
+                    used, index = np.unique(np.frombuffer(columns[2], dtype="<u4"), return_inverse=True)
+                    columns[2] = index.astype("<u4").tobytes()
+                    out["bucket"].append(bucket)
+                    for n, c in zip(fields, [docs[used].tobytes(), *columns], strict=True):
+                        out[n].append(c)
+                yield pa.RecordBatch.from_pydict(out, schema=target)
+
+    def first(t: pa.Table) -> pa.Table:
+        parts = [[np.frombuffer(x, dtype=d) for x in t[n].to_pylist()] for n, d in fields.items()]
+        docs = np.concatenate([d[i] for d, i in zip(parts[0], parts[3], strict=True)])
+        a, b, place = (np.concatenate(parts[i]) for i in (1, 2, 4))
+        order = np.lexsort((place, docs["row"], docs["h"], docs["k"], b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), dtype=bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        row, place = docs["row"][order[new]], place[order[new]]
+        by_row = np.argsort(row, kind="stable")
+        rows, starts = np.unique(row[by_row], return_index=True)
+        return pa.table({"row": rows, "places": pa.array([x.tobytes() for x in np.split(place[by_row], starts[1:])] if len(rows) else [], pa.binary())})
+
+    sent = asked.select("row", "k", "h", "text", "asked").mapInArrow(run, schema)
+    return sent.groupBy("bucket").applyInArrow(first, "row bigint, places binary").groupBy("row").agg(F.collect_list("places").alias("places"))
 
 
 def _judged(keyed: DataFrame, shared: Broadcast, bits: int, params: SubstringParams, with_text: bool) -> DataFrame:
-    """Every document: final if no passage of it can be repeated; else with its text and the passages in question."""
-    schema = "doc bigint, k bigint, h bigint, n_words bigint, sha string, kept string, text string, asked binary"
+    """Every document: final if no passage of it can be repeated; else with its text, packed, and the passages in question."""
+    schema = "doc bigint, k bigint, h bigint, n_words bigint, sha string, kept string, text binary, asked binary"
     target = spark_schema(keyed.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,13 +307,13 @@ def _judged(keyed: DataFrame, shared: Broadcast, bits: int, params: SubstringPar
                     joined = None if open_ else b" ".join(p.words[i])
                     sha.append(None if open_ else hashlib.sha256(joined).hexdigest())
                     kept.append(joined.decode() if with_text and not open_ else None)
-                    text.append(part[i].decode() if open_ else None)
+                    text.append(zlib.compress(part[i], 1) if open_ else None)
                     asked.append((at[last:cut] - p.starts[i]).astype("<i4").tobytes() if open_ else None)
                     last = cut
                 rows = slice(start, start + len(part))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c)[rows] for c in ("doc", "k", "h")] +
-                    [pa.array(p.sizes), pa.array(sha, pa.string()), pa.array(kept, pa.string()), pa.array(text, pa.string()), pa.array(asked, pa.binary())],
+                    [pa.array(p.sizes), pa.array(sha, pa.string()), pa.array(kept, pa.string()), pa.array(text, pa.binary()), pa.array(asked, pa.binary())],
                     schema=target)
 
     return keyed.mapInArrow(run, schema)
@@ -278,7 +334,8 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(),
     start earlier. Null and empty texts have no words; texts shorter than a passage lose nothing. An empty table gives an empty
     result; other columns of ``docs`` are not read. Texts of any length are read whole.
 
-    Texts are read three times and move once, those without any repeated anchor not at all.
+    Texts are read twice; those without any repeated anchor are done then. The others are written packed, read again for their passages, and move
+    once. Passages count as equal if 96 bits of hashes of their words do; in 10^12 passages the chance of any mistake is 10^-5.
     """
     spark: SparkSession = docs.sparkSession
     prepare(spark)
@@ -287,10 +344,7 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(),
     found = anchor_filter(repeated_anchors(keyed.select("text"), params), params)
     shared, bits = spark.sparkContext.broadcast(found.data.tobytes()), found.bits
     judged = stage(_judged(keyed, shared, bits, params, with_text).withColumn("row", F.monotonically_increasing_id()), "judged")
-    firsts = _firsts(keyed, shared, bits, params)
-    # Of equal rows, one owns the first passages.
-    owners = judged.where("asked is not null").groupBy("k", "h").agg(F.min("row").alias("row"))
-    owned = firsts.join(owners, ["k", "h"]).select("row", "places")
+    owned = _firsts(judged, params)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
     target = spark_schema(spark, schema)
 
@@ -300,8 +354,9 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(),
             for sha, kept, raw, asked, places in zip(*(b.column(c).to_pylist() for c in ("sha", "kept", "text", "asked", "places")), strict=True):
                 removed = 0
                 if asked is not None:
-                    words = raw.encode().split()
-                    gone = covered(len(words), np.setdiff1d(np.frombuffer(asked, dtype="<i4"), np.array(places or [], dtype=np.int32), assume_unique=True), params.window)
+                    words = zlib.decompress(raw).split()
+                    first = np.frombuffer(b"".join(places or []), dtype="<i4")
+                    gone = covered(len(words), np.setdiff1d(np.frombuffer(asked, dtype="<i4"), first, assume_unique=True), params.window)
                     removed = int(gone.sum())
                     left = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
                     sha, kept = hashlib.sha256(left).hexdigest(), left.decode() if with_text else None

@@ -36,12 +36,18 @@ def last_day_of_previous_month(day: Column | str) -> Column:
 
 def window_start(end: Column | str, n_years: int) -> Column:
     """First day of the month after ``end``, ``n_years`` earlier."""
-    return F.date_add(F.last_day(F.add_months(_col(end), -12 * n_years)), 1)
+    return window_start_months(_col(end), F.lit(12 * n_years))
 
 
-def week_number(day: Column | str, start: date) -> Column:
+def window_start_months(end: Column, months: Column) -> Column:
+    """First day of the month after ``end``, so many months earlier."""
+    return F.date_add(F.last_day(F.add_months(end, -months)), 1)
+
+
+def week_number(day: Column | str, start: date | Column) -> Column:
     """Week counted from ``start``, the first day being in week 1."""
-    return F.ceil((F.datediff(_col(day), F.lit(start)) + 1) / F.lit(7.0)).cast("int")
+    first = start if isinstance(start, Column) else F.lit(start)
+    return F.ceil((F.datediff(_col(day), first) + 1) / F.lit(7.0)).cast("int")
 
 
 def to_second(ts: str) -> Column:

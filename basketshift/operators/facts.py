@@ -6,7 +6,9 @@ are judged before customers are filtered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
@@ -28,6 +30,28 @@ def scope_facts(lines: DataFrame, member: DataFrame, p: Params) -> DataFrame:
                      "before_prefr_amount", "after_prefr_amount").join(member, "item_sku_id")
 
 
+def windows_by_month(scopes: DataFrame) -> DataFrame:
+    """scope_id, month and the days of the month (both inclusive) that the scope's window holds. ``scopes`` has start_date and end_date."""
+    months = F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("interval 1 month"))
+    return scopes.where("start_date <= end_date").select("scope_id", "start_date", "end_date", F.explode(months).alias("month")).select(
+        "scope_id", "month", F.greatest("start_date", "month").alias("from_day"), F.least("end_date", F.last_day("month")).alias("to_day"))
+
+
+def windowed_facts(lines: DataFrame, member: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Order lines, once per scope that holds their sku and whose own window holds their day.
+
+    Windows are cut into months, so that the join is on (sku, month): a line meets only scopes whose window touches its month, and a
+    popular sku is spread over its months. The days then decide. The scan reads what any window covers.
+    """
+    first, last = scopes.agg(F.min("start_date"), F.max("end_date")).first()
+    if first is None:
+        first, last = date(1970, 1, 2), date(1970, 1, 1)
+    known = member.join(windows_by_month(scopes), "scope_id")
+    df = order_scan(lines, first, last).select("user_id", "parent_sale_ord_id", "item_sku_id", "sale_ord_tm", "sale_ord_dt", "sale_qtty",
+                                               "before_prefr_amount", "after_prefr_amount", F.trunc("sale_ord_dt", "month").alias("month"))
+    return df.join(known, ["item_sku_id", "month"]).where(F.col("sale_ord_dt").between(F.col("from_day"), F.col("to_day"))).drop("month", "from_day", "to_day")
+
+
 def customer_orders(facts: DataFrame) -> DataFrame:
     """Distinct parent orders, and lines, per customer."""
     return facts.groupBy("scope_id", "user_id").agg(
@@ -64,9 +88,9 @@ def positive_filter(lines: DataFrame) -> DataFrame:
     return lines.where((C.scaled("sale_qtty") > 0) & (C.scaled("before_prefr_amount") > 0))
 
 
-def nonpromo_filter(lines: DataFrame, ratio: str = "0.95") -> DataFrame:
-    """Positive lines sold at no less than ``ratio`` of the list amount."""
-    floor = F.lit(ratio).cast("decimal(12,10)") * F.col("before_prefr_amount")
+def nonpromo_filter(lines: DataFrame, ratio: str | Column = "0.95") -> DataFrame:
+    """Positive lines sold at no less than ``ratio`` of the list amount. A null ratio lets no line pass."""
+    floor = (F.lit(ratio) if isinstance(ratio, str) else ratio).cast("decimal(12,10)") * F.col("before_prefr_amount")
     return positive_filter(lines).where(F.col("after_prefr_amount") >= floor)
 
 
@@ -80,15 +104,16 @@ def sku_daily(facts: DataFrame) -> DataFrame:
         F.sum(C.scaled("sale_qtty")).alias("qty"), F.sum(C.scaled("before_prefr_amount")).alias("amount"))
 
 
-def prod_tail(daily: DataFrame, share: float) -> DataFrame:
-    """Skus, by quantity from the top, whose running share of the scope is at most ``share``.
-
-    The sku that crosses the share is left out. Ties are ordered by sku.
-    """
+def ranked_skus(daily: DataFrame) -> DataFrame:
+    """Every sku with its quantity and the running share of its scope, by quantity from the top. Ties are ordered by sku."""
     qty = daily.groupBy("scope_id", "item_sku_id").agg(F.sum("qty").alias("_qty"))
     ranked = prefix.running_total(qty, "scope_id", [F.col("_qty").desc(), F.col("item_sku_id")], "_qty", "_run", "_total")
-    return (ranked.withColumn("cum_ratio", F.try_divide("_run", "_total")).where(F.col("cum_ratio") <= share)
-            .select("scope_id", "item_sku_id", C.units("_qty").alias("sale_qtty"), "cum_ratio"))
+    return ranked.select("scope_id", "item_sku_id", C.units("_qty").alias("sale_qtty"), F.try_divide("_run", "_total").alias("cum_ratio"))
+
+
+def prod_tail(daily: DataFrame, share: float) -> DataFrame:
+    """Skus, by quantity from the top, whose running share of the scope is at most ``share``. The sku that crosses it is left out."""
+    return ranked_skus(daily).where(F.col("cum_ratio") <= share)
 
 
 def kept_skus(daily: DataFrame, p: Params) -> DataFrame:
@@ -122,12 +147,12 @@ def with_items(skus: DataFrame, p: Params, brand: DataFrame | None = None) -> Da
     return skus.join(brand.select("item_sku_id", "item_id", "item_name"), "item_sku_id", "left")
 
 
-def map_items(rows: DataFrame, kept: DataFrame) -> DataFrame:
+def map_items(rows: DataFrame, kept: DataFrame, *more: str) -> DataFrame:
     """Rows of the kept skus with their item: tail cut and mapping in one join.
 
-    ``kept`` has scope_id, item_sku_id, item_id. Rows without an item are dropped.
+    ``kept`` has scope_id, item_sku_id, item_id, and ``more`` columns to take over. Rows without an item are dropped.
     """
-    known = kept.where(F.col("item_id").isNotNull()).select("scope_id", "item_sku_id", "item_id")
+    known = kept.where(F.col("item_id").isNotNull()).select("scope_id", "item_sku_id", "item_id", *more)
     return rows.join(known, ["scope_id", "item_sku_id"])
 
 
@@ -163,7 +188,11 @@ def item_min_sales(daily: DataFrame, min_sales: float) -> DataFrame:
 def weekly_sales(daily: DataFrame, p: Params) -> DataFrame:
     """Sales per item and week, and whether a day of that week had positive net sales."""
     by_day = daily.groupBy("scope_id", "item_id", "sale_ord_dt").agg(F.sum("amount").alias("_day"))
-    return by_day.groupBy("scope_id", "item_id", C.week_number("sale_ord_dt", p.start_date).alias("week")).agg(
+    return by_week(by_day, F.lit(p.start_date))
+
+
+def by_week(by_day: DataFrame, start: Column, *more: str) -> DataFrame:
+    return by_day.groupBy("scope_id", "item_id", *more, C.week_number("sale_ord_dt", start).alias("week")).agg(
         F.sum("_day").alias("_amount"), F.max(F.col("_day") > 0).alias("_active"))
 
 

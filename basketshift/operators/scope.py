@@ -5,11 +5,13 @@ Every later operator carries ``scope_id`` in its keys, so one job computes all s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
 from basketshift.functions.columns import SCOPE_PARTS
+from basketshift.params import SCOPE_PARAMS, Params
+from basketshift.sources import schemas
 
 # Codes and name of a category that the tree does not know.
 UNKNOWN_CODE = "0"
@@ -36,12 +38,33 @@ def category_enrich(lists: DataFrame, tree: DataFrame, codes: str = "item_third_
         F.col(codes).alias("item_third_cate_cd"), F.concat_ws("-", F.col("_parts.name")).alias("scope_desc"))
 
 
-def scope_table(categories: DataFrame, self_pop: str, item_type: str, scope_type: str = "lvl3") -> DataFrame:
-    """One row per scope, with its own id and the id of the batch it is published under."""
+def scope_table(categories: DataFrame, self_pop: str | Column, item_type: str | Column, scope_type: str | Column = "lvl3") -> DataFrame:
+    """One row per scope, with its own id and the id of the batch it is published under. What differs by category is given as columns."""
     df = categories.withColumns({"self_pop": F.lit(self_pop), "scope_type": F.lit(scope_type), "item_type": F.lit(item_type)})
     return df.select(C.scope_id().alias("scope_id"), C.super_scope_id().alias("super_scope_id"), *SCOPE_PARTS)
 
 
+def scope_params(scopes: DataFrame, defaults: Params, own: DataFrame | None = None) -> DataFrame:
+    """scope_id and every parameter of SCOPE_PARAMS for every scope.
+
+    ``own`` holds, by scope_id, any of these columns; where it has no row, no such column or a null, the default counts. A scope's item type
+    is part of its identity and comes from the scope table.
+    """
+    want = schemas.struct(SCOPE_PARAMS)
+    given = scopes.select("scope_id", "item_type")
+    named = [f.name for f in want if own is not None and f.name in own.columns and f.name != "item_type"]
+    if named:
+        given = given.join(own.select("scope_id", *named), "scope_id", "left")
+
+    def value(f):
+        if f.name == "item_type":
+            return F.col("item_type")
+        default = F.lit(getattr(defaults, f.name)).cast(f.dataType)
+        return (F.coalesce(F.col(f.name).cast(f.dataType), default) if f.name in named else default).alias(f.name)
+
+    return given.select("scope_id", *[value(f) for f in want])
+
+
 def lvl4_scopes(scopes: DataFrame, skus: DataFrame, attrs: DataFrame, classify_attr: str) -> DataFrame:
     """Sub-scopes: one per value that ``classify_attr`` takes among a scope's skus."""
     base = scopes.select(*SCOPE_PARTS).withColumn("cid3", F.explode(C.category_codes("item_third_cate_cd")))

@@ -6,7 +6,7 @@ ten-thousandths until the last projection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
@@ -131,13 +131,14 @@ def pair_measures(adjacent: DataFrame, within: DataFrame) -> DataFrame:
         F.max("src_baskets").alias("src_baskets"), F.max("dst_baskets").alias("dst_baskets"))
 
 
-def adjust(measures: DataFrame, orders: DataFrame, entropy: bool = True) -> DataFrame:
-    """Both adjustments. A pair that shares no basket keeps its spend.
+def adjust(measures: DataFrame, orders: DataFrame, entropy: bool | Column = True) -> DataFrame:
+    """Both adjustments. A pair that shares no basket keeps its spend. ``entropy`` may be a column of ``orders``.
 
     ``cr`` raises the spend of pairs bought together by customers who spread their spend,
     ``ci`` lowers that of pairs bought together more often than chance.
     """
-    cr = F.coalesce(F.try_divide("_comp", "_shared"), F.lit(0.0)) if entropy else F.lit(0.0)
+    wanted = F.lit(entropy) if isinstance(entropy, bool) else entropy
+    cr = F.when(wanted, F.coalesce(F.try_divide("_comp", "_shared"), F.lit(0.0))).otherwise(F.lit(0.0))
     lift = F.col("ab_count") / F.col("src_baskets") / F.col("dst_baskets") * F.col("n_orders")
     return (measures.where("n_adjacent > 0").join(orders, "scope_id")
             .withColumns({"cr": cr, "ci": F.when(F.col("ab_count") > 0, C.lift_index(lift)).otherwise(0.0)})

@@ -6,6 +6,11 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 
+# What each scope may have of its own: the columns of a table of scope parameters, by scope_id.
+SCOPE_PARAMS = ("start_date date, end_date date, prod_tail double, min_sales double, min_weeks int, min_baskets int, max_baskets bigint, "
+                "non_promo_only boolean, promo_ratio string, basket_by_day boolean, adjust_for_entropy boolean, item_type string")
+
+
 @dataclass(frozen=True)
 class Params:
     end_date: date

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import cached_property
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketshift.functions import columns as C
 from basketshift.operators import attributes as A
 from basketshift.operators import facts as X
 from basketshift.operators import publish as K
@@ -18,6 +20,7 @@ from basketshift.operators import scope as S
 from basketshift.params import Params
 from basketshift.plans.cdt_path import CdtInputs, CdtPath
 from basketshift.plans.log_path import LogInputs, LogPath
+from basketshift.plans.mixed_path import MixedOrderPath
 from basketshift.plans.order_path import OrderInputs, OrderPath
 from basketshift.session import stage
 from basketshift.sources import readers as R
@@ -27,7 +30,12 @@ from basketshift.sources.readers import INTEREST_CODES
 
 @dataclass
 class BatchInputs:
-    """``lines`` carries cid3 besides the order columns."""
+    """``lines`` carries cid3 besides the order columns.
+
+    ``params`` gives categories parameters of their own: cid3 as in the work list, and any columns of SCOPE_PARAMS but the dates, window_months
+    (the length of the window that ends on the day of the work), self_pop, scope_type and source (ord or log). Where it has no row, no such
+    column or a null, the parameters and options of the batch count.
+    """
 
     lines: DataFrame
     skus: DataFrame
@@ -38,6 +46,33 @@ class BatchInputs:
     clicks: DataFrame | None = None
     ignored: DataFrame | None = None
     extended: DataFrame | None = None
+    params: DataFrame | None = None
+
+
+@dataclass
+class Parts:
+    """Results of scopes that were computed by several paths."""
+
+    paths: list[OrderPath | LogPath]
+
+    def _all(self, name: str) -> DataFrame:
+        parts = [getattr(p, name) for p in self.paths]
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
+
+    @cached_property
+    def switching(self) -> DataFrame:
+        return self._all("switching")
+
+    @cached_property
+    def sku_in_scope(self) -> DataFrame:
+        return self._all("sku_in_scope")
+
+    @property
+    def orders(self) -> OrderPath | None:
+        return next((p for p in self.paths if isinstance(p, OrderPath)), None)
 
 
 @dataclass(frozen=True)
@@ -63,21 +98,61 @@ class Batch:
         self.spark, self.control, self.root = spark, control, root
         self.inputs, self.p, self.o = inputs, params, options
 
+    def _by_category(self, df: DataFrame, *names: str) -> DataFrame:
+        """Adds the categories' own parameters, or the options of the batch."""
+        own, given = self.inputs.params, df
+        held = [n for n in names if own is not None and n in own.columns]
+        if held:
+            given = df.join(own.select(F.col("cid3").alias("item_third_cate_cd"), *[F.col(n).alias(f"_{n}") for n in held]), "item_third_cate_cd", "left")
+
+        def default(n):
+            return F.lit(getattr(self.p if n == "item_type" else self.o, n))
+
+        return given.select(*df.columns, *[(F.coalesce(f"_{n}", default(n)) if n in held else default(n)).alias(n) for n in names if n not in df.columns])
+
     def scopes(self, work: DataFrame) -> DataFrame:
         i, o = self.inputs, self.o
-        lists = work.select(F.col("cid3").alias("item_third_cate_cd")).distinct()
-        whole = S.scope_table(S.category_enrich(lists, i.tree), o.self_pop, self.p.item_type)
-        return S.lvl4_scopes(whole, i.skus, self.attributes, o.classify_attr) if o.scope_type == "lvl4" else whole
+        lists = S.category_enrich(work.select(F.col("cid3").alias("item_third_cate_cd")).distinct(), i.tree)
+        whole = S.scope_table(self._by_category(lists, "self_pop", "item_type"), F.col("self_pop"), F.col("item_type"))
+        if o.classify_attr is None:
+            return whole
+        kinds = stage(self._by_category(lists, "scope_type").select("item_third_cate_cd", "scope_type"), "kinds")
+
+        def of(kind):
+            return whole.join(kinds.where(F.col("scope_type") == kind).select("item_third_cate_cd"), "item_third_cate_cd", "left_semi").select(*whole.columns)
+
+        return of("lvl3").unionByName(S.lvl4_scopes(of("lvl4"), i.skus, self.attributes, o.classify_attr))
+
+    def own_params(self, scopes: DataFrame) -> DataFrame:
+        """The parameters of each scope that its category has of its own, with a window that ends on this batch's day."""
+        own = self.inputs.params
+        named = [c for c in own.columns if c not in ("cid3", "self_pop", "item_type", "scope_type", "source", "window_months")]
+        months = [C.window_start_months(F.lit(self.p.end_date), F.col("window_months")).alias("start_date")] if "window_months" in own.columns else []
+        return scopes.join(own, scopes["item_third_cate_cd"] == own["cid3"]).select(scopes["scope_id"], *named, *months)
 
     @property
     def attributes(self) -> DataFrame:
         return extended_as_attributes(self.inputs.extended) if self.o.ext_attr else self.inputs.attributes
 
-    def _path(self, scopes: DataFrame) -> OrderPath | LogPath:
+    def _paths(self, scopes: DataFrame) -> Parts:
+        """One order path for all scopes of orders, one click path for each item type."""
         i = self.inputs
-        if self.o.source == "log":
-            return LogPath(LogInputs(i.clicks, i.skus, scopes, i.attributes, i.brands, i.fourth), self.p, self.o.codes)
-        return OrderPath(OrderInputs(i.lines, i.skus, scopes, i.attributes, i.brands, i.fourth), self.p)
+        if i.params is None:
+            kinds = [(self.o.source, self.p.item_type)]
+            told = scopes
+        else:
+            told = stage(self._by_category(scopes, "source"), "sources")
+            kinds = sorted({(r["source"], r["item_type"] if r["source"] == "log" else "any") for r in told.select("source", "item_type").distinct().collect()})
+
+        def path(source, item_type):
+            mine = told if i.params is None else told.where(F.col("source") == source)
+            if source == "log":
+                mine = mine.where(F.col("item_type") == item_type).select(*scopes.columns)
+                return LogPath(LogInputs(i.clicks, i.skus, mine, i.attributes, i.brands, i.fourth), replace(self.p, item_type=item_type), self.o.codes)
+            inputs = OrderInputs(i.lines, i.skus, mine.select(*scopes.columns), i.attributes, i.brands, i.fourth)
+            return OrderPath(inputs, self.p) if i.params is None else MixedOrderPath(inputs, self.p, self.own_params(scopes))
+
+        return Parts([path(*k) for k in kinds])
 
     def run(self, pending: DataFrame | None = None) -> DataFrame | None:
         """Computes, checks and publishes the pending categories, each for its own day; returns the status rows.
@@ -103,20 +178,22 @@ class Batch:
     def _run_day(self, work: DataFrame) -> DataFrame:
         i, p = self.inputs, self.p
         scopes = stage(self.scopes(work), "scopes")
-        path = self._path(scopes)
+        path = self._paths(scopes)
         # Pairs are expanded once: what is published besides is read from what is written here.
-        if isinstance(path, OrderPath):
-            path.detail = stage(path.detail, "detail")
+        if path.orders:
+            path.orders.detail = stage(path.orders.detail, "detail")
         switching = path.switching = stage(path.switching, "switching")
         member = S.membership(scopes, i.skus, i.fourth)
-        brand = None if p.item_type == "sku" else X.brand_map(i.attributes, i.brands)
         scoped = A.scoped_attributes(self.attributes, member)
-        if brand is not None:
-            # Items are brands: they take over the attributes of their skus.
-            ids = brand.where("item_id is not null").select(F.col("item_sku_id").alias("item_id"), F.col("item_id").alias("brand_id"))
-            scoped = scoped.join(ids, "item_id").drop("item_id").withColumnRenamed("brand_id", "item_id")
+        by_sku, by_brand = (scopes.where(F.col("item_type") == t) for t in ("sku", "brand"))
+        brand = X.brand_map(i.attributes, i.brands)
+        # Where items are brands, they take over the attributes of their skus.
+        ids = brand.where("item_id is not null").select(F.col("item_sku_id").alias("item_id"), F.col("item_id").alias("brand_id"))
+        own = scoped.join(by_brand.select("scope_id"), "scope_id", "left_semi").join(ids, "item_id").drop("item_id").withColumnRenamed("brand_id", "item_id")
+        scoped = scoped.join(by_sku.select("scope_id"), "scope_id", "left_semi").unionByName(own)
         lines = R.order_scan(i.lines, p.start_date, p.end_date)
-        cdt = CdtPath(CdtInputs(switching, scoped, lines, scopes, i.ignored, brand, self.o.classify_attr))
+        sales = A.item_net_sales(lines, None, by_sku).unionByName(A.item_net_sales(lines, brand, by_brand))
+        cdt = CdtPath(CdtInputs(switching, scoped, lines, scopes, i.ignored, classify_attr=self.o.classify_attr, sales=sales))
         forests, failed = cdt.forest_and_failed
         importances = stage(forests, "cdt")
         # Fits that failed may succeed when repeated: their categories stay pending and keep the importances they have.
@@ -159,8 +236,8 @@ class Batch:
         for rows, name in ((importances, "cdt_raw"), (cdt.translated(importances), "cdt")):
             K.publish(passed(rows, "cdt_check").where(~F.col("cid3").isin(*held)), *table(name), schemas.CDT, fitted)
         outputs = {"scope": [S.scope_descriptor(scopes)], "sku_in_scope": [path.sku_in_scope]}
-        if isinstance(path, OrderPath):
-            outputs["spendswitch"] = [path.detail]
+        if path.orders:
+            outputs["spendswitch"] = [path.orders.detail]
         K.assemble(outputs, self.p.end_date, self.root, categories)
         K.publish_status(K.with_partition(status, day), *table("status")[::2], schemas.STATUS)
 

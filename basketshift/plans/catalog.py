@@ -20,6 +20,7 @@ from basketshift.operators import switching as W
 from basketshift.params import Params
 from basketshift.plans.cdt_path import CdtInputs, CdtPath
 from basketshift.plans.log_path import LogInputs, LogPath
+from basketshift.plans.mixed_path import MixedOrderPath
 from basketshift.plans.order_path import OrderInputs, OrderPath
 from basketshift.session import stage, staging_path
 from basketshift.sources import readers as R
@@ -443,6 +444,34 @@ def switch_prob_order_day(spark, folder):
     return _switching(order_path(spark, folder, by_day=True).switching)
 
 
+def mixed_path(spark: SparkSession, folder: str) -> MixedOrderPath:
+    """Sku and brand scopes of every category, whose parameters differ by category and item type."""
+    star = Star(spark, folder)
+    both = scopes(star).unionByName(scopes(star, item_type="brand"))
+    cid3, brand = F.col("item_third_cate_cd"), F.col("item_type") == "brand"
+    late = cid3.isin("ECONOMY", "LARGE", "PROMO")
+    own = both.select(
+        "scope_id", F.when(late, F.lit("1995-08-01")).otherwise("1995-01-01").cast("date").alias("start_date"),
+        F.when(late, F.lit("2001-07-31")).otherwise("2000-12-31").cast("date").alias("end_date"),
+        F.when(brand, 0.9).when(cid3 == "LARGE", 1.0).alias("prod_tail"), F.when(brand, 300_000.0).alias("min_sales"),
+        F.when(cid3 == "SMALL", 6).alias("min_weeks"), F.when(late, 1).alias("min_baskets"), F.when(brand, 30).alias("max_baskets"),
+        F.when(cid3 == "MEDIUM", F.lit(False)).alias("non_promo_only"), F.when(cid3 == "PROMO", "0.93").alias("promo_ratio"),
+        (cid3.isin("STANDARD", "PROMO") & brand).alias("basket_by_day"), F.when(cid3 == "ECONOMY", F.lit(False)).alias("adjust_for_entropy"))
+    inputs = OrderInputs(star.order_lines(), R.sku_scan(star.sku_master()), both, star.attributes(), star.brand_dict())
+    return MixedOrderPath(inputs, params(), own)
+
+
+@query
+def switch_prob_order_mixed(spark, folder):
+    """Two windows, several thresholds, skus and brands, order and day baskets in one job."""
+    return _switching(mixed_path(spark, folder).switching)
+
+
+@query
+def sku_in_scope_mixed(spark, folder):
+    return mixed_path(spark, folder).sku_in_scope
+
+
 # -- switching from clicks ----------------------------------------------------
 
 

@@ -25,6 +25,8 @@ class CdtInputs:
     brand: DataFrame | None = None
     classify_attr: str | None = None
     exclude: Sequence[str] = ()
+    # Net sales by scope and item, where they are not those of ``lines``.
+    sales: DataFrame | None = None
 
 
 class CdtPath:
@@ -59,7 +61,8 @@ class CdtPath:
 
     @cached_property
     def with_sales(self) -> DataFrame:
-        return A.pair_sales(self.pairs, A.item_net_sales(self.inputs.lines, self.inputs.brand, self.inputs.scopes))
+        i = self.inputs
+        return A.pair_sales(self.pairs, i.sales if i.sales is not None else A.item_net_sales(i.lines, i.brand, i.scopes))
 
     @cached_property
     def maps(self) -> DataFrame:

@@ -276,6 +276,49 @@ IMPORTANCE_STEPS = {
         from scopes s join est e on e.cid3 = s.c3 group by all""",
 }
 
+def mixed_steps() -> dict[str, str]:
+    """The order path with parameters by scope, over sku and brand scopes."""
+    steps = order_steps()
+    late = "c3 in ('ECONOMY', 'LARGE', 'PROMO')"
+    changed = {
+        "scopes": f"""
+            select *, case when {late} then date '1995-08-01' else date '1995-01-01' end as start_day,
+                   case when {late} then date '2001-07-31' else date '2000-12-31' end as end_day,
+                   case when item_type = 'brand' then 0.9 when c3 = 'LARGE' then 1.0 else 0.95 end as share,
+                   case when item_type = 'brand' then 300000 else 500000 end as least_sales, case when c3 = 'SMALL' then 6 else 10 end as least_weeks,
+                   case when {late} then 1 else 2 end as least_orders, case when item_type = 'brand' then 30 else 24 end as most_orders,
+                   case when c3 = 'MEDIUM' then null when c3 = 'PROMO' then 0.93 else 0.95 end as ratio,
+                   c3 in ('STANDARD', 'PROMO') and item_type = 'brand' as by_day, c3 <> 'ECONOMY' as entropy
+            from ({scope_sql('self', 'sku')} union all {scope_sql('self', 'brand')})""",
+        "facts": """
+            select s.scope_id, o.* from order_lines o join skus k on k.item_sku_id = o.item_sku_id and k.sku_type = 'self'
+            join scopes s on s.c3 = o.cid3 and o.sale_ord_dt between s.start_day and s.end_day where o.valid = 1""",
+        "tail": steps["tail"].replace("where cum_ratio <= 0.95", "join scopes using (scope_id) where share = 1 or cum_ratio <= share"),
+        "mapped": """
+            select k.*, case when s.item_type = 'sku' then k.item_sku_id else m.item_id end as item_id
+            from kept k join scopes s using (scope_id) left join brand_of m on m.item_sku_id = k.item_sku_id
+            where s.item_type = 'sku' or m.item_id is not null""",
+        "big_items": """
+            select scope_id, item_id from mapped join scopes using (scope_id) group by scope_id, item_id, least_sales having sum(before_amt) > least_sales""",
+        "weeks": """
+            select d.scope_id, item_id from (select scope_id, item_id, sale_ord_dt, sum(before_amt) as amount from mapped group by all) d
+            join scopes s on s.scope_id = d.scope_id where amount > 0 group by d.scope_id, item_id, least_weeks
+            having count(distinct ceil((date_diff('day', start_day, sale_ord_dt) + 1) / 7.0)) >= least_weeks""",
+        "bought": """
+            select m.*, s.by_day from mapped m join scopes s using (scope_id) join customers c on c.scope_id = m.scope_id and c.user_id = m.user_id
+            where c.ord_qtty between least_orders and most_orders and m.user_id <> '-1' and m.sale_qtty > 0 and m.before_amt > 0
+              and (ratio is null or m.after_amt >= cast(ratio as decimal(4,2)) * m.before_amt)""",
+        "numbered": """
+            select *, dense_rank() over (partition by scope_id, user_id order by case when by_day then cast(sale_ord_dt as timestamp) else sale_ord_tm end,
+                                         case when by_day then '' else parent_sale_ord_id end) as seq from bought""",
+        "adjusted_once": """
+            select r.*, case when s.entropy then coalesce(c.cr, 0) else 0 end as cr, r.ss * (1 + case when s.entropy then coalesce(c.cr, 0) else 0 end) as ca
+            from raw r join scopes s using (scope_id) left join comp c on c.scope_id = r.scope_id and c.src = r.src and c.dst = r.dst""",
+    }
+    assert changed["tail"] != steps["tail"]
+    return steps | changed
+
+
 FIT_STEPS = {
     "sims": "select scope_id, src_item_id, dst_item_id, attr_key, similarity from cat_sim union all select scope_id, src_item_id, dst_item_id, attr_key, similarity from num_sim",
     "cells_all": """
@@ -519,6 +562,10 @@ def all_statements() -> dict[str, str]:
         "switch_prob_order": sql(SWITCHING + "switching", sku),
         "switch_prob_order_brand": sql(SWITCHING + "switching", brand),
         "switch_prob_order_day": sql(SWITCHING + "switching", day),
+        "switch_prob_order_mixed": sql(SWITCHING + "switching", mixed_steps()),
+        "sku_in_scope_mixed": sql("""select distinct k.scope_id, k.item_sku_id, case when s.item_type = 'sku' then k.item_sku_id else m.item_id end as item_id,
+            case when s.item_type = 'sku' then n.sku_name else m.item_name end as item_name, s.item_type
+            from kept k join scopes s using (scope_id) join skus n using (item_sku_id) left join brand_of m using (item_sku_id)""", mixed_steps()),
         "coview_counts": sql("select w.scope_id, m.* from met m, whole w", log_steps()),
         "switch_prob_log": sql(SWITCHING + "log_switching", log_steps()),
         "switch_prob_log_brand": sql(SWITCHING + "log_switching", log_steps("brand")),

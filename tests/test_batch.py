@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -15,6 +16,7 @@ from basketshift.sources.star import Star
 from basketshift.streaming.control import watch
 
 FOLDER = "/root/testdata/sf0.001"
+SPEND = "item_id string, from_item_id string, spendswitch double, cr double, ci double, switch_prob double, scope_id string"
 
 
 def inputs(spark):
@@ -120,3 +122,34 @@ def test_a_failed_fit_keeps_importances_and_stays_pending(spark, tmp_path, monke
     assert status[economy]["cdt_check"] == "-1" and status[economy]["status"] == "1" and sorted(r["status"] for r in status.values()) == ["0", "1"]
     assert flags(spark, ctl) == {("2001-07-31", "ECONOMY"): "0", ("2001-07-31", "PROMO"): "1"}
     assert all(first.values()) and {n: rows(n) for n in first} == first
+
+
+def test_categories_with_parameters_of_their_own(spark, tmp_path):
+    """One batch over categories that differ in window, thresholds, item type and source equals a batch of each alone."""
+    day, end = "2001-07-31", date(2001, 7, 31)
+    own = [("ECONOMY", 36, 0.8, 2, "sku", "ord", None), ("PROMO", None, None, None, "brand", None, True), ("LARGE", 72, None, 1, None, "ord", None)]
+    table = spark.createDataFrame(own, "cid3 string, window_months int, prod_tail double, min_baskets int, item_type string, source string, basket_by_day boolean")
+    defaults = Params(end_date=end, start_date=date(1995, 8, 1), prod_tail=0.95)
+    singles = {"ECONOMY": replace(defaults, start_date=date(1998, 8, 1), prod_tail=0.8, min_baskets=2), "SMALL": defaults,
+               "PROMO": replace(defaults, item_type="brand", basket_by_day=True), "LARGE": defaults}
+    found = {}
+    for name, p, cats, params in [("all", defaults, list(singles), table), *[(c, p, [c], None) for c, p in singles.items()]]:
+        ctl, root = str(tmp_path / f"control-{name}"), str(tmp_path / f"out-{name}")
+        control(spark, ctl, *[("0", day, c) for c in cats])
+        Batch(spark, ctl, root, replace(inputs(spark), params=params), p, BatchOptions()).run()
+        for t, schema in (("switching_prob", schemas.SWITCHING), ("sku_in_scope", schemas.SKU_IN_SCOPE), ("spendswitch", SPEND)):
+            for r in K.read_partitions(spark, f"{root}/{t}", schema).collect():
+                found.setdefault((name == "all", t), set()).add(tuple(round(v, 9) if isinstance(v, float) else v for v in r))
+    for t in ("switching_prob", "sku_in_scope", "spendswitch"):
+        assert found[True, t] == found[False, t] and len({r[-1] for r in found[True, t]}) == 4, t
+
+
+def test_scopes_of_orders_and_clicks_in_one_batch(spark, tmp_path):
+    ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
+    control(spark, ctl, ("0", "2024-01-31", "ECONOMY-LARGE-SMALL"), ("0", "2024-01-31", "PROMO"))
+    table = spark.createDataFrame([("ECONOMY-LARGE-SMALL", "log"), ("PROMO", "ord")], "cid3 string, source string")
+    p = Params(end_date=date(2024, 1, 31), start_date=date(1995, 1, 1))
+    batch = Batch(spark, ctl, root, replace(inputs(spark), params=table), p, BatchOptions(codes=("view", "click", "purchase", "signup")))
+    paths = batch._paths(batch.scopes(K.read_partitions(spark, ctl, "status string")))
+    assert {r["model"] for r in paths.switching.select("model").distinct().collect()} == {"log", "order"}
+    assert {r["cid3"]: r["status"] for r in K.read_partitions(spark, ctl, "status string").collect()} == {"ECONOMY-LARGE-SMALL": "0", "PROMO": "0"}

@@ -225,7 +225,7 @@ def anchor_filter(repeated: DataFrame, params: SubstringParams) -> AnchorFilter:
 
 
 def _firsts(judged: DataFrame, params: SubstringParams) -> DataFrame:
-    """row and places: the passages in question that start nowhere earlier, in pieces, for each row that has any.
+    """row and places: the starts of the passages in question that start nowhere earlier, for each row that has any.
 
     A slice of texts sends each passage once, at its earliest start, so one that a third of all documents hold arrives once
     a slice. Only first starts are sent on: no passage's occurrences are ever gathered.
@@ -281,11 +281,10 @@ def _firsts(judged: DataFrame, params: SubstringParams) -> DataFrame:
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         row, place = docs["row"][order[new]], place[order[new]]
         by_row = np.argsort(row, kind="stable")
-        rows, starts = np.unique(row[by_row], return_index=True)
-        return pa.table({"row": rows, "places": pa.array([x.tobytes() for x in np.split(place[by_row], starts[1:])] if len(rows) else [], pa.binary())})
+        return pa.table({"row": row[by_row], "place": place[by_row]})
 
     sent = asked.select("row", "k", "h", "text", "asked").mapInArrow(run, schema)
-    return sent.groupBy("bucket").applyInArrow(first, "row bigint, places binary").groupBy("row").agg(F.collect_list("places").alias("places"))
+    return sent.groupBy("bucket").applyInArrow(first, "row bigint, place int").groupBy("row").agg(F.collect_list("place").alias("places"))
 
 
 def _judged(keyed: DataFrame, shared: Broadcast, bits: int, params: SubstringParams, with_text: bool) -> DataFrame:
@@ -351,11 +350,12 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(),
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = {"doc_id": b.column("doc"), "n_words": b.column("n_words"), "n_removed": [], "kept": [], "kept_sha256": []}
-            for sha, kept, raw, asked, places in zip(*(b.column(c).to_pylist() for c in ("sha", "kept", "text", "asked", "places")), strict=True):
+            for i, (sha, kept, raw, asked) in enumerate(zip(*(b.column(c).to_pylist() for c in ("sha", "kept", "text", "asked")), strict=True)):
                 removed = 0
                 if asked is not None:
                     words = zlib.decompress(raw).split()
-                    first = np.frombuffer(b"".join(places or []), dtype="<i4")
+                    places = b.column("places")[i].values
+                    first = np.zeros(0, dtype=np.int32) if places is None else places.to_numpy()
                     gone = covered(len(words), np.setdiff1d(np.frombuffer(asked, dtype="<i4"), first, assume_unique=True), params.window)
                     removed = int(gone.sum())
                     left = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])

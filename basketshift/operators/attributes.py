@@ -241,6 +241,11 @@ def pair_sales(pairs: DataFrame, sales: DataFrame) -> DataFrame:
         *PAIR, "switching_prob", F.coalesce("fromSales", "_from").alias("fromSales"), F.coalesce("toSales", "_to").alias("toSales"))
 
 
+def matrix_keys(maps: DataFrame) -> list[str]:
+    """The attribute keys of all scopes: the columns of their wide matrix, so the driver must know them."""
+    return sorted(r["k"] for r in maps.select(F.explode(F.map_keys("sims")).alias("k")).distinct().collect())
+
+
 def attr_matrix(maps: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per pair, one column for each of ``keys``. A key foreign to a scope is null there.
 

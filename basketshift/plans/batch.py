@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 from functools import cached_property
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,15 @@ from basketshift.plans.cdt_path import CdtInputs, CdtPath
 from basketshift.plans.log_path import LogInputs, LogPath
 from basketshift.plans.mixed_path import MixedOrderPath
 from basketshift.plans.order_path import OrderInputs, OrderPath
-from basketshift.session import stage
+from basketshift.session import stage, staging_apart
 from basketshift.sources import readers as R
 from basketshift.sources import schemas
 from basketshift.sources.readers import INTEREST_CODES
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass
 class BatchInputs:
     """``lines`` carries cid3 besides the order columns.
@@ -161,10 +166,11 @@ class Batch:
         the results of its day are published, so a lost run is repeated, and repeating it overwrites the same partitions.
         A category with a scope whose fit failed is not marked and keeps the importances it has.
         """
-        control = K.read_partitions(self.spark, self.control, "status string")
-        work = stage(R.pending_scopes(control if pending is None else pending), "work")
-        days = [r["dt"] for r in work.select("dt").distinct().orderBy("dt").collect()]
-        found = [self._for_day(day)._run_day(work.where(F.col("dt") == day)) for day in days]
+        with staging_apart(self.spark):
+            control = K.read_partitions(self.spark, self.control, "status string")
+            work = stage(R.pending_scopes(control if pending is None else pending), "work")
+            days = [r["dt"] for r in work.select("dt").distinct().orderBy("dt").collect()]
+            found = [self._for_day(day)._run_day(work.where(F.col("dt") == day)) for day in days]
         out = None
         for status in found:
             out = status if out is None else out.unionByName(status)
@@ -178,6 +184,15 @@ class Batch:
     def _run_day(self, work: DataFrame) -> DataFrame:
         i, p = self.inputs, self.p
         scopes = stage(self.scopes(work), "scopes")
+        categories = [r["cid3"] for r in work.select("cid3").distinct().collect()]
+        recent = R.order_scan(i.lines, F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS), p.end_date)
+        coverage = Q.month_coverage(i.lines.where("sale_ord_valid_flag = 1"), scopes, p.end_date)
+        inputs = self._codes("input_check", scopes, lambda: Q.input_check(coverage, i.skus, self.attributes, scopes))
+        numbers = self._codes("sku_number", scopes, lambda: Q.sku_number(scopes, i.skus, recent, i.fourth))
+        if inputs is None:
+            return self._unreadable(work, scopes, categories)
+        if numbers is None:
+            numbers = scopes.select("scope_id", F.lit(-1).alias("sku_number"))
         path = self._paths(scopes)
         # Pairs are expanded once: what is published besides is read from what is written here.
         if path.orders:
@@ -199,25 +214,39 @@ class Batch:
         # Fits that failed may succeed when repeated: their categories stay pending and keep the importances they have.
         held = sorted({K.category_of(s) for s in failed})
 
-        coverage = Q.month_coverage(i.lines.where("sale_ord_valid_flag = 1"), scopes, p.end_date)
-        recent = R.order_scan(i.lines, F.add_months(F.trunc(F.lit(p.end_date), "month"), 1 - Q.MONTHS), p.end_date)
-        inputs = self._input_codes(coverage, scopes)
-        numbers = Q.sku_number(scopes, i.skus, recent, i.fourth)
         switches, cdts = Q.switch_check(switching, scopes), Q.cdt_check(importances, scopes, failed=failed)
         status = stage(Q.status_table(inputs, numbers, switches, cdts), "status")
-        self._publish(scopes, status, switching, importances, cdt, path, [r["cid3"] for r in work.select("cid3").distinct().collect()], held)
+        self._publish(scopes, status, switching, importances, cdt, path, categories, held)
         K.mark_done(self.control, work.where(~F.col("cid3").isin(*held)))
         if held:
-            # Written anew, so that a watcher, which sees each row once, starts them again.
-            K.overwrite_partitions(work.where(F.col("cid3").isin(*held)).select(F.lit("0").alias("status"), *K.PARTITION), self.control)
-        return status
+            self._reopen(work.where(F.col("cid3").isin(*held)))
+        return self._published_status(status, categories)
+
+    def _published_status(self, status: DataFrame, categories: list[str]) -> DataFrame:
+        """What the batch staged goes when it ends; its status is read from where it is published."""
+        return K.read_partitions(self.spark, f"{self.root}/status", schemas.STATUS, dt=str(self.p.publish_date), cid3=categories).select(status.columns)
+
+    def _reopen(self, work: DataFrame) -> None:
+        """Written anew, so that a watcher, which sees each row once, starts it again."""
+        K.overwrite_partitions(work.select(F.lit("0").alias("status"), *K.PARTITION), self.control)
 
-    def _input_codes(self, coverage: DataFrame, scopes: DataFrame) -> DataFrame:
-        """Input check codes; -1 for all scopes where the inputs cannot be read."""
+    def _codes(self, name: str, scopes: DataFrame, check: Callable[[], DataFrame]) -> DataFrame | None:
+        """The codes of a check; None if its inputs cannot be read."""
         try:
-            return stage(Q.input_check(coverage, self.inputs.skus, self.attributes, scopes), "inputs")
-        except PySparkException:
-            return scopes.select("scope_id", F.lit(-1).alias("input_check"))
+            return stage(check(), name)
+        except (PySparkException, Py4JJavaError) as error:
+            log.warning("%s of %d scopes could not be found: %s", name, scopes.count(), error)
+            return None
+
+    def _unreadable(self, work: DataFrame, scopes: DataFrame, categories: list[str]) -> DataFrame:
+        """Status -1 for all scopes. Nothing else is published, results stay as they are, and the work stays pending."""
+        none = scopes.select("scope_id")
+        status = stage(Q.status_table(none.withColumn("input_check", F.lit(-1)), none.withColumn("sku_number", F.lit(-1)),
+                                      none.withColumn("switch_check", F.lit(1)), none.withColumn("cdt_check", F.lit(1))), "status")
+        ready = K.prepare(K.with_partition(status, self.p.publish_date), [f"{self.root}/status_tmp", f"{self.root}/status"])
+        K.commit(self.spark, ready)
+        self._reopen(work)
+        return self._published_status(status, categories)
 
     def _publish(self, scopes, status, switching, importances, cdt, path, categories, held=()) -> None:
         day = self.p.publish_date
@@ -230,15 +259,17 @@ class Batch:
             return [f"{self.root}/{name}{suffix}" for suffix in ("_tmp", "_pre", "")]
 
         work = [(str(day), c) for c in categories]
-        K.publish(passed(switching, "switch_check"), *table("switching_prob"), schemas.SWITCHING, work)
+        ready = [K.prepare(passed(switching, "switch_check"), table("switching_prob"), work)]
         # With the keys as they are, and under the names they are shown by.
         fitted = [(day, c) for day, c in work if c not in held]
         for rows, name in ((importances, "cdt_raw"), (cdt.translated(importances), "cdt")):
-            K.publish(passed(rows, "cdt_check").where(~F.col("cid3").isin(*held)), *table(name), schemas.CDT, fitted)
+            ready.append(K.prepare(passed(rows, "cdt_check").where(~F.col("cid3").isin(*held)), table(name), fitted))
         outputs = {"scope": [S.scope_descriptor(scopes)], "sku_in_scope": [path.sku_in_scope]}
         if path.orders:
             outputs["spendswitch"] = [path.orders.detail]
-        K.assemble(outputs, self.p.end_date, self.root, categories)
-        K.publish_status(K.with_partition(status, day), *table("status")[::2], schemas.STATUS)
-
-
+        ready += K.prepare_results(outputs, self.p.end_date, self.root, categories).values()
+        ready.append(K.prepare(K.with_partition(status, day), table("status")[::2]))
+        # All rows are written; what follows are renames of small files.
+        K.commit(self.spark, *ready)
+        for p in ready:
+            K.vacuum(self.spark, p.paths)

@@ -69,8 +69,11 @@ class CdtPath:
         """Pairs with their sales and all similarities."""
         return A.similarity_maps(self.with_sales, *self.split)
 
-    def matrix(self, keys: Sequence[str]) -> DataFrame:
-        return A.attr_matrix(self.maps, keys)
+    def matrix(self, keys: Sequence[str] | None = None) -> DataFrame:
+        """The wide matrix of the given keys, or of all that the scopes have."""
+        if keys is not None:
+            return A.attr_matrix(self.maps, keys)
+        return A.attr_matrix(self.staged_maps, A.matrix_keys(self.staged_maps))
 
     @cached_property
     def staged_maps(self) -> DataFrame:

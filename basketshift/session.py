@@ -5,8 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 _local_root: tempfile.TemporaryDirectory | None = None
 _run = uuid.uuid4().hex[:12]
 _cleaning = False
+# Folders of work whose staged tables go before the driver ends, innermost last.
+_apart: list[str] = []
 
 def build_session(app: str = "basketshift", master: str | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str | None = None) -> SparkSession:
@@ -67,7 +70,23 @@ def staging_path(spark: SparkSession, label: str) -> str:
     if not _cleaning:
         _cleaning = True
         atexit.register(_quietly, _folder_deleter(spark))
-    return f"{staging_root(spark)}/basketshift-{_run}/{label}-{uuid.uuid4().hex[:8]}"
+    return "/".join([staging_root(spark), f"basketshift-{_run}", *_apart[-1:], f"{label}-{uuid.uuid4().hex[:8]}"])
+
+
+@contextmanager
+def staging_apart(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end, whether it succeeds or not; nothing lazy may outlive it.
+
+    Parts may be nested, but not run side by side in one driver: tables go to the part that began last.
+    """
+    name = f"part-{uuid.uuid4().hex[:8]}"
+    _apart.append(name)
+    try:
+        yield
+    finally:
+        _apart.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/basketshift-{_run}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

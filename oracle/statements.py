@@ -262,19 +262,9 @@ PAIR_STEPS = {
 }
 
 PAIR = "scope_id, src_item_id, dst_item_id"
+FOREST = "Random Forest Regression"
 
-IMPORTANCE_STEPS = {
-    "brand_n": "select cid3, p_brand as attdesc, count(*) as n from skus group by all",
-    "est": """
-        select b.cid3, b.attdesc,
-               case when b.cid3 = 'SMALL' and b.attdesc = 'Brand#9' then null when b.cid3 = 'LARGE' then b.n / (t.top + 1)
-                    when b.cid3 = 'PROMO' and b.attdesc = 'Brand#4' then cast('-inf' as double) else b.n / t.top end as estimate
-        from brand_n b join (select cid3, max(n) as top from brand_n group by all) t using (cid3)""",
-    "cdt_codes": """
-        select s.scope_id, case when max(e.estimate) <> 1 or min(e.estimate) = cast('-inf' as double) or count(*) > count(e.estimate)
-                                then 1 else 0 end as cdt_check
-        from scopes s join est e on e.cid3 = s.c3 group by all""",
-}
+GHOST = "0_0_GHOST_self_lvl3_None_sku"
 
 def mixed_steps() -> dict[str, str]:
     """The order path with parameters by scope, over sku and brand scopes."""
@@ -447,15 +437,17 @@ def sql(select: str, *groups: dict[str, str]) -> str:
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in steps.items()) + "\n" + select
 
 
-def fit_sql(model: str, *groups: dict[str, str]) -> str:
+def fit_sql(model: str, *groups: dict[str, str], after: dict[str, str] | None = None, select: str = "select * from cdt") -> str:
     """Every step is computed once; a model's steps may refer to themselves."""
     steps = dict(ROLES)
     for g in groups:
         steps.update(g)
-    said = ",\n".join(f"{k} as {'' if k == 'descent' else 'materialized '}({v})" for k, v in steps.items())
-    return f"""with recursive {said}
+    steps["cdt"] = f"""
         select scope_id, name as attdesc, round(weight / nullif(max(weight) over (partition by scope_id), 0), 5) as "Estimate", '{model}' as "SimulationType"
         from weights"""
+    steps |= after or {}
+    said = ",\n".join(f"{k} as {'' if k == 'descent' else 'materialized '}({v})" for k, v in steps.items())
+    return f"with recursive {said}\n{select}"
 
 SWITCHING = "select scope_id, src_item_id, dst_item_id, round(switching_prob, 6) as switching_prob, model from "
 
@@ -473,6 +465,23 @@ def all_statements() -> dict[str, str]:
                                   or (count(*) >= 50 and max(t.p) = min(t.p)) then 1 else 0 end as switch_check
         from scopes s left join tampered t on t.found_in = s.scope_id group by all"""}
 
+    status = f"""
+        select scope_id, '0' as input_check, cast(n as varchar) as sku_number, cast(w as varchar) as switch_check, cast(c as varchar) as cdt_check,
+               case when w = 0 and c = 0 then '0' else '1' end as status
+        from (select s.scope_id,
+                     (select count(*) from skus k where k.cid3 = s.c3 and k.sku_type = 'self' and k.item_sku_id in ({SOLD_RECENTLY})) as n,
+                     (select case when max(switching_prob) > 1 or min(switching_prob) < 0 or (count(*) >= 50 and max(switching_prob) = min(switching_prob))
+                             then 1 else 0 end from switching x where x.scope_id = s.scope_id) as w,
+                     (select case when max("Estimate") <> 1 or count("Estimate") < count(*) then 1 else 0 end from cdt x where x.scope_id = s.scope_id) as c
+              from scopes s
+              where (select count(distinct date_trunc('month', o.sale_ord_dt)) from order_lines o
+                     where o.cid3 = s.c3 and o.valid = 1 and o.sale_ord_dt between date '1999-08-01' and date '{END}') = 24)
+        union all
+        select scope_id, '1', '-1', '1', '1', '1' from scopes s
+        where (select count(distinct date_trunc('month', o.sale_ord_dt)) from order_lines o
+               where o.cid3 = s.c3 and o.valid = 1 and o.sale_ord_dt between date '1999-08-01' and date '{END}') < 24
+        union all select '{GHOST}', '1', '-1', '1', '1', '1'"""
+
     def scan(variant, rule):
         return f"select '{variant}' as variant, o_orderkey, cast(o_orderdate as date) as dt from orders where {rule}"
 
@@ -607,45 +616,44 @@ def all_statements() -> dict[str, str]:
             where o.valid = 1 and o.sale_ord_dt between date '{START}' and date '{END}' group by all"""}),
         "attr_matrix": sql("""
             select s.scope_id, s.src_item_id, s.dst_item_id, round(any_value(s.switching_prob), 6) as "switchProb",
-                   round(max(case when x.attr_key = 'colour' then x.similarity end), 6) as colour,
-                   round(max(case when x.attr_key = 'noun' then x.similarity end), 6) as noun,
-                   round(max(case when x.attr_key = 'size' then x.similarity end), 6) as size,
-                   round(max(case when x.attr_key = '品牌' then x.similarity end), 6) as brand,
+                   """ + "".join(f"""round(max(case when x.attr_key = '{k}' then x.similarity end), 6) as "{k}",
+                   """ for k in ("colour", "noun", "price", "size", "volume", "品牌")) + """
                    round(any_value(s.from_sales), 4) as "fromSales", round(any_value(s.to_sales), 4) as "toSales"
             from sales s left join (select * from cat_sim union all select * from num_sim) x using (scope_id, src_item_id, dst_item_id)
-            group by 1, 2, 3""", sku, attrs, PAIR_STEPS),
+            group by 1, 2, 3""", sku, more, PAIR_STEPS),
         "cdt_translate": sql("""
             select a.scope_id, coalesce(nullif(k.shown_as, ''), d.name, a.attr_key) as attdesc, count(distinct a.item_id) as n_items
             from sattr a left join kept_keys k using (scope_id, attr_key)
             left join (values ('price', '价格'), ('unit', '包装件数'), ('volume', '总容量/总重量'), ('unit_volume', '单件容量/单件重量'),
                 ('unit_price', '单件价格'), ('per_price', '单位容量价格/单位重量价格')) d(key, name) on d.key = a.attr_key
             group by a.scope_id, a.attr_key, k.shown_as, d.name""", more),
-        "cdt_rf": fit_sql("Random Forest Regression", sku, more, PAIR_STEPS, FIT_STEPS, forest_steps()),
+        "cdt_rf": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps()),
         "cdt_enet": fit_sql("Elastic Net Regression", sku, more, PAIR_STEPS, FIT_STEPS, net_steps()),
         "month_coverage": sql("select * from coverage", FINE_STEPS),
         "input_check": sql("""
             select f.scope_id, cast(case when (select count(*) from coverage c where c.scope_id = f.scope_id and c.n_lines = 0) = 0
-                and exists (select 1 from fine_skus k join attrs a on a.sku_id = k.item_sku_id and a.attr_name = 'size' where k.fine = f.fine)
-                then 0 else 1 end as bigint) as input_check from fine f""", FINE_STEPS),
+                and exists (select 1 from fine_skus k join attrs a on a.sku_id = k.item_sku_id where k.fine = f.fine)
+                then 0 else 1 end as bigint) as input_check from fine f union all select '1_11_GHOST_self_lvl3_GHOST_sku', 1""", FINE_STEPS),
         "sku_number": sql(f"""
             select s.scope_id, count(distinct k.item_sku_id) as sku_number from ({scope_sql('self', 'sku')}) s
             left join (select * from skus where sku_type = 'self' and item_sku_id in ({SOLD_RECENTLY})) k on k.cid3 = s.c3 group by all
             union all select s.scope_id, count(distinct f.sku_id) from ({SUB_SCOPES}) s
             left join fourth f on f.cid3 = s.c3 and f.attr_value = s.scope_desc group by all"""),
         "switch_check": sql("select scope_id, cast(switch_check as bigint) as switch_check from checked", sku, tampered),
-        "cdt_check": sql("select scope_id, cast(cdt_check as bigint) as cdt_check from cdt_codes",
-                         {"scopes": scope_sql("self", "sku")}, IMPORTANCE_STEPS),
-        "status_table": sql(f"""
-            select c.scope_id, cast(c.bad as varchar) as input_check, case when bad = 0 then cast(n as varchar) else '-1' end as sku_number,
-                   case when bad = 0 then cast(w as varchar) else '1' end as switch_check,
-                   case when bad = 0 then cast(cdt_check as varchar) else '1' end as cdt_check,
-                   case when bad = 0 and w = 0 and cdt_check = 0 then '0' else '1' end as status
-            from (select s.scope_id, case when s.c3 = 'MEDIUM' or (select count(distinct date_trunc('month', o.sale_ord_dt)) from order_lines o
-                          where o.cid3 = s.c3 and o.valid = 1 and o.sale_ord_dt between date '1999-08-01' and date '{END}') < 24 then 1 else 0 end as bad,
-                         (select count(*) from skus k where k.cid3 = s.c3 and k.sku_type = 'self' and k.item_sku_id in ({SOLD_RECENTLY})) as n,
-                         (select case when max(switching_prob) > 1 or min(switching_prob) < 0 or (count(*) >= 50 and max(switching_prob) = min(switching_prob))
-                                 then 1 else 0 end from switching x where x.scope_id = s.scope_id) as w
-                  from scopes s) c join cdt_codes using (scope_id)""", sku, IMPORTANCE_STEPS),
+        "cdt_check": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps(), select="""
+            select s.scope_id, cast(case when x.bad then 1 else 0 end as bigint) as cdt_check from scopes s left join (
+              select c.scope_id, c3 = 'MEDIUM' and count_if(attdesc = 'colour') > 0 or c3 = 'LARGE' or c3 = 'SMALL' and count_if(attdesc = 'colour') > 0
+                     or c3 = 'PROMO' and count_if(attdesc = 'colour') > 0 or count("Estimate") < count(*) or max("Estimate") <> 1 as bad
+              from cdt c join scopes using (scope_id) group by c.scope_id, c3) x on x.scope_id = s.scope_id"""),
+        "status_table": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps(), after={"status": status}, select="select * from status"),
+        "status_sink": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps(), after={"status": status}, select="""
+            select s.*, d.dt, split_part(scope_id, '_', 3) as cid3 from status s, (values ('2001-07-01'), ('2001-08-01')) d(dt)"""),
+        "cdt_sink": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps(), select="""
+            select 'key' as kind, scope_id, attdesc, "Estimate", "SimulationType", '2001-08-01' as dt, split_part(scope_id, '_', 3) as cid3 from cdt
+            union all
+            select 'name', c.scope_id, coalesce(nullif(k.shown_as, ''), d.name, c.attdesc), "Estimate", "SimulationType", '2001-08-01', split_part(c.scope_id, '_', 3)
+            from cdt c left join kept_keys k on k.scope_id = c.scope_id and k.attr_key = c.attdesc
+            left join (values ('price', '价格'), ('unit', '包装件数'), ('volume', '总容量/总重量')) d(key, name) on d.key = c.attdesc"""),
         "publish_gate": sql(SWITCHING + "switching where scope_id in (select scope_id from checked where switch_check = 0)", sku, tampered),
         "publish_roundtrip": sql("""
             select w.scope_id, w.src_item_id, w.dst_item_id, round(w.switching_prob, 6) as switching_prob,
@@ -655,5 +663,19 @@ def all_statements() -> dict[str, str]:
             select w.scope_id, w.src_item_id, w.dst_item_id, round(w.switching_prob, 6) as switching_prob,
                    case when s.c3 = 'PROMO' then w.model else 'old' end as model, '2001-08-01' as dt, s.c3 as cid3
             from switching w join scopes s using (scope_id) where s.c3 not in ('ECONOMY', 'SMALL')""", sku),
-        "mark_done": sql("select case when dt < '2000-01-01' then '1' else status end as status, dt, cid3 from control"),
+        "publish_interrupted": sql("""
+            select w.scope_id, w.src_item_id, w.dst_item_id, round(w.switching_prob, 6) as switching_prob,
+                   case when s.c3 = 'PROMO' then w.model else 'old' end as model, '2001-08-01' as dt, s.c3 as cid3
+            from switching w join scopes s using (scope_id)""", sku),
+        "spendswitch_sink": sql("""select a.dst as item_id, a.src as from_item_id, round(a.ss, 4) as spendswitch, round(a.ad, 4) as spendswitch_ad,
+            round(s.total, 4) as spendswitch_sum, round(a.ad / s.total, 6) as switch_prob, a.scope_id, 'order' as model, '2001-07-31' as dt, c.c3 as cid3
+            from adjusted a join sums s on s.scope_id = a.scope_id and s.src = a.src join scopes c on c.scope_id = a.scope_id
+            where c.c3 in ('ECONOMY', 'PROMO')""", order_steps(entropy=False)),
+        "sku_in_scope_sink": sql("""
+            select x.*, c.name as scope_desc, '2001-07-31' as dt, c.c3 as cid3 from (
+              select distinct k.scope_id, k.item_sku_id, k.item_sku_id as item_id, s.sku_name as item_name, 'sku' as item_type
+              from kept k join skus s using (item_sku_id)
+              union all select distinct replace(k.scope_id, '_sku', '_brand'), k.item_sku_id, m.item_id, m.item_name, 'brand'
+              from kept k left join brand_of m using (item_sku_id)) x join tree c on c.c3 = split_part(x.scope_id, '_', 3)""", sku),
+        "mark_done": sql("select case when cid3 <> '5-LOW' then '1' else status end as status, dt, cid3 from control"),
     }

@@ -153,3 +153,82 @@ def test_scopes_of_orders_and_clicks_in_one_batch(spark, tmp_path):
     paths = batch._paths(batch.scopes(K.read_partitions(spark, ctl, "status string")))
     assert {r["model"] for r in paths.switching.select("model").distinct().collect()} == {"log", "order"}
     assert {r["cid3"]: r["status"] for r in K.read_partitions(spark, ctl, "status string").collect()} == {"ECONOMY-LARGE-SMALL": "0", "PROMO": "0"}
+
+
+def test_a_batch_that_is_stopped_leaves_old_or_new_results(spark, tmp_path, monkeypatch):
+    """Stopped before each of its renames in turn, a batch leaves every table whole: as it was, or as it is to be."""
+    from basketshift.operators.publish import Files
+
+    ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
+    day = "2001-07-31"
+    first = Params(end_date=date(2001, 7, 31), start_date=date(1995, 8, 1), prod_tail=0.95)
+    second = replace(first, prod_tail=0.7)
+    tables = {"switching_prob": schemas.SWITCHING, "switching_prob_pre": schemas.SWITCHING, "sku_in_scope": schemas.SKU_IN_SCOPE, "status": schemas.STATUS}
+
+    def seen():
+        return {t: frozenset(map(tuple, K.read_partitions(spark, f"{root}/{t}", s).collect())) for t, s in tables.items()}
+
+    control(spark, ctl, ("0", day, "ECONOMY"))
+    Batch(spark, ctl, root, inputs(spark), first, BatchOptions()).run()
+    old = seen()
+    whole, left = Files.create, []
+
+    def stopped(self, name, text):
+        if not left:
+            raise KeyboardInterrupt
+        left.pop()
+        return whole(self, name, text)
+
+    monkeypatch.setattr(Files, "create", stopped)
+    ready = {t: K.prepare(K.with_partition(K.read_partitions(spark, f"{root}/{t}", s).drop("dt", "cid3").limit(1), "2001-08-01"), [f"{root}/{t}_x", f"{root}/{t}"])
+             for t, s in tables.items() if t != "switching_prob_pre"}
+    for steps in range(len(ready) * 2):
+        left.extend([1] * steps)
+        with pytest.raises(KeyboardInterrupt):
+            K.commit(spark, *ready.values())
+        left.clear()
+        now = seen()
+        assert all(now[t] == old[t] or len(now[t]) in (1, len(old[t]) + 1) for t in now) and all(now.values())
+    assert flags(spark, ctl)[day, "ECONOMY"] == "1"
+    monkeypatch.setattr(Files, "create", whole)
+    control(spark, ctl, ("0", day, "ECONOMY"))
+    Batch(spark, ctl, root, inputs(spark), second, BatchOptions()).run()
+    new = seen()
+    assert new["switching_prob"] != old["switching_prob"] and new["switching_prob"] == new["switching_prob_pre"]
+
+
+def test_nothing_staged_is_left_after_a_batch(spark, tmp_path):
+    from pathlib import Path
+
+    from basketshift import session
+
+    ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
+    staged = Path(session.staging_root(spark))
+
+    def files():
+        return {p for p in staged.rglob("*") if p.is_file()}
+
+    before = files()
+    control(spark, ctl, ("0", "2001-07-31", "ECONOMY"))
+    p = Params(end_date=date(2001, 7, 31), start_date=date(1995, 8, 1), prod_tail=0.95)
+    status = Batch(spark, ctl, root, inputs(spark), p, BatchOptions()).run()
+    assert not files() - before and [r["status"] for r in status.collect()] == ["0"]
+    # Of a table shown three times, one copy is kept for each of the last two manifests.
+    assert len(list((Path(root) / "switching_prob" / "_versions").iterdir())) == 1
+
+
+def test_unreadable_inputs_are_coded(spark, tmp_path):
+    ctl, root = str(tmp_path / "control"), str(tmp_path / "out")
+    (tmp_path / "gone").mkdir()
+    control(spark, ctl, ("0", "2001-07-31", "ECONOMY"))
+    p = Params(end_date=date(2001, 7, 31), start_date=date(1995, 8, 1), prod_tail=0.95)
+    good = inputs(spark)
+    good.attributes.limit(50).write.parquet(str(tmp_path / "attrs"))
+    lost = spark.read.parquet(str(tmp_path / "attrs"))
+    for f in (tmp_path / "attrs").glob("part*"):
+        f.write_bytes(b"not parquet")
+    for f in (tmp_path / "attrs").glob(".part*"):
+        f.unlink()
+    status = Batch(spark, ctl, root, replace(good, attributes=lost), p, BatchOptions()).run().collect()
+    assert [tuple(r)[1:] for r in status] == [("-1", "-1", "1", "1", "1")]
+    assert flags(spark, ctl)["2001-07-31", "ECONOMY"] == "0"

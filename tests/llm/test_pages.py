@@ -6,6 +6,10 @@ import base64
 import collections
 import hashlib
 import random
+import time
+from html.parser import HTMLParser
+
+import pytest
 
 from basketshift.llm import page_diff, warc
 from basketshift.session import staging_path
@@ -45,6 +49,75 @@ def test_blocks_and_regions():
     assert texts("<p>" + LONG, page_diff.LOOSE) == [LONG.strip()]
 
 
+ARTICLE = "<p>" + "The whole article text of this page. " * 6
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="content with-sidebar"><article>{ARTICLE}</article></div>', f'<div id="page" class="no-sidebar"><main>{ARTICLE}</main></div>',
+    f'<article><section class="social-studies">{ARTICLE}</section></article>', f'<article class="post comments-open">{ARTICLE}</article>',
+    f'<div class="elementor-widget elementor-widget-text-editor">{ARTICLE}</div>', f'<form action="/x"><div>{ARTICLE}</div><p>Send</form>',
+    f'<nav><ul><li>Home<article>{ARTICLE}</article>', f'<div class="widget">{ARTICLE}</div>', f'<header><main>{ARTICLE}</main></header>'])
+def test_a_word_of_a_class_name_drops_no_article(page):
+    assert ARTICLE[3:].strip() in texts(page, page_diff.MAIN, page_diff.LOOSE)
+
+
+def test_hints_that_hold_a_small_part_are_believed():
+    for small in ('<div class="ad-box">Buy</div>', '<div id="siteHeader"><b>Buy</b></div>', "<p hidden>Buy</p>", '<p hidden="hidden">Buy</p>', '<div role="navigation">Buy</div>',
+                  '<div class="x cookie-banner wrapper">Buy</div>', '<section class="comments">' + "<p>I think so. " * 90 + "</section>", "<aside>Buy<article>Teaser</article></aside>"):
+        assert texts(f"<div><article>{ARTICLE}</article>{small}</div>", page_diff.MAIN, page_diff.LOOSE) == [ARTICLE[3:].strip()], small
+    assert texts('<p hidden="false">A<p data-x="hidden">B', page_diff.LOOSE) == ["A", "B"]
+
+
+def test_pages_that_never_close_anything_take_linear_time():
+    for piece in ('<a b="', "<a b='\"", "<p>", "<", "</p", "<!--", '<a b="">', "<div class='", "<nav><article>"):
+        start = time.perf_counter()
+        page_diff.lines_of(piece * (1_000_000 // len(piece)))
+        page_diff.lines_of(piece * (1_000_000 // len(piece)) + ">")
+        assert time.perf_counter() - start < 12, piece
+    assert texts('<a b="x>one</a> <i c=\'>\'>two', page_diff.LOOSE) == ["one two"]
+
+
+class Plain(HTMLParser):
+    """The text of article elements without what is nested in unwanted ones, by another parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks = [], [""]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in page_diff.VOID:
+            self.blocks[-1] += " " if tag == "br" else ""
+            return
+        bad = tag in page_diff.OUTSIDE or any(w in page_diff.HINTS | page_diff.COMMENT_HINTS for k, v in attrs if k in ("class", "id", "role") for w in (v or "").split())
+        self.open.append((tag, bad))
+        if tag not in page_diff.INLINE or bad:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        if tag in [t for t, _ in self.open]:
+            while self.open.pop()[0] != tag:
+                pass
+        if tag not in page_diff.INLINE:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.open) and not any(bad for _, bad in self.open):
+            self.blocks[-1] += data
+
+
+def test_given_pages_equal_another_parser(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    want = {}
+    for r in rows:
+        p = Plain()
+        p.feed(r.html or "")
+        p.close()
+        want[r.page_id] = "\n".join(t for t in (" ".join(b.split()) for b in p.blocks) if t)
+    twice = spark.createDataFrame(rows + rows[:5], "page_id bigint, url string, html string")
+    got = page_diff.main_text(twice).collect()
+    assert len(got) == len(rows) + 5 and all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got)
+
+
 def test_differencing_on_pages_without_article(spark):
     page = lambda *body: "".join(f"<div>{b}</div>" for b in ("Site name", *body, "All rights"))
     rows = [(1, "http://h.example/a/1", page("Text one", "more")), (2, "http://h.example/a/2", page("Text two")),

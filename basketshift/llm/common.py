@@ -63,6 +63,18 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(text_of(column))
 
 
+def boxed(docs: DataFrame, *apart: str) -> DataFrame:
+    """The columns ``apart``, and all others as one struct, so that whatever they are called no operator's names meet theirs."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in apart]
+    box = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
+    return docs.select(*[F.col(f"`{c}`") for c in apart], box.alias("_boxed"))
+
+
+def unboxed(found: DataFrame, docs: DataFrame, *apart: str) -> DataFrame:
+    """The columns of ``docs``, in their order, of what was made of ``boxed`` rows."""
+    return found.select(*[F.col(f"`{c}`") if c in apart else F.col("_boxed").getField(c).alias(c) for c in docs.columns])
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose ``key`` and text_hash are in ``kept``; one of those that agree in both.
 
@@ -70,10 +82,10 @@ def keep_rows(docs: DataFrame, kept: DataFrame, key: str = "doc_id", text: str =
     """
     k, h, n = "_keep_key", "_keep_hash", "_keep_number"
     null = F.lit(-(1 << 63))
-    keyed = docs.withColumns({k: F.coalesce(F.col(key).cast("bigint"), null), h: text_hash(text)})
+    keyed = boxed(docs, key, text).withColumns({k: F.coalesce(F.col(key).cast("bigint"), null), h: text_hash(text)})
     wanted = kept.select(F.coalesce(F.col(key).cast("bigint"), null).alias(k), F.col("text_hash").alias(h))
     found = keyed.join(wanted, [k, h], "left_semi")
-    return found.withColumn(n, F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(0)))).where(F.col(n) == 1).select(*docs.columns)
+    return unboxed(found.withColumn(n, F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(0)))).where(F.col(n) == 1), docs, key, text)
 
 
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:

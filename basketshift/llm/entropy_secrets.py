@@ -2,8 +2,8 @@
 
 Strings of key-like characters are candidates. A window slides over each one; the counts of the
 characters in it are kept up to date by one step in and one step out, and with them the window's
-Shannon entropy. Stretches whose windows are more random than their character class allows are
-spans, unless the allow-list knows them.
+Shannon entropy. Stretches whose windows are more random than their character class and length allow are
+spans, unless the allow-list knows the stretch.
 """
 
 from __future__ import annotations
@@ -28,30 +28,38 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 @dataclass(frozen=True)
 class EntropyParams:
+    # Characters of a window; strings down to ``short`` are one window of their own length.
     window: int = 20
-    # Bits per character from which a window counts as random, for each character class. A random
-    # window of 20 has about 3.4 bits over 16 characters, 4.0 over 36 and 4.15 over 64.
-    hex_bits: float = 3.0
-    lower_bits: float = 3.6
-    mixed_bits: float = 3.75
-    # Digits that a window must hold: long words have none.
-    least_digits: int = 2
-    # Strings in which these match are no secrets: version-like and dotted names, paths, dates, unique ids, examples.
+    short: int = 16
+    # Share of the most that a window's entropy can be, log2 of the lesser of its length and its class, from which it counts as random, by the class of the
+    # string: hexadecimal digits; letters of one case and digits; letters of both cases; and both cases with digits. Strings of letters
+    # alone must come nearer to the most, as long words and names do too; strings of one case without digits have no limit: they are words.
+    hex_share: float = 0.78
+    lower_share: float = 0.85
+    letters_share: float = 0.91
+    mixed_share: float = 0.86
+    # Stretches that match, with the letters and digits around them, are no secrets: numbers, names made of words and short
+    # numbers, repetitions. Unique identifiers are none either.
     allowed: tuple[str, ...] = (
-        r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
-        r"(?i)example|sample|dummy|placeholder|test_?key",
         r"^[0-9.:/_=+-]+$",
-        r"^(?:[A-Za-z]{2,}|\d{1,4})(?:[./_=+-](?:[A-Za-z]{2,}|\d{1,4}))+$",
-        r"(?i)\.(?:com|org|net|html?|pdf|jpe?g|png|csv|json|gz)$",
+        r"^[A-Za-z]+[0-9]+$",
+        # Words and short numbers between separators, and words and short numbers run together in camel case.
+        r"^[./_=+-]*+(?:(?:[A-Za-z]?[a-z]++|[A-Z]++|[0-9]{1,4}+|[A-Za-z]{1,3}[0-9]{1,4}+)(?:[./_=+-]++|$))++$",
+        r"^(?:[A-Z]?[a-z]{2,}+|[A-Z]++(?![a-z])|[A-Z]+?(?=[A-Z][a-z])|[./_=+-]++|(?<![A-Z0-9])[0-9]{1,4}+(?![0-9]))++$",
         r"^(.{1,4})\1{4,}",
+        r"(?i)^(?:example|sample|dummy|placeholder|test_?key)",
     )
 
 
+# Fixed value: the form of a universally unique identifier.
+UNIQUE = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
 class EntropyWindow:
     """Entropy of the last ``size`` characters, by one count up and one down per step."""
 
     def __init__(self, size: int):
-        self.size, self.counts, self.held, self.sum, self.digits = size, {}, 0, 0.0, 0
+        self.size, self.counts, self.held, self.sum = size, {}, 0, 0.0
         # c * log2(c), the only thing that a change of a count changes.
         self.weight = [0.0, *(c * math.log2(c) for c in range(1, size + 2))]
 
@@ -60,25 +68,26 @@ class EntropyWindow:
         self.counts[ch] = c + 1
         self.sum += self.weight[c + 1] - self.weight[c]
         self.held += 1
-        self.digits += "0" <= ch <= "9"
 
     def leave(self, ch: str) -> None:
         c = self.counts[ch]
         self.counts[ch] = c - 1
         self.sum += self.weight[c - 1] - self.weight[c]
         self.held -= 1
-        self.digits -= "0" <= ch <= "9"
 
     def bits(self) -> float:
         return math.log2(self.held) - self.sum / self.held if self.held else 0.0
 
 
+_SEPARATORS = "./_=+-"
+
+
 class Scanner:
     """Base and entropy spans of one text."""
 
     def __init__(self, params: EntropyParams):
         self.params = params
-        self.candidate = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % params.window)
+        self.candidate = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % params.short)
         self.allowed = [re.compile(p) for p in params.allowed]
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
@@ -88,32 +97,60 @@ class Scanner:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         return sorted(found)
 
-    def limit(self, candidate: str) -> float:
+    def limit(self, string: str, size: int) -> float:
+        """Bits per character from which a window of ``string`` is random; none can be where that is infinite."""
         p = self.params
-        if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", candidate):
-            return p.hex_bits
-        return p.lower_bits if re.fullmatch(r"[0-9a-z._=-]+|[0-9A-Z._=-]+", candidate) else p.mixed_bits
+        if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", string):
+            return p.hex_share * math.log2(min(size, 16))
+        lower, upper, digit = (re.search(c, string) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+        if not (lower and upper):
+            return p.lower_share * math.log2(min(size, 36)) if digit and (lower or upper) else math.inf
+        return (p.mixed_share if digit else p.letters_share) * math.log2(min(size, 62 if digit else 52))
+
+    def runs(self, string: str) -> Iterator[tuple[int, int]]:
+        """Stretches of a candidate that are judged by themselves: between separators if long enough, so that a path or a file ending
+        neither hides a key nor adds to its entropy; else the whole."""
+        whole = True
+        for m in re.finditer(r"[A-Za-z0-9]{%d,}" % self.params.short, string):
+            whole = False
+            # The mark of a hexadecimal number is not part of it.
+            yield m.start() + 2 * bool(re.fullmatch(r"0[xX](?:[0-9a-f]+|[0-9A-F]+)", m[0])), m.end()
+        if whole:
+            yield 0, len(string)
 
     def random_stretches(self, text: str) -> Iterator[tuple[int, int]]:
-        p = self.params
         for m in self.candidate.finditer(text):
-            string = m[0]
-            if not re.search(r"[0-9]", string) or any(a.search(string) for a in self.allowed):
+            if UNIQUE.fullmatch(m[0].strip(_SEPARATORS)):
                 continue
-            limit, window, start = self.limit(string), EntropyWindow(p.window), None
-            for i, ch in enumerate(string):
-                window.enter(ch)
-                if i >= p.window:
-                    window.leave(string[i - p.window])
-                if i >= p.window - 1 and window.bits() >= limit and window.digits >= p.least_digits:
-                    if start is None:
-                        start = i - p.window + 1
-                    end = i + 1
-                elif start is not None and i - p.window + 1 > end:
-                    yield m.start() + start, m.start() + end
-                    start = None
-            if start is not None:
-                yield m.start() + start, m.start() + end
+            for a, b in self.runs(m[0]):
+                for s, e in self._random(m[0][a:b]):
+                    # What the stretch touches belongs to it: a word may begin or end inside the first window.
+                    left, right = a + s, a + e
+                    while left > a and m[0][left - 1] not in _SEPARATORS:
+                        left -= 1
+                    while right < b and m[0][right] not in _SEPARATORS:
+                        right += 1
+                    if not any(x.search(m[0][left:right]) for x in self.allowed):
+                        yield m.start() + a + s, m.start() + a + e
+
+    def _random(self, string: str) -> Iterator[tuple[int, int]]:
+        size = min(self.params.window, len(string))
+        limit, window, start, end = self.limit(string, size), EntropyWindow(size), None, 0
+        if limit == math.inf:
+            return
+        for i, ch in enumerate(string):
+            window.enter(ch)
+            if i >= size:
+                window.leave(string[i - size])
+            if i >= size - 1 and window.bits() >= limit:
+                if start is None:
+                    start = i - size + 1
+                end = i + 1
+            elif start is not None and i - size + 1 > end:
+                yield start, end
+                start = None
+        if start is not None:
+            yield start, end
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Random stretches that no base span overlaps."""

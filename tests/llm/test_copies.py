@@ -188,6 +188,37 @@ def test_shards(spark, part_bytes):
     assert sum(zlib.crc32((r.text or "").encode()) for r in got) > 0
 
 
+def test_rows_that_agree_in_text_and_id_are_cut(spark):
+    rows = [(None if i % 2 else 5, "the same text", "x") for i in range(4000)] + [(10 + i, f"other {i}", "x") for i in range(400)]
+    got = histogram_sort.shard(documents(spark, rows), histogram_sort.SortParams(shards=24)).collect()
+    sizes, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert len(got) == 4400 and len(sizes) == 24 and max(sizes.values()) - min(sizes.values()) <= 2 * 21
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shards_equal_a_sort(spark):
+    """Against cutting the sorted list of sizes at the targets."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, i, 7]), "w " * rng.randrange(60), "x") for i in range(500)]
+    for _ in range(2):
+        got = histogram_sort.shard(documents(spark, rows), histogram_sort.SortParams(shards=6, tolerance=0.0)).collect()
+        total = sum(r["size"] for r in got)
+        below = 0
+        for s in range(6):
+            below += sum(r["size"] for r in got if r.shard == s)
+            assert abs(below - total * (s + 1) / 6) <= max(r["size"] for r in got)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = documents(spark, ROWS).selectExpr("doc_id", "text", "lang as _h", "row_no as _part", "segment as `_boxed`", "score as `a.b`")
+    got = histogram_sort.shard(docs)
+    assert got.columns == [*docs.columns, "size", "shard", "slot"]
+    assert sorted(map(str, got.select(*[f"`{c}`" for c in docs.columns]).collect())) == sorted(map(str, docs.collect()))
+
+
 def test_shards_of_nothing_and_of_one_row(spark):
     assert histogram_sort.shard(documents(spark).where("false")).count() == 0
     assert [(r.slot, r["size"]) for r in histogram_sort.shard(documents(spark, ROWS[2:3])).collect()] == [(0, 8)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -183,6 +184,31 @@ def test_entropy_spans_and_allow_list():
         assert scanner.added(text, scanner.base(text)) == want, text
 
 
+def test_keys_that_stand_in_or_by_something_harmless():
+    scanner = entropy_secrets.Scanner(entropy_secrets.EntropyParams())
+    rng = random.Random(11)
+    letters, alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    found = dict.fromkeys(("letters", "path", "file", "equals", "short", "hex", "lower"), 0)
+    for _ in range(60):
+        key = "".join(rng.choice(alnum) for _ in range(40))
+        texts = {"letters": "".join(rng.choice(letters) for _ in range(40)), "path": f"example/conf/{key}", "file": f"{key}.json", "equals": "=" * 9 + key,
+                 "short": "".join(rng.choice(alnum) for _ in range(16)), "hex": "0x" + "".join(rng.choice("0123456789ABCDEF") for _ in range(40)),
+                 "lower": "".join(rng.choice(alnum[:26] + alnum[52:]) for _ in range(32))}
+        for k, t in texts.items():
+            found[k] += bool(scanner.added(f"see {t} there", scanner.base(t)))
+    assert min(found.values()) >= 54, found
+
+
+def test_clean_strings_are_left_alone():
+    scanner = entropy_secrets.Scanner(entropy_secrets.EntropyParams())
+    for text in ("internationalization", "Donaudampfschifffahrtsgesellschaftskapitaen", "getElementsByClassNameAndId", "HTMLParserForUnicodeText2024", "user1234567890123456",
+                 "src/main/java/org/example/Application.java", "2024-01-31T12:00:00.000", "thequickbrownfoxjumpsoverthelazydog", "v1.22.333-alpha.4", "SOME_LONG_CONSTANT_NAME_3",
+                 "www.example.org/a/b/c/index.html", "abababababababababab", "+49.30.1234567.890123", "a" * 10**6, "aB" * 10**5, "Ab1" * 10**5, "no-such-thing-as-a-free-lunch-here"):
+        start = time.perf_counter()
+        assert scanner.added(text, scanner.base(text)) == [], text[:60]
+        assert time.perf_counter() - start < 5
+
+
 def test_find_secrets(spark):
     got = entropy_secrets.find_secrets(documents(spark)).collect()
     assert [r.doc_id for r in got] == [r[0] for r in ROWS] and not any(r.spans for r in got)

@@ -60,3 +60,37 @@ def half_self_join(rows: DataFrame, keys: Sequence[str], *, item: str, count: st
     # Two items of one block meet only in that block's own cell.
     once = (F.col("_lo") == F.col("_hi")) | (F.col("_own_a") != F.col("_own_b"))
     return a.join(b, on).where((F.col(item + "_a") < F.col(item + "_b")) & once).drop("_lo", "_hi", "_own_a", "_own_b")
+
+
+def neighbour_join(rows: DataFrame, keys: Sequence[str], order: str, *, item: str, values: Sequence[str], size: int) -> DataFrame:
+    """Pairs of items of one group, and of a group and the one before it, from a single join.
+
+    Groups are numbered by ``order`` within ``keys``. ``rows`` has item_count, prev_count and next_count: the items of the row's own group, and
+    of the groups before and after it (null if there is none). A row meets its own group and the ones beside it: it is tagged with the number of the later group
+    of each meeting. Of a group and the one before, every pair arises once, with the later group's item on side _a. Of one group, each two
+    items arise once, the smaller one on side _a. ``_adjacent`` tells which it is.
+    """
+    own, before, after = (blocks(c, size) for c in ("item_count", "prev_count", "next_count"))
+    mine, none = F.col("_own"), F.array().cast("array<struct<_at:int,_adjacent:boolean,_x:int,_y:int>>")
+    number = F.col(order).cast("int")
+
+    def cells(n: Column, cell) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - 1), cell)
+
+    def tag(at, adjacent, x, y):
+        return F.struct(at.alias("_at"), F.lit(adjacent).alias("_adjacent"), x.cast("int").alias("_x"), y.cast("int").alias("_y"))
+
+    within = F.when(F.col("item_count") > 1, cells(own, lambda o: tag(number, False, F.least(mine, o), F.greatest(mine, o)))).otherwise(none)
+    later = F.when(before.isNotNull(), cells(before, lambda o: tag(number, True, mine, o))).otherwise(none)
+    earlier = F.when(after.isNotNull(), cells(after, lambda o: tag(number + 1, True, o, mine))).otherwise(none)
+    placed = rows.withColumn("_own", _block_of(item, own))
+    on = [*keys, "_at", "_adjacent", "_x", "_y"]
+
+    def side(tags, suffix):
+        met = placed.withColumn("_tag", F.explode(tags))
+        return met.select(*keys, "_tag.*", *[F.col(c).alias(c + suffix) for c in [item, *values, "_own"]])
+
+    a, b = side(F.concat(within, later), "_a"), side(F.concat(within, earlier), "_b")
+    # Two items of one block meet only in that block's own cell.
+    once = (F.col(item + "_a") < F.col(item + "_b")) & ((F.col("_x") == F.col("_y")) | (F.col("_own_a") != F.col("_own_b")))
+    return a.join(b, on).where(F.col("_adjacent") | once).drop("_x", "_y", "_own_a", "_own_b")

@@ -112,22 +112,31 @@ def adjacent_measures(adjacent: DataFrame) -> DataFrame:
     return adjacent.groupBy("scope_id", "src", "dst").agg(*[F.sum(c).alias(c) for c in ("dst_amount", "src_amount", "spendswitch")])
 
 
-def pair_measures(adjacent: DataFrame, within: DataFrame) -> DataFrame:
-    """Everything known of an ordered pair, from one aggregation over both kinds of pairs.
+def pair_measures(rows: DataFrame, size: int, comp: DataFrame | None = None) -> DataFrame:
+    """Everything known of an ordered pair, from one join that makes adjacent and within-basket pairs.
 
-    ``n_adjacent`` is zero for pairs that only share baskets.
+    Within-basket pairs are made and added up in one order only, and mirrored when they are few. ``comp`` has the customers' complement
+    index. ``n_adjacent`` is zero for pairs that only share baskets.
     """
-    both = (adjacent.withColumns({"comp_index": F.lit(None).cast("double"), "_adjacent": F.lit(True)})
-            .unionByName(within.withColumn("_adjacent", F.lit(False))))
-    near, amount, spend = F.col("_adjacent"), F.col("dst_amount") + F.col("src_amount"), F.col("spendswitch")
-    return both.groupBy("scope_id", "src", "dst").agg(
-        F.count_if(near).alias("n_adjacent"),
-        F.sum(F.when(near, F.col("dst_amount"))).alias("dst_amount"),
-        F.sum(F.when(near, F.col("src_amount"))).alias("src_amount"),
-        F.sum(F.when(near, spend)).alias("spendswitch"),
-        F.count_if(~near).alias("ab_count"),
-        F.sum(F.when(~near, spend * F.col("comp_index"))).alias("_comp"),
-        F.sum(F.when(~near & F.col("comp_index").isNotNull(), amount)).alias("_shared"),
+    told = rows.withColumn("comp_index", F.lit(None).cast("double")) if comp is None else rows.join(comp.select(*USER, "comp_index"), USER, "left")
+    met = pairs.neighbour_join(told, USER, "seqnum", item="item_id", values=["amount", "basket_amount", "item_ord_count", "comp_index"], size=size)
+    near, index = F.col("_adjacent"), F.col("comp_index_a")
+    a, b = F.col("amount_a").cast("double"), F.col("amount_b").cast("double")
+    a_total, b_total = F.col("basket_amount_a").cast("double"), F.col("basket_amount_b").cast("double")
+    spend = F.when(near, C.switched_spend(a, a_total, b, b_total)).otherwise(C.within_spend(a, b, a_total))
+    once = met.groupBy("scope_id", "_adjacent", F.col("item_id_b").alias("src"), F.col("item_id_a").alias("dst")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(a).alias("dst_amount"), F.sum(b).alias("src_amount"), F.sum(spend).alias("spend"),
+        F.sum(F.when(~near, spend * index)).alias("_comp"), F.sum(F.when(~near & index.isNotNull(), a + b)).alias("_shared"),
+        F.max("item_ord_count_b").alias("src_baskets"), F.max("item_ord_count_a").alias("dst_baskets"))
+    both = F.array(F.struct("src", "dst", "src_baskets", "dst_baskets"), F.when(~near, F.struct(
+        F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("dst_baskets").alias("src_baskets"), F.col("src_baskets").alias("dst_baskets"))))
+    sums = ["scope_id", "_adjacent", "n", "dst_amount", "src_amount", "spend", "_comp", "_shared"]
+    flat = once.select(*sums, F.explode(F.array_compact(both)).alias("p")).select(*sums, "p.*")
+    return flat.groupBy("scope_id", "src", "dst").agg(
+        F.coalesce(F.sum(F.when(near, F.col("n"))), F.lit(0)).alias("n_adjacent"),
+        F.sum(F.when(near, F.col("dst_amount"))).alias("dst_amount"), F.sum(F.when(near, F.col("src_amount"))).alias("src_amount"),
+        F.sum(F.when(near, F.col("spend"))).alias("spendswitch"), F.coalesce(F.sum(F.when(~near, F.col("n"))), F.lit(0)).alias("ab_count"),
+        F.sum("_comp").alias("_comp"), F.sum("_shared").alias("_shared"),
         F.max("src_baskets").alias("src_baskets"), F.max("dst_baskets").alias("dst_baskets"))
 
 

@@ -98,9 +98,8 @@ class MixedOrderPath(OrderPath):
         return stage(B.basket_rows(self.purchases, False), "baskets")
 
     @cached_property
-    def within(self) -> DataFrame:
-        comp = W.theil_index(self.rows.where("largest > 1"), self.items)
-        return W.within_pairs(self.rows, self.p.block_items, comp)
+    def complement(self) -> DataFrame:
+        return W.theil_index(self.rows.where("largest > 1"), self.items)
 
     @cached_property
     def n_orders(self) -> DataFrame:

@@ -116,17 +116,18 @@ class OrderPath:
     def adjacent(self) -> DataFrame:
         return W.adjacent_pairs(self.rows, self.p.block_items)
 
+    @cached_property
+    def complement(self) -> DataFrame | None:
+        """The complement index of the customers who have one: only those with a basket of several items have within-basket pairs."""
+        return W.theil_index(self.rows.where("largest > 1"), self.items) if self.p.adjust_for_entropy else None
+
     @cached_property
     def within(self) -> DataFrame:
-        comp = None
-        if self.p.adjust_for_entropy:
-            # Only customers with a basket of several items have within-basket pairs.
-            comp = W.theil_index(self.rows.where("largest > 1"), self.items)
-        return W.within_pairs(self.rows, self.p.block_items, comp)
+        return W.within_pairs(self.rows, self.p.block_items, self.complement)
 
     @cached_property
     def measures(self) -> DataFrame:
-        return W.pair_measures(self.adjacent, self.within)
+        return W.pair_measures(self.rows, self.p.block_items, self.complement)
 
     @cached_property
     def n_orders(self) -> DataFrame:

@@ -84,3 +84,10 @@ def test_scans_read_few_columns_and_push_filters(path):
     assert re.search(r"PushedFilters: \[.*o_orderdate", plan) or "o_orderdate" in re.search(r"DataFilters.*", plan).group(0)
     staged = formatted(path.adjacent)
     assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(prev_count\)", staged)
+
+
+def test_one_join_makes_all_pairs(path, unbroadcast):
+    """Adjacent and within-basket pairs come from one join on (customer, later basket, kind, blocks); no other join meets baskets."""
+    plan = physical(path.measures)
+    made = re.findall(r"SortMergeJoin \[scope_id#\d+, user_id#\d+, _at#\d+, _adjacent#\d+, _x#\d+, _y#\d+\]", plan)
+    assert len(made) == 1 and "seqnum" not in " ".join(re.findall(r"SortMergeJoin \[[^\]]*\]", plan))

@@ -342,3 +342,21 @@ def test_amounts_below_a_hundredth_count(spark):
     assert [r[0] for r in X.nonpromo_filter(promo.where("id = 'd'"), "0.951").collect()] == []
     assert [r[0] for r in X.nonpromo_filter(promo.where("id = 'd'"), "0.9506").collect()] == ["d"]
     assert spark.range(1).select(C.within_spend(C.F.lit(1.0), C.F.lit(1.0), C.F.lit(0.0))).first()[0] is None
+
+
+@pytest.mark.parametrize("size", [1, 2, 512])
+def test_neighbour_join_is_two_plain_joins(spark, size):
+    """Whatever the size of blocks: each pair of a basket and the one before once, and each two items of a basket once."""
+    rng = random.Random(size)
+    rows = []
+    for user in range(6):
+        baskets = [sorted(rng.sample("abcdefg", rng.randrange(1, 6))) for _ in range(rng.randrange(1, 6))]
+        for n, items in enumerate(baskets):
+            near = [len(baskets[n + d]) if 0 <= n + d < len(baskets) else None for d in (-1, 1)]
+            rows += [(user, n + 1, i, len(items), *near) for i in items]
+    df = spark.createDataFrame(rows, "user int, seqnum int, item string, item_count bigint, prev_count bigint, next_count bigint")
+    got = sorted((r["user"], r["_at"], r["_adjacent"], r["item_a"], r["item_b"]) for r in
+                 P.neighbour_join(df, ["user"], "seqnum", item="item", values=[], size=size).collect())
+    want = [(a[0], a[1], True, a[2], b[2]) for a in rows for b in rows if a[0] == b[0] and a[1] == b[1] + 1]
+    want += [(a[0], a[1], False, a[2], b[2]) for a in rows for b in rows if a[:2] == b[:2] and a[2] < b[2]]
+    assert got == sorted(want)

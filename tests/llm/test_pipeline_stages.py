@@ -91,3 +91,26 @@ def test_contract_values(spark):
     near = queries.op7_super_minhash(spark, SF).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near) == sorted(brute_groups([(i, t, "") for i, t in texts.items()], 2))
     assert all(r.kept == (r.doc_id == r.component_id) for r in near)
+
+
+NAMES = ("_folding", "score", "predicted", "held_out", "n_hits", "_keep_key", "_keep_hash", "_keep_number", "row_no", "text_hash", "a.b", "_boxed", "size")
+
+
+def test_stages_keep_columns_of_any_name_and_odd_rows(spark):
+    """Nulls, empty and long texts, repeated rows and an empty table through every stage, beside columns with the operators' names."""
+    from tests.llm.cases import ROWS
+
+    rows = [(i, t, *[f"{n} {k}" for n in NAMES]) for k, (i, t, _) in enumerate(ROWS)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in NAMES))
+    whole = {tuple(r) for r in docs.collect()}
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        empty = step(spark, docs.where("false"), SF)
+        assert empty.columns == docs.columns and empty.count() == 0, name
+        got = step(spark, docs, SF)
+        left = [tuple(r) for r in got.collect()]
+        assert got.columns == docs.columns and left and set(left) <= whole, name
+        if name in ("toxicity", "decontamination"):
+            assert len(left) == len(rows), name
+        else:
+            assert {lower(r[1]) for r in left} == {lower(r[1]) for r in rows}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketshift.functions import columns as C
+from basketshift.operators import prefix
+from basketshift.session import stage
 
 USER = ["scope_id", "user_id"]
 
@@ -53,12 +55,38 @@ def neighbours(rows: DataFrame) -> DataFrame:
     })
 
 
-def basket_rows(rows: DataFrame, by_day: bool) -> DataFrame:
-    """The basket table. All windows share the partitioning on customer.
+def spread_baskets(rows: DataFrame, by_day: bool) -> DataFrame:
+    """Adds all that ``number_baskets``, ``basket_totals`` and ``neighbours`` do, for customers of any size.
 
-    ``rows`` are ``purchases`` of customers within the order limits, so a customer's rows
-    are bounded by the limit on orders times the items of the scope.
+    Baskets are summed up by themselves, numbered in range slices, and looked up by their numbers, so no step brings a
+    customer's rows together. Only the largest basket goes back by customer, where adaptive execution can split one with many rows.
+    """
+    key = basket_key(by_day)
+    totals = rows.groupBy(*USER, *key).agg(F.sum("amount").alias("basket_amount"), F.count(F.lit(1)).alias("item_count"))
+    numbered = stage(prefix.number_within(totals, USER, [F.col(c) for c in key], "seqnum"), "numbered")
+    counts = numbered.select(*USER, "seqnum", "item_count")
+
+    def beside(step: int, name: str) -> DataFrame:
+        return counts.select(*USER, (F.col("seqnum") + step).alias("seqnum"), F.col("item_count").alias(name))
+
+    found = numbered.join(beside(1, "prev_count"), [*USER, "seqnum"], "left").join(beside(-1, "next_count"), [*USER, "seqnum"], "left")
+    largest = counts.groupBy(*USER).agg(F.max("item_count").alias("largest"))
+    known = found.select(*[F.col(c).alias(f"_{c}") for c in [*USER, *key]], *[c for c in found.columns if c not in (*USER, *key)])
+    # A basket of a day has no order: such keys are null on both sides.
+    same = [rows[c].eqNullSafe(known[f"_{c}"]) if c == "parent_sale_ord_id" else rows[c] == known[f"_{c}"] for c in [*USER, *key]]
+    return rows.join(known, same).drop(*[f"_{c}" for c in [*USER, *key]]).join(largest, USER)
+
+
+# Orders of a customer up to which windows by customer are used: their rows are bounded by this times the items of a scope.
+WINDOW_ORDERS = 10_000
+
+
+def basket_rows(rows: DataFrame, by_day: bool, most_orders: int = WINDOW_ORDERS) -> DataFrame:
+    """The basket table of ``purchases`` of customers within the order limits.
+
+    Where the limits bound a customer's rows, windows by customer share one partitioning. Where they do not, baskets are spread.
     """
     order = [] if by_day else ["parent_sale_ord_id"]
-    return neighbours(basket_totals(number_baskets(rows, by_day))).select(
+    found = spread_baskets(rows, by_day) if most_orders > WINDOW_ORDERS else neighbours(basket_totals(number_baskets(rows, by_day)))
+    return found.select(
         *USER, "seqnum", "item_id", "qty", "amount", "basket_amount", "item_count", "prev_count", "next_count", "largest", *order)

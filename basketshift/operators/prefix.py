@@ -28,3 +28,18 @@ def running_total(df: DataFrame, group: str, order: Sequence[Column], value: str
     return (cut.withColumn("_slice_run", F.sum(value).over(inside))
             .join(F.broadcast(offsets), [group, "_slice"])
             .withColumn(out, F.col("_before") + F.col("_slice_run")).drop("_slice", "_before", "_slice_run"))
+
+
+def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """Numbers the rows of each group 1..n in ``order``, which tells all of a group's rows apart, whatever the size of a group.
+
+    Range slices as above. A slice begins with at most one group that earlier slices hold a part of, so there are no more offsets than
+    slices, and all other groups need none.
+    """
+    cut = stage(df.repartitionByRange(*map(F.col, group), *order).withColumn("_slice", F.spark_partition_id()), "slices")
+    sizes = cut.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(*group, "_slice", before.alias("_before")).where("_before > 0")
+    inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))
+    return (cut.withColumn("_number", inside).join(F.broadcast(offsets), [*group, "_slice"], "left")
+            .withColumn(out, (F.coalesce("_before", F.lit(0)) + F.col("_number")).cast("int")).drop("_slice", "_before", "_number"))

@@ -95,7 +95,8 @@ class MixedOrderPath(OrderPath):
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return stage(B.basket_rows(self.purchases, False), "baskets")
+        most = self.scope_params.agg(F.max("max_baskets")).first()[0] or 0
+        return stage(B.basket_rows(self.purchases, False, most), "baskets")
 
     @cached_property
     def complement(self) -> DataFrame:

@@ -96,7 +96,7 @@ class OrderPath:
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return stage(B.basket_rows(self.purchases, self.p.basket_by_day), "baskets")
+        return stage(B.basket_rows(self.purchases, self.p.basket_by_day, self.p.max_baskets), "baskets")
 
     @cached_property
     def items(self) -> DataFrame:

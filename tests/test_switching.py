@@ -360,3 +360,37 @@ def test_neighbour_join_is_two_plain_joins(spark, size):
     want = [(a[0], a[1], True, a[2], b[2]) for a in rows for b in rows if a[0] == b[0] and a[1] == b[1] + 1]
     want += [(a[0], a[1], False, a[2], b[2]) for a in rows for b in rows if a[:2] == b[:2] and a[2] < b[2]]
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("by_day", [True, False])
+def test_spread_baskets_equal_windows_by_customer(spark, by_day):
+    """Ties, null orders, a customer with half of all baskets, customers of one basket."""
+    rng = random.Random(12)
+    t = datetime(2017, 3, 1, 10)
+    rows = []
+    for user in range(40):
+        for _ in range(600 if user == 0 else rng.randrange(1, 9)):
+            when = t + timedelta(hours=rng.randrange(200 if user else 9000))
+            order = rng.choice([None, f"o{rng.randrange(400)}"])
+            rows += [("s", f"u{user}", when, when.date(), order, i, 1, rng.randrange(1, 99)) for i in rng.sample("abcdef", rng.randrange(1, 4))]
+    key = ["sale_ord_dt"] if by_day else ["sale_ord_tm", "parent_sale_ord_id"]
+    df = spark.createDataFrame(rows, "scope_id string, user_id string, sale_ord_tm timestamp_ntz, sale_ord_dt date, parent_sale_ord_id string, item_id string, qty bigint, amount bigint")
+    df = df.groupBy("scope_id", "user_id", *key, "item_id").agg(F.sum("qty").alias("qty"), F.sum("amount").alias("amount"))
+    a, b = (sorted(map(str, B.basket_rows(df, by_day, most).collect())) for most in (10, 2**31 - 1))
+    assert a == b and len(a) == df.count()
+
+
+def test_a_customer_with_half_of_all_baskets_is_spread_over_tasks(spark):
+    from basketshift.operators import prefix
+
+    df = spark.range(0, 40_000, numPartitions=8).select(F.lit("s").alias("scope_id"), F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("user_id"),
+                                                        (F.col("id") * 7919 % 40_009).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = prefix.number_within(df, ["scope_id", "user_id"], [F.col("k")], "n").withColumn("task", F.spark_partition_id())
+        tasks = {r["task"]: r["count"] for r in out.where("user_id = 'hot'").groupBy("task").count().collect()}
+        top = out.where("user_id = 'hot'").agg(F.max("n"), F.countDistinct("n"), F.min("n")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tuple(top) == (20_000, 20_000, 1) and len(tasks) >= 3 and max(tasks.values()) < 12_000
+    assert out.where("user_id <> 'hot' and n <> 1").count() == 0

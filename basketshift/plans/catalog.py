@@ -25,6 +25,7 @@ from basketshift.plans.order_path import OrderInputs, OrderPath
 from basketshift.session import stage, staging_path
 from basketshift.sources import readers as R
 from basketshift.sources import schemas
+from basketshift.sources.load import load_tsv
 from basketshift.sources.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +199,22 @@ def tsv_null_rows(spark, folder):
     return R.read_tsv(spark, path, "item_sku_id string, sku_name string, size int, brand string")
 
 
+@query
+def tsv_rejects(spark, folder):
+    """The sku table as text in which some lines have a bad number, no key, a column too many or too few, or no value at all."""
+    k, tab = F.col("p_partkey"), "\t"
+    size = F.when(k % 7 == 0, "big").when(k % 7 == 1, "NULL").otherwise(F.col("p_size").cast("string"))
+    whole = F.concat_ws(tab, F.when(k % 17 == 0, "NA").otherwise(k.cast("string")), F.regexp_replace("p_name", "a", "N/A"), size, F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
+    line = (F.when(k % 13 == 0, F.concat(whole, F.lit("\tmore"))).when(k % 13 == 1, F.concat_ws(tab, k.cast("string"), "p_name"))
+            .when(k % 13 == 2, "NULL\t\tnan\tN/A").otherwise(whole))
+    path = staging_path(spark, "tsv")
+    Star(spark, folder).table("part").select(F.concat_ws("\n", F.lit("item_sku_id\tsku_name\tsize\tprice"), line).alias("value")).write.text(path)
+    found = load_tsv(spark, path, "item_sku_id string, sku_name string, size int, price decimal(18,2)", "part", ["item_sku_id"])
+    none = F.lit(None).cast("string")
+    rows = found.rows.select(F.lit("row").alias("kind"), "item_sku_id", "sku_name", big("size"), r("price", 2), none.alias("line"), none.alias("reason"))
+    return rows.unionByName(found.rejects.select(F.lit("reject").alias("kind"), *[none.cast(t).alias(c) for c, t in rows.dtypes[1:5]], "line", "reason"))
+
+
 @query
 def pending_scopes(spark, folder):
     return R.pending_scopes(control_table(Star(spark, folder)))

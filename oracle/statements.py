@@ -503,6 +503,17 @@ def all_statements() -> dict[str, str]:
         "view_scan": sql("select item_sku_id, user_log_acct, request_dt, session_id from clicks"),
         "tsv_null_rows": """select cast(p_partkey as varchar) as item_sku_id, case when p_partkey % 11 > 4 then p_name end as sku_name,
             case when p_partkey % 5 <> 0 then p_size end as size, '"' || p_brand as brand from part where p_partkey % 13 <> 0""",
+        "tsv_rejects": """
+            select case when reason is null then 'row' else 'reject' end as kind, case when reason is null then cast(k as varchar) end as item_sku_id,
+                   case when reason is null then name end as sku_name, case when reason is null and k % 7 <> 1 then cast(p_size as bigint) end as size,
+                   case when reason is null then round(cast(price as double), 2) end as price, case when reason is not null then line end as line, reason
+            from (select *, case when k % 13 = 0 then 'columns: 5' when k % 13 = 1 then 'columns: 2' when k % 7 = 0 then 'type: size'
+                                 when k % 17 = 0 then 'missing: item_sku_id' end as reason,
+                         case when k % 13 = 0 then whole || chr(9) || 'more' when k % 13 = 1 then cast(k as varchar) || chr(9) || p_name else whole end as line
+                  from (select *, concat_ws(chr(9), case when k % 17 = 0 then 'NA' else cast(k as varchar) end, name,
+                                            case when k % 7 = 0 then 'big' when k % 7 = 1 then 'NULL' else cast(p_size as varchar) end, cast(price as varchar)) as whole
+                        from (select p_partkey as k, p_name, replace(p_name, 'a', 'N/A') as name, p_size, cast(p_retailprice as decimal(18,2)) as price from part)))
+            where k % 13 <> 2""",
         "pending_scopes": sql("select dt, cid3 from control where status = '0'"),
         "time_frame": """
             select day, cast(date_trunc('month', day) as date) - 1 as default_end,

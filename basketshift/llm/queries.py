@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketshift.llm import bpe, cuckoo, decontaminate, entropy_secrets, histogram_sort, minhash, page_diff, pii, spelling, substrings, toxicity, vector_codes, warc
+from basketshift.llm import bpe, cuckoo, decontaminate, entropy_secrets, histogram_sort, minhash, page_diff, pii, spelling, statements, substrings, toxicity, vector_codes, warc
 from basketshift.llm.common import table, text_of
 
 
@@ -80,5 +80,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_statements() -> dict[str, str]:
-    return {"op11_spelling_variants": spelling.statement(), "op12_repeated_passages": substrings.statement(),
+    return {"op1_cuckoo_dedup": statements.EXACT_DEDUP, "op7_super_minhash": statements.NEAR_GROUPS, "op11_spelling_variants": spelling.statement(), "op12_repeated_passages": substrings.statement(),
             "op13_vector_codes": vector_codes.statement()}

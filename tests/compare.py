@@ -39,7 +39,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, statement: str) -
         return [f"columns {sorted(df.columns)} against {sorted(names)}"]
     want, got = rows_of(names, found.fetchall()), rows_of(df.columns, df.collect())
     out = []
-    short = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "int": "INTEGER"}
+    short = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "int": "INTEGER", "boolean": "BOOLEAN"}
     for c, t in df.dtypes:
         if short.get(t, t) != kinds[c] and not kinds[c] in ("STRING", "NUMBER"):
             out.append(f"type of {c}: {t} against {kinds[c]}")

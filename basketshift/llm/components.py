@@ -44,22 +44,41 @@ def _forest(links: DataFrame) -> DataFrame:
     return map_rows(links.select("a", "b"), run, "a bigint, b bigint")
 
 
+# A node that holds more than one link in this many is a hub; so there are at most twice as many hubs.
+HUB_SHARE = 1000
+# Parts into which the links of a hub are dealt.
+HUB_PARTS = 64
+
+
+def _with_least(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``links`` (a, b) with the least of a. ``least`` has a, least and n, the number of links of a, which add up to ``total``.
+
+    The links of a hub are dealt by their other end, and its least goes to each part. The list of hubs is bounded whatever the graph.
+    """
+    hub = F.col("n") * HUB_SHARE > total
+    hubs = least.where(hub).select("a", F.lit(HUB_PARTS).alias("parts"))
+    dealt = (links.join(F.broadcast(hubs), "a", "left")
+             .select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
+    sent = least.select("a", "least", F.explode(F.sequence(F.lit(0), F.when(hub, HUB_PARTS - 1).otherwise(0))).alias("part"))
+    return dealt.join(sent, ["a", "part"]).drop("part")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node that it reaches) of every node with a link to another one.
 
     ``links`` has bigint columns a and b, in any order, repeated or not. Every task first unites what it
     holds; then larger neighbours are hung below the smallest one, and smaller ones likewise, until all links
-    point to roots. The smallest neighbour of a node is a grouped minimum and travels back by a join, so a node with very
-    many links is split like any skewed key. Rounds grow with the logarithm of the longest path.
+    point to roots. The smallest neighbour of a node is a grouped minimum, added up before it moves, and travels back by a join in which the links of
+    a hub are dealt over several parts. Rounds grow with the logarithm of the longest path.
     """
     links = stage(_forest(links), "links")
     while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        both = stage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+        least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count(F.lit(1)).alias("n")), "least")
+        large = _with_least(both, least, both.count()).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = stage(large.where("a <> b").distinct(), "links")
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        joined = large.join(least, "a")
+        least = stage(large.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n")), "least")
+        joined = _with_least(large, least, large.count())
         small = joined.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             least.select("a", F.col("least").alias("b")))
         links = stage(small.distinct(), "links")

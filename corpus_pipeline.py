@@ -44,7 +44,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark item, as it is or lightly edited. Null and empty texts hold none; repeated rows stay or go together."""
     prepare(spark)
-    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    clean = decontaminate.without_items(boxed(docs, "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return unboxed(clean, docs, "doc_id", "text")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

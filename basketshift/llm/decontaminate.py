@@ -3,10 +3,11 @@
 A window of a text and an item that differ by few insertions, deletions and replacements become strings of small Hamming
 distance under the CGK embedding: a walk over the words that, at each step, writes down the current word
 and moves on or stays, as a random function of step and word says. Two walks that an edit has parted tend to meet again.
-Sampled places of the embedded strings are the keys of a locality-sensitive index. Walks and samples are repeated until
-simulated edits at the allowed distance are found at the target recall; copies without edits are always found. Where that takes too
-many repeats, as for long items, all windows that pass the lossless word filters are candidates instead. Every hit is
-confirmed by the exact edit distance.
+Sampled places of the embedded strings are the keys of a locality-sensitive index. It holds every item from several of its
+first words on, so that walks also meet where an item has lost its beginning. Walks and samples are repeated until
+simulated copies at the allowed distance are found at the target recall, for each kind of edit by itself; copies without edits are
+always found. Where that takes too many repeats, as for long items, all windows that pass the lossless word filters are candidates
+instead. Every hit is confirmed by the exact edit distance.
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ class EditParams:
     # Steps of a walk, in window sizes; places sampled for a key.
     stretch: int = 3
     places: int = 3
-    # Share of simulated items, edited at the allowed distance, that must be hit, and simulations per class.
+    # Windows of an item in the index: from its first word on, and from others up to the edits allowed.
+    anchors: int = 5
+    # Share of simulated items, edited at the allowed distance, that must be hit for each kind of edit, and simulations per kind and class.
     recall: float = 0.95
     simulations: int = 400
     most_repeats: int = 96
@@ -114,48 +117,72 @@ def edited(words: list[int], edits: int, rng: random.Random, foreign: int) -> li
     return out
 
 
+def copies_of(words: list[int], edits: int, kind: str, rng: random.Random, foreign: int) -> list[list[int]]:
+    """The windows, up to their ends, that hold ``words`` after so many edits of a kind and are within that distance of it."""
+    if kind == "scattered":
+        return [edited(words, edits, rng, foreign)]
+    if kind == "head":
+        return [words[edits:]]
+    if kind == "tail":
+        return [words[:len(words) - edits]]
+    at = rng.randrange(len(words) - edits + 1)
+    if kind == "gap":
+        return [words[:at] + words[at + edits:]]
+    inside = words[:at] + [foreign] * edits + words[at:]
+    return [inside, words[at:]] if at <= edits else [inside]
+
+
+# Edits anywhere; the first or last words lost; words in a row lost or put in.
+KINDS = ("scattered", "head", "tail", "gap", "block")
+
+# Numbers that no word has: what follows a simulated copy, and what follows an item in the index. Neither equals anything.
+FOREIGN, BEHIND = -1, -2
+
+
 class LengthClass:
     """The index of items of nearly one length: sampled places of ``repeats`` walks over windows of ``size`` words.
 
-    ``exact``: the walks do not reach the recall, and every window is a candidate for every item.
+    ``offsets``: the words of an item from which on it is in the index. ``exact``: the walks do not reach the recall, and every window is a candidate for every item.
     """
 
     def __init__(self, items: list[tuple[int, list[int]]], params: EditParams):
         self.items, self.params = items, params
         self.size = min(len(w) for _, w in items)
         self.most = max(int(params.share * len(w)) for _, w in items)
-        self.heads = self.rows([w for _, w in items])
-        for n in range(1, params.rounds + 1):
-            self.seeds, self.places = self._samples(n * params.most_repeats)
-            needed = self._needed()
-            if needed is not None:
-                break
+        self.offsets = sorted({round(i * self.most / max(1, params.anchors - 1)) for i in range(params.anchors)})
+        self.seeds, self.places = self._samples(params.rounds * params.most_repeats)
+        needed = self._needed()
         self.exact = needed is None
         self.repeats = needed or 0
         if self.exact:
             return
         self.seeds, self.places = self.seeds[:self.repeats], self.places[:self.repeats]
-        keys = self.keys_of(self.heads)
+        keys = self.keys_of(self.anchored([w for _, w in items]))
         self.order = np.argsort(keys, axis=1, kind="stable")
         self.keys = np.take_along_axis(keys, self.order, axis=1)
 
-    def rows(self, texts: list[list[int]]) -> np.ndarray:
-        """The first ``size`` words of each, filled up with 0."""
-        out = np.zeros((len(texts), self.size), dtype=np.int32)
+    def rows(self, texts: list[list[int]], fill: int) -> np.ndarray:
+        """The first ``size`` words of each, filled up."""
+        out = np.full((len(texts), self.size), fill, dtype=np.int32)
         for i, t in enumerate(texts):
             out[i, :min(self.size, len(t))] = t[:self.size]
         return out
 
+    def anchored(self, texts: list[list[int]]) -> np.ndarray:
+        """A window per text and offset, text by text."""
+        return self.rows([t[o:] for t in texts for o in self.offsets], BEHIND)
+
     def _samples(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.params.seed * 1000 + self.size)
         # The walk stands near word j / 2 at step j: places within twice the size are words of the window.
         reach = min(self.params.stretch, 2) * self.size
         return self.params.seed + 1 + np.arange(n), np.array([np.sort(rng.choice(reach, min(self.params.places, reach), replace=False)) for _ in range(n)])
 
-    def keys_of(self, windows: np.ndarray) -> np.ndarray:
-        """A key per repeat and window."""
-        words = sampled(windows, self.seeds, self.places).astype(np.uint64)
-        mixed = np.repeat(np.arange(1, len(self.seeds) + 1, dtype=np.uint64)[:, None], len(windows), axis=1)
+    def keys_of(self, windows: np.ndarray, first: int = 0, behind: int | None = None) -> np.ndarray:
+        """A key per repeat, or per repeat of a range, and window."""
+        seeds = self.seeds[first:behind]
+        words = sampled(windows, seeds, self.places[first:behind]).astype(np.uint64)
+        mixed = np.repeat(np.arange(first + 1, first + len(seeds) + 1, dtype=np.uint64)[:, None], len(windows), axis=1)
         with np.errstate(over="ignore"):
             for c in range(words.shape[2]):
                 mixed = (mixed ^ words[:, :, c]) * MIX
@@ -163,15 +190,38 @@ class LengthClass:
         return mixed
 
     def _needed(self) -> int | None:
-        """Repeats at which simulated edits reach the recall, None if these do not. Foreign words are numbered 0, as in texts."""
+        """Repeats at which simulated copies of every kind reach the recall, None if these do not."""
         if self.most == 0:
             return 1
         rng = random.Random(self.params.seed)
-        picked = [rng.randrange(len(self.items)) for _ in range(self.params.simulations)]
-        texts = self.rows([edited(self.items[i][1], int(self.params.share * len(self.items[i][1])), rng, 0) for i in picked])
-        hit = self.keys_of(texts) == self.keys_of(self.heads[picked])
-        reached = np.nonzero(np.logical_or.accumulate(hit, axis=0).mean(axis=1) >= self.params.recall)[0]
-        return int(reached[0]) + 1 if len(reached) else None
+        picked = np.array([rng.randrange(len(self.items)) for _ in range(self.params.simulations)])
+        used, place = np.unique(picked, return_inverse=True)
+        anchors = self.anchored([self.items[i][1] for i in used])
+        pending = []
+        for kind in KINDS:
+            texts = [copies_of(w, int(self.params.share * len(w)), kind, rng, FOREIGN) for w in (self.items[i][1] for i in picked)]
+            pending.append((self.rows([t for own in texts for t in own], FOREIGN), np.repeat(np.arange(len(texts)), [len(own) for own in texts]),
+                            np.zeros(len(texts), dtype=bool)))
+        needed = 1
+        for first in range(0, len(self.seeds), self.params.most_repeats):
+            behind = min(first + self.params.most_repeats, len(self.seeds))
+            own = self.keys_of(anchors, first, behind).reshape(behind - first, len(used), len(self.offsets))
+            open_still = []
+            for windows, owner, before in pending:
+                same = (self.keys_of(windows, first, behind)[:, :, None] == own[:, place[owner]]).any(axis=2)
+                hit = np.zeros((behind - first, len(before)), dtype=bool)
+                repeat, window = np.nonzero(same)
+                hit[repeat, owner[window]] = True
+                hit = np.logical_or.accumulate(hit, axis=0) | before
+                reached = np.nonzero(hit.mean(axis=1) >= self.params.recall)[0]
+                if len(reached):
+                    needed = max(needed, first + int(reached[0]) + 1)
+                else:
+                    open_still.append((windows, owner, hit[-1]))
+            pending = open_still
+            if not pending:
+                return needed
+        return None
 
     def candidates(self, windows: np.ndarray) -> list[tuple[int, int]]:
         """(window, item) pairs with an equal key, or all if ``exact``, that have words enough in common."""
@@ -182,7 +232,7 @@ class LengthClass:
             low, high = np.searchsorted(self.keys[t], key, "left"), np.searchsorted(self.keys[t], key, "right")
             for k in range(int((high - low).max(initial=0))):
                 w = np.nonzero(high - low > k)[0]
-                found.append(np.stack([w, self.order[t][low[w] + k]], axis=1))
+                found.append(np.stack([w, self.order[t][low[w] + k] // len(self.offsets)], axis=1))
         if not found:
             return []
         out = []

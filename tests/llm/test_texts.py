@@ -364,3 +364,32 @@ def test_long_items_are_found_whatever_the_walks_reach(size, params):
     for _ in range(20 if size < 100 else 3):
         text = decontaminate.edited(words, int(0.15 * size), rng, "foreign")
         assert [h[:2] for h in index.search(["some words before " + " ".join(text) + " and behind"])] == [(0, 1)]
+
+
+@pytest.mark.parametrize("kind", decontaminate.KINDS)
+def test_items_are_found_after_edits_of_every_kind(kind):
+    """The measured recall holds for lost beginnings and ends, for words lost or put in in a row, and for edits anywhere."""
+    rng = random.Random(11)
+    items = [(i, [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(14, 60))]) for i in range(120)]
+    index = decontaminate.ItemIndex([(i, " ".join(w)) for i, w in items], decontaminate.EditParams())
+    assert not any(c.exact for c in index.classes)
+    found = 0
+    for i, words in items:
+        edits = int(0.15 * len(words))
+        copy = decontaminate.copies_of(words, edits, kind, rng, "foreign")[0]
+        text = " ".join([*("before" for _ in range(30)), *copy, *("behind" for _ in range(30))])
+        hits = [h for h in index.search([text]) if h[1] == i]
+        found += bool(hits)
+        for _, _, distance, first, behind in hits:
+            assert distance == plain_distance(words, decontaminate.words_of(text)[first:behind], len(words))[0] <= edits
+    assert found >= 0.93 * len(items)
+
+
+def test_copies_of_a_kind_are_within_the_distance():
+    rng = random.Random(12)
+    for kind in decontaminate.KINDS:
+        for _ in range(100):
+            words = list(range(1, rng.randrange(2, 30)))
+            edits = rng.randrange(len(words) // 2 + 1)
+            for copy in decontaminate.copies_of(words, edits, kind, rng, -1):
+                assert plain_distance(words, copy, edits) is not None

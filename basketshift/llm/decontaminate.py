@@ -55,31 +55,48 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def _moves(word: np.ndarray, step: int, seeds: np.ndarray | int) -> np.ndarray:
-    """1 where a walk moves on from a word at a step, a random function of both."""
-    with np.errstate(over="ignore"):
-        start = (np.asarray(seeds, dtype=np.uint64) << np.uint64(20)) + np.uint64(step + 1)
-        return ((word.astype(np.uint64) + start * GOLDEN) * MIX >> np.uint64(61) & np.uint64(1)).astype(np.int64)
-
-
 def embed(windows: np.ndarray, steps: int, seed: int) -> np.ndarray:
     """The CGK embedding of each row of word numbers: ``steps`` words each, 0 once a walk is past the end."""
     every = np.arange(steps)[None, :]
     return sampled(windows, np.array([seed]), every)[0]
 
 
-def sampled(windows: np.ndarray, seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The words at the ``places`` (a sorted row per seed) of each window's embeddings: seeds x windows x places."""
+def sampled(windows: np.ndarray, seeds: np.ndarray, places: np.ndarray, block: int = 512) -> np.ndarray:
+    """The words at the ``places`` (a sorted row per seed) of each window's embeddings: seeds x windows x places.
+
+    At each step a walk moves on if a random function of seed, step and word says so. A seed's walks end at its last place, so seeds
+    are taken in the order of these, and those that have ended are left out. Blocks of windows stay in the processor's cache.
+    """
     n, size = windows.shape
-    padded = np.concatenate([windows, np.zeros((n, 1), dtype=windows.dtype)], axis=1)
-    rows, at = np.arange(n)[None, :], np.zeros((len(seeds), n), dtype=np.int64)
-    out = np.zeros((len(seeds), n, places.shape[1]), dtype=windows.dtype)
-    for step in range(int(places.max()) + 1):
-        word = padded[rows, at]
-        for seed, place in zip(*np.nonzero(places == step), strict=True):
-            out[seed, :, place] = word[seed]
-        at = np.minimum(at + _moves(word, step, seeds[:, None]), size)
-    return out
+    order = np.argsort(-places[:, -1], kind="stable")
+    steps = int(places.max()) + 1
+    walking = np.searchsorted(-places[order, -1], -np.arange(steps), "right")
+    wanted: list[list[tuple[int, int]]] = [[] for _ in range(steps)]
+    for row, seed in enumerate(order):
+        for i, place in enumerate(places[seed]):
+            wanted[place].append((row, i))
+    found = np.zeros((len(seeds), n, places.shape[1]), dtype=windows.dtype)
+    with np.errstate(over="ignore"):
+        salts = ((np.asarray(seeds, dtype=np.uint64)[order, None] << np.uint64(20)) + np.arange(1, steps + 1, dtype=np.uint64)) * GOLDEN
+        for begin in range(0, n, block):
+            own = windows[begin:begin + block]
+            # A walk never gets farther than one word a step, so it stays inside its row.
+            width = max(size, steps) + 1
+            words = np.zeros((len(own), width), dtype=np.uint64)
+            words[:, :size] = own
+            words = words.ravel()
+            at = np.repeat(np.arange(len(own))[None, :] * width, len(seeds), axis=0)
+            for step in range(steps):
+                here = at[:walking[step]]
+                word = words.take(here)
+                for row, i in wanted[step]:
+                    found[order[row], begin:begin + block, i] = word[row]
+                word += salts[:walking[step], step, None]
+                word *= MIX
+                word >>= np.uint64(61)
+                word &= np.uint64(1)
+                here += word.view(np.int64)
+    return found
 
 
 def edit_distance_within(item: Sequence[int], text: Sequence[int], most: int) -> tuple[int, int] | None:
@@ -304,7 +321,9 @@ class ItemIndex:
                 some = starts[at:at + chunk]
                 owner = np.searchsorted(begins, some, "right") - 1
                 some, owner = some[some < ends[owner]], owner[some < ends[owner]]
-                for w, i in c.candidates(numbers[some[:, None] + np.arange(c.size)]):
+                pairs = c.candidates(numbers[some[:, None] + np.arange(c.size)])
+                # Copies without edits first, so that windows beside them need no table.
+                for w, i in sorted(pairs, key=lambda x: line[some[x[0]]:some[x[0]] + len(c.items[x[1]][1])] != c.items[x[1]][1]):
                     own = c.items[i][1]
                     most, start, text = int(self.params.share * len(own)), int(some[w]), int(owner[w])
                     held = best.get((text, c.size, i))

@@ -150,17 +150,18 @@ def overwrite_partitions(df: DataFrame, path: str, file_format: str = "parquet")
      .format(file_format).save(path))
 
 
-def read_partitions(spark: SparkSession, path: str, schema: str, dt: str | None = None, cid3: Sequence[str] | None = None,
+def read_partitions(spark: SparkSession, path: str, schema: str, dt: str | Sequence[str] | None = None, cid3: Sequence[str] | None = None,
                     file_format: str = "parquet") -> DataFrame:
     """A published table, or a plain partitioned folder. ``dt`` and ``cid3`` choose partitions before any file is listed."""
     entries = manifest(spark, path)
     want = f"{schema}, dt string, cid3 string"
+    days = [dt] if isinstance(dt, str) else dt
     if entries is None:
         df = spark.read.schema(want).format(file_format).load(path)
-        if dt is not None:
-            df = df.where(F.col("dt") == dt)
+        if days is not None:
+            df = df.where(F.col("dt").isin(*days))
         return df if cid3 is None else df.where(F.col("cid3").isin(*cid3))
-    chosen = sorted(f for (d, c), f in entries.items() if (dt is None or d == dt) and (cid3 is None or c in cid3))
+    chosen = sorted(f for (d, c), f in entries.items() if (days is None or d in days) and (cid3 is None or c in cid3))
     if not chosen:
         return spark.createDataFrame([], want)
     return spark.read.schema(want).option("recursiveFileLookup", "true").parquet(*chosen)

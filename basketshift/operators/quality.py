@@ -35,7 +35,11 @@ def month_coverage(lines: DataFrame, scopes: DataFrame, end: date, n: int = MONT
     """
     first, after = F.add_months(F.trunc(F.lit(end), "month"), 1 - n), F.date_add(F.last_day(F.lit(end)), 1)
     recent = lines.where((F.col("sale_ord_dt") >= first) & (F.col("sale_ord_dt") < after))
-    counted = recent.groupBy("cid3", F.trunc("sale_ord_dt", "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return coverage_of(recent.groupBy("cid3", F.trunc("sale_ord_dt", "month").alias("month")).agg(F.count(F.lit(1)).alias("n")), scopes, end, n)
+
+
+def coverage_of(counted: DataFrame, scopes: DataFrame, end: date, n: int = MONTHS) -> DataFrame:
+    """``month_coverage`` from lines counted by cid3 and month."""
     found = counted.join(_scope_categories(scopes), "cid3").groupBy("scope_id", "month").agg(F.sum("n").alias("n"))
     grid = scopes.select("scope_id", F.explode(months_back(end, n)).alias("month"))
     return grid.join(found, ["scope_id", "month"], "left").select("scope_id", "month", F.coalesce("n", F.lit(0)).alias("n_lines"))

@@ -21,6 +21,7 @@ from basketshift.params import Params
 from basketshift.plans.cdt_path import CdtInputs, CdtPath
 from basketshift.plans.log_path import LogInputs, LogPath
 from basketshift.plans.mixed_path import MixedOrderPath
+from basketshift.plans.monthly import MonthlyState
 from basketshift.plans.order_path import OrderInputs, OrderPath
 from basketshift.session import stage, staging_path
 from basketshift.sources import readers as R
@@ -719,6 +720,61 @@ def publish_gate(spark, folder):
     return _switching(Q.publish_gate(result, checks, "switch_check"))
 
 
+# -- state by month -----------------------------------------------------------
+
+# Two windows over one state: whole months, and a moved one whose first and last months are cut.
+WINDOWS = {"whole": (START, END), "moved": (date(1996, 3, 15), date(2001, 5, 20))}
+
+
+def monthly_state(spark: SparkSession, folder: str) -> tuple[MonthlyState, DataFrame]:
+    """The state after two updates, the second one after late lines came for the last three months; and the finer scopes' table."""
+    star = Star(spark, folder)
+    fine, skus = _brand_scopes(star)
+    lines = stage(star.order_lines().join(skus.select("item_sku_id", "cid3"), "item_sku_id")
+                  .withColumn("month", F.date_format("sale_ord_dt", "yyyy-MM")), "lines")
+    late = (F.col("month") >= "2001-05") & (F.pmod(F.xxhash64("parent_sale_ord_id"), F.lit(4)) == 0)
+    extracts, root = staging_path(spark, "extracts"), staging_path(spark, "state")
+    lines.where(~late).write.partitionBy("month").parquet(extracts)
+    member = S.membership(scopes(star), R.sku_scan(star.sku_master()))
+    state = MonthlyState(spark, root, extracts, lines.drop("month").schema, member)
+    state.update()
+    lines.where(late).write.mode("append").partitionBy("month").parquet(extracts)
+    state.update()
+    return state, fine
+
+
+def _of_windows(make: Callable[[date, date], DataFrame]) -> DataFrame:
+    parts = [make(*w).withColumn("window", F.lit(name)) for name, w in WINDOWS.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def scope_counts_monthly(spark, folder):
+    """Distinct orders, skus and customers per scope, from bitmaps by month."""
+    state, _ = monthly_state(spark, folder)
+    return _of_windows(state.scope_counts)
+
+
+@query
+def customer_orders_monthly(spark, folder):
+    state, _ = monthly_state(spark, folder)
+    return _of_windows(state.customer_orders)
+
+
+@query
+def prod_tail_monthly(spark, folder):
+    """The long tail of both windows, from daily sales by month."""
+    state, _ = monthly_state(spark, folder)
+    tail = _of_windows(lambda start, end: X.prod_tail(state.daily(start, end), params().prod_tail))
+    return tail.select("window", "scope_id", "item_sku_id", "sale_qtty", r("cum_ratio"))
+
+
+@query
+def month_coverage_monthly(spark, folder):
+    state, fine = monthly_state(spark, folder)
+    return state.coverage(fine, END)
+
+
 # -- sinks --------------------------------------------------------------------
 
 

@@ -427,6 +427,15 @@ FINE_STEPS = {
         left join per_month p on p.fine = f.fine and p.month = m.month""",
 }
 
+WINDOW_STEPS = {
+    "window_facts": f"""
+        select w.name as "window", s.scope_id, o.* from order_lines o join skus k on k.item_sku_id = o.item_sku_id and k.sku_type = 'self'
+        join scopes s on s.c3 = o.cid3
+        join (values ('whole', date '{START}', date '{END}'), ('moved', date '1996-03-15', date '2001-05-20')) w(name, first, last)
+          on o.sale_ord_dt between w.first and w.last
+        where o.valid = 1""",
+}
+
 SOLD_RECENTLY = f"select distinct item_sku_id from order_lines where valid = 1 and sale_ord_dt between date '1999-08-01' and date '{END}'"
 
 
@@ -640,6 +649,19 @@ def all_statements() -> dict[str, str]:
             group by a.scope_id, a.attr_key, k.shown_as, d.name""", more),
         "cdt_rf": fit_sql(FOREST, sku, more, PAIR_STEPS, FIT_STEPS, forest_steps()),
         "cdt_enet": fit_sql("Elastic Net Regression", sku, more, PAIR_STEPS, FIT_STEPS, net_steps()),
+        "scope_counts_monthly": sql("""
+            unpivot (select "window", scope_id, count(distinct parent_sale_ord_id) as orders, count(distinct item_sku_id) as skus,
+                            count(distinct user_id) as customers from window_facts group by all)
+            on orders, skus, customers into name kind value n""", sku, WINDOW_STEPS),
+        "customer_orders_monthly": sql("""
+            select "window", scope_id, user_id, count(distinct parent_sale_ord_id) as ord_qtty from window_facts group by all""", sku, WINDOW_STEPS),
+        "prod_tail_monthly": sql("""
+            select "window", scope_id, item_sku_id, qty as sale_qtty, round(cum_ratio, 6) as cum_ratio from (
+              select *, sum(qty) over (partition by "window", scope_id order by qty desc, item_sku_id
+                       rows between unbounded preceding and current row) / sum(qty) over (partition by "window", scope_id) as cum_ratio
+              from (select "window", scope_id, item_sku_id, sum(sale_qtty) as qty from window_facts group by all))
+            where cum_ratio <= 0.95""", sku, WINDOW_STEPS),
+        "month_coverage_monthly": sql("select * from coverage", FINE_STEPS),
         "month_coverage": sql("select * from coverage", FINE_STEPS),
         "input_check": sql("""
             select f.scope_id, cast(case when (select count(*) from coverage c where c.scope_id = f.scope_id and c.n_lines = 0) = 0

@@ -10,8 +10,10 @@ that several different seeds support, mark what else they surround.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,8 +31,11 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# What could be an identifier: a string without white space that has digits, less the punctuation around it.
-TOKEN = re.compile(r"(?<!\S)\S*[0-9]\S*")
+# What could be an identifier: strings without white space that have digits or an @, of any length, less the punctuation around them;
+# groups of digits that follow one another are one. WORD is any such string.
+WORD = re.compile(r"\S+")
+MARKED = re.compile(r"[0-9@]")
+GROUP = re.compile(r"[(+]?[0-9][0-9().+/-]*")
 OPENING, CLOSING = "\"'([<", "\"')]>.,;:!?"
 
 
@@ -45,9 +50,6 @@ class PiiParams:
     # Distinct seeds of the kind that a pattern must surround.
     least_seeds: int = 5
     smoothing: float = 1.0
-    # Digits and length that a string must have to become an instance.
-    least_digits: int = 4
-    longest: int = 64
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -103,39 +105,73 @@ def shape_of(string: str) -> str:
     return ("@" if "@" in string else "") + ("a" if re.search(r"[^\W\d_]", string) else "") + ("9" if digits < 7 else "99" if digits < 16 else "999")
 
 
+def _short(string: str) -> str:
+    """The string, or a digest that stands for it if it is long, so that no row holds more than a line."""
+    return string if len(string) <= 64 else hashlib.blake2b(string.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _word(text: str) -> str:
-    return re.sub(r"[0-9]+", "9", text.lower().strip("\"'()[]<>.,;:!?"))
+    return _short(re.sub(r"[0-9]+", "9", text.lower().strip("\"'()[]<>.,;:!?")))
+
+
+class Words:
+    """The words of a text by place, and the spans that other occurrences in it hold."""
 
+    def __init__(self, text: str, found: Sequence[tuple[int, int, int]]):
+        self.text = text
+        self.at = [m.span() for m in WORD.finditer(text)]
+        self.starts = [s for s, _ in self.at]
+        self.begins, self.ends = sorted(s for s, _, _ in found), sorted(e for _, e, _ in found)
 
-def contexts(text: str, start: int, end: int, shape: str) -> list[str]:
-    """The patterns of an occurrence: two words before it, one on each side, and two behind it, each with
-    the shape of the string. At an edge of the text the missing word is empty."""
-    before = [_word(w) for w in text[max(0, start - 80):start].split()[-2:]]
-    after = [_word(w) for w in text[end:end + 80].split()[:2]]
-    before, after = ["", "", *before][-2:], [*after, "", ""][:2]
-    return [f"{before[0]} {before[1]} | {shape}", f"{before[1]} | {shape} | {after[0]}", f"{shape} | {after[0]} {after[1]}"]
+    def word(self, i: int) -> str:
+        return _word(self.text[slice(*self.at[i])]) if 0 <= i < len(self.at) else ""
 
+    def contexts(self, start: int, end: int, shape: str) -> list[str]:
+        """The patterns of an occurrence: two words before it, one on each side, and two behind it, each with the shape of the string.
 
-def candidates(text: str, base: list[tuple[int, int, int]], params: PiiParams) -> list[tuple[int, int, int]]:
-    """(start, end, kind) of seeds, and of other strings with digits (kind -1) that no base span overlaps."""
+        Words count whole. What stands in the occurrence's own word beside it is a word too, up to the next occurrence; at an edge of the text the
+        missing word is empty.
+        """
+        first, last = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
+        i, j = bisect_right(self.ends, start) - 1, bisect_left(self.begins, end)
+        low = max(self.starts[first], self.ends[i] if i >= 0 else 0)
+        high = min(self.at[last][1], self.begins[j] if j < len(self.begins) else len(self.text))
+        before = [self.word(first - 2), self.word(first - 1), *([_word(self.text[low:start])] if low < start else [])][-2:]
+        after = [*([_word(self.text[end:high])] if end < high else []), self.word(last + 1), self.word(last + 2)][:2]
+        return [f"{before[0]} {before[1]} | {shape}", f"{before[1]} | {shape} | {after[0]}", f"{shape} | {after[0]} {after[1]}"]
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of seeds, and of other strings with digits or an @ (kind -1) that no base span overlaps, by start."""
     out = [(s, e, k) for s, k, e in base]
-    i, reach = 0, 0
-    for m in TOKEN.finditer(text):
+    i, reach, group = 0, 0, False
+    for m in WORD.finditer(text):
+        if not MARKED.search(m[0]):
+            group = False
+            continue
         s = m.end() - len(m[0].lstrip(OPENING))
         e = m.start() + len(m[0].rstrip(CLOSING))
         while i < len(base) and base[i][0] < e:
             reach = max(reach, base[i][2])
             i += 1
-        if reach <= s and e - s <= params.longest and len(digits_of(text[s:e])) >= params.least_digits:
+        digits = GROUP.fullmatch(m[0].rstrip(CLOSING)) is not None
+        if reach > s or s >= e:
+            group = False
+        elif group and digits:
+            out[-1] = (out[-1][0], e, -1)
+            group = text[e:m.end()] in ("", ")")
+        else:
             out.append((s, e, -1))
-    return out
+            # Other punctuation than a bracket behind a group ends it.
+            group = digits and text[e:m.end()] in ("", ")")
+    return sorted(out)
 
 
 SCANNED = ("row_no bigint, key bigint, base array<struct<start:int,kind:int,end:int>>, "
            "seen array<struct<start:int,end:int,kind:int,instance:string,patterns:array<string>>>")
 
 
-def scan(docs: DataFrame, params: PiiParams, key: str, text: str) -> DataFrame:
+def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One pass over the whole texts: base spans, and every occurrence of a seed or candidate with its patterns."""
 
     def run(batches) -> Iterator[dict]:
@@ -143,11 +179,10 @@ def scan(docs: DataFrame, params: PiiParams, key: str, text: str) -> DataFrame:
             base = [base_spans(t) for t in b["text"]]
             seen = []
             for t, spans in zip(b["text"], base, strict=True):
-                found = []
-                for s, e, k in candidates(t, spans, params) if spans or re.search(r"[0-9]", t) else ():
-                    shape = shape_of(t[s:e])
-                    found.append({"start": s, "end": e, "kind": k, "instance": t[s:e], "patterns": contexts(t, s, e, shape)})
-                seen.append(found)
+                marked = candidates(t, spans) if spans or MARKED.search(t) else []
+                words = Words(t, marked) if marked else None
+                seen.append([{"start": s, "end": e, "kind": k, "instance": _short(t[s:e]), "patterns": words.contexts(s, e, shape_of(t[s:e]))}
+                             for s, e, k in marked])
             yield {"row_no": b["row_no"], "key": b["key"], "seen": seen,
                    "base": [[{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans in base]}
 
@@ -213,7 +248,7 @@ def find_personal_data(docs: DataFrame, params: PiiParams = PiiParams(), key: st
     listed counts. The texts are read once; only spans, contexts and row numbers move.
     """
     prepare(docs.sparkSession)
-    scanned = stage(scan(docs, params, key, text), "pii-scanned")
+    scanned = stage(scan(docs, key, text), "pii-scanned")
     seen = scanned.select("row_no", F.explode("seen").alias("o")).select("row_no", "o.*")
     good = pattern_scores(seen.select("instance", "kind", "patterns"), params)
     # One unseen occurrence can match by several patterns; its kind is that of the best.

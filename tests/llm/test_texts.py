@@ -142,6 +142,84 @@ def test_contextual_spans(spark):
     assert got[98].n_found == 0 and got[0].n_found == 0 and got[0].spans == got[0].base
 
 
+def test_contexts_find_strings_of_any_length_and_number(spark):
+    """An address without a domain, a number in short groups and one of 80 digits, each where seeds of its kind stand; the same strings elsewhere are left."""
+    card = [next(b + d for d in "0123456789" if pii.luhn(b + d)) for b in (f"4{i * 7919:014d}" for i in range(15))]
+    unseen = {"email": "alice@localhost", "phone": "(12) 34 56 78 9", "card": "7" * 80}
+    frame = {"email": "ticket opened by {} for review", "phone": "reach me on {} any day", "card": "account number {} is closed"}
+    seeds = {"email": [f"cust.{i}@mail.example.com" for i in range(15)], "phone": [f"+1 (319) 555-{1000 + i}" for i in range(15)], "card": card}
+    rows, want = [], {}
+    for n, kind in enumerate(frame):
+        rows += [(100 * n + i, frame[kind].format(x), "x") for i, x in enumerate(seeds[kind])]
+        text = frame[kind].format(unseen[kind])
+        start = text.index(unseen[kind].lstrip("("))
+        rows += [(1000 + n, text, "x"), (2000 + n, f"elsewhere {unseen[kind]} means nothing", "x")]
+        want[1000 + n], want[2000 + n] = f"{kind}:{start}:{start + len(unseen[kind].lstrip('('))}", ""
+    long = "w" * 500
+    rows += [(3000 + i, f"{long} {long} cust.{i}@mail.example.com {long}", "x") for i in range(9)] + [(3100, f"{long} {long} bob@host {long}", "x")]
+    rows += [(3101, f"{long[1:]} {long[1:]} bob@host {long[1:]}", "x")]
+    want |= {3100: "email:1002:1010", 3101: ""}
+    got = {r.doc_id: r for r in pii.find_personal_data(documents(spark, rows)).collect()}
+    assert {i: got[i].spans for i in want} == want
+
+
+def plain_scores(seen, params):
+    """The definition of ``pattern_scores``, edge by edge."""
+    edges = {}
+    for instance, kind, patterns in seen:
+        for p in patterns:
+            edges[p, instance] = max(kind, edges.get((p, instance), -1))
+    scores, born, found = {}, {}, {}
+    for now in range(params.rounds):
+        own = {(p, x): found[x][0] if k < 0 and x in found and found[x][1] < born.get(p, now) else k for (p, x), k in edges.items()}
+        kind_of, size = {}, {}
+        for p in {p for p, _ in own}:
+            kinds = [k for (q, _), k in own.items() if q == p]
+            seeds = [kinds.count(k) for k in range(len(pii.KINDS))]
+            if max(seeds) >= params.least_seeds:
+                kind_of[p], size[p] = seeds.index(max(seeds)), len(kinds)
+        new = {}
+        for p, kind in kind_of.items():
+            total = 0.0
+            for (q, x), k in own.items():
+                if q == p and k >= 0:
+                    total += k == kind
+                elif q == p:
+                    total += params.damping * max((scores[o] for (o, y), l in own.items() if y == x and l < 0 and o in scores and kind_of.get(o) == kind), default=0)
+            new[p] = total / (size[p] + params.smoothing)
+        scores = new
+        good = {p for p, s in scores.items() if s >= params.good}
+        for p in good:
+            born.setdefault(p, now)
+        for x in {x for (p, x), k in own.items() if k < 0 and p in good} - set(found):
+            kinds = {kind_of[p] for (p, y), k in own.items() if y == x and k < 0 and p in good}
+            if len(kinds) == 1:
+                found[x] = (kinds.pop(), now)
+    return {p: s for p, s in scores.items() if s >= params.good}
+
+
+def test_pattern_scores_equal_brute_force(spark):
+    rng = random.Random(21)
+    for _ in range(3):
+        seen = []
+        for i in range(160):
+            home = rng.randrange(6)
+            kind = home % 3 if rng.random() < 0.75 else -1
+            seen.append((f"i{i}", kind, [f"p{home}"] + [f"p{rng.randrange(12)}" for _ in range(rng.randrange(2))]))
+        want = plain_scores(seen, pii.PiiParams())
+        df = spark.createDataFrame(seen, "instance string, kind int, patterns array<string>")
+        assert {r.pattern: r.score for r in pii.pattern_scores(df).collect()} == pytest.approx(want) and want
+
+
+def test_occurrences_of_long_texts_are_found_in_linear_time():
+    for unit in ("a@b.cc,", "1 ", "12@", "x9 "):
+        text = unit * 100_000
+        began = time.time()
+        found = pii.candidates(text, pii.base_spans(text))
+        words = pii.Words(text, found)
+        assert all(len(words.contexts(s, e, "9")) == 3 for s, e, _ in found) and time.time() - began < 10
+
+
 BASE_6 = {"assign": r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "access": r"AKIA[A-Z0-9]+",
           "hex": r"[0-9a-f]+"}
 

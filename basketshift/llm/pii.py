@@ -261,6 +261,11 @@ def find_personal_data(docs: DataFrame, params: PiiParams = PiiParams(), key: st
         F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     joined = scanned.select("row_no", "key", "base").join(found, "row_no", "left").withColumn("found", F.coalesce("found", none))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{n}") for k, n in enumerate(KINDS)]
+
+    def of_kind(k):
+        # One parameter only: to a second one Spark hands the element's index.
+        return F.size(F.filter("base", lambda s: s["kind"] == k))
+
+    count = [of_kind(k).cast("bigint").alias(f"n_{n}") for k, n in enumerate(KINDS)]
     return joined.select(F.col("key").alias(key), *count, F.size("found").cast("bigint").alias("n_found"), spans(F.col("base")).alias("base"),
                          spans(F.concat("base", "found")).alias("spans"))

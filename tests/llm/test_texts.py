@@ -98,6 +98,15 @@ def test_fixed_shapes_equal_the_patterns():
             assert pii.base_spans(text) == plain_pii(text), repr(text)
 
 
+def test_fixed_shapes_are_counted_by_kind(spark):
+    """Kinds in any order, several of one kind and none of another."""
+    texts = ["1.2.3.4 5.6.7.8 9.9.9.9", "call +1 319 555 1000 or +1 319 555 1001", "4111 1111 1111 1111 a@b.co c@d.co", "a@b.co 1.2.3.4 +1 319 555 1000", "none"]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + ROWS
+    wanted = sorted(((k is None, k or 0), *[sum(kind == n for _, kind, _ in plain_pii(t or "")) for n in range(4)]) for k, t, _ in rows)
+    got = pii.find_personal_data(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got) == wanted
+
+
 def test_patterns_find_unseen_identifiers(spark):
     rows = [(1000 + i, f"words before my number is +1 (319) 555-{1000 + i} thanks", "x") for i in range(12)]
     rows += [(1100 + i, f"words before my number is 0319-555-{1000 + i} thanks", "x") for i in range(9)]

@@ -7,7 +7,8 @@ subsequence, and lines that both share are template, not text, if a second neigh
 Differencing alone would also delete lines that two articles share, such as a common passage, and would
 keep an advert that only one page has. So elements that hold menus, headers, footers, adverts and the like never count, and the
 lines of a marked article are never deleted. What differencing leaves of the loose lines decides whether the mark
-is believed: where the marked text is a small part of it, both are the text, else the marked lines alone.
+is believed: where the marked text is a small part of it, both are the text, else the marked lines alone. Every page is
+differenced, whatever its marks; the marks are a check of what that gives.
 """
 
 from __future__ import annotations
@@ -285,8 +286,8 @@ class PageParams:
     small: float = 0.5
 
 
-PARSED = ("row_no bigint, page_id bigint, url string, host string, path string, hashes array<bigint>, text string, "
-          "lines array<string>, places array<int>, marked array<boolean>")
+PARSED = ("row_no bigint, page_id bigint, url string, host string, path string, hashes array<bigint>, "
+          "lines array<string>, places array<int>, marked array<boolean>, sizes array<int>")
 
 
 def _host_and_path(url: str | None) -> tuple[str, str]:
@@ -297,23 +298,22 @@ def _host_and_path(url: str | None) -> tuple[str, str]:
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """Every page's lines as hashes; its text if all that could be text is marked, else these lines, their places and marks."""
+    """Every page's lines as hashes, and those that could be text with their places, marks and sizes."""
 
     def run(batches) -> Iterator[dict]:
         for b in batches:
-            out = {n: [] for n in ("host", "path", "hashes", "text", "lines", "places", "marked")}
+            out = {n: [] for n in ("host", "path", "hashes", "lines", "places", "marked", "sizes")}
             for url, page in zip(b["url"], b["html"], strict=True):
                 lines = lines_of(page)
                 inner = [(i, t, r == MAIN) for i, (r, t) in enumerate(lines) if r != BOILERPLATE]
-                whole = bool(inner) and all(m for _, _, m in inner)
                 host, path = _host_and_path(url)
                 out["host"].append(host)
                 out["path"].append(path)
                 out["hashes"].append([xxhash.xxh64_intdigest(t) - (1 << 63) for _, t in lines])
-                out["text"].append("\n".join(t for _, t, _ in inner) if whole else None)
-                out["lines"].append([] if whole else [t for _, t, _ in inner])
-                out["places"].append([] if whole else [i for i, _, _ in inner])
-                out["marked"].append([] if whole else [m for _, _, m in inner])
+                out["lines"].append([t for _, t, _ in inner])
+                out["places"].append([i for i, _, _ in inner])
+                out["marked"].append([m for _, _, m in inner])
+                out["sizes"].append([len(t) for _, t, _ in inner])
             yield {"row_no": b["row_no"], "page_id": b["page_id"], "url": b["url"], **out}
 
     rows = pages.select(F.monotonically_increasing_id().alias("row_no"), F.col("page_id").cast("bigint").alias("page_id"),
@@ -396,6 +396,27 @@ def shared_lines(parsed: DataFrame, params: PageParams = PageParams()) -> DataFr
     return map_rows(spread.repartition(n, "block"), align, SHARED)
 
 
+def kept_lines(parsed: DataFrame, shared: DataFrame, params: PageParams = PageParams()) -> DataFrame:
+    """row_no and the numbers of the lines that stay, of every page that loses a line: to its template, or because its marks are believed."""
+
+    def decide(batches) -> Iterator[dict]:
+        for batch in batches:
+            out = {"row_no": [], "kept": []}
+            for row_no, places, marks, sizes, template in zip(*(batch[c] for c in ("row_no", "places", "marked", "sizes", "shared")), strict=True):
+                gone = set(template or ())
+                own = [i for i, p in enumerate(places) if marks[i] or p not in gone]
+                inside, loose = (sum(sizes[i] for i in own if marks[i] == side) for side in (True, False))
+                trusted = inside and inside >= params.small * loose
+                kept = [i for i in own if marks[i] or not trusted]
+                if len(kept) < len(places):
+                    out["row_no"].append(row_no)
+                    out["kept"].append(kept)
+            yield out
+
+    pages = parsed.select("row_no", "host", F.xxhash64("hashes").alias("digest"), "places", "marked", "sizes")
+    return map_rows(pages.join(shared, ["host", "digest"], "left").drop("host", "digest"), decide, "row_no bigint, kept array<int>")
+
+
 def main_text(pages: DataFrame, params: PageParams = PageParams()) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages`` (page_id, url, html).
 
@@ -404,26 +425,12 @@ def main_text(pages: DataFrame, params: PageParams = PageParams()) -> DataFrame:
     loses no line. One row per input row, repeated rows included.
     An empty table gives an empty result; other columns are not read.
 
-    Pages are parsed once; html never moves. What is sorted is 8 bytes a line; only the lines of pages
-    that have text outside a marked article are joined with what they share.
+    Pages are parsed once; html never moves. What is sorted is 8 bytes a line. Which lines go is decided for every page from hashes, places,
+    marks and sizes; the lines themselves meet only the list of pages that lose some.
     """
     prepare(pages.sparkSession)
     parsed = stage(parse(pages), "pages-parsed")
-    marked = parsed.where(F.col("text").isNotNull()).select("page_id", "url", "text")
-    shared = shared_lines(parsed, params)
-
-    def chosen(batches) -> Iterator[dict]:
-        for batch in batches:
-            texts = []
-            for lines, places, marks, template in zip(*(batch[c] for c in ("lines", "places", "marked", "shared")), strict=True):
-                gone = set(template or ())
-                own = [(t, m) for t, p, m in zip(lines, places, marks, strict=True) if m or p not in gone]
-                inside, loose = (sum(len(t) for t, m in own if m == side) for side in (True, False))
-                trusted = inside and inside >= params.small * loose
-                texts.append("\n".join(t for t, m in own if m or not trusted))
-            yield {"page_id": batch["page_id"], "url": batch["url"], "text": texts}
-
-    loose = (parsed.where(F.col("text").isNull()).select("page_id", "url", "host", F.xxhash64("hashes").alias("digest"), "lines", "places", "marked")
-             .join(shared, ["host", "digest"], "left").drop("host", "digest"))
-    return (marked.unionByName(map_rows(loose, chosen, "page_id bigint, url string, text string"))
-            .withColumn("n_chars", F.char_length("text").cast("bigint")))
+    kept = stage(kept_lines(parsed, shared_lines(parsed, params), params), "pages-kept")
+    found = parsed.select("row_no", "page_id", "url", "lines").join(kept, "row_no", "left")
+    lines = F.when(F.col("kept").isNull(), F.col("lines")).otherwise(F.transform("kept", lambda i: F.get("lines", i)))
+    return found.select("page_id", "url", F.array_join(lines, "\n").alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -10,6 +10,7 @@ import time
 from html.parser import HTMLParser
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketshift.llm import page_diff, warc
 from basketshift.session import staging_path
@@ -131,6 +132,19 @@ def test_differencing_on_pages_without_article(spark):
     assert page_diff.main_text(pages(spark, rows).where("false")).count() == 0
 
 
+def test_pages_with_marks_alone_are_differenced_too(spark):
+    """All lines of marked pages are held against their neighbours; what the marks say is checked after that."""
+    page = lambda *body: "<article>" + "".join(f"<p>{b}" for b in body) + "</article>"
+    rows = [(i, f"http://m.example/{i}", page("Same first", f"own {i}", "same last")) for i in range(4)] + [(9, "http://m.example/9", None)]
+    parsed = page_diff.parse(pages(spark, rows))
+    got = {r.page_id: r for r in parsed.collect()}
+    assert got[2].lines == ["Same first", "own 2", "same last"] and got[2].places == [0, 1, 2] and got[2].marked == [True] * 3 and got[9].lines == []
+    shared = page_diff.shared_lines(parsed)
+    assert sorted(r.shared for r in shared.collect()) == [[], *[[0, 2]] * 4] and page_diff.kept_lines(parsed, shared).count() == 0
+    loose = parsed.withColumn("marked", F.transform("marked", lambda m: F.lit(False)))
+    assert {r.row_no: r.kept for r in page_diff.kept_lines(loose, shared).collect()} == {got[i].row_no: [1] for i in range(4)}
+
+
 def test_pairs_do_not_depend_on_blocks(spark):
     rng = random.Random(2)
     rows = [(i, f"http://hot.example/{rng.randrange(9)}/{rng.randrange(60)}", f"<p>Top {i % 3}<p>own {i}<p>end") for i in range(150)]

@@ -32,6 +32,9 @@ TABLES = {
     "sets": "kind string, scope_id string, bucket bigint, bits binary",
 }
 
+# What the state needs of a line.
+FACTS = (*COUNTED.values(), "sale_ord_dt", "sale_qtty", "before_prefr_amount")
+
 MONTH = "%Y-%m"
 
 
@@ -112,15 +115,16 @@ class MonthlyState:
             return Changes()
         with staging_apart(self.spark):
             if files:
-                lines = stage(self.lines(files).withColumn("dt", F.date_format("sale_ord_dt", "yyyy-MM")), "changed-lines")
-                facts = stage(lines.join(self.member, "item_sku_id"), "changed-facts")
+                lines = self.lines(files).withColumn("dt", F.date_format("sale_ord_dt", "yyyy-MM"))
+                facts = stage(lines.select("dt", *FACTS).join(self.member, "item_sku_id"), "changed-facts")
                 self._number(facts, number + 1)
                 keys = {"cid3": F.lit("all")}
+                buyers = stage(self._buyers(facts, "dt"), "changed-buyers")
                 parts = {
                     "coverage": lines.groupBy(F.col("cid3").alias("cid3_of"), "dt").agg(F.count(F.lit(1)).alias("n")),
                     "daily": X.sku_daily(facts).withColumn("dt", F.date_format("sale_ord_dt", "yyyy-MM")),
-                    "buyers": self._buyers(facts, "dt"),
-                    "sets": self._sets(facts, "dt"),
+                    "buyers": buyers,
+                    "sets": self._sets(facts, "dt", orders=buyers),
                 }
             work = [(m, "all") for m in [*changed, *gone]]
             ready = []
@@ -154,10 +158,12 @@ class MonthlyState:
     def _buyers(self, facts: DataFrame, *keep: str) -> DataFrame:
         return self._numbered(facts, "orders", "user_id", *keep)
 
-    def _sets(self, facts: DataFrame, *keep: str) -> DataFrame:
+    def _sets(self, facts: DataFrame, *keep: str, orders: DataFrame | None = None) -> DataFrame:
+        """Bitmaps of each kind. Where the orders' numbers are known from the buyers they are not looked up again."""
         out = None
         for kind in COUNTED:
-            some = D.bitmaps(self._numbered(facts, kind, *keep), ["scope_id", *keep]).select(F.lit(kind).alias("kind"), "scope_id", "bucket", "bits", *keep)
+            numbered = orders if kind == "orders" and orders is not None else self._numbered(facts, kind, *keep)
+            some = D.bitmaps(numbered, ["scope_id", *keep]).select(F.lit(kind).alias("kind"), "scope_id", "bucket", "bits", *keep)
             out = some if out is None else out.unionByName(some)
         return out
 

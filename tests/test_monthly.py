@@ -10,6 +10,7 @@ import pytest
 
 from basketshift.operators import distinct as D
 from basketshift.operators import publish as K
+from basketshift.plans import monthly
 from basketshift.plans.monthly import MonthlyState, split_window
 
 SCHEMA = ("user_id string, parent_sale_ord_id string, item_sku_id string, sale_ord_tm timestamp, sale_ord_dt date, sale_ord_valid_flag int, "
@@ -136,3 +137,18 @@ def test_months_that_go_and_members_that_change(spark, tmp_path):
     assert fewer.update().months == ["2024-02"]
     counts, _, _ = kept(fewer, *WINDOWS[0])
     assert counts == {k: n for k, n in plain(left, *WINDOWS[0])[0].items() if k[0] != "x_0"}
+
+
+def test_an_update_writes_and_looks_up_no_more_than_it_needs(spark, tmp_path, monkeypatch):
+    """Lines are not written again beside the extracts, facts have only the columns that are read, and orders' numbers are looked up once."""
+    lines = some_lines(5, 300, date(2024, 1, 1), 60)
+    add(spark, f"{tmp_path}/extracts", lines)
+    written, looked_up, stage, numbered = {}, [], monthly.stage, MonthlyState._numbered
+    monkeypatch.setattr(monthly, "stage", lambda df, label: written.setdefault(label, stage(df, label)))
+    monkeypatch.setattr(MonthlyState, "_numbered", lambda self, facts, kind, *keep: looked_up.append(kind) or numbered(self, facts, kind, *keep))
+    state = MonthlyState(spark, f"{tmp_path}/state", f"{tmp_path}/extracts", SCHEMA, member(spark))
+    state.update()
+    assert sorted(written) == ["changed-buyers", "changed-facts"] and sorted(looked_up) == ["customers", "orders", "skus"]
+    assert set(written["changed-facts"].columns) == {"dt", "scope_id", "item_sku_id", "user_id", "parent_sale_ord_id", "sale_ord_dt", "sale_qtty", "before_prefr_amount"}
+    window = date(2024, 1, 1), date(2024, 4, 30)
+    assert kept(state, *window) == plain(lines, *window)

@@ -39,9 +39,13 @@ class MixedOrderPath(OrderPath):
     def with_params(self, df: DataFrame, *names: str) -> DataFrame:
         return df.join(self.scope_params.select("scope_id", *names), "scope_id")
 
+    @property
+    def scoped_lines(self) -> DataFrame:
+        return X.windowed_facts(self.inputs.lines, self.member, self.scope_params)
+
     @cached_property
-    def facts(self) -> DataFrame:
-        return stage(X.windowed_facts(self.inputs.lines, self.member, self.scope_params), "facts")
+    def mapped_daily(self) -> DataFrame:
+        return X.map_items(self.daily, self.kept)
 
     @cached_property
     def brand(self) -> DataFrame:

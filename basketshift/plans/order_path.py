@@ -45,9 +45,13 @@ class OrderPath:
     def member(self) -> DataFrame:
         return S.membership(self.scopes, self.inputs.skus, self.inputs.fourth)
 
+    @property
+    def scoped_lines(self) -> DataFrame:
+        return X.scope_facts(self.inputs.lines, self.member, self.p)
+
     @cached_property
     def facts(self) -> DataFrame:
-        return stage(X.scope_facts(self.inputs.lines, self.member, self.p), "facts")
+        return stage(self.scoped_lines, "facts")
 
     @cached_property
     def brand(self) -> DataFrame | None:
@@ -61,7 +65,8 @@ class OrderPath:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return stage(X.sku_daily(self.facts), "daily")
+        """From the facts if they are written already. If not, the lines are summed where they meet their scopes, and only what is summed moves."""
+        return stage(X.sku_daily(self.facts if "facts" in self.__dict__ else self.scoped_lines), "daily")
 
     @cached_property
     def kept(self) -> DataFrame:
@@ -70,7 +75,7 @@ class OrderPath:
 
     @cached_property
     def mapped_daily(self) -> DataFrame:
-        return X.map_items(self.daily, self.kept)
+        return X.map_skus(self.daily, self.kept) if self.p.item_type == "sku" else X.map_items(self.daily, self.kept)
 
     @cached_property
     def eligible(self) -> DataFrame:

@@ -32,20 +32,17 @@ class Star:
     def order_lines(self, with_category: bool = False) -> DataFrame:
         """Order lines. The category needs a join with the sku table, so it is optional:
         the scope membership already restricts skus to categories."""
-        orders = self.table("orders").select(
-            "o_orderkey", F.col("o_custkey").cast("string").alias("user_id"),
-            F.col("o_orderdate").alias("sale_ord_tm"), F.to_date("o_orderdate").alias("sale_ord_dt"),
-            F.when(F.col("o_orderstatus").isin("F", "O"), 1).otherwise(0).alias("sale_ord_valid_flag"))
+        orders, lines = self.table("orders"), self.table("lineitem")
         before = F.col("l_extendedprice").cast("decimal(18,2)")
         after = (before * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
         order = F.col("l_orderkey").cast("string")
-        lines = self.table("lineitem").select(
-            "l_orderkey", F.col("l_partkey").cast("string").alias("item_sku_id"),
-            order.alias("parent_sale_ord_id"),
+        # Joined as they are stored: texts and decimals made before would be moved too.
+        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("l_partkey").cast("string").alias("item_sku_id"), order.alias("parent_sale_ord_id"),
             F.concat_ws("-", order, F.col("l_linenumber").cast("string")).alias("sale_ord_id"),
-            F.col("l_quantity").alias("sale_qtty"), before.alias("before_prefr_amount"),
-            after.alias("after_prefr_amount"))
-        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+            F.col("l_quantity").alias("sale_qtty"), before.alias("before_prefr_amount"), after.alias("after_prefr_amount"),
+            F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderdate").alias("sale_ord_tm"),
+            F.to_date("o_orderdate").alias("sale_ord_dt"), F.when(F.col("o_orderstatus").isin("F", "O"), 1).otherwise(0).alias("sale_ord_valid_flag"))
         if with_category:
             df = df.join(self.sku_master().select("item_sku_id", "cid3"), "item_sku_id")
         return df

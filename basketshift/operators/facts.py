@@ -30,26 +30,19 @@ def scope_facts(lines: DataFrame, member: DataFrame, p: Params) -> DataFrame:
                      "before_prefr_amount", "after_prefr_amount").join(member, "item_sku_id")
 
 
-def windows_by_month(scopes: DataFrame) -> DataFrame:
-    """scope_id, month and the days of the month (both inclusive) that the scope's window holds. ``scopes`` has start_date and end_date."""
-    months = F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("interval 1 month"))
-    return scopes.where("start_date <= end_date").select("scope_id", "start_date", "end_date", F.explode(months).alias("month")).select(
-        "scope_id", "month", F.greatest("start_date", "month").alias("from_day"), F.least("end_date", F.last_day("month")).alias("to_day"))
-
-
 def windowed_facts(lines: DataFrame, member: DataFrame, scopes: DataFrame) -> DataFrame:
     """Order lines, once per scope that holds their sku and whose own window holds their day.
 
-    Windows are cut into months, so that the join is on (sku, month): a line meets only scopes whose window touches its month, and a
-    popular sku is spread over its months. The days then decide. The scan reads what any window covers.
+    The members take their scope's window along, two days a row, and the day decides after the join by sku. Cutting windows into months would
+    multiply the members by the months of their windows, which is more rows than there are lines. The scan reads what any window covers.
     """
     first, last = scopes.agg(F.min("start_date"), F.max("end_date")).first()
     if first is None:
         first, last = date(1970, 1, 2), date(1970, 1, 1)
-    known = member.join(windows_by_month(scopes), "scope_id")
+    known = member.join(scopes.select("scope_id", "start_date", "end_date"), "scope_id")
     df = order_scan(lines, first, last).select("user_id", "parent_sale_ord_id", "item_sku_id", "sale_ord_tm", "sale_ord_dt", "sale_qtty",
-                                               "before_prefr_amount", "after_prefr_amount", F.trunc("sale_ord_dt", "month").alias("month"))
-    return df.join(known, ["item_sku_id", "month"]).where(F.col("sale_ord_dt").between(F.col("from_day"), F.col("to_day"))).drop("month", "from_day", "to_day")
+                                               "before_prefr_amount", "after_prefr_amount")
+    return df.join(known, "item_sku_id").where(F.col("sale_ord_dt").between(F.col("start_date"), F.col("end_date"))).drop("start_date", "end_date")
 
 
 def customer_orders(facts: DataFrame) -> DataFrame:

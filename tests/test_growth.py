@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from basketshift.operators import facts as X
 from basketshift.plans import catalog
@@ -49,3 +52,18 @@ def test_daily_sales_move_once_to_be_judged(spark, unbroadcast):
     assert moved(physical(X.eligible_items(path.mapped_daily, path.p))) == 2
     by_items = X.eligible_items(X.map_items(path.daily, path.kept), path.p)
     assert sorted(map(tuple, path.eligible.collect())) == sorted(map(tuple, by_items.collect()))
+
+
+def test_windows_do_not_multiply_members(spark, unbroadcast):
+    lines = spark.createDataFrame(
+        [("u", str(n), sku, day, 1.0, 2.0, 2.0, 1) for n, (sku, day) in enumerate(
+            [("A", date(2020, 1, 31)), ("A", date(2020, 2, 1)), ("A", date(2020, 2, 29)), ("A", date(2020, 3, 1)), ("B", date(2020, 2, 10))])],
+        "user_id string, parent_sale_ord_id string, item_sku_id string, sale_ord_dt date, sale_qtty double, before_prefr_amount double, "
+        "after_prefr_amount double, sale_ord_valid_flag int").withColumn("sale_ord_tm", F.col("sale_ord_dt").cast("timestamp_ntz"))
+    member = spark.createDataFrame([("s", "A"), ("t", "A"), ("t", "B"), ("never", "B")], "scope_id string, item_sku_id string")
+    windows = spark.createDataFrame([("s", date(2020, 1, 31), date(2020, 2, 1)), ("t", date(2020, 2, 1), date(2020, 2, 29)),
+                                     ("never", date(2020, 3, 1), date(2020, 2, 1))], "scope_id string, start_date date, end_date date")
+    found = X.windowed_facts(lines, member, windows)
+    assert sorted((r["scope_id"], r["item_sku_id"], r["sale_ord_dt"].isoformat()) for r in found.collect()) == [
+        ("s", "A", "2020-01-31"), ("s", "A", "2020-02-01"), ("t", "A", "2020-02-01"), ("t", "A", "2020-02-29"), ("t", "B", "2020-02-10")]
+    assert "Generate" not in physical(found)

@@ -55,9 +55,10 @@ def scoped_attributes(attrs: DataFrame, member: DataFrame) -> DataFrame:
 def attr_split(attrs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Categorical and numeric attributes.
 
-    A key is numeric in a scope if it has values there and each of them parses as a number.
+    A key is numeric in a scope if it has values there and each of them parses as a number. The attributes are written once, since
+    the kinds and both results read them: what made them, such as the join with their scopes, is not sorted again for each.
     """
-    number = C.number("attr_val")
+    attrs, number = stage(attrs, "attributes"), C.number("attr_val")
     kinds = attrs.groupBy("scope_id", "attr_key").agg(
         (F.count("attr_val") > 0).alias("_any"), (F.count("attr_val") == F.count(number)).alias("_all"))
     kinds = stage(kinds.select("scope_id", "attr_key", (F.col("_any") & F.col("_all")).alias("_numeric")), "kinds")

@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from basketshift.operators import attributes as A
 from basketshift.operators import facts as X
 from basketshift.plans import catalog
 from basketshift.sources.star import Star
@@ -67,3 +68,13 @@ def test_windows_do_not_multiply_members(spark, unbroadcast):
     assert sorted((r["scope_id"], r["item_sku_id"], r["sale_ord_dt"].isoformat()) for r in found.collect()) == [
         ("s", "A", "2020-01-31"), ("s", "A", "2020-02-01"), ("t", "A", "2020-02-01"), ("t", "A", "2020-02-29"), ("t", "B", "2020-02-10")]
     assert "Generate" not in physical(found)
+
+
+def test_split_attributes_are_made_once(spark):
+    rows = [("s", "n", "A", "1.5"), ("s", "m", "A", "1"), ("s", "m", "B", "one"), ("s", "e", "A", None)]
+    attrs = spark.createDataFrame(rows, TEXT).repartition(3, "item_id")
+    cat, num = A.attr_split(attrs)
+    for df in (cat, num, cat.unionByName(num.withColumn("attr_val", F.col("attr_val").cast("string")))):
+        assert "item_id#" not in " ".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", physical(df)))
+    assert {tuple(r) for r in cat.collect()} == {("s", "m", "A", "1"), ("s", "m", "B", "one"), ("s", "e", "A", None)}
+    assert {tuple(r) for r in num.collect()} == {("s", "n", "A", 1.5)}

@@ -214,10 +214,11 @@ def attr_numeric(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
 def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: DataFrame | None = None) -> DataFrame:
     """Net sales per item over all lines of the extract; per mapped item where items are brands.
 
-    With ``scopes`` and lines that carry cid3, sales are those of each scope's own categories, keyed by scope_id too.
+    Lines that carry scope_id, once per scope that holds their sku, give sales keyed by scope_id too. So do ``scopes`` with cid3 in
+    the lines or, by sku, in ``skus``: then sales are those of each scope's own categories.
     """
-    own = scopes is not None and "cid3" in lines.columns
-    keys = ["cid3"] if own else []
+    own = scopes is not None and (skus is not None or "cid3" in lines.columns)
+    keys = ["scope_id"] if "scope_id" in lines.columns else ["cid3"] if own and skus is None else []
     sales = lines.groupBy(*keys, "item_sku_id").agg(F.sum(C.scaled("after_prefr_amount")).alias("_net"))
     if brand is None:
         sales = sales.withColumnRenamed("item_sku_id", "item_id")
@@ -246,6 +247,9 @@ def matrix_keys(maps: DataFrame) -> list[str]:
     """The attribute keys of all scopes: the columns of their wide matrix, so the driver must know them."""
     return sorted(r["k"] for r in maps.select(F.explode(F.map_keys("sims")).alias("k")).distinct().collect())
 
+    if own and skus is not None:
+        # Every row of a sku counts, as if it had met each line.
+        sales = sales.join(skus.select("item_sku_id", "cid3"), "item_sku_id")
 
 def attr_matrix(maps: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per pair, one column for each of ``keys``. A key foreign to a scope is null there.

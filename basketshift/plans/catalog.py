@@ -588,7 +588,7 @@ def pair_sales_brand(spark, folder):
     """Sales of brands: those of the scope's own categories."""
     star = Star(spark, folder)
     o = order_path(spark, folder, "brand")
-    sales = A.item_net_sales(R.order_scan(star.order_lines(with_category=True), START, END), o.brand, o.scopes)
+    sales = A.item_net_sales(R.order_scan(star.order_lines(), START, END), o.brand, o.scopes, star.sku_master())
     return A.pair_sales(A.pair_base(o.switching), sales).select(*A.PAIR, r("switching_prob"), r("fromSales", 4), r("toSales", 4))
 
 

@@ -78,3 +78,15 @@ def test_split_attributes_are_made_once(spark):
         assert "item_id#" not in " ".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", physical(df)))
     assert {tuple(r) for r in cat.collect()} == {("s", "m", "A", "1"), ("s", "m", "B", "one"), ("s", "e", "A", None)}
     assert {tuple(r) for r in num.collect()} == {("s", "n", "A", 1.5)}
+
+
+def test_sales_by_category_are_summed_before_skus_are_looked_up(spark, unbroadcast):
+    """The same as from lines with their category, of skus that the master lists twice or in two categories too."""
+    lines = spark.createDataFrame([("A", 1.0), ("A", 2.0), ("B", 4.0), ("C", 8.0), ("D", 16.0)], "item_sku_id string, after_prefr_amount double")
+    skus = spark.createDataFrame([("A", "x"), ("B", "x"), ("B", "x"), ("C", "x"), ("C", "y")], "item_sku_id string, cid3 string")
+    brand = spark.createDataFrame([(k, "b") for k in "ABCD"], "item_sku_id string, item_id string")
+    scopes = spark.createDataFrame([("s", "x"), ("t", "x-y")], "scope_id string, item_third_cate_cd string")
+    found = A.item_net_sales(lines, brand, scopes, skus)
+    want = A.item_net_sales(lines.join(skus, "item_sku_id"), brand, scopes)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.collect()} == {("s", "b", 19.0), ("t", "b", 27.0)}
+    assert not re.search(r"Exchange hashpartitioning\(cid3#\d+, item_sku_id", physical(found))

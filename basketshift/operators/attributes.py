@@ -136,17 +136,13 @@ def _collapsed(categorical: DataFrame | None, numeric: DataFrame | None) -> Data
     return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
 
 
-def _with_profiles(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
-    """Pairs with the attribute maps of both ends and the keys of their scope."""
-    entry = F.struct("attr_key", F.struct("text", "number"))
-    items = attrs.groupBy("scope_id", "item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("attrs"))
-    keys = attrs.groupBy("scope_id").agg(F.array_sort(F.collect_set(F.struct("attr_key", "numeric"))).alias("keys"))
-
-    def end(name):
-        return items.select("scope_id", F.col("item_id").alias(f"{name}_item_id"), F.col("attrs").alias(f"_{name}"))
-
-    return (pairs.join(keys, "scope_id").join(end("src"), ["scope_id", "src_item_id"], "left")
-            .join(end("dst"), ["scope_id", "dst_item_id"], "left"))
+def _keys(categorical: DataFrame | None, numeric: DataFrame | None) -> DataFrame:
+    """The keys of each scope in the order of its cells: categorical ones, then numeric ones."""
+    sides = [attrs.select("scope_id", "attr_key", F.lit(is_number).alias("numeric"))
+             for attrs, is_number in ((categorical, False), (numeric, True)) if attrs is not None]
+    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    return stage(both.groupBy("scope_id").agg(*[F.array_sort(F.collect_set(F.when(kind, F.col("attr_key")))).alias(name)
+                                                for name, kind in (("_texts", ~F.col("numeric")), ("_numbers", F.col("numeric")))]), "keys")
 
 
 def _category(attrs: Column, key: Column) -> Column:
@@ -155,8 +151,38 @@ def _category(attrs: Column, key: Column) -> Column:
     return F.when(has, F.try_element_at(attrs, key)["text"]).otherwise(F.lit(ABSENT))
 
 
-def similarity_maps(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
-    """``pairs`` with ``sims``: attribute key → similarity, for every key of the pair's scope.
+def _profiles(attrs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Each item's values in the order of its scope's keys, so that pairs carry no names and look none up."""
+    entry = F.struct("attr_key", F.struct("text", "number"))
+    items = attrs.groupBy("scope_id", "item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("attrs"))
+    return items.join(keys, "scope_id").select(
+        "scope_id", "item_id", F.transform("_texts", lambda k: _category(F.col("attrs"), k)).alias("texts"),
+        F.transform("_numbers", lambda k: F.try_element_at("attrs", k)["number"]).alias("numbers"))
+
+
+def _with_ends(pairs: DataFrame, sales: DataFrame | None = None, profiles: DataFrame | None = None) -> DataFrame:
+    """Pairs with the sales and the profiles of both ends, null where an end has none. Pairs move once for each end."""
+    for name, net in (("src", "fromSales"), ("dst", "toSales")):
+        item = F.col("item_id").alias(f"{name}_item_id")
+        if sales is not None:
+            keys = ["scope_id"] if "scope_id" in sales.columns else []
+            pairs = pairs.join(sales.select(*keys, item, F.col("sales").alias(net)), [*keys, f"{name}_item_id"], "left")
+        if profiles is not None:
+            pairs = pairs.join(profiles.select("scope_id", item, F.col("texts").alias(f"_{name}_texts"), F.col("numbers").alias(f"_{name}_numbers")),
+                               ["scope_id", f"{name}_item_id"], "left")
+    return pairs
+
+
+def _fill_sales(pairs: DataFrame) -> DataFrame:
+    """Missing sales become the mean over the scope's pairs, which are read twice."""
+    means = stage(pairs.groupBy("scope_id").agg(F.avg("fromSales").alias("_from"), F.avg("toSales").alias("_to")), "means")
+    return pairs.join(means, "scope_id").withColumns(
+        {"fromSales": F.coalesce("fromSales", "_from"), "toSales": F.coalesce("toSales", "_to")}).drop("_from", "_to")
+
+
+def similarity_maps(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None,
+                    sales: DataFrame | None = None) -> DataFrame:
+    """``pairs`` with ``sims``: attribute key → similarity, for every key of the pair's scope; with ``sales``, those of :func:`pair_sales` too.
 
     Categorical: 1 where both items have the same value, else 0; two items without the
     attribute match. A pair with an explicit null gets the mean of its column, in which
@@ -167,34 +193,35 @@ def similarity_maps(pairs: DataFrame, categorical: DataFrame | None = None, nume
     null.
 
     The joined pairs are written once, since the column statistics and the result both read
-    them. Each scope has its own keys, so scopes never widen one another's rows.
+    them. Each scope has its own keys, so scopes never widen one another's rows. What there is
+    of a scope is written too, so that Spark knows how small it is and moves no pairs to it.
     """
-    src, dst = F.col("_src"), F.col("_dst")
-
-    def measure(k):
-        key = k["attr_key"]
-        apart = C.log_distance(F.try_element_at(src, key)["number"], F.try_element_at(dst, key)["number"])
-        same = (_category(src, key) == _category(dst, key)).cast("double")
-        return F.struct(key.alias("attr_key"), k["numeric"].alias("numeric"), F.when(k["numeric"], apart).otherwise(same).alias("v"))
-
-    joined = _with_profiles(pairs, _collapsed(categorical, numeric))
-    measured = stage(joined.select(*pairs.columns, F.transform("keys", measure).alias("cells")), "cells")
-    by_key = measured.select("scope_id", F.explode("cells").alias("c")).groupBy("scope_id", "c.attr_key").agg(
-        F.max("c.v").alias("max"), F.avg("c.v").alias("avg"), F.avg(F.coalesce("c.v", F.lit(0.0))).alias("matched"))
-    entry = F.struct("attr_key", F.struct("max", "avg", "matched"))
-    stats = by_key.groupBy("scope_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_stats"))
-
-    def fill(c):
-        s, v = F.try_element_at("_stats", c["attr_key"]), c["v"]
-
+    keys = _keys(categorical, numeric)
+    joined = _with_ends(pairs, sales, _profiles(_collapsed(categorical, numeric), keys)).join(keys, "scope_id")
+
+    def of(end, kind, none):
+        """An end without any attribute lacks every key."""
+        return F.coalesce(f"_{end}_{kind}", F.transform(f"_{kind}", lambda k: none))
+
+    absent, unknown = F.lit(ABSENT), F.lit(None).cast("double")
+    same = F.zip_with(of("src", "texts", absent), of("dst", "texts", absent), lambda a, b: (a == b).cast("double"))
+    apart = F.zip_with(of("src", "numbers", unknown), of("dst", "numbers", unknown), C.log_distance)
+    net = [] if sales is None else ["fromSales", "toSales"]
+    measured = stage(joined.select(*pairs.columns, *net, F.concat(same, apart).alias("cells")), "cells")
+    by_key = measured.select("scope_id", F.posexplode("cells").alias("pos", "v")).groupBy("scope_id", "pos").agg(
+        F.max("v").alias("max"), F.avg("v").alias("avg"), F.avg(F.coalesce("v", F.lit(0.0))).alias("matched"))
+    stats = by_key.groupBy("scope_id").agg(F.array_sort(F.collect_list(F.struct("pos", "max", "avg", "matched"))).alias("_stats"))
+    names = F.concat("_texts", "_numbers")
+    scopes = stage(stats.join(keys, "scope_id").select("scope_id", "_stats", F.size("_texts").alias("_n_texts"), names.alias("_names")), "stats")
+
+    def fill(v, s):
         def scaled(d):
             return F.when(s["max"] == 0, F.when(d.isNotNull(), 1.0)).otherwise(1 - F.try_divide(d, s["max"]))
 
-        number = F.coalesce(scaled(v), scaled(s["avg"]))
-        return F.struct(c["attr_key"].alias("key"), F.when(c["numeric"], number).otherwise(F.coalesce(v, s["matched"])).alias("value"))
+        return F.when(s["pos"] < F.col("_n_texts"), F.coalesce(v, s["matched"])).otherwise(F.coalesce(scaled(v), scaled(s["avg"])))
 
-    return measured.join(stats, "scope_id").select(
-        *pairs.columns, F.map_from_entries(F.transform("cells", fill)).alias("sims"))
+    found = measured.join(scopes, "scope_id").select(*pairs.columns, *net, F.map_from_arrays("_names", F.zip_with("cells", "_stats", fill)).alias("sims"))
+    return found if sales is None else _fill_sales(found)
 
 
 def similarities(pairs: DataFrame, categorical: DataFrame | None = None, numeric: DataFrame | None = None) -> DataFrame:
@@ -211,7 +238,7 @@ def attr_numeric(pairs: DataFrame, attrs: DataFrame) -> DataFrame:
     return similarities(pairs, numeric=attrs)
 
 
-def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: DataFrame | None = None) -> DataFrame:
+def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: DataFrame | None = None, skus: DataFrame | None = None) -> DataFrame:
     """Net sales per item over all lines of the extract; per mapped item where items are brands.
 
     Lines that carry scope_id, once per scope that holds their sku, give sales keyed by scope_id too. So do ``scopes`` with cid3 in
@@ -220,6 +247,9 @@ def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: Dat
     own = scopes is not None and (skus is not None or "cid3" in lines.columns)
     keys = ["scope_id"] if "scope_id" in lines.columns else ["cid3"] if own and skus is None else []
     sales = lines.groupBy(*keys, "item_sku_id").agg(F.sum(C.scaled("after_prefr_amount")).alias("_net"))
+    if own and skus is not None:
+        # Every row of a sku counts, as if it had met each line.
+        sales = sales.join(skus.select("item_sku_id", "cid3"), "item_sku_id")
     if brand is None:
         sales = sales.withColumnRenamed("item_sku_id", "item_id")
     else:
@@ -232,24 +262,13 @@ def item_net_sales(lines: DataFrame, brand: DataFrame | None = None, scopes: Dat
 
 def pair_sales(pairs: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales of both ends, of the pair's scope where ``sales`` has scopes. Missing sales become the mean over the scope's pairs."""
-    keys = ["scope_id"] if "scope_id" in sales.columns else []
-
-    def end(name, out):
-        return sales.select(*keys, F.col("item_id").alias(f"{name}_item_id"), F.col("sales").alias(out))
-
-    df = pairs.join(end("src", "fromSales"), [*keys, "src_item_id"], "left").join(end("dst", "toSales"), [*keys, "dst_item_id"], "left")
-    means = df.groupBy("scope_id").agg(F.avg("fromSales").alias("_from"), F.avg("toSales").alias("_to"))
-    return df.join(means, "scope_id").select(
-        *PAIR, "switching_prob", F.coalesce("fromSales", "_from").alias("fromSales"), F.coalesce("toSales", "_to").alias("toSales"))
+    return _fill_sales(stage(_with_ends(pairs, sales), "sales")).select(*PAIR, "switching_prob", "fromSales", "toSales")
 
 
 def matrix_keys(maps: DataFrame) -> list[str]:
     """The attribute keys of all scopes: the columns of their wide matrix, so the driver must know them."""
     return sorted(r["k"] for r in maps.select(F.explode(F.map_keys("sims")).alias("k")).distinct().collect())
 
-    if own and skus is not None:
-        # Every row of a sku counts, as if it had met each line.
-        sales = sales.join(skus.select("item_sku_id", "cid3"), "item_sku_id")
 
 def attr_matrix(maps: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per pair, one column for each of ``keys``. A key foreign to a scope is null there.

@@ -58,7 +58,7 @@ def features(maps: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     listed = [F.when(F.col(f"has_{c}"), F.array(F.lit(c))).otherwise(none) for c in SALES]
     found = sales.join(keys, "scope_id", "left").withColumn("keys", F.coalesce("keys", none))
-    return found.withColumn("names", F.concat("keys", *listed)).where(F.size("names") > 0)
+    return stage(found.withColumn("names", F.concat("keys", *listed)).where(F.size("names") > 0), "names")
 
 
 def usable_rows(maps: DataFrame, known: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def feature_blocks(maps: DataFrame, trees: int = 50, seed: int = 7, block_rows:
         width = (r["most"] - r["least"] + 1).cast("double")
         return F.floor((x - r["least"]).cast("double") / width * (1 << BITS)).cast("int")
 
-    placed = rows.join(counted.join(ranges, "scope_id"), "scope_id").select(
+    placed = rows.join(stage(counted.join(ranges, "scope_id"), "ranges"), "scope_id").select(
         "scope_id", number.alias("block"), "src_item_id", "dst_item_id", "names", "label", "low", "high", F.zip_with("v", "ranges", scaled).alias("z"))
 
     def pack(key: tuple, t: pa.Table) -> pa.Table:

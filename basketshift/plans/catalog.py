@@ -113,7 +113,8 @@ def cdt_path(spark: SparkSession, folder: str, derived: bool = False, o: OrderPa
     star = Star(spark, folder)
     o = o or order_path(spark, folder)
     attrs = derived_attributes(star) if derived else star.attributes()
-    return CdtPath(CdtInputs(o.switching, A.scoped_attributes(attrs, o.member), R.order_scan(star.order_lines(), START, END)))
+    # The facts are the lines of the same window, once per scope that holds their sku.
+    return CdtPath(CdtInputs(o.switching, A.scoped_attributes(attrs, o.member), o.facts))
 
 
 def scoped_attrs(spark: SparkSession, folder: str, derived: bool = False) -> DataFrame:

@@ -35,8 +35,9 @@ class CdtPath:
 
     @cached_property
     def attributes(self) -> DataFrame:
+        """Written once: the keys, their kinds and the values are read from it."""
         i = self.inputs
-        return A.attr_filter(i.attributes, i.scopes, i.classify_attr, i.ignored, i.exclude)
+        return stage(A.attr_filter(i.attributes, i.scopes, i.classify_attr, i.ignored, i.exclude), "attributes")
 
     @cached_property
     def kept(self) -> DataFrame:
@@ -60,14 +61,18 @@ class CdtPath:
         return A.attr_numeric(self.pairs, self.split[1])
 
     @cached_property
-    def with_sales(self) -> DataFrame:
+    def sales(self) -> DataFrame:
         i = self.inputs
-        return A.pair_sales(self.pairs, i.sales if i.sales is not None else A.item_net_sales(i.lines, i.brand, i.scopes))
+        return i.sales if i.sales is not None else A.item_net_sales(i.lines, i.brand, i.scopes)
+
+    @cached_property
+    def with_sales(self) -> DataFrame:
+        return A.pair_sales(self.pairs, self.sales)
 
     @cached_property
     def maps(self) -> DataFrame:
         """Pairs with their sales and all similarities."""
-        return A.similarity_maps(self.with_sales, *self.split)
+        return A.similarity_maps(self.pairs, *self.split, sales=self.sales)
 
     def matrix(self, keys: Sequence[str] | None = None) -> DataFrame:
         """The wide matrix of the given keys, or of all that the scopes have."""

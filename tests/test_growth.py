@@ -80,6 +80,13 @@ def test_split_attributes_are_made_once(spark):
     assert {tuple(r) for r in num.collect()} == {("s", "n", "A", 1.5)}
 
 
+def test_sales_of_the_facts(spark):
+    """Lines that stand once in each scope give each scope its own sales."""
+    lines = spark.createDataFrame([("s", "A", 1.0), ("s", "A", 2.0), ("t", "A", 1.0), ("t", "A", 2.0), ("t", "B", 4.0)],
+                                  "scope_id string, item_sku_id string, after_prefr_amount double")
+    assert {tuple(r) for r in A.item_net_sales(lines).collect()} == {("s", "A", 3.0), ("t", "A", 3.0), ("t", "B", 4.0)}
+
+
 def test_sales_by_category_are_summed_before_skus_are_looked_up(spark, unbroadcast):
     """The same as from lines with their category, of skus that the master lists twice or in two categories too."""
     lines = spark.createDataFrame([("A", 1.0), ("A", 2.0), ("B", 4.0), ("C", 8.0), ("D", 16.0)], "item_sku_id string, after_prefr_amount double")
@@ -90,3 +97,25 @@ def test_sales_by_category_are_summed_before_skus_are_looked_up(spark, unbroadca
     want = A.item_net_sales(lines.join(skus, "item_sku_id"), brand, scopes)
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.collect()} == {("s", "b", 19.0), ("t", "b", 27.0)}
     assert not re.search(r"Exchange hashpartitioning\(cid3#\d+, item_sku_id", physical(found))
+
+
+def test_pairs_move_once_for_each_end(spark, unbroadcast):
+    """Sales and attributes of an end are looked up together, and both are what they are by themselves."""
+    pairs = spark.createDataFrame([("s", a, b, 0.5) for a, b in ("AB", "AC", "BA", "CA")] + [("t", "A", "B", 0.1), ("bare", "A", "B", 0.1)], PAIRS)
+    texts = spark.createDataFrame([("s", "colour", "A", "red"), ("s", "colour", "B", "red"), ("s", "gone", "C", None), ("t", "gone", "Z", "x")], TEXT)
+    numbers = spark.createDataFrame([("s", "size", "A", 1.0), ("s", "size", "B", 3.0)], "scope_id string, attr_key string, item_id string, attr_val double")
+    sales = spark.createDataFrame([("s", "A", 10.0), ("s", "B", 30.0), ("t", "A", 7.0)], "scope_id string, item_id string, sales double")
+    keys = A._keys(texts, numbers)
+    plan = physical(A._with_ends(pairs, sales, A._profiles(A._collapsed(texts, numbers), keys)))
+    # The pairs, the sales and the profiles, for each end.
+    assert len(re.findall(r"Exchange hashpartitioning\(scope_id#\d+, (?:src|dst)_item_id#\d+, \d+\)", plan)) == 6, plan
+    joined = {(r["scope_id"], r["src_item_id"], r["dst_item_id"]): r for r in A.similarity_maps(pairs, texts, numbers, sales).collect()}
+    alone = A.similarity_maps(pairs, texts, numbers).collect()
+    assert {k: v["sims"] for k, v in joined.items()} == {(r["scope_id"], r["src_item_id"], r["dst_item_id"]): r["sims"] for r in alone}
+    nets = {(r["scope_id"], r["src_item_id"], r["dst_item_id"]): (r["fromSales"], r["toSales"]) for r in A.pair_sales(pairs, sales).collect()}
+    assert {k: (v["fromSales"], v["toSales"]) for k, v in joined.items()} == {k: nets[k] for k in joined}
+    # A scope without attributes has no similarities; one whose items have none of its keys has equal ones.
+    assert len(joined) == 5 and joined["t", "A", "B"]["sims"] == {"gone": 1.0} and joined["t", "A", "B"]["toSales"] is None
+    # Beside C, whose value is null, the pairs of equal items count 1 and all others 0.
+    assert joined["s", "A", "B"]["sims"] == pytest.approx({"colour": 1.0, "gone": 1.0, "size": 0.0})
+    assert joined["s", "C", "A"]["sims"] == pytest.approx({"colour": 0.0, "gone": 0.5, "size": 0.0})

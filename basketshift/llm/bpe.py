@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from basketshift.llm.common import map_rows, text_of
 
-# Encoded pieces, and judged pairs, that each worker remembers. Only speed depends on it: what is
+# Encoded matches, encoded prefixes and judged pairs that each worker remembers. Only speed depends on it: what is
 # forgotten is computed again.
-MEMORY, PAIRS = 200_000, 300_000
+MEMORY, PREFIXES, PAIRS = 200_000, 100_000, 300_000
+# Bytes up to which only those prefixes are looked at that the last tokens ask for.
+SHORT = 64
 
 
 class Vocabulary:
@@ -43,6 +45,7 @@ class Vocabulary:
         self.beginnings = {t[:k]: -1 for t in ranks for k in range(1, len(t))} | ranks
         self.packed = [i.to_bytes(4, "little") for i in range(max(ranks.values()) + 1)]
         self._judged: dict[int, bool] = {}
+        self._prefixes: dict[bytes, bytes] = {}
         self.sizes = {i: len(t) for i, t in self.token_bytes.items()}
         self._edges: dict[int, dict[int, tuple]] = {-1: {}, 0: {}}
 
@@ -122,6 +125,8 @@ class Vocabulary:
         whole = self.ranks.get(raw)  # a token is its own encoding
         if whole is not None:
             return self.packed[whole]
+        if len(raw) <= SHORT:
+            return self._from_prefix(raw)
         last, packed, size, out, end = self.last_tokens(raw), self.packed, self.sizes, [], len(raw)
         while end:
             token = last[end]
@@ -130,6 +135,28 @@ class Vocabulary:
         out.reverse()
         return b"".join(out)
 
+    def _from_prefix(self, raw: bytes) -> bytes:
+        """The same for a short ``raw`` that is no token: the token that fits behind the encoding of what precedes it.
+
+        The entries of the table that this asks for are remembered by their prefix, as other matches begin alike.
+        """
+        get, judged, known = self.ranks.get, self._judged.get, self._prefixes
+        for start in range(1, len(raw)):
+            token = get(raw[start:])
+            if token is not None:
+                head = raw[:start]
+                before = known.get(head)
+                if before is None:
+                    before = self.packed_tokens(head)
+                    if len(known) >= PREFIXES:
+                        known.clear()
+                    known[head] = before
+                left = int.from_bytes(before[-4:], "little")
+                fits = judged(left << 32 | token)
+                if fits if fits is not None else self.side_by_side(left, token):
+                    return before + self.packed[token]
+        raise AssertionError("single bytes are tokens, so one always fits")
+
     def _apart(self, lefts: tuple, rights: tuple) -> bool:
         i = j = 0
         get = self.ranks.get
@@ -241,22 +268,10 @@ class Codec:
         self.vocabulary = Vocabulary.read(path)
         self.matches_of = regex.compile(pattern).findall
         self.matches = _Remembered(lambda match: self.vocabulary.packed_tokens(match.encode("utf-8")))
-        self.pieces = _Remembered(lambda piece: b"".join(map(self.matches.__getitem__, self.matches_of(piece))))
-        self.crowded = regex.compile(r"\s ")
-        self.cut = regex.compile(r"(?<=\S)(?= )", regex.V1)
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers.
-
-        The text is first cut before each space that follows a character other than white space: no
-        match of the pattern spans such a place, so the pieces can be encoded and remembered one by one.
-        """
-        if self.crowded.search(text):
-            pieces = self.cut.split(text)
-        else:
-            first, *rest = text.split(" ")
-            pieces = [first, *[" " + p for p in rest]]
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        """The ids as little-endian 32-bit integers. Matches are encoded and remembered one by one."""
+        return b"".join(map(self.matches.__getitem__, self.matches_of(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

@@ -63,6 +63,22 @@ def test_prefix_encoder_appends_and_edits(codec):
         assert [v.ranks[p] for p in v.merged(raw[:60])] == ids(v.packed_tokens(raw[:60]))
 
 
+def test_short_matches_look_only_at_the_prefixes_asked_for(codec, monkeypatch):
+    """The same ids as by the definition, also while prefixes are forgotten; the whole table is filled for long matches only."""
+    rng, v = random.Random(5), codec.vocabulary
+    raws = [bytes(rng.choice(b) for _ in range(rng.randrange(1, bpe.SHORT + 1))) for b in (b"abcdelnorst", " éü中".encode(), b"a", b"the ing") for _ in range(150)]
+    want = [[v.ranks[p] for p in v.merged(raw)] for raw in raws]
+    monkeypatch.setattr(bpe, "PREFIXES", 20)
+    v._prefixes.clear()
+    with monkeypatch.context() as m:
+        m.setattr(v, "last_tokens", None)
+        assert [ids(v.packed_tokens(raw)) for raw in raws] == want
+    assert len(v._prefixes) <= 20
+    for n in (bpe.SHORT, bpe.SHORT + 1, 3 * bpe.SHORT):
+        raw = bytes(rng.choice(b"lostringer") for _ in range(n))
+        assert ids(v.packed_tokens(raw)) == [v.ranks[p] for p in v.merged(raw)]
+
+
 def test_encode_texts(spark, library):
     got = bpe.encode_texts(documents(spark)).collect()
     assert [r.doc_id for r in got] == [r[0] for r in ROWS]

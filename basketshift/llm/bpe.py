@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from basketshift.llm.common import map_rows, text_of
 
-# Encoded matches, encoded prefixes and judged pairs that each worker remembers. Only speed depends on it: what is
+# Encoded matches, encoded prefixes and judged pairs that a task remembers. Only speed depends on it: what is
 # forgotten is computed again.
 MEMORY, PREFIXES, PAIRS = 200_000, 100_000, 300_000
 # Bytes up to which only those prefixes are looked at that the last tokens ask for.
@@ -273,6 +273,13 @@ class Codec:
         """The ids as little-endian 32-bit integers. Matches are encoded and remembered one by one."""
         return b"".join(map(self.matches.__getitem__, self.matches_of(text)))
 
+    def forget(self) -> None:
+        """Leave the vocabulary alone in memory."""
+        self.matches.clear()
+        self.matches.older = {}
+        self.vocabulary._prefixes.clear()
+        self.vocabulary._judged.clear()
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
@@ -308,14 +315,17 @@ def encode_texts(docs: DataFrame, vocabulary: VocabularyFile = VocabularyFile(),
 
     def run(batches) -> Iterator[dict]:
         c = vocabulary.codec()
-        for b in batches:
-            encoded = [c.encode(t) for t in b["text"]]
-            out = {"key": b["key"], "n_tokens": [len(e) // 4 for e in encoded],
-                   "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
-                   "decoded_sha256": [hashlib.sha256(c.decode(e)).hexdigest() for e in encoded]}
-            if with_ids:
-                out["ids"] = pa.array([np.frombuffer(e, dtype="<u4").astype("int32") for e in encoded], pa.list_(pa.int32()))
-            yield out
+        try:
+            for b in batches:
+                encoded = [c.encode(t) for t in b["text"]]
+                out = {"key": b["key"], "n_tokens": [len(e) // 4 for e in encoded],
+                       "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
+                       "decoded_sha256": [hashlib.sha256(c.decode(e)).hexdigest() for e in encoded]}
+                if with_ids:
+                    out["ids"] = pa.array([np.frombuffer(e, dtype="<u4").astype("int32") for e in encoded], pa.list_(pa.int32()))
+                yield out
+        finally:
+            c.forget()  # the worker lives on beside those of other stages
 
     return map_rows(docs.select(F.col(key).alias("key"), text_of(text).alias("text")), run,
                     f"key {kind}, n_tokens bigint, {ids}ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)

@@ -101,8 +101,12 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict[str, list]]], Iterable
     target = spark_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in rows({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches):
-            yield pa.RecordBatch.from_pydict(out, schema=target)
+        try:
+            for out in rows({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches):
+                yield pa.RecordBatch.from_pydict(out, schema=target)
+        finally:
+            # The worker lives on beside those of later stages; Arrow would keep what this task has freed.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

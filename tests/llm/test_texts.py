@@ -14,6 +14,7 @@ import pytest
 import tiktoken
 
 from basketshift.llm import bpe, decontaminate, entropy_secrets, pii, toxicity
+from basketshift.llm.common import map_rows
 from tests.llm.cases import ROWS, documents
 
 
@@ -79,6 +80,19 @@ def test_short_matches_look_only_at_the_prefixes_asked_for(codec, monkeypatch):
         assert ids(v.packed_tokens(raw)) == [v.ranks[p] for p in v.merged(raw)]
 
 
+def test_workers_keep_no_matches_after_a_task(spark):
+    """A worker lives on beside those of later stages: only the vocabulary stays."""
+    assert bpe.encode_texts(documents(spark).coalesce(1)).count() == len(ROWS)
+    assert bpe.encode_texts(documents(spark).coalesce(1)).agg({"n_tokens": "sum"}).first()[0] > 0
+
+    def held(batches):
+        c = bpe.VocabularyFile().codec()
+        for b in batches:
+            yield {"n": [len(c.matches) + len(c.matches.older) + len(c.vocabulary._prefixes) + len(c.vocabulary._judged)] * len(b["id"])}
+
+    assert {r.n for r in map_rows(spark.range(0, 4, 1, 1), held, "n bigint").collect()} == {0}
+
+
 def test_encode_texts(spark, library):
     got = bpe.encode_texts(documents(spark)).collect()
     assert [r.doc_id for r in got] == [r[0] for r in ROWS]

@@ -365,7 +365,8 @@ def find_links(nodes: DataFrame, params: MinHashParams) -> DataFrame:
     forest = found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
     near = _with_roots(_with_roots(found.select("node").distinct(), components(forest), "node", "cluster"), components(links), "node", "comp")
     several = near.groupBy("cluster").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cluster")
-    return links.unionByName(last_links(stage(near.join(several, "cluster"), "near-clusters"), nodes, params))
+    # Written, so that no task runs a Python worker for what reads the links beside the one that finds them.
+    return stage(links.unionByName(last_links(stage(near.join(several, "cluster"), "near-clusters"), nodes, params)), "near-links")
 
 
 def near_groups(docs: DataFrame, params: MinHashParams = MinHashParams(), key: str = "doc_id", text: str = "text") -> DataFrame:

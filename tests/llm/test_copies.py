@@ -137,6 +137,14 @@ def test_near_groups(spark, shingle):
     assert set(firsts.values()) == {1}
 
 
+def test_links_are_found_by_one_python_worker_a_task(spark, monkeypatch):
+    """What unites the links reads them written: a second worker beside the one that finds them would live on."""
+    given = []
+    monkeypatch.setattr(minhash, "components", lambda links: given.append(links) or components(links))
+    minhash.near_groups(documents(spark, near_rows()), minhash.MinHashParams(shingle=2, block=7))
+    assert given and not any("MapInArrow" in links._jdf.queryExecution().toString() for links in given)
+
+
 def test_near_groups_of_nothing(spark):
     assert minhash.near_groups(documents(spark).where("false")).count() == 0
 

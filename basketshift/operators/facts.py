@@ -203,7 +203,18 @@ def active_weeks(daily: DataFrame, p: Params) -> DataFrame:
 
 def eligible_items(daily: DataFrame, p: Params) -> DataFrame:
     """Both thresholds in one pass."""
-    judged = weekly_sales(daily, p).groupBy("scope_id", "item_id").agg(
+    return _passed(weekly_sales(daily, p), p)
+
+
+def eligible_skus(daily: DataFrame, kept: DataFrame, p: Params) -> DataFrame:
+    """``eligible_items`` where every item is its sku: all skus are judged by weeks, since daily sales have a row for each day already, and those
+    of the tail are left out of what has passed. Daily sales move by sku once and need no order."""
+    days = daily.repartition("scope_id", "item_sku_id").select("scope_id", F.col("item_sku_id").alias("item_id"), "sale_ord_dt", F.col("amount").alias("_day"))
+    return _passed(by_week(days, F.lit(p.start_date)), p).join(kept.select("scope_id", "item_id"), ["scope_id", "item_id"], "left_semi")
+
+
+def _passed(weekly: DataFrame, p: Params) -> DataFrame:
+    judged = weekly.groupBy("scope_id", "item_id").agg(
         F.sum("_amount").alias("_amount"), F.count_if("_active").alias("_weeks"))
     # An item without any active week fails whatever the week threshold.
     ok = (C.units("_amount") > p.min_sales) & (F.col("_weeks") >= max(p.min_weeks, 1))

@@ -131,7 +131,8 @@ def pair_measures(rows: DataFrame, size: int, comp: DataFrame | None = None) ->
     both = F.array(F.struct("src", "dst", "src_baskets", "dst_baskets"), F.when(~near, F.struct(
         F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("dst_baskets").alias("src_baskets"), F.col("src_baskets").alias("dst_baskets"))))
     sums = ["scope_id", "_adjacent", "n", "dst_amount", "src_amount", "spend", "_comp", "_shared"]
-    flat = once.select(*sums, F.explode(F.array_compact(both)).alias("p")).select(*sums, "p.*")
+    # By source, as its shares are summed next: a source has at most three rows for each other item here, so pairs move once for both.
+    flat = once.select(*sums, F.explode(F.array_compact(both)).alias("p")).select(*sums, "p.*").repartition("scope_id", "src")
     return flat.groupBy("scope_id", "src", "dst").agg(
         F.coalesce(F.sum(F.when(near, F.col("n"))), F.lit(0)).alias("n_adjacent"),
         F.sum(F.when(near, F.col("dst_amount"))).alias("dst_amount"), F.sum(F.when(near, F.col("src_amount"))).alias("src_amount"),

@@ -79,7 +79,8 @@ class OrderPath:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return stage(X.eligible_items(self.mapped_daily, self.p), "eligible")
+        found = X.eligible_skus(self.daily, self.kept, self.p) if self.p.item_type == "sku" else X.eligible_items(self.mapped_daily, self.p)
+        return stage(found, "eligible")
 
     @cached_property
     def mapped(self) -> DataFrame:

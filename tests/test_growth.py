@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from basketshift.operators import attributes as A
 from basketshift.operators import facts as X
 from basketshift.plans import catalog
+from basketshift.session import stage
 from basketshift.sources.star import Star
 from tests.test_plans import FOLDER, formatted, physical
 
@@ -55,6 +57,31 @@ def test_daily_sales_move_once_to_be_judged(spark, unbroadcast):
     assert sorted(map(tuple, path.eligible.collect())) == sorted(map(tuple, by_items.collect()))
 
 
+def test_skus_are_judged_before_the_tail_is_cut(spark, unbroadcast):
+    """Where an item is its sku, what meets the kept skus is one row a sku, not its days; the tail stays out though it would pass."""
+    rows = [("s", sku, date(2020, 1, 1 + 7 * w + d), 1, amount * 10_000) for sku, amount in (("A", 50), ("B", 50), ("C", 1)) for w in range(3) for d in (0, 1)]
+    rows += [("s", "D", date(2020, 1, 1), 1, 10_000_000), ("t", "A", date(2020, 1, 1), 1, 500_000), ("s", "E", date(2020, 1, 1), 1, 9_000_000),
+             ("s", "E", date(2020, 1, 8), 1, -9_000_000), ("s", "E", date(2020, 1, 15), 1, 9_000_000)]
+    daily = spark.createDataFrame(rows, "scope_id string, item_sku_id string, sale_ord_dt date, qty long, amount long").repartition(3)
+    kept = spark.createDataFrame([("s", x, x) for x in "ACDE"], "scope_id string, item_sku_id string, item_id string")
+    p = replace(catalog.params(), start_date=date(2020, 1, 1), end_date=date(2020, 1, 31), min_sales=200, min_weeks=3)
+    found = X.eligible_skus(daily, kept, p)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in X.eligible_items(X.map_skus(daily, kept), p).collect()} == {("s", "A")}
+    path = catalog.order_path(spark, FOLDER)
+    given = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr("basketshift.plans.order_path.stage", lambda df, label, **kw: (label == "eligible" and given.append(df)) or stage(df, label, **kw))
+        _ = path.eligible
+    plan = physical(given[0])
+    assert moved(plan) == 2 and 0 <= plan.find("SortMergeJoin") < plan.find("HashAggregate"), plan
+
+
+def test_pairs_move_once_for_their_sums_and_shares(spark, unbroadcast):
+    plan = physical(catalog.order_path(spark, FOLDER).detail)
+    by_source = re.findall(r"Exchange hashpartitioning\(scope_id#\d+, src#\d+(?:, dst#\d+)?, \d+\)", plan)
+    assert len(by_source) == 1, plan
+
+
 def test_windows_do_not_multiply_members(spark, unbroadcast):
     lines = spark.createDataFrame(
         [("u", str(n), sku, day, 1.0, 2.0, 2.0, 1) for n, (sku, day) in enumerate(

@@ -12,6 +12,7 @@ A text is cut by the vocabulary's pattern first; each match is encoded by itself
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -266,18 +267,28 @@ class Codec:
 
         self.vocabulary = Vocabulary.read(path)
         self.matches_of = regex.compile(pattern).findall
-        # Without a way back to this object, so that all of it goes when its task lets go of it.
-        packed_tokens = self.vocabulary.packed_tokens
-        self.matches = _Remembered(lambda match: packed_tokens(match.encode("utf-8")))
+        self.matches = _Remembered(lambda match: self.vocabulary.packed_tokens(match.encode("utf-8")))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers. Matches are encoded and remembered one by one."""
         return b"".join(map(self.matches.__getitem__, self.matches_of(text)))
 
+    def forget(self) -> None:
+        """Leave the vocabulary alone in memory."""
+        self.matches.clear()
+        self.matches.older = {}
+        self.vocabulary._prefixes.clear()
+        self.vocabulary._judged.clear()
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+@functools.lru_cache(maxsize=2)
+def codec(path: str, pattern: str) -> Codec:
+    return Codec(path, pattern)
+
+
 @dataclass(frozen=True)
 class VocabularyFile:
     """A public vocabulary by its file name; each worker finds the file in its own installation."""
@@ -287,7 +298,7 @@ class VocabularyFile:
     def codec(self) -> Codec:
         import public_tokenizers
 
-        return Codec(public_tokenizers.path(self.name), public_tokenizers.PATTERN)
+        return codec(public_tokenizers.path(self.name), public_tokenizers.PATTERN)
 
 
 def encode_texts(docs: DataFrame, vocabulary: VocabularyFile = VocabularyFile(), key: str = "doc_id", text: str = "text",
@@ -303,15 +314,18 @@ def encode_texts(docs: DataFrame, vocabulary: VocabularyFile = VocabularyFile(),
     ids = "ids array<int>, " if with_ids else ""
 
     def run(batches) -> Iterator[dict]:
-        c = vocabulary.codec()  # a task's own: the worker lives on beside those of other stages
-        for b in batches:
-            encoded = [c.encode(t) for t in b["text"]]
-            out = {"key": b["key"], "n_tokens": [len(e) // 4 for e in encoded],
-                   "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
-                   "decoded_sha256": [hashlib.sha256(c.decode(e)).hexdigest() for e in encoded]}
-            if with_ids:
-                out["ids"] = pa.array([np.frombuffer(e, dtype="<u4").astype("int32") for e in encoded], pa.list_(pa.int32()))
-            yield out
+        c = vocabulary.codec()
+        try:
+            for b in batches:
+                encoded = [c.encode(t) for t in b["text"]]
+                out = {"key": b["key"], "n_tokens": [len(e) // 4 for e in encoded],
+                       "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
+                       "decoded_sha256": [hashlib.sha256(c.decode(e)).hexdigest() for e in encoded]}
+                if with_ids:
+                    out["ids"] = pa.array([np.frombuffer(e, dtype="<u4").astype("int32") for e in encoded], pa.list_(pa.int32()))
+                yield out
+        finally:
+            c.forget()  # the worker lives on beside those of other stages
 
     return map_rows(docs.select(F.col(key).alias("key"), text_of(text).alias("text")), run,
                     f"key {kind}, n_tokens bigint, {ids}ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
